@@ -34,7 +34,7 @@ def store_for(spark: SparkSession, root: str, settings: Settings) -> TableStore:
         spark,
         root,
         {
-            "raw_bars": settings.target_schema,
+            "raw_bars": settings.raw_schema,
             "models": analytics,
             "forecasts": analytics,
             "final": analytics,

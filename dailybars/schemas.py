@@ -5,39 +5,86 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
-def _schema(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+def schema(**columns: str) -> T.StructType:
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in columns.items()])
 
 
-_BAR_DDL = "symbol string, dt date, open double, high double, low double, close double, volume bigint"
+_TYPES = {
+    "string": T.StringType(),
+    "date": T.DateType(),
+    "double": T.DoubleType(),
+    "bigint": T.LongType(),
+    "timestamp_ntz": T.TimestampNTZType(),
+}
 
-RAW_BARS = _schema(_BAR_DDL)
-STOCK_SUMMARY = _schema(
-    _BAR_DDL + ", daily_range double, daily_return_pct double, ma_7_day double, ma_30_day double"
+_BAR = dict(
+    symbol="string",
+    dt="date",
+    open="double",
+    high="double",
+    low="double",
+    close="double",
+    volume="bigint",
 )
-TRAIN = _schema("symbol string, ts timestamp_ntz, close double")
-MODELS = _schema(
-    "symbol string, train_rows bigint, first_dt date, last_dt date, first_close double, last_close double,"
-    " status string, slope double, intercept double, mean_x double, sxx double, sxy double, syy double,"
-    " step double, step_sd double"
+_SUMMARY = dict(
+    _BAR, daily_range="double", daily_return_pct="double", ma_7_day="double", ma_30_day="double"
 )
-FORECASTS = _schema(
-    "symbol string, ts timestamp_ntz, close_pred double, lower_bound double, upper_bound double,"
-    " prediction_for date, created_at timestamp_ntz"
+
+RAW_BARS = schema(**_BAR)
+STOCK_SUMMARY = schema(**_SUMMARY)
+TRAIN = schema(symbol="string", ts="timestamp_ntz", close="double")
+MODELS = schema(
+    symbol="string",
+    train_rows="bigint",
+    first_dt="date",
+    last_dt="date",
+    first_close="double",
+    last_close="double",
+    status="string",
+    slope="double",
+    intercept="double",
+    mean_x="double",
+    sxx="double",
+    sxy="double",
+    syy="double",
+    step="double",
+    step_sd="double",
+)
+FORECASTS = schema(
+    symbol="string",
+    ts="timestamp_ntz",
+    close_pred="double",
+    lower_bound="double",
+    upper_bound="double",
+    prediction_for="date",
+    created_at="timestamp_ntz",
 )
-FINAL = _schema(
-    _BAR_DDL + ", source string, close_forecast double, upper_bound_forecast double,"
-    " lower_bound_forecast double, created_at timestamp_ntz"
+FINAL = schema(
+    **_BAR,
+    source="string",
+    close_forecast="double",
+    upper_bound_forecast="double",
+    lower_bound_forecast="double",
+    created_at="timestamp_ntz",
 )
-SNAPSHOT = _schema(
-    ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in STOCK_SUMMARY)
-    + ", scd_id string, updated_at date, valid_from timestamp_ntz, valid_to timestamp_ntz"
+SNAPSHOT = schema(
+    **_SUMMARY,
+    scd_id="string",
+    updated_at="date",
+    valid_from="timestamp_ntz",
+    valid_to="timestamp_ntz",
 )
-OUTCOMES = _schema("symbol string, stage string, status string, n_rows bigint, message string")
+OUTCOMES = schema(symbol="string", stage="string", status="string", n_rows="bigint", message="string")
 
 # Bars as they land: the date is still text and nothing has been checked.
-LANDED = _schema(
-    "dt string, open double, high double, low double, close double, volume double, symbol string"
+LANDED = schema(
+    dt="string",
+    open="double",
+    high="double",
+    low="double",
+    close="double",
+    volume="double",
+    symbol="string",
 )
 
 BAR_COLUMNS = RAW_BARS.fieldNames()

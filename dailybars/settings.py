@@ -26,8 +26,7 @@ VARIABLE_NAMES = {
     "train_lookback_days": ("train_lookback_days",),
     "horizon_days": ("forecast_horizon_days",),
     "prediction_interval": ("forecast_prediction_interval",),
-    "target_schema": ("yf_target_schema",),
-    "source_schema": ("sf_source_schema",),
+    "raw_schema": ("yf_target_schema", "sf_source_schema"),
     "analytics_schema": ("sf_analytics_schema",),
 }
 
@@ -44,8 +43,7 @@ class Settings:
     train_lookback_days: int = DEFAULT_LOOKBACK_DAYS
     horizon_days: int = DEFAULT_HORIZON_DAYS
     prediction_interval: float = DEFAULT_PREDICTION_INTERVAL
-    target_schema: str = DEFAULT_RAW_SCHEMA
-    source_schema: str = DEFAULT_RAW_SCHEMA
+    raw_schema: str = DEFAULT_RAW_SCHEMA
     analytics_schema: str = DEFAULT_ANALYTICS_SCHEMA
     method: str = "trend"
     business_days: bool = False
@@ -100,7 +98,6 @@ _READERS = {
     "train_lookback_days": int,
     "horizon_days": int,
     "prediction_interval": float,
-    "target_schema": str,
-    "source_schema": str,
+    "raw_schema": str,
     "analytics_schema": str,
 }

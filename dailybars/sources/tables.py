@@ -27,7 +27,8 @@ from pyspark.sql import types as T
 from dailybars import schemas
 from dailybars.operators.merge import duplicate_keys, latest_per_key, merge_rows, without
 
-_VERSION = T.StructType.fromDDL("version bigint, parts array<struct<month: string, folder: string>>")
+_PART = T.StructType([T.StructField("month", T.StringType()), T.StructField("folder", T.StringType())])
+_VERSION = T.StructType([T.StructField("version", T.LongType()), T.StructField("parts", T.ArrayType(_PART))])
 
 
 class DuplicateKeys(ValueError):
