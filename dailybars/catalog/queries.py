@@ -127,9 +127,9 @@ def normalize_records(spark, sf_dir):
 @query
 def outcomes_missing_cols(spark, sf_dir):
     path = data.land_records(spark, data.event_bars(spark, sf_dir), without_volume="error")
-    expected = data.event_bars(spark, sf_dir).select(F.upper("symbol").alias("symbol"))
-    absent = data.market_bars(spark, sf_dir).select(F.upper("symbol").alias("symbol"))
-    return landed.record_outcomes(landed.read_records(spark, path), expected.union(absent))
+    bars = landed.normalize_records(landed.read_records(spark, path), with_absent=True)
+    expected = data.event_bars(spark, sf_dir).unionByName(data.market_bars(spark, sf_dir))
+    return landed.record_outcomes(bars, expected.select(F.upper("symbol").alias("symbol")))
 
 
 @query
@@ -534,7 +534,7 @@ def etl_run(spark, sf_dir):
     store = data.new_store(spark)
     for end, as_of in ((data.FIRST_AS_OF, data.FIRST_AS_OF), (None, data.EVENTS_AS_OF)):
         path = data.land_records(spark, data.event_bars(spark, sf_dir, end=end), without_volume="error")
-        etl.run_etl(spark, store, data.run_settings(as_of), path)
+        etl.run_etl(store, data.run_settings(as_of), path)
     return shown(store.read("raw_bars"))
 
 
@@ -544,14 +544,14 @@ def forecast_run(spark, sf_dir):
     store = data.new_store(spark)
     for end, as_of in ((data.FIRST_AS_OF, data.FIRST_AS_OF), (None, data.EVENTS_AS_OF)):
         store.upsert("raw_bars", data.event_bars(spark, sf_dir, end=end))
-        forecasts.run_forecast(spark, store, data.run_settings(as_of))
+        forecasts.run_forecast(store, data.run_settings(as_of))
     return shown(store.read("forecasts"), PREDICTIONS)
 
 
 @query
 def final_run(spark, sf_dir):
     store = _stored_events(spark, sf_dir)
-    forecasts.run_forecast(spark, store, data.run_settings(data.EVENTS_AS_OF))
+    forecasts.run_forecast(store, data.run_settings(data.EVENTS_AS_OF))
     return shown(store.read("final"), FINAL_PREDICTIONS)
 
 
@@ -561,7 +561,7 @@ def models_run(spark, sf_dir):
     store = data.new_store(spark)
     for end, as_of in ((data.FIRST_AS_OF, data.FIRST_AS_OF), (None, data.EVENTS_AS_OF)):
         store.upsert("raw_bars", data.event_bars(spark, sf_dir, end=end))
-        models.run_models(spark, store, data.run_settings(as_of))
+        models.run_models(store, data.run_settings(as_of))
     return shown(store.read("snapshot"), AVERAGES)
 
 
@@ -570,7 +570,7 @@ def full_run(spark, sf_dir):
     """Landed records to forecasts, tested summary and history; the final table."""
     settings = data.run_settings(data.EVENTS_AS_OF, symbols=tuple(s.upper() for s in data.EVENT_SYMBOLS))
     store = full.store_for(spark, work_dir(spark, "tables"), settings)
-    full.run_all(spark, store, settings, data.land_records(spark, data.event_bars(spark, sf_dir)))
+    full.run_all(store, settings, data.land_records(spark, data.event_bars(spark, sf_dir)))
     return shown(store.read("final"), FINAL_PREDICTIONS)
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from typing import Any
 
 from pyspark.sql import Column
@@ -38,6 +39,15 @@ def clean_symbol(symbol: Column) -> Column:
     return F.upper(F.trim(symbol))
 
 
+# Fixed value: the characters that an object name cannot hold; each becomes ``_``.
+_UNSAFE = "[^A-Za-z0-9_]"
+
+
 def safe_symbol(symbol: Column) -> Column:
-    """Symbol as part of an object name: everything but letters, digits and ``_`` becomes ``_``."""
-    return F.regexp_replace(symbol, "[^A-Za-z0-9_]", "_")
+    """Symbol as part of an object name."""
+    return F.regexp_replace(symbol, _UNSAFE, "_")
+
+
+def safe_name(symbol: str) -> str:
+    """The same for a symbol of the settings."""
+    return re.sub(_UNSAFE, "_", symbol)

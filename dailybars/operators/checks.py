@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from dailybars import schemas
@@ -79,10 +79,12 @@ def check_summary(
     return _as_rows(totals, labels, counts)
 
 
-def require_passing(checks: DataFrame) -> None:
-    """The gate: raises when a test failed. One row per test comes to the driver."""
-    failed = [row for row in checks.collect() if row.failures > 0]
+def require_passing(checks: DataFrame) -> list[Row]:
+    """The gate: raises when a test failed, else gives the results, one row per test."""
+    results = checks.collect()
+    failed = [row for row in results if row.failures > 0]
     if failed:
         raise CheckFailed(
             "; ".join(f"{row.check_name}({row.column_name}): {row.failures} failures" for row in failed)
         )
+    return results

@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dailybars import schemas
+from dailybars.functions.times import moment
 from dailybars.operators.bars import lookback
 
 MIN_TRAIN_ROWS = 3
@@ -147,7 +148,7 @@ def forecast(
         (pred - margin).alias("lower_bound"),
         (pred + margin).alias("upper_bound"),
         "prediction_for",
-        F.lit(created_at).cast("timestamp_ntz").alias("created_at"),
+        moment(created_at).alias("created_at"),
     )
 
 
@@ -200,7 +201,7 @@ def final_table(
     bars: DataFrame, forecasts: DataFrame, as_of: date, lookback_days: int, created_at: datetime
 ) -> DataFrame:
     """Actuals of the lookback window (missing closes included) and the predictions from ``as_of`` on."""
-    stamp = F.lit(created_at).cast("timestamp_ntz").alias("created_at")
+    stamp = moment(created_at).alias("created_at")
     no_double = F.lit(None).cast("double")
     actual = lookback(bars, as_of, lookback_days).select(
         *schemas.BAR_COLUMNS,

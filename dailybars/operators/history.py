@@ -20,96 +20,107 @@ from pyspark.sql import functions as F
 
 from dailybars import schemas
 from dailybars.functions.prices import key_text
+from dailybars.functions.times import moment
 
 STRATEGIES = ("timestamp", "check")
-_COLUMNS = schemas.SNAPSHOT.fieldNames()
 _DATA = schemas.STOCK_SUMMARY.fieldNames()
+_COLUMNS = schemas.SNAPSHOT.fieldNames()
+_IS_OPEN = "valid_to IS NULL"
 
 
-def _row(prefix: str, **replaced: Column) -> Column:
-    return F.struct(*((replaced.get(n, F.col(f"{prefix}.{n}"))).alias(n) for n in _COLUMNS))
+def _scd_id(stamp: Column) -> Column:
+    return F.md5(F.concat(key_text(), F.lit("|"), stamp.cast("string")))
 
 
 def first_version(current: DataFrame) -> DataFrame:
     """History of a first run: every row open from its day."""
     return current.select(
         *_DATA,
-        F.md5(F.concat(key_text(), F.lit("|"), F.col("dt").cast("string"))).alias("scd_id"),
+        _scd_id(F.col("dt")).alias("scd_id"),
         F.col("dt").alias("updated_at"),
         F.col("dt").cast("timestamp_ntz").alias("valid_from"),
         F.lit(None).cast("timestamp_ntz").alias("valid_to"),
     )
 
 
-def version_changes(
+def find_changes(
     history: DataFrame,
     current: DataFrame,
-    run_ts: datetime,
     strategy: str = "timestamp",
     check_columns: Sequence[str] = tuple(schemas.VALUE_COLUMNS),
-    changes_only: bool = True,
 ) -> DataFrame:
-    """Rows to close and rows to open; with ``changes_only=False`` also the open rows that stay.
+    """One row per key that differs: (symbol, dt, verdict).
 
-    All three joins and groupings use (symbol, dt), which spreads evenly however unequal the
-    symbols are, and each input is shuffled once. A changed key gives two rows from one joined row.
+    Verdicts are ``appeared``, ``came_back``, ``changed`` and ``vanished``. Both tables are compared
+    whole, but only their keys and the compared columns are read and shuffled. The key is
+    (symbol, dt), which spreads evenly however unequal the symbols are.
     """
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES}: {strategy!r}")
-    now = F.lit(run_ts).cast("timestamp_ntz")
-    is_open = F.col("valid_to").isNull()
-    closed_keys = history.where(~is_open).groupBy(*schemas.KEY).agg(F.lit(True).alias("was_closed"))
-    new = (
-        first_version(current)
-        .join(closed_keys, schemas.KEY, "left")
-        .select(*schemas.KEY, F.struct(*_COLUMNS).alias("new"), "was_closed")
-    )
-    old = history.where(is_open).select(*schemas.KEY, F.struct(*_COLUMNS).alias("old"))
-    both = old.join(new, schemas.KEY, "full")
-
-    has_old, has_new = F.col("old").isNotNull(), F.col("new").isNotNull()
     if strategy == "timestamp":
+        old = history.where(_IS_OPEN).select(*schemas.KEY, F.struct("updated_at").alias("old"))
+        new = current.select(*schemas.KEY, F.struct(F.col("dt").alias("updated_at")).alias("new"))
         differs = F.col("new.updated_at") > F.col("old.updated_at")
     else:
-        same = F.lit(True)
-        for name in check_columns:
-            same = same & F.col(f"old.{name}").eqNullSafe(F.col(f"new.{name}"))
-        differs = ~same
-    changed = has_old & has_new & F.coalesce(differs, F.lit(False))
-    vanished = has_old & ~has_new
-    appeared = has_new & ~has_old
-    at_run_time = (appeared & F.col("was_closed").isNotNull()) | (changed & F.lit(strategy == "check"))
-
-    close_at = F.when(vanished | F.lit(strategy == "check"), now).otherwise(
-        F.col("new.updated_at").cast("timestamp_ntz")
+        old = history.where(_IS_OPEN).select(*schemas.KEY, F.struct(*check_columns).alias("old"))
+        new = current.select(*schemas.KEY, F.struct(*check_columns).alias("new"))
+        differs = ~F.col("old").eqNullSafe(F.col("new"))
+    closed = history.where(f"NOT ({_IS_OPEN})").groupBy(*schemas.KEY).agg(F.lit(True).alias("was_closed"))
+    verdict = (
+        F.when(F.col("new").isNull(), "vanished")
+        .when(F.col("old").isNull() & F.col("was_closed"), "came_back")
+        .when(F.col("old").isNull(), "appeared")
+        .when(differs, "changed")
     )
-    key = F.concat(F.col("new.symbol"), F.col("new.dt").cast("string"))
-    late_id = F.md5(F.concat(key, F.lit("|"), F.lit(run_ts.strftime("%Y-%m-%d %H:%M:%S"))))
-    closing = F.when(vanished | changed, _row("old", valid_to=close_at))
-    opening = F.when(
-        appeared | changed,
-        _row(
-            "new",
-            scd_id=F.when(at_run_time, late_id).otherwise(F.col("new.scd_id")),
-            valid_from=F.when(at_run_time, now).otherwise(F.col("new.valid_from")),
-        ),
+    compared = old.join(new, schemas.KEY, "full").join(closed, schemas.KEY, "left")
+    return compared.select(*schemas.KEY, verdict.alias("verdict")).where(F.col("verdict").isNotNull())
+
+
+def apply_changes(
+    history: DataFrame, current: DataFrame, found: DataFrame, run_ts: datetime, strategy: str = "timestamp"
+) -> DataFrame:
+    """The rows to write: old versions closed and new versions opened, found by key."""
+    now = moment(run_ts)
+    by_day = F.lit(strategy == "timestamp")
+    closing = found.where(F.col("verdict").isin("changed", "vanished"))
+    opening = found.where(F.col("verdict").isin("appeared", "came_back", "changed"))
+
+    changed_by_day = (F.col("verdict") == "changed") & by_day
+    close_at = F.when(changed_by_day, F.col("dt").cast("timestamp_ntz")).otherwise(now)
+    closed = (
+        history.where(_IS_OPEN)
+        .join(closing, schemas.KEY)
+        .withColumn("valid_to", close_at)
+        .select(*_COLUMNS)
     )
-    staying = F.when(has_old & has_new & ~changed, _row("old"))
-    rows = [closing, opening] if changes_only else [closing, opening, staying]
-    return both.select(F.inline(F.array_compact(F.array(*rows))))
+    from_run = (F.col("verdict") == "came_back") | ((F.col("verdict") == "changed") & ~by_day)
+    opened = (
+        first_version(current)
+        .join(opening, schemas.KEY)
+        .withColumn("scd_id", F.when(from_run, _scd_id(now)).otherwise(F.col("scd_id")))
+        .withColumn("valid_from", F.when(from_run, now).otherwise(F.col("valid_from")))
+        .select(*_COLUMNS)
+    )
+    return closed.unionByName(opened)
 
 
 def next_version(
     history: DataFrame, current: DataFrame, run_ts: datetime, strategy: str = "timestamp"
 ) -> DataFrame:
     """The whole history after a further run."""
-    changed = version_changes(history, current, run_ts, strategy, changes_only=False)
-    return history.where(F.col("valid_to").isNotNull()).unionByName(changed)
+    found = find_changes(history, current, strategy)
+    closing = found.where(F.col("verdict").isin("changed", "vanished")).select(*schemas.KEY)
+    staying = history.where(_IS_OPEN).join(closing, schemas.KEY, "left_anti")
+    return (
+        history.where(f"NOT ({_IS_OPEN})")
+        .unionByName(staying.select(*_COLUMNS))
+        .unionByName(apply_changes(history, current, found, run_ts, strategy))
+    )
 
 
-def valid_at(history: DataFrame, moment: datetime) -> DataFrame:
+def valid_at(history: DataFrame, when: datetime) -> DataFrame:
     """The rows that held at a moment."""
-    t = F.lit(moment).cast("timestamp_ntz")
+    t = moment(when)
     return history.where(
         (F.col("valid_from") <= t) & (F.col("valid_to").isNull() | (F.col("valid_to") > t))
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dailybars.operators import forecast as fc
@@ -35,7 +35,7 @@ def run_training(store: TableStore, settings: Settings) -> DataFrame:
     return _models(store, settings)
 
 
-def run_forecast(spark: SparkSession, store: TableStore, settings: Settings) -> DataFrame:
+def run_forecast(store: TableStore, settings: Settings) -> DataFrame:
     """Train, replace the predictions from ``as_of`` on, rebuild the final table; per-symbol outcomes."""
     store.ensure(["raw_bars", "models", "forecasts", "final"])
     models = run_training(store, settings)
@@ -64,4 +64,4 @@ def run_forecast(spark: SparkSession, store: TableStore, settings: Settings) ->
         _bars(store, settings), forecasts, settings.as_of, settings.train_lookback_days, settings.run_ts
     )
     store.overwrite("final", fc.keep_other_symbols(store.read("final"), final, settings.symbols))
-    return fc.outcomes(models, forecasts, settings.as_of, requested_symbols(spark, settings))
+    return fc.outcomes(models, forecasts, settings.as_of, requested_symbols(store.spark, settings))

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 
+from dailybars.functions.symbols import safe_name
+from dailybars.operators.forecast import train_rows
 from dailybars.plans.etl import run_etl
 from dailybars.plans.forecasts import run_forecast
 from dailybars.plans.models import run_models
@@ -17,13 +20,13 @@ from dailybars.sources.tables import TableStore
 class RunResult:
     loaded: int
     outcomes: DataFrame
-    checks: DataFrame
+    checks: list[Row]
 
 
-def run_all(spark: SparkSession, store: TableStore, settings: Settings, landing: str) -> RunResult:
-    loaded = run_etl(spark, store, settings, landing)
-    forecast_outcomes = run_forecast(spark, store, settings)
-    checks = run_models(spark, store, settings)
+def run_all(store: TableStore, settings: Settings, landing: str) -> RunResult:
+    loaded = run_etl(store, settings, landing)
+    forecast_outcomes = run_forecast(store, settings)
+    checks = run_models(store, settings)
     return RunResult(loaded.n_rows, loaded.outcomes.unionByName(forecast_outcomes), checks)
 
 
@@ -42,3 +45,29 @@ def store_for(spark: SparkSession, root: str, settings: Settings) -> TableStore:
             "snapshot": "SNAPSHOT",
         },
     )
+
+
+def register_symbol_views(store: TableStore, settings: Settings) -> list[str]:
+    """Temporary views for SQL: the shared tables, and for each symbol of the run its own names.
+
+    A symbol S gets S (its bars), V_TRAIN_S, S_FORECAST and S_FINAL, with characters that an
+    unquoted name cannot hold replaced by ``_``.
+    """
+    store.register_views()
+    names = []
+    for symbol in settings.symbols or ():
+        own = F.col("symbol") == F.lit(symbol)
+        bars = store.read("raw_bars").where(own)
+        safe = safe_name(symbol)
+        views = {
+            safe: bars,
+            f"V_TRAIN_{safe}": train_rows(
+                bars, settings.as_of, settings.train_lookback_days
+            ).select("ts", "close"),
+            f"{safe}_FORECAST": store.read("forecasts").where(own),
+            f"{safe}_FINAL": store.read("final").where(own),
+        }
+        for name, rows in views.items():
+            rows.createOrReplaceTempView(name)
+        names += views
+    return names

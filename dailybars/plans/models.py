@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row
 
 from dailybars.operators import history
 from dailybars.operators.bars import summary
@@ -17,18 +17,21 @@ def build_summary(store: TableStore, settings: Settings) -> DataFrame:
 
 
 def take_snapshot(store: TableStore, settings: Settings) -> int:
-    """Bring the history up to date; only months with a changed row are rewritten."""
+    """Bring the history up to date; only months with a changed row are rewritten.
+
+    Returns the number of versions closed and opened.
+    """
     store.ensure(["snapshot"])
-    changes = history.version_changes(
-        store.read("snapshot"), store.read("stock_summary"), settings.run_ts, settings.snapshot_strategy
+    known, current = store.read("snapshot"), store.read("stock_summary")
+    found = store.keep(
+        "snapshot/changes", history.find_changes(known, current, settings.snapshot_strategy)
     )
-    return store.upsert("snapshot", changes)
+    rows = history.apply_changes(known, current, found, settings.run_ts, settings.snapshot_strategy)
+    return store.upsert("snapshot", rows)
 
 
-def run_models(spark: SparkSession, store: TableStore, settings: Settings) -> DataFrame:
+def run_models(store: TableStore, settings: Settings) -> list[Row]:
     """Build, test, snapshot. A failed test raises before the history is touched."""
-    built = build_summary(store, settings)
-    checks = check_summary(built, settings.symbols)
-    require_passing(checks)
+    checks = require_passing(check_summary(build_summary(store, settings), settings.symbols))
     take_snapshot(store, settings)
     return checks

@@ -110,52 +110,60 @@ def _first_level_column(name):
     return F.when(inner != "", inner).otherwise(name)
 
 
-def normalize_records(records: DataFrame) -> DataFrame:
-    """Canonical text columns; the date is under ``date`` or ``dt``, or else in the first entry."""
+def normalize_records(records: DataFrame, with_absent: bool = False) -> DataFrame:
+    """Canonical text columns; the date is under ``date`` or ``dt``, or else in the first entry.
+
+    ``with_absent`` adds the names of the required entries a record does not have (an entry that is
+    there without a value counts as there).
+    """
     record = F.col("record")
     day = F.coalesce(record["dt"], record["date"], F.map_values(record)[0])
+    absent = F.array_except(_required(), F.map_keys("record"))
     return records.select(
         F.date_format(day.cast("timestamp_ntz"), "yyyy-MM-dd").alias("dt"),
         *(record[name].alias(name) for name in schemas.VALUE_COLUMNS),
         "symbol",
+        *([absent.alias("absent")] if with_absent else []),
     )
 
 
-def record_outcomes(records: DataFrame, expected: DataFrame | None = None) -> DataFrame:
+def _required():
+    return F.array(*(F.lit(name) for name in schemas.VALUE_COLUMNS))
+
+
+def record_outcomes(bars: DataFrame, expected: DataFrame | None = None) -> DataFrame:
     """Per symbol: ``ok``, ``missing`` (no record has some required entry) or ``empty``.
 
-    ``expected`` (symbol) adds the symbols that should have delivered and did not.
+    ``bars`` come from ``normalize_records(..., with_absent=True)``; ``expected`` (symbol) adds the
+    symbols that should have delivered and did not.
     """
-    seen = [F.max(F.map_contains_key("record", n).cast("int")).alias(n) for n in schemas.VALUE_COLUMNS]
-    found = records.groupBy("symbol").agg(F.count(F.lit(1)).alias("n_rows"), *seen)
-    absent = F.filter(
-        F.array(*(F.when(F.col(n) == 0, F.lit(n)) for n in schemas.VALUE_COLUMNS)),
-        lambda name: name.isNotNull(),
+    everywhere = [
+        F.min(F.array_contains("absent", name)).alias(f"no_{name}") for name in schemas.VALUE_COLUMNS
+    ]
+    found = bars.groupBy("symbol").agg(F.count(F.lit(1)).alias("n_rows"), *everywhere)
+    lacking = F.array_join(
+        F.array(*(F.when(F.col(f"no_{name}"), F.lit(name)) for name in schemas.VALUE_COLUMNS)), ", "
     )
-    found = found.select("symbol", "n_rows", F.array_join(absent, ", ").alias("absent"))
+    found = found.select("symbol", "n_rows", lacking.alias("lacking"))
     if expected is not None:
         found = expected.select("symbol").distinct().join(found, "symbol", "left")
-    status = (
-        F.when(F.col("n_rows").isNull(), "empty").when(F.col("absent") != "", "missing").otherwise("ok")
-    )
-    message = (
-        F.when(F.col("n_rows").isNull(), "no data returned")
-        .when(F.col("absent") != "", F.concat(F.lit("missing columns: "), F.col("absent")))
-        .otherwise(F.concat(F.lit("ok (rows="), F.col("n_rows").cast("string"), F.lit(")")))
-    )
+    empty, missing = F.col("n_rows").isNull(), F.col("lacking") != ""
     return found.select(
         "symbol",
         F.lit("extract").alias("stage"),
-        status.alias("status"),
+        F.when(empty, "empty").when(missing, "missing").otherwise("ok").alias("status"),
         F.coalesce("n_rows", F.lit(0).cast("bigint")).alias("n_rows"),
-        message.alias("message"),
+        F.when(empty, "no data returned")
+        .when(missing, F.concat(F.lit("missing columns: "), F.col("lacking")))
+        .otherwise(F.concat(F.lit("ok (rows="), F.col("n_rows").cast("string"), F.lit(")")))
+        .alias("message"),
     )
 
 
-def complete_records(records: DataFrame, outcomes: DataFrame) -> DataFrame:
-    """Records of the symbols that lack no column; the others are left out, and nothing else is."""
+def complete_symbols(bars: DataFrame, outcomes: DataFrame) -> DataFrame:
+    """Bars of the symbols that lack no column; the others are left out, and nothing else is."""
     incomplete = outcomes.where(F.col("status") == "missing").select("symbol")
-    return records.join(incomplete, "symbol", "left_anti")
+    return bars.join(incomplete, "symbol", "left_anti")
 
 
 # --- cast ---------------------------------------------------------------------------------------

@@ -15,20 +15,26 @@ in a one-symbol read, and gives a symbol with very many rows more than one file.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from datetime import date
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dailybars import schemas
 from dailybars.operators.merge import duplicate_keys, latest_per_key, merge_rows, without
 
-_PART = T.StructType([T.StructField("month", T.StringType()), T.StructField("folder", T.StringType())])
-_VERSION = T.StructType([T.StructField("version", T.LongType()), T.StructField("parts", T.ArrayType(_PART))])
+_VERSION = T.StructType(
+    [
+        T.StructField("version", T.LongType()),
+        T.StructField("months", T.ArrayType(T.StringType())),
+        T.StructField("folders", T.ArrayType(T.StringType())),
+    ]
+)
 
 
 class DuplicateKeys(ValueError):
@@ -66,6 +72,17 @@ TABLES = {
 }
 
 
+@dataclass(frozen=True)
+class Version:
+    """Which folder holds each month; a table that is not split has one folder, under ``""``."""
+
+    number: int
+    months: dict[str, str]
+
+    def only(self, months: set[str]) -> dict[str, str]:
+        return {month: folder for month, folder in self.months.items() if month in months}
+
+
 def _month(column: str) -> Column:
     return F.date_format(F.col(column), "yyyy-MM")
 
@@ -84,7 +101,7 @@ class TableStore:
         """Create the tables that do not exist yet, empty."""
         for name in names:
             if self._latest(name) is None:
-                self._publish(name, 0, [])
+                self._publish(name, Version(0, {}))
 
     def exists(self, name: str) -> bool:
         return self._latest(name) is not None
@@ -92,16 +109,15 @@ class TableStore:
     def read(self, name: str, since: date | None = None, until: date | None = None) -> DataFrame:
         """The newest version; with limits, rows filed in [since, until], other months unopened."""
         table = TABLES[name]
-        latest = self._latest(name)
-        parts = [] if latest is None else latest.parts
-        if table.month_of is not None:
-            low = since.strftime("%Y-%m") if since else ""
-            high = until.strftime("%Y-%m") if until else "~"
-            parts = [part for part in parts if low <= part.month <= high]
-        rows = self._open(table, [part.folder for part in parts])
-        if table.month_of is not None and since is not None:
+        months = self._newest(name).months
+        if table.month_of is None:
+            return self._open(table, months)
+        low = since.strftime("%Y-%m") if since else ""
+        high = until.strftime("%Y-%m") if until else "~"
+        rows = self._open(table, {month: f for month, f in months.items() if low <= month <= high})
+        if since is not None:
             rows = rows.where(F.col(table.month_of) >= F.lit(since))
-        if table.month_of is not None and until is not None:
+        if until is not None:
             rows = rows.where(F.col(table.month_of) <= F.lit(until))
         return rows
 
@@ -120,10 +136,12 @@ class TableStore:
         names the column whose greatest value wins.
         """
         table = TABLES[name]
-        staged = self._stage(table, incoming, order_by)
+        columns = [*table.schema.fieldNames()]
+        if order_by is not None and order_by not in columns:
+            columns.append(order_by)
+        staged = self.keep(f"{name}/stage", incoming.select(*columns))
         tally = self._tally(table, staged)
-        n_rows = tally.n_rows or 0
-        if n_rows == 0:
+        if not tally.n_rows:
             return 0
         if tally.without_key:
             raise MissingKeys(f"{tally.without_key} keys of {name} have no value in {table.keys}")
@@ -133,47 +151,58 @@ class TableStore:
             sample = [tuple(row)[:-1] for row in duplicate_keys(staged, table.keys).limit(3).collect()]
             raise DuplicateKeys(f"{tally.repeated} keys of {name} occur more than once, e.g. {sample}")
         rows = staged.select(*table.schema.fieldNames())
+        old = self._newest(name)
         if table.month_of is None:
-            self._replace(table, merge_rows(self.read(name), rows, table.keys), None)
+            self._write(table, old, merge_rows(self._open(table, old.months), rows, table.keys))
         else:
-            touched = sorted(tally.months)
-            self._replace(table, merge_rows(self._months(table, touched), rows, table.keys), touched)
-        return n_rows
+            touched = set(tally.months)
+            merged = merge_rows(self._open(table, old.only(touched)), rows, table.keys)
+            self._write(table, old, merged, touched, all_present=True)
+        return tally.n_rows
 
     def overwrite(self, name: str, rows: DataFrame) -> None:
         """Replace the whole table. The rows may be computed from the table itself."""
-        self._replace(TABLES[name], rows, None)
+        old = self._newest(name)
+        self._write(TABLES[name], old, rows, set(old.months))
 
-    def rewrite_from(self, name: str, since: date, rewrite) -> None:
+    def rewrite_from(self, name: str, since: date, rewrite: Callable[[DataFrame], DataFrame]) -> None:
         """Replace the months from ``since`` on by ``rewrite(rows of those months)``.
 
         ``rewrite`` must give rows filed in those months only; earlier months stay as they are, and
         a row filed in one of them is refused before anything is published.
         """
-        table = TABLES[name]
-        latest = self._latest(name)
-        low = since.strftime("%Y-%m")
-        touched = [] if latest is None else [p.month for p in latest.parts if p.month >= low]
-        self._replace(table, rewrite(self._months(table, touched)), touched)
+        table, old = TABLES[name], self._newest(name)
+        touched = {month for month in old.months if month >= since.strftime("%Y-%m")}
+        self._write(table, old, rewrite(self._open(table, old.only(touched))), touched)
 
     def delete(self, name: str, predicate: Column) -> None:
         """Delete by predicate; a table split by month rewrites only the months it hits."""
-        table = TABLES[name]
+        table, old = TABLES[name], self._newest(name)
         if table.month_of is None:
-            self._replace(table, without(self.read(name), predicate), None)
+            self._write(table, old, without(self._open(table, old.months), predicate))
             return
-        hits = self.read(name).where(predicate).select(_month(table.month_of).alias("month")).distinct()
-        touched = sorted(row.month for row in hits.collect())
+        hits = self._open(table, old.months).where(predicate)
+        hit_months = hits.select(_month(table.month_of).alias("month")).distinct().collect()
+        touched = {row.month for row in hit_months}
         if touched:
-            self._replace(table, without(self._months(table, touched), predicate), touched)
+            self._write(table, old, without(self._open(table, old.only(touched)), predicate), touched)
+
+    def keep(self, name: str, rows: DataFrame) -> DataFrame:
+        """Write an intermediate result and read it back, so that later steps do not compute it again.
+
+        The next run overwrites it.
+        """
+        path = self._folder(name)
+        rows.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path)
 
     # --- folders and versions -------------------------------------------------------------------
 
     def _folder(self, name: str) -> str:
-        schema = self.schema_of.get(name)
+        schema = self.schema_of.get(name.split("/")[0])
         return f"{self.root}/{schema}/{name}" if schema else f"{self.root}/{name}"
 
-    def _latest(self, name: str):
+    def _latest(self, name: str) -> Version | None:
         """The newest version file. It lists months, so its size follows the calendar."""
         try:
             versions = self.spark.read.schema(_VERSION).json(f"{self._folder(name)}/versions/*")
@@ -181,35 +210,30 @@ class TableStore:
             if error.getCondition() == "PATH_NOT_FOUND":
                 return None
             raise
-        return versions.orderBy(F.col("version").desc()).first()
-
-    def _publish(self, name: str, version: int, parts: list[tuple[str, str]]) -> None:
-        """One file written by one task; refused if another writer took the version number."""
-        row = self.spark.createDataFrame([(version, parts)], _VERSION).coalesce(1)
-        row.write.mode("errorifexists").json(f"{self._folder(name)}/versions/{version:09d}")
-
-    def _open(self, table: Table, folders: list[str]) -> DataFrame:
-        columns = table.schema.fieldNames()
-        if not folders:
+        newest = versions.orderBy(F.col("version").desc()).first()
+        return None if newest is None else Version(newest.version, dict(zip(newest.months, newest.folders)))
+
+    def _newest(self, name: str) -> Version:
+        return self._latest(name) or Version(0, {})
+
+    def _publish(self, name: str, version: Version) -> None:
+        """One file, written by one task; refused if another writer took the version number."""
+        months = sorted(version.months)
+        row = {
+            "version": [version.number],
+            "months": pa.array([months], pa.list_(pa.string())),
+            "folders": pa.array([[version.months[month] for month in months]], pa.list_(pa.string())),
+        }
+        path = f"{self._folder(name)}/versions/{version.number:09d}"
+        self.spark.createDataFrame(pa.table(row)).coalesce(1).write.mode("errorifexists").json(path)
+
+    def _open(self, table: Table, months: dict[str, str]) -> DataFrame:
+        if not months:
             return self.spark.createDataFrame([], table.schema)
-        paths = [f"{self._folder(table.name)}/{folder}" for folder in folders]
-        return self.spark.read.schema(table.schema).parquet(*paths).select(*columns)
+        paths = [f"{self._folder(table.name)}/{months[month]}" for month in sorted(months)]
+        return self.spark.read.schema(table.schema).parquet(*paths).select(*table.schema.fieldNames())
 
-    def _months(self, table: Table, months: list[str]) -> DataFrame:
-        latest = self._latest(table.name)
-        parts = [] if latest is None else latest.parts
-        return self._open(table, [part.folder for part in parts if part.month in set(months)])
-
-    def _stage(self, table: Table, incoming: DataFrame, order_by: str | None) -> DataFrame:
-        columns = list(table.schema.fieldNames())
-        if order_by is not None and order_by not in columns:
-            columns.append(order_by)
-        path = f"{self._folder(table.name)}/stage"
-        staged = incoming.select(*columns)
-        staged.write.mode("overwrite").parquet(path)
-        return self.spark.read.schema(staged.schema).parquet(path)
-
-    def _tally(self, table: Table, staged: DataFrame):
+    def _tally(self, table: Table, staged: DataFrame) -> Row:
         """Row count, bad keys and months of the staged rows in one job over the key columns."""
         month = F.lit(None).cast("string") if table.month_of is None else _month(table.month_of)
         without_key = F.lit(False)
@@ -223,16 +247,25 @@ class TableStore:
             F.collect_set(month).alias("months"),
         ).first()
 
-    def _replace(self, table: Table, rows: DataFrame, touched: list[str] | None) -> None:
-        """Write the rows as a new version that keeps the folders of the months not touched."""
-        latest = self._latest(table.name)
-        version = 1 if latest is None else latest.version + 1
-        folder = f"data/{version:09d}"
+    def _write(
+        self,
+        table: Table,
+        old: Version,
+        rows: DataFrame,
+        touched: set[str] = frozenset(),
+        all_present: bool = False,
+    ) -> None:
+        """Write the rows as a new version that keeps the folders of the months not touched.
+
+        ``all_present`` says that every touched month has rows, which saves looking.
+        """
+        number = old.number + 1
+        folder = f"data/{number:09d}"
         path = f"{self._folder(table.name)}/{folder}"
         rows = rows.select(*table.schema.fieldNames())
         if table.month_of is None:
             rows.write.mode("overwrite").parquet(path)
-            self._publish(table.name, version, [("", folder)])
+            self._publish(table.name, Version(number, {"": folder}))
             return
         (
             rows.withColumn("month", _month(table.month_of))
@@ -242,12 +275,13 @@ class TableStore:
             .partitionBy("month")
             .parquet(path)
         )
-        written = self.spark.read.schema(table.stored_schema).parquet(path).select("month").distinct()
-        parts = [(row.month, f"{folder}/month={row.month}") for row in written.collect()]
-        if touched is not None and latest is not None:
-            kept = [(part.month, part.folder) for part in latest.parts if part.month not in touched]
-            outside = {month for month, _ in parts} & {month for month, _ in kept}
-            if outside:
-                raise ValueError(f"{table.name}: new rows filed in months not read: {sorted(outside)}")
-            parts += kept
-        self._publish(table.name, version, sorted(parts))
+        present = touched
+        if not all_present:
+            written = self.spark.read.schema(table.stored_schema).parquet(path)
+            present = {row.month for row in written.select("month").distinct().collect()}
+        kept = {month: f for month, f in old.months.items() if month not in touched}
+        outside = present & set(kept)
+        if outside:
+            raise ValueError(f"{table.name}: new rows filed in months not read: {sorted(outside)}")
+        fresh = {month: f"{folder}/month={month}" for month in present}
+        self._publish(table.name, Version(number, {**kept, **fresh}))
