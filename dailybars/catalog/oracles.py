@@ -112,8 +112,8 @@ def _forecast(bars: str, start: str, method: str = _TREND, steps: str = _EVERY_D
     return ",\n".join([_fit(bars, start).strip(), steps, method])
 
 
-def _predictions(digits: int = 6) -> str:
-    return f"""SELECT symbol, CAST(CAST(day AS TIMESTAMP) AS VARCHAR) AS ts, round(p, {digits}) AS close_pred,
+def _predictions(digits: int = 6, pred: str = "round(p, {})") -> str:
+    return f"""SELECT symbol, CAST(CAST(day AS TIMESTAMP) AS VARCHAR) AS ts, {pred.format(digits)} AS close_pred,
   round(p - {Z} * se, {digits}) AS lower_bound, round(p + {Z} * se, {digits}) AS upper_bound,
   CAST(day AS VARCHAR) AS prediction_for, '2024-01-31 06:00:00' AS created_at FROM pred"""
 
@@ -258,9 +258,9 @@ SELECT symbol, n AS train_rows, CAST(first_dt AS VARCHAR) AS first_dt, CAST(last
   round(mx, 4) AS mean_x, round(sxx, 4) AS sxx, round(sxy, 4) AS sxy, round(syy, 4) AS syy,
   round(d, 4) AS step, round(step_sd, 4) AS step_sd FROM fit""",
     "forecast_trend": EV_FORECAST,
-    "forecast_drift": f"WITH {_forecast(EV, EV_START, _DRIFT)} {_predictions()}",
+    "forecast_drift": f"WITH {_forecast(EV, EV_START, _DRIFT)} {_predictions(6, 'p')}",
     "forecast_trend_orders": f"WITH {_forecast(ORD, ORD_START)} {_predictions(4)}",
-    "forecast_drift_orders": f"WITH {_forecast(ORD, ORD_START, _DRIFT)} {_predictions(4)}",
+    "forecast_drift_orders": f"WITH {_forecast(ORD, ORD_START, _DRIFT)} {_predictions(4, 'p')}",
     "forecast_trend_users": f"WITH {_forecast(USR, EV_START)} {_predictions(4)}",
     "forecast_business_days": f"WITH {_forecast(EV, EV_START, _TREND, _WEEKDAYS)} {_predictions()}",
     "forecasts_from_as_of": f"SELECT * FROM ({EV_EARLIER_FORECAST}) WHERE prediction_for >= '2024-01-31'",

@@ -366,7 +366,7 @@ def forecast_trend(spark, sf_dir):
 
 @query
 def forecast_drift(spark, sf_dir):
-    return shown(_event_forecast(spark, sf_dir, "drift"), PREDICTIONS)
+    return shown(_event_forecast(spark, sf_dir, "drift"), PREDICTIONS[1:])
 
 
 @query
@@ -376,7 +376,7 @@ def forecast_trend_orders(spark, sf_dir):
 
 @query
 def forecast_drift_orders(spark, sf_dir):
-    return shown(_order_forecast(spark, sf_dir, "drift"), PREDICTIONS, digits=4)
+    return shown(_order_forecast(spark, sf_dir, "drift"), PREDICTIONS[1:], digits=4)
 
 
 @query
