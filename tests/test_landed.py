@@ -1,0 +1,132 @@
+import json
+from datetime import date
+
+import pytest
+from pyspark.sql import functions as F
+
+from dailybars import schemas
+from dailybars.plans.etl import run_etl
+from dailybars.settings import Settings
+from dailybars.sources import landed
+
+AS_OF = date(2024, 1, 31)
+
+
+def land(tmp_path, records):
+    folder = tmp_path / "landing"
+    folder.mkdir(exist_ok=True)
+    (folder / f"{len(list(folder.iterdir()))}.json").write_text("\n".join(map(json.dumps, records)))
+    return str(folder)
+
+
+def record(symbol, day="2024-01-05", **more):
+    return {"Date": day, "Open": 1, "HIGH": 2, "low": 0.5, "Close": 1.5, "Volume": 10, "Symbol": symbol, **more}
+
+
+def test_loose_headers_become_canonical(spark):
+    loose = spark.createDataFrame([("2024-01-05 00:00:00", 1.0, 2.0)], "Date string, Open double, HIGH double")
+    out = landed.normalize_frame(loose, "ABC")
+    assert out.columns == ["dt", "open", "high", "symbol"]
+    assert out.first()[0] == "2024-01-05"
+    assert landed.missing_columns(out) == ["low", "close", "volume"]
+
+
+def test_unnamed_date_column_is_the_first_one(spark):
+    loose = spark.createDataFrame([("2024-01-05", 1.0)], "index string, CLOSE double")
+    assert landed.normalize_frame(loose).columns == ["dt", "close"]
+
+
+def test_headers_of_two_levels_keep_the_first(spark):
+    loose = spark.createDataFrame([("2024-01-05", 1.0)], "dt string, c double").toDF("dt", "('Close', 'ABC')")
+    assert landed.normalize_frame(loose).columns == ["dt", "close"]
+
+
+def test_records_of_any_spelling(spark, tmp_path):
+    levels = {f"('{name}', 'x')": value for name, value in record("x").items() if name != "Symbol"}
+    path = land(tmp_path, [record(" brk.b"), {**levels, "symbol": "x"}])
+    rows = landed.normalize_records(landed.read_records(spark, path)).collect()
+    assert {(r.symbol, r.dt, r.open, r.volume) for r in rows} == {
+        ("BRK.B", "2024-01-05", "1", "10"),
+        ("X", "2024-01-05", "1", "10"),
+    }
+
+
+def test_symbol_without_a_column_is_skipped_and_others_load(store, tmp_path):
+    incomplete = record("nov")
+    del incomplete["Volume"]
+    path = land(tmp_path, [record("abc"), incomplete])
+    result = run_etl(store, Settings(AS_OF, symbols=("ABC", "NOV", "GONE")), path)
+    assert result.n_rows == 1
+    assert {(r.symbol, r.status, r.n_rows, r.message) for r in result.outcomes.collect()} == {
+        ("ABC", "ok", 1, "ok (rows=1)"),
+        ("NOV", "missing", 1, "missing columns: volume"),
+        ("GONE", "empty", 0, "no data returned"),
+    }
+    assert [r.symbol for r in store.read("raw_bars").collect()] == ["ABC"]
+
+
+def test_a_value_missing_in_some_rows_does_not_skip_the_symbol(spark, tmp_path):
+    part = record("abc", "2024-01-06")
+    del part["Open"]
+    path = land(tmp_path, [record("abc"), part, record("abc", "2024-01-07", Open=None)])
+    bars = landed.normalize_records(landed.read_records(spark, path), with_absent=True)
+    assert [r.status for r in landed.record_outcomes(bars).collect()] == ["ok"]
+
+
+def test_window_of_the_run(store, tmp_path):
+    days = ["2023-08-03", "2023-08-04", "2024-01-30", "2024-01-31"]
+    path = land(tmp_path, [record("abc", day) for day in days])
+    assert run_etl(store, Settings(AS_OF, symbols=None), path).n_rows == 2
+    assert {str(r.dt) for r in store.read("raw_bars").collect()} == {"2023-08-04", "2024-01-30"}
+
+
+def test_nothing_landed_loads_nothing(store, tmp_path):
+    path = land(tmp_path, [record("other")])
+    assert run_etl(store, Settings(AS_OF), path).n_rows == 0
+    assert store.read("raw_bars").count() == 0
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+@pytest.mark.parametrize(
+    "column, value", [("volume", float("nan")), ("volume", "NaN"), ("open", "abc"), ("dt", "soon")]
+)
+def test_value_that_does_not_fit_fails_the_batch(spark, column, value, ansi):
+    good = {"dt": "2024-01-05", "open": "1", "high": "1", "low": "1", "close": "1", "volume": "1", "symbol": "A"}
+    row = {**good, column: value}
+    kind = {name: "double" if isinstance(v, float) else "string" for name, v in row.items()}
+    frame = spark.createDataFrame([tuple(row.values())], ", ".join(f"{n} {t}" for n, t in kind.items()))
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        with pytest.raises(Exception, match="cannot cast"):
+            landed.cast_bars(frame).collect()
+        assert landed.cast_bars(frame, lenient=True).first()[column] is None
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+
+
+def test_cast_keeps_nulls_and_whole_volumes(spark):
+    frame = spark.createDataFrame([("2024-01-05", None, 1.0, 1.0, 1.0, 12.0, "A")], schemas.LANDED)
+    row = landed.cast_bars(frame).first()
+    assert (row.open, row.volume, row.dt) == (None, 12, date(2024, 1, 5))
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "csv", "json", "orc"])
+def test_formats(spark, tmp_path, fmt):
+    rows = [(d, 1.0, 2.0, 0.5, 1.5, 10.0, s) for d in ("2024-01-04", "2024-01-05") for s in ("A", "007")]
+    writer = spark.createDataFrame(rows, schemas.LANDED).write.format(fmt)
+    if fmt == "csv":
+        writer = writer.option("header", True)
+    writer.save(str(tmp_path / fmt))
+    bars = landed.read_bars(spark, str(tmp_path / fmt), fmt, ["007"], date(2024, 1, 5), date(2024, 1, 6))
+    assert [tuple(r) for r in landed.cast_bars(bars).collect()] == [
+        ("007", date(2024, 1, 5), 1.0, 2.0, 0.5, 1.5, 10)
+    ]
+
+
+def test_empty_frame_stays_empty(spark):
+    assert landed.cast_bars(spark.createDataFrame([], schemas.LANDED)).count() == 0
+
+
+def test_text_window_compares_like_days(spark):
+    frame = spark.createDataFrame([("2024-01-05",), ("2024-01-06",)], "dt string").withColumn("symbol", F.lit("A"))
+    assert landed.in_window(frame, None, date(2024, 1, 6), None).count() == 1
