@@ -300,6 +300,10 @@ WHERE valid_from <= '2024-01-29 12:00:00' AND (valid_to IS NULL OR valid_to > '2
     "forecast_run": REPLACED,
     "final_run": _final(),
     "models_run": _first_history(EV),
+    "summary_refreshed": _summary_shown(
+        f"""SELECT symbol, dt, open, high, low,
+  CASE WHEN dt >= DATE '{ORD_START}' THEN close + 1 ELSE close END AS close, volume FROM ({ORD})"""
+    ),
     "full_run": _final(bars=_UPPER),
     "stream_upsert": UPSERTED,
 }

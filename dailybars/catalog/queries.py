@@ -331,13 +331,15 @@ def _train(bars, as_of, days=LOOKBACK):
 
 
 def _event_forecast(spark, sf_dir, method="trend", end=None, business_days=False):
-    fitted = fc.fit(_train(data.event_bars(spark, sf_dir, end=end), data.EVENTS_AS_OF))
+    train = _train(data.event_bars(spark, sf_dir, end=end), data.EVENTS_AS_OF)
+    fitted = fc.fit(train, with_steps=method == "drift")
     return fc.forecast(fitted, HORIZON, INTERVAL, data.RUN_TS, method, business_days)
 
 
 def _order_forecast(spark, sf_dir, method):
     since = data.ORDERS_AS_OF - timedelta(days=LOOKBACK)
-    fitted = fc.fit(_train(data.order_bars(spark, sf_dir, start=since), data.ORDERS_AS_OF))
+    train = _train(data.order_bars(spark, sf_dir, start=since), data.ORDERS_AS_OF)
+    fitted = fc.fit(train, with_steps=method == "drift")
     return fc.forecast(fitted, HORIZON, INTERVAL, data.RUN_TS, method)
 
 
@@ -381,7 +383,7 @@ def forecast_drift_orders(spark, sf_dir):
 
 @query
 def forecast_trend_users(spark, sf_dir):
-    fitted = fc.fit(_train(data.user_bars(spark, sf_dir), data.EVENTS_AS_OF))
+    fitted = fc.fit(_train(data.user_bars(spark, sf_dir), data.EVENTS_AS_OF), with_steps=False)
     return shown(fc.forecast(fitted, HORIZON, INTERVAL, data.RUN_TS), PREDICTIONS, digits=4)
 
 
@@ -407,7 +409,7 @@ def forecast_outcomes(spark, sf_dir):
     """A window of three days: users without an event on each of them are skipped."""
     since = data.EVENTS_AS_OF - timedelta(days=3)
     bars = data.user_bars(spark, sf_dir, start=since)
-    fitted = fc.fit(_train(bars, data.EVENTS_AS_OF, 3))
+    fitted = fc.fit(_train(bars, data.EVENTS_AS_OF, 3), with_steps=False)
     made = fc.forecast(fitted, HORIZON, INTERVAL, data.RUN_TS)
     return fc.outcomes(fitted, made, data.EVENTS_AS_OF)
 
@@ -483,8 +485,14 @@ def _second_summary(spark, sf_dir):
     return ops.summary(bars)
 
 
-def _first_history(spark, sf_dir):
-    return history.first_version(ops.summary(data.earlier_bars(spark, sf_dir)))
+def _second_history(spark, sf_dir, strategy="timestamp"):
+    """History after two runs. Both states and their difference are written, so computed once."""
+    store = data.new_store(spark)
+    first = history.first_version(ops.summary(data.earlier_bars(spark, sf_dir)))
+    known = store.keep("history/known", first)
+    current = store.keep("history/current", _second_summary(spark, sf_dir))
+    found = store.keep("history/changes", history.find_changes(known, current, strategy))
+    return history.next_version(known, current, found, data.RUN_TS, strategy)
 
 
 @query
@@ -494,34 +502,24 @@ def snapshot_initial(spark, sf_dir):
 
 @query
 def snapshot_second_run(spark, sf_dir):
-    second = history.next_version(
-        _first_history(spark, sf_dir), _second_summary(spark, sf_dir), data.RUN_TS
-    )
-    return shown(second, AVERAGES)
+    return shown(_second_history(spark, sf_dir), AVERAGES)
 
 
 @query
 def snapshot_second_run_check(spark, sf_dir):
-    second = history.next_version(
-        _first_history(spark, sf_dir), _second_summary(spark, sf_dir), data.RUN_TS, "check"
-    )
-    return shown(second, AVERAGES)
+    return shown(_second_history(spark, sf_dir, "check"), AVERAGES)
 
 
 @query
 def snapshot_hard_delete(spark, sf_dir):
     """The versions closed because their key vanished."""
-    second = history.next_version(
-        _first_history(spark, sf_dir), _second_summary(spark, sf_dir), data.RUN_TS
-    )
-    return shown(second.where(F.col("valid_to").isNotNull()), AVERAGES)
+    closed = _second_history(spark, sf_dir).where(F.col("valid_to").isNotNull())
+    return shown(closed, AVERAGES)
 
 
 @query
 def snapshot_as_of(spark, sf_dir):
-    second = history.next_version(
-        _first_history(spark, sf_dir), _second_summary(spark, sf_dir), data.RUN_TS, "check"
-    )
+    second = _second_history(spark, sf_dir, "check")
     return shown(history.valid_at(second, datetime(2024, 1, 29, 12, 0, 0)), AVERAGES)
 
 
@@ -565,6 +563,18 @@ def models_run(spark, sf_dir):
     return shown(store.read("snapshot"), AVERAGES)
 
 
+@query
+def summary_refreshed(spark, sf_dir):
+    """The last 180 days restated, and only their months of the summary built again."""
+    store, settings = data.new_store(spark), data.run_settings(data.ORDERS_AS_OF)
+    store.upsert("raw_bars", data.order_bars(spark, sf_dir))
+    models.build_summary(store, settings)
+    revised = data.order_bars(spark, sf_dir, start=settings.ingest_start)
+    store.upsert("raw_bars", revised.withColumn("close", F.col("close") + 1))
+    models.refresh_summary(store, settings, settings.ingest_start)
+    return shown(store.read("stock_summary"), AVERAGES)
+
+
 @query
 def full_run(spark, sf_dir):
     """Landed records to forecasts, tested summary and history; the final table."""

@@ -50,18 +50,19 @@ def train_counts(train: DataFrame) -> DataFrame:
     return train.groupBy("symbol").agg(F.count(F.lit(1)).alias("train_rows"))
 
 
-def fit(train: DataFrame) -> DataFrame:
-    """Parameters of both methods per symbol.
+def fit(train: DataFrame, with_steps: bool = True) -> DataFrame:
+    """Parameters of both methods per symbol; ``with_steps=False`` leaves out the steps' deviation.
 
     The day number is taken from a fixed day and moved to the symbol's first day afterwards, which
-    saves a pass over the data; centred sums do not depend on the origin. The previous close comes
-    from a window over one symbol's lookback window, at most one row per day.
+    saves a pass over the data; centred sums do not depend on the origin. Without the steps all is
+    combined before the shuffle. The steps need the rows of a symbol in order: a window over its
+    lookback window, at most one row per day.
     """
     day_number = F.date_diff(F.to_date("ts"), F.lit(date(1970, 1, 1))).cast("double")
-    previous = F.lag("close").over(Window.partitionBy("symbol").orderBy("ts"))
-    numbered = train.select(
-        "symbol", "ts", "close", day_number.alias("x"), (F.col("close") - previous).alias("step")
-    )
+    step = F.lit(None).cast("double")
+    if with_steps:
+        step = F.col("close") - F.lag("close").over(Window.partitionBy("symbol").orderBy("ts"))
+    numbered = train.select("symbol", "ts", "close", day_number.alias("x"), step.alias("step"))
     fitted = numbered.groupBy("symbol").agg(
         F.count(F.lit(1)).alias("train_rows"),
         F.to_date(F.min("ts")).alias("first_dt"),

@@ -105,10 +105,9 @@ def apply_changes(
 
 
 def next_version(
-    history: DataFrame, current: DataFrame, run_ts: datetime, strategy: str = "timestamp"
+    history: DataFrame, current: DataFrame, found: DataFrame, run_ts: datetime, strategy: str = "timestamp"
 ) -> DataFrame:
-    """The whole history after a further run."""
-    found = find_changes(history, current, strategy)
+    """The whole history after a further run: what stays, what is closed, what is opened."""
     closing = found.where(F.col("verdict").isin("changed", "vanished")).select(*schemas.KEY)
     staying = history.where(_IS_OPEN).join(closing, schemas.KEY, "left_anti")
     return (

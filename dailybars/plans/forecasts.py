@@ -29,9 +29,8 @@ def _models(store: TableStore, settings: Settings) -> DataFrame:
 def run_training(store: TableStore, settings: Settings) -> DataFrame:
     """Fit every symbol and keep the parameters."""
     train = fc.train_rows(_bars(store, settings), settings.as_of, settings.train_lookback_days)
-    store.overwrite(
-        "models", fc.keep_other_symbols(store.read("models"), fc.fit(train), settings.symbols)
-    )
+    fitted = fc.fit(train, with_steps=settings.method == "drift")
+    store.overwrite("models", fc.keep_other_symbols(store.read("models"), fitted, settings.symbols))
     return _models(store, settings)
 
 

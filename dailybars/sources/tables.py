@@ -6,7 +6,7 @@ and then writes one small version file that names the folders which make up the
 takes the newest version file and sees all of a change or none of it; a job that fails before that
 last write changes nothing, and running it again is safe.
 
-Bars, forecasts and history are split by month, not by symbol: a daily run restates a few recent
+Bars, summary, forecasts and history are split by month, not by symbol: a daily run restates a few recent
 months of every symbol, so it rewrites those months and leaves the rest of the history alone, and
 the number of folders follows the calendar however many symbols there are. Within a month the rows
 are range-partitioned and sorted by symbol, which lets parquet statistics skip files and row groups
@@ -66,7 +66,7 @@ TABLES = {
         Table("models", schemas.MODELS, ("symbol",), None),
         Table("forecasts", schemas.FORECASTS, ("symbol", "prediction_for"), "prediction_for"),
         Table("final", schemas.FINAL, ("symbol", "dt", "source"), None),
-        Table("stock_summary", schemas.STOCK_SUMMARY, ("symbol", "dt"), None),
+        Table("stock_summary", schemas.STOCK_SUMMARY, ("symbol", "dt"), "dt"),
         Table("snapshot", schemas.SNAPSHOT, ("symbol", "dt", "scd_id"), "dt"),
     )
 }

@@ -19,6 +19,11 @@ def versions(frame):
     )
 
 
+def next_version(history, current, run_ts, strategy="timestamp"):
+    found = h.find_changes(history, current, strategy)
+    return h.next_version(history, current, found, run_ts, strategy)
+
+
 def midnight(day):
     return datetime.combine(day, datetime.min.time())
 
@@ -38,14 +43,14 @@ def test_first_run(make_bars):
 def test_first_run_equals_a_run_over_empty_history(spark, make_bars):
     current = summary(make_bars([("A", D1, 1.0), ("B", D1, 2.0)]))
     empty = spark.createDataFrame([], schemas.SNAPSHOT)
-    assert versions(h.next_version(empty, current, RUN)) == versions(h.first_version(current))
+    assert versions(next_version(empty, current, RUN)) == versions(h.first_version(current))
 
 
 @pytest.mark.parametrize("strategy", h.STRATEGIES)
 def test_new_day_and_vanished_symbol(make_bars, strategy):
     old = h.first_version(summary(make_bars([("A", D1, 1.0), ("B", D1, 2.0)])))
     current = summary(make_bars([("A", D1, 1.0), ("A", D2, 3.0)]))
-    after = h.next_version(old, current, RUN, strategy)
+    after = next_version(old, current, RUN, strategy)
     assert versions(after) == [
         ("A", D1, 1.0, midnight(D1), None),
         ("A", D2, 3.0, midnight(D2), None),
@@ -56,8 +61,8 @@ def test_new_day_and_vanished_symbol(make_bars, strategy):
 def test_restated_price_is_a_new_version_only_with_check(make_bars):
     old = h.first_version(summary(make_bars([("A", D1, 1.0), ("A", D2, 2.0)])))
     current = summary(make_bars([("A", D1, 1.5), ("A", D2, 2.0)]))
-    assert versions(h.next_version(old, current, RUN)) == versions(old)
-    checked = h.next_version(old, current, RUN, "check")
+    assert versions(next_version(old, current, RUN)) == versions(old)
+    checked = next_version(old, current, RUN, "check")
     assert versions(checked) == [
         ("A", D1, 1.0, midnight(D1), RUN),
         ("A", D1, 1.5, RUN, None),
@@ -71,15 +76,15 @@ def test_restated_price_is_a_new_version_only_with_check(make_bars):
 def test_key_that_comes_back_is_opened_at_the_run(make_bars, strategy):
     both = summary(make_bars([("A", D1, 1.0), ("B", D1, 2.0)]))
     only_a = summary(make_bars([("A", D1, 1.0)]))
-    gone = h.next_version(h.first_version(both), only_a, RUN, strategy)
-    back = h.next_version(gone, both, LATER, strategy)
+    gone = next_version(h.first_version(both), only_a, RUN, strategy)
+    back = next_version(gone, both, LATER, strategy)
     assert versions(back) == [
         ("A", D1, 1.0, midnight(D1), None),
         ("B", D1, 2.0, midnight(D1), RUN),
         ("B", D1, 2.0, LATER, None),
     ]
     assert len({r.scd_id for r in back.collect()}) == 3
-    again = h.next_version(back, both, datetime(2024, 1, 12), strategy)
+    again = next_version(back, both, datetime(2024, 1, 12), strategy)
     assert versions(again) == versions(back)
 
 
@@ -93,7 +98,7 @@ def test_nulls_compare_as_equal(make_bars):
 
 def test_reading_a_moment(make_bars):
     old = h.first_version(summary(make_bars([("A", D1, 1.0), ("B", D1, 2.0)])))
-    after = h.next_version(old, summary(make_bars([("A", D1, 5.0), ("A", D3, 3.0)])), RUN, "check")
+    after = next_version(old, summary(make_bars([("A", D1, 5.0), ("A", D3, 3.0)])), RUN, "check")
     assert versions(h.valid_at(after, datetime(2024, 1, 2))) == [
         ("A", D1, 1.0, midnight(D1), RUN),
         ("B", D1, 2.0, midnight(D1), RUN),

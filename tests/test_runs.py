@@ -1,4 +1,5 @@
 import json
+import random
 from datetime import date, datetime, timedelta
 
 import pytest
@@ -9,6 +10,7 @@ from dailybars.plans.forecasts import run_forecast
 from dailybars.plans.full import register_symbol_views, run_all, store_for
 from dailybars.plans.models import build_summary, run_models
 from dailybars.settings import Settings
+from dailybars.sources.tables import TableStore
 
 
 def land(tmp_path, symbols, first, days, shift=0.0):
@@ -131,3 +133,44 @@ def test_nothing_to_forecast(store):
     out = run_forecast(store, settings).collect()
     assert {(r.symbol, r.status) for r in out} == {("AAPL", "skipped"), ("NVDA", "skipped")}
     assert build_summary(store, settings).count() == 0
+
+
+def test_incremental_run_equals_a_whole_one(spark, tmp_path):
+    """Symbols with long, gappy, short and no earlier history; restated bars in the load window."""
+    rng = random.Random(7)
+    start = date(2023, 1, 1)
+    density = {"DENSE": 1.0, "GAPPY": 0.05, "RARE": 0.01, "YOUNG": 0.0, "GONE": 0.9}
+
+    def lines(first, last, restated):
+        for symbol, share in density.items():
+            for d in range((last - first).days):
+                day = first + timedelta(days=d)
+                recent = day >= date(2024, 1, 10) and symbol != "GONE"
+                if rng.random() < (0.5 if recent else share):
+                    close = 10 + rng.random() + (5 if restated else 0)
+                    yield json.dumps(
+                        dict(date=str(day), open=1, high=20, low=1, close=close, volume=1, symbol=symbol)
+                    )
+
+    def land_all(name, first, last, restated):
+        folder = tmp_path / name
+        folder.mkdir()
+        (folder / "bars.json").write_text("\n".join(lines(first, last, restated)))
+        return str(folder)
+
+    old = land_all("old", start, date(2024, 1, 31), False)
+    new = land_all("new", date(2024, 1, 20), date(2024, 2, 20), True)
+    tables = []
+    for incremental in (True, False):
+        store = TableStore(spark, str(tmp_path / f"tables-{incremental}"))
+        settings = Settings(date(2024, 1, 31), symbols=None, ingest_lookback_days=400)
+        run_all(store, settings, old)
+        late = Settings(
+            date(2024, 2, 20), symbols=None, ingest_lookback_days=31, snapshot_strategy="check"
+        )
+        run_all(store, late, new, incremental)
+        tables.append(
+            [sorted(map(str, store.read(name).collect())) for name in ("stock_summary", "snapshot")]
+        )
+    assert tables[0] == tables[1]
+    assert any("YOUNG" in row for row in tables[0][0])
