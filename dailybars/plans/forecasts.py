@@ -63,4 +63,6 @@ def run_forecast(store: TableStore, settings: Settings) -> DataFrame:
         _bars(store, settings), forecasts, settings.as_of, settings.train_lookback_days, settings.run_ts
     )
     store.overwrite("final", fc.keep_other_symbols(store.read("final"), final, settings.symbols))
-    return fc.outcomes(models, forecasts, settings.as_of, requested_symbols(store.spark, settings))
+    requested = requested_symbols(store.spark, settings)
+    store.overwrite("forecast_outcomes", fc.outcomes(models, forecasts, settings.as_of, requested))
+    return store.read("forecast_outcomes")

@@ -48,6 +48,8 @@ def store_for(spark: SparkSession, root: str, settings: Settings) -> TableStore:
             "final": analytics,
             "stock_summary": analytics,
             "snapshot": "SNAPSHOT",
+            "etl_outcomes": settings.raw_schema,
+            "forecast_outcomes": analytics,
         },
     )
 

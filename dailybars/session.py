@@ -33,6 +33,25 @@ def local_session(app_name: str = "dailybars", cores: int | str = "*", memory: s
     return spark
 
 
+def scale_conf(shuffled_bytes: int, cores: int, partition_bytes: int = 192 * 1024**2) -> dict[str, str]:
+    """Settings for a run that shuffles about ``shuffled_bytes``.
+
+    Adaptive execution can join small shuffle partitions and split skewed ones, but the number it
+    starts from is fixed when the plan is made; it has to be large enough that one partition fits
+    into a task's share of memory. Fewer, larger scan splits keep the task count down.
+    """
+    partitions = max(2 * cores, -(-shuffled_bytes // partition_bytes))
+    return {
+        **REQUIRED_CONF,
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(256 * 1024**2),
+    }
+
+
 def work_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder below ``spark.checkpoint.dir``, which every executor can reach.
 

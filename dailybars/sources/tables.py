@@ -68,6 +68,8 @@ TABLES = {
         Table("final", schemas.FINAL, ("symbol", "dt", "source"), None),
         Table("stock_summary", schemas.STOCK_SUMMARY, ("symbol", "dt"), "dt"),
         Table("snapshot", schemas.SNAPSHOT, ("symbol", "dt", "scd_id"), "dt"),
+        Table("etl_outcomes", schemas.OUTCOMES, ("symbol", "stage"), None),
+        Table("forecast_outcomes", schemas.OUTCOMES, ("symbol", "stage"), None),
     )
 }
 

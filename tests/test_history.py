@@ -21,7 +21,8 @@ def versions(frame):
 
 def next_version(history, current, run_ts, strategy="timestamp"):
     found = h.find_changes(history, current, strategy)
-    return h.next_version(history, current, found, run_ts, strategy)
+    after = h.next_version(history, current, found, run_ts, strategy)
+    return after.sparkSession.createDataFrame(after.collect(), schemas.SNAPSHOT)
 
 
 def midnight(day):
