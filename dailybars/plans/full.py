@@ -24,12 +24,16 @@ class RunResult:
 
 
 def run_all(
-    store: TableStore, settings: Settings, landing: str, incremental: bool = False
+    store: TableStore,
+    settings: Settings,
+    landing: str,
+    fmt: str = "records",
+    incremental: bool = False,
 ) -> RunResult:
     """``incremental`` builds only the months the load can have touched, for a daily run that has
     the same symbols as the one before."""
     since = settings.ingest_start if incremental and store.exists("stock_summary") else None
-    loaded = run_etl(store, settings, landing)
+    loaded = run_etl(store, settings, landing, fmt)
     forecast_outcomes = run_forecast(store, settings)
     checks = run_models(store, settings, since)
     return RunResult(loaded.n_rows, loaded.outcomes.unionByName(forecast_outcomes), checks)

@@ -205,15 +205,20 @@ class TableStore:
         return f"{self.root}/{schema}/{name}" if schema else f"{self.root}/{name}"
 
     def _latest(self, name: str) -> Version | None:
-        """The newest version file. It lists months, so its size follows the calendar."""
+        """The newest version: older files are listed, not opened. Its size follows the calendar."""
+        reader = self.spark.read.schema(_VERSION)
+        versions = f"{self._folder(name)}/versions"
         try:
-            versions = self.spark.read.schema(_VERSION).json(f"{self._folder(name)}/versions/*")
+            files = reader.option("recursiveFileLookup", True).json(versions).inputFiles()
         except AnalysisException as error:
             if error.getCondition() == "PATH_NOT_FOUND":
                 return None
             raise
-        newest = versions.orderBy(F.col("version").desc()).first()
-        return None if newest is None else Version(newest.version, dict(zip(newest.months, newest.folders)))
+        if not files:
+            return None
+        newest = max(file.split("/")[-2] for file in files)
+        row = reader.json(f"{versions}/{newest}").first()
+        return Version(row.version, dict(zip(row.months, row.folders)))
 
     def _newest(self, name: str) -> Version:
         return self._latest(name) or Version(0, {})
@@ -231,7 +236,9 @@ class TableStore:
 
     def _open(self, table: Table, months: dict[str, str]) -> DataFrame:
         if not months:
-            return self.spark.createDataFrame([], table.schema)
+            # a constant condition, so that the optimizer knows there are no rows
+            nothing = (F.lit(None).cast(f.dataType).alias(f.name) for f in table.schema)
+            return self.spark.range(1).where(F.lit(False)).select(*nothing)
         paths = [f"{self._folder(table.name)}/{months[month]}" for month in sorted(months)]
         return self.spark.read.schema(table.schema).parquet(*paths).select(*table.schema.fieldNames())
 

@@ -123,6 +123,14 @@ def test_formats(spark, tmp_path, fmt):
     ]
 
 
+def test_load_of_typed_files(spark, store, tmp_path):
+    rows = [("2024-01-05", 1.0, 2.0, 0.5, 1.5, 10.0, "A"), ("2024-01-31", 1.0, 2.0, 0.5, 1.5, 10.0, "A")]
+    spark.createDataFrame(rows, schemas.LANDED).write.parquet(str(tmp_path / "p"))
+    result = run_etl(store, Settings(AS_OF, symbols=("A", "B")), str(tmp_path / "p"), "parquet")
+    assert result.n_rows == 1
+    assert {(r.symbol, r.status) for r in result.outcomes.collect()} == {("A", "ok"), ("B", "empty")}
+
+
 def test_empty_frame_stays_empty(spark):
     assert landed.cast_bars(spark.createDataFrame([], schemas.LANDED)).count() == 0
 

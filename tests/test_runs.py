@@ -168,7 +168,7 @@ def test_incremental_run_equals_a_whole_one(spark, tmp_path):
         late = Settings(
             date(2024, 2, 20), symbols=None, ingest_lookback_days=31, snapshot_strategy="check"
         )
-        run_all(store, late, new, incremental)
+        run_all(store, late, new, incremental=incremental)
         tables.append(
             [sorted(map(str, store.read(name).collect())) for name in ("stock_summary", "snapshot")]
         )
