@@ -128,7 +128,7 @@ UNION ALL SELECT * FROM ({EV_FORECAST})"""
 
 def _final(upper: str = "upper_bound_forecast", lower: str = "lower_bound_forecast", bars: str = EV) -> str:
     return f"""WITH bars AS ({bars}), {_forecast("SELECT * FROM bars", EV_START)}
-SELECT symbol, CAST(dt AS VARCHAR) AS dt, open, high, low, close, volume, 'RAW' AS source,
+SELECT symbol, CAST(dt AS VARCHAR) AS dt, open, high, low, close, CAST(volume AS DOUBLE) AS volume, 'RAW' AS source,
   NULL::DOUBLE AS close_forecast, NULL::DOUBLE AS {upper}, NULL::DOUBLE AS {lower},
   '2024-01-31 06:00:00' AS created_at
 FROM bars WHERE dt >= DATE '{EV_START}'

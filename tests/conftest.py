@@ -14,7 +14,7 @@ from dailybars.sources.tables import TableStore  # noqa: E402
 @pytest.fixture(scope="session")
 def spark():
     session = local_session("tests", 8, "4g")
-    session.conf.set("spark.sql.shuffle.partitions", "4")
+    session.conf.set("spark.sql.shuffle.partitions", "2")
     yield session
     session.stop()
 

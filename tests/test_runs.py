@@ -138,7 +138,7 @@ def test_nothing_to_forecast(store):
 def test_incremental_run_equals_a_whole_one(spark, tmp_path):
     """Symbols with long, gappy, short and no earlier history; restated bars in the load window."""
     rng = random.Random(7)
-    start = date(2023, 1, 1)
+    start = date(2023, 9, 1)
     density = {"DENSE": 1.0, "GAPPY": 0.05, "RARE": 0.01, "YOUNG": 0.0, "GONE": 0.9}
 
     def lines(first, last, restated):
