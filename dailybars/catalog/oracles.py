@@ -211,7 +211,7 @@ FROM ({_UPPER}) GROUP BY symbol
 UNION ALL SELECT 'MARKET', 'extract', 'empty', 0, 'no data returned'""",
     "cast_bars": f"SELECT {BARS} FROM ({ORD})",
     "rows_per_symbol": f"SELECT symbol, count(*) AS n_rows FROM ({USR}) GROUP BY symbol",
-    "safe_symbols": """SELECT symbol, count(*) AS n_rows,
+    "safe_symbol": """SELECT symbol, count(*) AS n_rows,
   regexp_replace(symbol, '[^A-Za-z0-9_]', '_', 'g') AS safe_name
 FROM (SELECT p_brand AS symbol FROM part UNION ALL SELECT o_orderpriority FROM orders) GROUP BY symbol""",
     "parse_symbols": """SELECT symbol, 2 * count(*) AS n_rows

@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from dailybars import schemas
 from dailybars.catalog import inputs as data
-from dailybars.functions.symbols import safe_symbol, symbols_in_text
+from dailybars.functions.symbols import safe_symbol as safe
+from dailybars.functions.symbols import symbols_in_text
 from dailybars.operators import bars as ops
 from dailybars.operators import checks, history, report
 from dailybars.operators import forecast as fc
@@ -146,12 +147,12 @@ def rows_per_symbol(spark, sf_dir):
 
 
 @query
-def safe_symbols(spark, sf_dir):
+def safe_symbol(spark, sf_dir):
     names = data.table(spark, sf_dir, "part").select("p_brand").union(
         data.table(spark, sf_dir, "orders").select("o_orderpriority")
     )
-    safe = names.toDF("symbol").groupBy("symbol").agg(F.count(F.lit(1)).alias("n_rows"))
-    return safe.withColumn("safe_name", safe_symbol(F.col("symbol")))
+    counted = names.toDF("symbol").groupBy("symbol").agg(F.count(F.lit(1)).alias("n_rows"))
+    return counted.withColumn("safe_name", safe(F.col("symbol")))
 
 
 @query

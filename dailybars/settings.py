@@ -31,6 +31,7 @@ VARIABLE_NAMES = {
 }
 
 METHODS = ("trend", "drift")
+SNAPSHOT_STRATEGIES = ("timestamp", "check")
 
 
 @dataclass(frozen=True)
@@ -56,6 +57,8 @@ class Settings:
             raise ValueError(f"prediction_interval must lie between 0 and 1: {self.prediction_interval}")
         if self.method not in METHODS:
             raise ValueError(f"method must be one of {METHODS}: {self.method!r}")
+        if self.snapshot_strategy not in SNAPSHOT_STRATEGIES:
+            raise ValueError(f"snapshot_strategy must be one of {SNAPSHOT_STRATEGIES}")
         if self.run_ts is None:
             object.__setattr__(self, "run_ts", datetime.combine(self.as_of, datetime.min.time()))
 

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import ast
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -91,6 +92,24 @@ def missing_columns(frame: DataFrame) -> list[str]:
     return [name for name in schemas.VALUE_COLUMNS if name not in frame.columns]
 
 
+def frames_as_bars(frames: Mapping[str, DataFrame]) -> DataFrame:
+    """Frames of single symbols as one set of text columns, with the entries each frame lacks.
+
+    Only the frames' column names are looked at here; the rows stay where they are.
+    """
+    parts = []
+    for symbol, frame in frames.items():
+        rows = normalize_frame(frame, symbol.strip().upper())
+        absent = missing_columns(rows)
+        values = (
+            (F.lit(None) if name in absent else F.col(name)).cast("string").alias(name)
+            for name in schemas.VALUE_COLUMNS
+        )
+        lacking = F.array(*map(F.lit, absent)).cast("array<string>").alias("absent")
+        parts.append(rows.select("dt", *values, "symbol", lacking))
+    return reduce(DataFrame.unionByName, parts)
+
+
 # --- records whose headers are loose -----------------------------------------------------------
 
 

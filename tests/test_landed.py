@@ -131,6 +131,26 @@ def test_load_of_typed_files(spark, store, tmp_path):
     assert {(r.symbol, r.status) for r in result.outcomes.collect()} == {("A", "ok"), ("B", "empty")}
 
 
+def test_load_of_frames(spark, store):
+    full = "Date string, Open double, HIGH double, low double, Close double"
+    rows = [("2024-01-05", 1.0, 2.0, 0.5, 1.5)]
+    frames = {
+        "abc": spark.createDataFrame([(*rows[0], 7)], full + ", Volume bigint"),
+        "nov": spark.createDataFrame(rows, full),
+        "none": spark.createDataFrame([], full + ", Volume bigint"),
+        "other": spark.createDataFrame([(*rows[0], 7)], full + ", Volume bigint"),
+    }
+    result = run_etl(store, Settings(AS_OF, symbols=("ABC", "NOV", "NONE")), frames)
+    assert {(r.symbol, r.status) for r in result.outcomes.collect()} == {
+        ("ABC", "ok"),
+        ("NOV", "missing"),
+        ("NONE", "empty"),
+    }
+    assert [tuple(r) for r in store.read("raw_bars").collect()] == [
+        ("ABC", date(2024, 1, 5), 1.0, 2.0, 0.5, 1.5, 7)
+    ]
+
+
 def test_empty_frame_stays_empty(spark):
     assert landed.cast_bars(spark.createDataFrame([], schemas.LANDED)).count() == 0
 

@@ -2,6 +2,7 @@ from datetime import date, datetime
 
 import pytest
 
+from dailybars.__main__ import parse, settings_of
 from dailybars.functions.symbols import parse_symbol_list, safe_name
 from dailybars.settings import Settings
 
@@ -68,3 +69,15 @@ def test_symbol_lists(raw, parsed):
 
 def test_safe_name():
     assert safe_name("BRK.B") == "BRK_B"
+
+
+def test_command_line():
+    args = parse(
+        ["all", "--root", "r", "--landing", "l", "--as-of", "2024-03-01"]
+        + ["--variables", '{"yf_tickers": "[\\"abc\\"]", "forecast_horizon_days": "3"}', "--method", "drift"]
+    )
+    s = settings_of(args)
+    assert (s.as_of, s.symbols, s.horizon_days, s.method) == (AS_OF, ("ABC",), 3, "drift")
+    assert settings_of(parse(["forecast", "--root", "r", "--as-of", "2024-03-01", "--all-symbols"])).symbols is None
+    with pytest.raises(SystemExit):
+        parse(["etl", "--root", "r", "--as-of", "2024-03-01"])
