@@ -15,6 +15,7 @@ in a one-symbol read, and gives a symbol with very many rows more than one file.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from datetime import date
@@ -269,19 +270,18 @@ class TableStore:
         ``all_present`` says that every touched month has rows, which saves looking.
         """
         number = old.number + 1
-        folder = f"data/{number:09d}"
+        folder = f"data/{number:09d}-{uuid.uuid4().hex[:8]}"  # no other attempt writes there
         path = f"{self._folder(table.name)}/{folder}"
         rows = rows.select(*table.schema.fieldNames())
         if table.month_of is None:
-            rows.write.mode("overwrite").parquet(path)
+            rows.write.parquet(path)
             self._publish(table.name, Version(number, {"": folder}))
             return
         (
             rows.withColumn("month", _month(table.month_of))
             .repartitionByRange("month", "symbol")
             .sortWithinPartitions("month", "symbol", table.month_of)
-            .write.mode("overwrite")
-            .partitionBy("month")
+            .write.partitionBy("month")
             .parquet(path)
         )
         present = touched

@@ -7,7 +7,7 @@ from conftest import as_set
 from dailybars import schemas
 from dailybars.operators.merge import latest_per_key, merge_rows, without
 from dailybars.sources.materialize import materialize
-from dailybars.sources.tables import DuplicateKeys, MissingKeys, Version
+from dailybars.sources.tables import TABLES, DuplicateKeys, MissingKeys, Version
 
 JAN, FEB = date(2024, 1, 5), date(2024, 2, 5)
 
@@ -86,6 +86,15 @@ def test_version_number_is_taken_once(store, make_bars):
         store._publish("raw_bars", Version(1, {}))
 
 
+def test_second_writer_is_refused_and_harms_nothing(store, make_bars):
+    store.upsert("raw_bars", make_bars([("A", JAN, 1.0)]))
+    seen_by_both = store._newest("raw_bars")
+    store.upsert("raw_bars", make_bars([("A", JAN, 2.0)]))
+    with pytest.raises(Exception, match="already exists|ALREADY_EXISTS"):
+        store._write(TABLES["raw_bars"], seen_by_both, make_bars([("A", JAN, 9.0)]), {"2024-01"})
+    assert closes(store.read("raw_bars")) == {("A", JAN, 2.0)}
+
+
 def test_odd_symbols_stay_as_they_are(store, make_bars):
     store.upsert("raw_bars", make_bars([("BRK.B", JAN, 1.0), ("007", JAN, 2.0), ("a/b=c", JAN, 3.0)]))
     frame = store.read("raw_bars")
