@@ -65,18 +65,16 @@ def register_symbol_views(store: TableStore, settings: Settings) -> list[str]:
     unquoted name cannot hold replaced by ``_``.
     """
     store.register_views()
+    bars, forecasts, final = (store.read(name) for name in ("raw_bars", "forecasts", "final"))
+    train = train_rows(bars, settings.as_of, settings.train_lookback_days)
     names = []
     for symbol in settings.symbols or ():
-        own = F.col("symbol") == F.lit(symbol)
-        bars = store.read("raw_bars").where(own)
-        safe = safe_name(symbol)
+        own, safe = F.col("symbol") == F.lit(symbol), safe_name(symbol)
         views = {
-            safe: bars,
-            f"V_TRAIN_{safe}": train_rows(
-                bars, settings.as_of, settings.train_lookback_days
-            ).select("ts", "close"),
-            f"{safe}_FORECAST": store.read("forecasts").where(own),
-            f"{safe}_FINAL": store.read("final").where(own),
+            safe: bars.where(own),
+            f"V_TRAIN_{safe}": train.where(own).select("ts", "close"),
+            f"{safe}_FORECAST": forecasts.where(own),
+            f"{safe}_FINAL": final.where(own),
         }
         for name, rows in views.items():
             rows.createOrReplaceTempView(name)

@@ -55,6 +55,8 @@ class Settings:
     def __post_init__(self) -> None:
         if not 0.0 < self.prediction_interval < 1.0:
             raise ValueError(f"prediction_interval must lie between 0 and 1: {self.prediction_interval}")
+        if self.horizon_days < 1 or self.ingest_lookback_days < 0 or self.train_lookback_days < 0:
+            raise ValueError("the horizon is at least one day, a lookback is not negative")
         if self.method not in METHODS:
             raise ValueError(f"method must be one of {METHODS}: {self.method!r}")
         if self.snapshot_strategy not in SNAPSHOT_STRATEGIES:

@@ -43,15 +43,22 @@ def read_bars(
     symbols: Iterable[str] | None = None,
     start: date | None = None,
     end: date | None = None,
-    schema: T.StructType = schemas.LANDED,
+    schema: T.StructType | None = None,
 ) -> DataFrame:
-    """Landed bars in canonical columns (parquet, orc, csv with header, or json lines)."""
-    reader = spark.read.schema(schema)
+    """Landed bars in canonical columns (parquet, orc, csv with header, or json lines).
+
+    Parquet and orc files bring their own column types, csv and json are read with the landed ones.
+    """
+    reader = spark.read
     if fmt == "csv":
         reader = reader.option("header", True).option("enforceSchema", False).option("mode", "FAILFAST")
     elif fmt == "json":
         reader = reader.option("mode", "FAILFAST")
-    return in_window(reader.format(fmt).load(path), symbols, start, end)
+    if schema is None and fmt in ("csv", "json"):
+        schema = schemas.LANDED
+    if schema is not None:
+        reader = reader.schema(schema)
+    return in_window(reader.format(fmt).load(path).select(*WANTED), symbols, start, end)
 
 
 # --- frames whose headers are loose ------------------------------------------------------------

@@ -131,6 +131,13 @@ def test_load_of_typed_files(spark, store, tmp_path):
     assert {(r.symbol, r.status) for r in result.outcomes.collect()} == {("A", "ok"), ("B", "empty")}
 
 
+def test_parquet_files_bring_their_own_types(spark, tmp_path):
+    rows = [("A", date(2024, 1, 5), 1.0, 2.0, 0.5, 1.5, 2**60 + 1)]
+    spark.createDataFrame(rows, schemas.RAW_BARS).write.parquet(str(tmp_path / "p"))
+    bars = landed.read_bars(spark, str(tmp_path / "p"), "parquet", None, date(2024, 1, 5), AS_OF)
+    assert [tuple(r) for r in landed.cast_bars(bars).collect()] == rows
+
+
 def test_load_of_frames(spark, store):
     full = "Date string, Open double, HIGH double, low double, Close double"
     rows = [("2024-01-05", 1.0, 2.0, 0.5, 1.5)]

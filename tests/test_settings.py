@@ -52,6 +52,10 @@ def test_wrong_settings_are_refused():
         Settings(as_of=AS_OF, prediction_interval=1.0)
     with pytest.raises(ValueError):
         Settings(as_of=AS_OF, method="oracle")
+    with pytest.raises(ValueError):
+        Settings(as_of=AS_OF, horizon_days=0)
+    with pytest.raises(ValueError):
+        Settings(as_of=AS_OF, snapshot_strategy="guess")
 
 
 @pytest.mark.parametrize(
