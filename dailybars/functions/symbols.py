@@ -12,16 +12,15 @@ from pyspark.sql import functions as F
 
 def parse_symbol_list(raw: Any) -> tuple[str, ...]:
     """Read a JSON list, a comma-separated text or a Python sequence; trim, upper-case, drop blanks."""
+    items = raw
     if isinstance(raw, str):
         try:
             items = json.loads(raw)
         except ValueError:
-            items = raw.split(",")
-        if not isinstance(items, list):
-            items = raw.split(",")
-    elif isinstance(raw, (list, tuple)):
-        items = raw
-    else:
+            pass
+    if isinstance(items, str):
+        items = items.split(",")
+    if not isinstance(items, (list, tuple)):
         raise TypeError(f"not a symbol list: {raw!r}")
     cleaned = (str(item).strip().upper() for item in items)
     return tuple(symbol for symbol in cleaned if symbol)

@@ -64,7 +64,7 @@ def test_wrong_settings_are_refused():
         ('["aapl", "nvda "]', ("AAPL", "NVDA")),
         ("aapl, nvda,,", ("AAPL", "NVDA")),
         (["aapl", " "], ("AAPL",)),
-        ('"aapl"', ('"AAPL"',)),
+        ('"aapl"', ("AAPL",)),
     ],
 )
 def test_symbol_lists(raw, parsed):
