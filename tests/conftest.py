@@ -2,6 +2,7 @@ import os
 import sys
 from datetime import date, timedelta
 
+import pyarrow as pa
 import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -11,6 +12,9 @@ from dailybars.session import local_session  # noqa: E402
 from dailybars.sources.tables import TableStore  # noqa: E402
 
 
+ARROW = {"string": pa.string(), "date": pa.date32(), "double": pa.float64(), "bigint": pa.int64()}
+
+
 @pytest.fixture(scope="session")
 def spark():
     session = local_session("tests", 8, "4g")
@@ -32,7 +36,12 @@ def make_bars(spark):
         full = [
             row if len(row) == 7 else (row[0], row[1], 10.0, 12.0, 9.0, row[2], 100) for row in rows
         ]
-        return spark.createDataFrame(full, schema)
+        columns = list(zip(*full)) if full else [()] * len(schema.fields)
+        arrow = pa.schema(
+            [(field.name, ARROW[field.dataType.simpleString()]) for field in schema.fields]
+        )
+        arrays = [pa.array(values, field.type) for values, field in zip(columns, arrow)]
+        return spark.createDataFrame(pa.Table.from_arrays(arrays, schema=arrow), schema)
 
     return make
 
