@@ -59,12 +59,12 @@ def local_search(sizes: list[int], bins: list[list[int]], capacity: int, tries:
     fill = [sum(sizes[i] for i in content) for content in bins]
     least, count, failed = -(-sum(fill) // capacity), sum(map(bool, bins)), 0
     underfull = {b for b in range(len(bins)) if 0 < fill[b] < capacity}
-    tried: set[tuple[int, int]] = set()
+    tried: set[int] = set()  # donors since the last step
     while count > least and failed < tries:
-        donor = min((b for b in underfull if (b, fill[b]) not in tried), key=lambda b: (fill[b], b), default=None)
+        donor = min(underfull - tried, key=lambda b: (fill[b], b), default=None)
         if donor is None:
             break
-        tried.add((donor, fill[donor]))
+        tried.add(donor)
         for b in sorted((b for b in underfull if b != donor), key=lambda b: (-fill[b], b)):
             while bins[donor] and fill[donor] <= fill[b] < capacity:
                 step = _step(sizes, bins[donor], bins[b], capacity - fill[b])
@@ -76,6 +76,7 @@ def local_search(sizes: list[int], bins: list[list[int]], capacity: int, tries:
                 bins[b] = [i for i in bins[b] if i not in take] + give
                 fill[donor] -= gained
                 fill[b] += gained
+                tried = {donor}
             if fill[b] == capacity:
                 underfull.discard(b)
             if not bins[donor]:
