@@ -6,12 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from dailybars.llm import quality_rules
 from dailybars.llm.common import documents
 from dailybars.llm.packing import best_fit_packing
 from dailybars.llm.token_counts import token_counts
 from dailybars.llm.token_files import token_files
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality_rules(documents(spark, sf_dir), version=3)
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(documents(spark, sf_dir), "byte_bpe_50k.json", end_id=0)
 
@@ -25,9 +30,12 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_quality_rules": op4_quality_rules,
     "op5_token_files": op5_token_files,
     "op6_token_counts": op6_token_counts,
     "op7_packing": op7_packing,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op4_quality_rules": quality_rules.ORACLE,
+}
