@@ -118,14 +118,16 @@ def read_documents(shards: DataFrame) -> DataFrame:
         for batch in batches:
             for part, seq, data in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 shard = Shard(data)
-                rows = []
-                for i, doc_id in enumerate(shard.doc_ids):
-                    first, last = shard.bounds(i)
-                    ids = shard.ids[first:last].astype("<u4").tobytes()
-                    rows.append((doc_id, part, seq, first, last - first, zlib.crc32(ids)))
+                # In sequence all ends are decoded at once; select serves single documents.
+                ends = shard.ends.all().tolist()
+                starts = [0, *ends[:-1]]
+                body = memoryview(shard.ids.astype("<u4").tobytes())
+                crcs = [zlib.crc32(body[4 * first : 4 * last]) for first, last in zip(starts, ends)]
+                sizes = [last - first for first, last in zip(starts, ends)]
+                columns = (shard.doc_ids, [part] * shard.n, [seq] * shard.n, starts, sizes, crcs)
                 types = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
                 names = ["doc_id", "part", "seq", "local", "n_tokens", "ids_crc32"]
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), types)], names)
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, types)], names)
 
     heads = shards.select("part", "seq", "n_ids")
     # Two prefix sums: over parts (one row each), and over the shards of a part.
