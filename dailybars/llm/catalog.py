@@ -8,11 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 from dailybars.llm import quality_rules
 from dailybars.llm.common import documents
+from dailybars.llm.near_dedup import near_duplicates
 from dailybars.llm.packing import best_fit_packing
+from dailybars.llm.rule_ensemble import rule_ensemble
 from dailybars.llm.token_counts import token_counts
 from dailybars.llm.token_files import token_files
 
 
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(documents(spark, sf_dir), size=4, percent=80)
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(documents(spark, sf_dir), version=3)
 
@@ -29,11 +35,17 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_packing(documents(spark, sf_dir), "word_bpe_49k.json", capacity=2048, end_id=0)
 
 
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rule_ensemble(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_near_dedup": op3_near_dedup,
     "op4_quality_rules": op4_quality_rules,
     "op5_token_files": op5_token_files,
     "op6_token_counts": op6_token_counts,
     "op7_packing": op7_packing,
+    "op9_quality_classifier": op9_quality_classifier,
 }
 
 ORACLES: dict[str, str] = {
