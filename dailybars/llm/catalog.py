@@ -6,15 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dailybars.llm import quality_rules
+from dailybars.llm import oracles, quality_rules
 from dailybars.llm.common import documents
 from dailybars.llm.near_dedup import near_duplicates
 from dailybars.llm.packing import best_fit_packing
 from dailybars.llm.rule_ensemble import rule_ensemble
+from dailybars.llm.substring_dedup import substring_dedup
 from dailybars.llm.token_counts import token_counts
 from dailybars.llm.token_files import token_files
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup(documents(spark, sf_dir), length=100)
+
+
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir), size=4, percent=80)
 
@@ -40,6 +45,7 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op3_near_dedup": op3_near_dedup,
     "op4_quality_rules": op4_quality_rules,
     "op5_token_files": op5_token_files,
@@ -49,5 +55,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op1_substring_dedup": oracles.SUBSTRING_DEDUP,
+    "op3_near_dedup": oracles.near_dedup(),
     "op4_quality_rules": quality_rules.ORACLE,
 }
