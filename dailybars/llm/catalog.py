@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from dailybars.llm import oracles, quality_rules
 from dailybars.llm.common import documents
+from dailybars.llm.decontaminate import contamination
 from dailybars.llm.near_dedup import near_duplicates
 from dailybars.llm.packing import best_fit_packing
 from dailybars.llm.rule_ensemble import rule_ensemble
@@ -40,6 +41,10 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_packing(documents(spark, sf_dir), "word_bpe_49k.json", capacity=2048, end_id=0)
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rule_ensemble(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
@@ -51,6 +56,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_token_files": op5_token_files,
     "op6_token_counts": op6_token_counts,
     "op7_packing": op7_packing,
+    "op8_decontamination": op8_decontamination,
     "op9_quality_classifier": op9_quality_classifier,
 }
 
