@@ -11,6 +11,7 @@ from dailybars.llm.common import documents
 from dailybars.llm.decontaminate import contamination
 from dailybars.llm.near_dedup import near_duplicates
 from dailybars.llm.packing import best_fit_packing
+from dailybars.llm.pseudonyms import pseudonymised
 from dailybars.llm.rule_ensemble import rule_ensemble
 from dailybars.llm.substring_dedup import substring_dedup
 from dailybars.llm.token_counts import token_counts
@@ -21,6 +22,14 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(documents(spark, sf_dir), length=100)
 
 
+#: A deployment gives its own secret; with a fixed one the registered query is repeatable.
+PSEUDONYM_KEY = b"registered query"
+
+
+def op2_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonymised(documents(spark, sf_dir), PSEUDONYM_KEY)
+
+
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir), size=4, percent=80)
 
@@ -51,6 +60,7 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_pseudonyms": op2_pseudonyms,
     "op3_near_dedup": op3_near_dedup,
     "op4_quality_rules": op4_quality_rules,
     "op5_token_files": op5_token_files,
