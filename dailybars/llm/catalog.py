@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from dailybars.llm import oracles, quality_rules
 from dailybars.llm.common import documents
 from dailybars.llm.decontaminate import contamination
+from dailybars.llm.lm_scoring import cross_entropy_difference
 from dailybars.llm.near_dedup import near_duplicates
 from dailybars.llm.packing import best_fit_packing
 from dailybars.llm.pseudonyms import pseudonymised
@@ -58,6 +59,10 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rule_ensemble(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cross_entropy_difference(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_pseudonyms": op2_pseudonyms,
@@ -68,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_packing": op7_packing,
     "op8_decontamination": op8_decontamination,
     "op9_quality_classifier": op9_quality_classifier,
+    "op10_lm_scoring": op10_lm_scoring,
 }
 
 ORACLES: dict[str, str] = {
