@@ -25,6 +25,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dailybars.llm.common import stored, texts_of
 from dailybars.llm.components import components
@@ -201,8 +202,8 @@ def links_of(buckets: DataFrame, sets: DataFrame, percent: int, turns: int = 4)
     return links
 
 
-def near_duplicates(docs: DataFrame, size: int = 4, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept: one row for each document."""
+def grouped(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Rows (doc_id, n_shingles, node) of all documents, and (node, least_id, root) of all sets."""
     texts = texts_of(docs)
     rows = stored(signatures(texts, size), "signatures")
     nodes = rows.where("node IS NOT NULL").groupBy("node").agg(
@@ -223,6 +224,12 @@ def near_duplicates(docs: DataFrame, size: int = 4, percent: int = 80) -> DataFr
         named = named.join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
     else:
         named = named.withColumn("root", F.col("node"))
+    return rows, named
+
+
+def near_duplicates(docs: DataFrame, size: int = 4, percent: int = 80) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept: one row for each document."""
+    rows, named = grouped(docs, size, percent)
     least = named.groupBy("root").agg(F.min("least_id").alias("component_id"))
     found = named.join(least, "root").select("node", "component_id")
     out = rows.select("doc_id", "n_shingles", "node").join(found, "node", "left")
@@ -230,3 +237,33 @@ def near_duplicates(docs: DataFrame, size: int = 4, percent: int = 80) -> DataFr
     return out.select(
         "doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept")
     )
+
+
+def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """One document of each group, with all its columns: that with the smallest doc_id, without an id last.
+
+    Documents with an empty set are in no group and all stay.
+    """
+    _, named = grouped(docs, size, percent)
+    order = F.struct(F.col("least_id").isNull().alias("none"), "least_id", "node")
+    chosen = named.groupBy("root").agg(F.min(order).alias("c"))
+    chosen = chosen.select(F.col("c.least_id").alias("keep_id_"), F.col("c.node").alias("node_"))
+    marked = with_node(docs, size)
+    same = F.expr("node_of_text_ = node_ AND doc_id <=> keep_id_")
+    first = marked.join(chosen, same, "left_semi").dropDuplicates(["node_of_text_", "doc_id"])
+    return first.unionByName(marked.where("node_of_text_ IS NULL")).drop("node_of_text_")
+
+
+def with_node(docs: DataFrame, size: int) -> DataFrame:
+    """docs and the node (the set's hash) of each text; null for an empty set."""
+    at = docs.columns.index("text")
+
+    def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = [shingles(text or "", size) for text in batch.column(at).to_pylist()]
+            nodes = [xxhash.xxh3_128_digest(x.tobytes()) if len(x) else None for x in made]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(nodes, pa.binary())], [*batch.schema.names, "node_of_text_"]
+            )
+
+    return docs.mapInArrow(tasks, T.StructType([*docs.schema.fields, T.StructField("node_of_text_", T.BinaryType())]))

@@ -125,7 +125,7 @@ def _simple(path: tuple) -> tuple:
     return tuple((name, above, bounds[name, above]) for name, above in sorted(bounds))
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
+def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """doc_id, label and statistics of at most `sample` labelled documents that are not held out."""
     known = labels.select(
         labels["doc_id"].cast("long").alias("doc_id"), labels["quality"].cast("double").alias("label")
@@ -177,6 +177,18 @@ def scored(docs: DataFrame, model: Ensemble, *keep: str, accept: float = 0.7) ->
     )
 
 
+def accepted(docs: DataFrame, model: Ensemble, accept: float = 0.7) -> DataFrame:
+    """The documents that score `accept` or more, with all their columns."""
+    own = docs.schema
+    # Statistics are named by the model; columns of the table are kept apart in a struct.
+    whole = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row_"))
+    texts = whole.select(
+        F.col("row_.doc_id").alias("doc_id"), F.coalesce("row_.text", F.lit("")).alias("text"), "row_"
+    )
+    kept = statistics(texts, "row_").where(model.score() >= accept)
+    return kept.select(*[F.col("row_")[field.name].alias(field.name) for field in own])
+
+
 def rule_ensemble(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     model = fit(training_rows(docs, labels, sample))
     return scored(texts_of(docs), model)
