@@ -1,15 +1,15 @@
 """Operator 3: near-duplicate documents by MinHash with tensored banding.
 
-A document is its set of word shingles. Two small collections of band hashes, A_1..A_t and B_1..B_t of three minhashes
-each, give t * t tables with the keys (A_i, B_j): 196 tables from 84 minhashes instead of 1,176. Two sets of
+A document is its set of word shingles. Two small collections of band hashes, A_1..A_t and B_1..B_t of five minhashes
+each, give t * t tables with the keys (A_i, B_j): 676 tables from 260 minhashes instead of 6,760. Two sets of
 similarity 0.8 miss all tables with a probability under 1 in 10,000, and every candidate is verified on the full sets.
 
 * Equal sets are one node, so copies never meet in a table.
 * A pair (A_i, B_j) can only be shared if A_i and B_j are; keys shared by no other node make no table rows.
-* In a bucket every node is first compared with one representative. Verified links are contracted, and only nodes of
-  different components in a bucket are compared further: with other representatives while there are many such
-  pairs, and then all of them. No pair that shares a table is left unchecked or implied, none of a settled group is
-  listed.
+* In a bucket every node is first compared with one representative. Nodes with verified links to the same node are
+  settled with each other, and only nodes of a bucket that are not are compared further: with another representative
+  while there are many such pairs, and then all of them. No pair that shares a table is left unchecked or implied,
+  and the pairs of a settled group are not listed.
 
 Nulls: a null or blank text has an empty set and is linked with nothing; a null doc_id takes part, and is never the
 smallest id (a group of null ids only has a null component_id). Repeated rows are copies of each other and each gets
@@ -30,10 +30,10 @@ from pyspark.sql import types as T
 from dailybars.llm.common import stored, texts_of
 from dailybars.llm.components import components
 
-BANDS, ROWS = 14, 3
+BANDS, ROWS = 26, 5
 SEEN_WORDS = 300_000
-SIGNATURES = "doc_id long, n_shingles long, node binary, bands array<long>"
-SETS = "node binary, n long, shingles binary"
+SIGNATURES = "doc_id long, n_shingles long, set_key binary, bands array<long>"
+SETS = "set_key binary, shingles binary"
 _words: dict[bytes, int] = {}
 
 
@@ -96,7 +96,7 @@ def signatures(texts: DataFrame, size: int) -> DataFrame:
             types = (pa.int64(), pa.binary(), pa.list_(pa.int64()))
             made = [pa.array(x, t) for x, t in zip((counts, nodes, bands), types)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), *made], ["doc_id", "n_shingles", "node", "bands"]
+                [batch.column("doc_id"), *made], ["doc_id", "n_shingles", "set_key", "bands"]
             )
 
     return texts.mapInArrow(tasks, SIGNATURES)
@@ -107,12 +107,8 @@ def sets_of(texts: DataFrame, size: int) -> DataFrame:
         for batch in batches:
             made = [shingles(text, size) for text in batch.column("text").to_pylist()]
             packed = [x.tobytes() for x in made]
-            arrays = (
-                pa.array([xxhash.xxh3_128_digest(x) for x in packed], pa.binary()),
-                pa.array([len(x) for x in made], pa.int64()),
-                pa.array(packed, pa.binary()),
-            )
-            yield pa.RecordBatch.from_arrays(list(arrays), ["node", "n", "shingles"])
+            keys = pa.array([xxhash.xxh3_128_digest(x) for x in packed], pa.binary())
+            yield pa.RecordBatch.from_arrays([keys, pa.array(packed, pa.binary())], ["set_key", "shingles"])
 
     return texts.mapInArrow(tasks, SETS)
 
@@ -168,19 +164,30 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     joined = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a")
     joined = joined.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
-    return joined.select("a", "b", "x", "y").mapInArrow(tasks, "a binary, b binary")
+    return joined.select("a", "b", "x", "y").mapInArrow(tasks, "a long, b long")
+
+
+def hubs(links: DataFrame) -> DataFrame:
+    """(node, comp): for each linked node the least node within two links, a valid name of part of its component."""
+    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    least = both.groupBy("a").agg(F.min("b").alias("b")).select("a", F.least("a", "b").alias("b"))
+    onward = least.select(F.col("a").alias("b"), F.col("b").alias("comp"))
+    return least.join(onward, "b").select(F.col("a").alias("node"), "comp")
 
 
-def unsettled(buckets: DataFrame, roots: DataFrame) -> DataFrame:
-    """Buckets with nodes of more than one component, each node with its component."""
-    named = buckets.drop("comp").join(roots.withColumnRenamed("root", "comp"), "node", "left")
+def unsettled(buckets: DataFrame, names: DataFrame) -> DataFrame:
+    """Buckets whose nodes have more than one name, each node with its name."""
+    named = buckets.drop("comp").join(names, "node", "left")
     named = named.withColumn("comp", F.coalesce("comp", "node"))
     open_keys = named.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y")
     return stored(named.join(open_keys.select("key"), "key"), "unsettled")
 
 
-def links_of(buckets: DataFrame, sets: DataFrame, percent: int, turns: int = 4) -> DataFrame:
-    """Enough verified links (a, b) that every linked pair which shares a table is in one component."""
+def links_of(buckets: DataFrame, sets: DataFrame, percent: int, turns: int = 2, few: int = 16) -> DataFrame:
+    """Enough verified links (a, b) that every linked pair which shares a table is in one component.
+
+    All unsettled pairs are listed once there are at most `few` for each row of the buckets, or after `turns` stars.
+    """
     rest = buckets.withColumn("comp", F.col("node"))
     links = asked = None
     for turn in range(turns + 1):
@@ -189,7 +196,7 @@ def links_of(buckets: DataFrame, sets: DataFrame, percent: int, turns: int = 4)
         size = each.agg(F.sum("n"), F.sum((F.col("n") * F.col("n") - F.col("s")) / 2)).first()
         if not size[0]:
             break
-        final = turn == turns or size[1] <= size[0]
+        final = turn == turns or (turn and size[1] <= few * size[0])
         pairs = cross_pairs(rest, percent) if final else star_pairs(rest, turn, percent)
         pairs = pairs if asked is None else pairs.join(asked, ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")
@@ -198,28 +205,30 @@ def links_of(buckets: DataFrame, sets: DataFrame, percent: int, turns: int = 4)
         asked = pairs if asked is None else asked.unionByName(pairs)
         if final:
             break
-        rest = unsettled(rest, components(links))
+        rest = unsettled(rest, hubs(links))
     return links
 
 
 def grouped(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Rows (doc_id, n_shingles, node) of all documents, and (node, least_id, root) of all sets."""
+    """Rows (doc_id, n_shingles, set_key) of all documents, and (set_key, node, least_id, root) of all sets."""
     texts = texts_of(docs)
     rows = stored(signatures(texts, size), "signatures")
-    nodes = rows.where("node IS NOT NULL").groupBy("node").agg(
+    nodes = rows.where("set_key IS NOT NULL").groupBy("set_key").agg(
         F.min("doc_id").alias("least_id"), F.any_value("n_shingles").alias("n"), F.any_value("bands").alias("bands")
     )
-    nodes = stored(nodes, "nodes")
+    # The number is fixed by writing it.
+    nodes = stored(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
     buckets = table_rows(nodes)
-    wanted = buckets.select("node").distinct().join(nodes.select("node", "least_id"), "node")
+    wanted = buckets.select("node").distinct().join(nodes.select("set_key", "node", "least_id"), "node")
     wanted = stored(wanted, "wanted")
     chosen = texts.join(
         wanted.select(F.col("least_id").alias("wanted_id")).distinct(), F.expr("doc_id <=> wanted_id"), "left_semi"
     )
     sets = sets_of(chosen.where(r"text RLIKE '[^\\x20\\x09-\\x0D]'"), size)
-    sets = stored(sets.join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"]), "sets")
+    sets = sets.join(wanted.select("set_key", "node"), "set_key").dropDuplicates(["set_key"])
+    sets = stored(sets.select("node", "shingles"), "sets")
     links = links_of(buckets, sets, percent)
-    named = nodes.select("node", "least_id")
+    named = nodes.select("set_key", "node", "least_id")
     if links is not None:
         named = named.join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
     else:
@@ -231,9 +240,9 @@ def near_duplicates(docs: DataFrame, size: int = 4, percent: int = 80) -> DataFr
     """doc_id, n_shingles, component_id, kept: one row for each document."""
     rows, named = grouped(docs, size, percent)
     least = named.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    found = named.join(least, "root").select("node", "component_id")
-    out = rows.select("doc_id", "n_shingles", "node").join(found, "node", "left")
-    component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+    found = named.join(least, "root").select("set_key", "component_id")
+    out = rows.select("doc_id", "n_shingles", "set_key").join(found, "set_key", "left")
+    component = F.when(F.col("set_key").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select(
         "doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept")
     )
@@ -245,17 +254,17 @@ def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     Documents with an empty set are in no group and all stay.
     """
     _, named = grouped(docs, size, percent)
-    order = F.struct(F.col("least_id").isNull().alias("none"), "least_id", "node")
+    order = F.struct(F.col("least_id").isNull().alias("none"), "least_id", "set_key")
     chosen = named.groupBy("root").agg(F.min(order).alias("c"))
-    chosen = chosen.select(F.col("c.least_id").alias("keep_id_"), F.col("c.node").alias("node_"))
-    marked = with_node(docs, size)
-    same = F.expr("node_of_text_ = node_ AND doc_id <=> keep_id_")
-    first = marked.join(chosen, same, "left_semi").dropDuplicates(["node_of_text_", "doc_id"])
-    return first.unionByName(marked.where("node_of_text_ IS NULL")).drop("node_of_text_")
+    chosen = chosen.select(F.col("c.least_id").alias("keep_id_"), F.col("c.set_key").alias("keep_key_"))
+    marked = with_set_key(docs, size)
+    same = F.expr("set_key_ = keep_key_ AND doc_id <=> keep_id_")
+    first = marked.join(chosen, same, "left_semi").dropDuplicates(["set_key_", "doc_id"])
+    return first.unionByName(marked.where("set_key_ IS NULL")).drop("set_key_")
 
 
-def with_node(docs: DataFrame, size: int) -> DataFrame:
-    """docs and the node (the set's hash) of each text; null for an empty set."""
+def with_set_key(docs: DataFrame, size: int) -> DataFrame:
+    """docs and the hash of each text's set; null for an empty set."""
     at = docs.columns.index("text")
 
     def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -263,7 +272,7 @@ def with_node(docs: DataFrame, size: int) -> DataFrame:
             made = [shingles(text or "", size) for text in batch.column(at).to_pylist()]
             nodes = [xxhash.xxh3_128_digest(x.tobytes()) if len(x) else None for x in made]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(nodes, pa.binary())], [*batch.schema.names, "node_of_text_"]
+                [*batch.columns, pa.array(nodes, pa.binary())], [*batch.schema.names, "set_key_"]
             )
 
-    return docs.mapInArrow(tasks, T.StructType([*docs.schema.fields, T.StructField("node_of_text_", T.BinaryType())]))
+    return docs.mapInArrow(tasks, T.StructType([*docs.schema.fields, T.StructField("set_key_", T.BinaryType())]))
