@@ -37,7 +37,8 @@ from dailybars.llm.lyndon_sort import sort_suffixes
 SEED = 24
 NO_ID = -(2**63)
 BASE = 0x9E3779B97F4A7C15
-BATCH_SYMBOLS = 3_000_000
+BATCH_SYMBOLS = 1_000_000
+BATCH_BYTES = 12 << 20  # of text, or of contexts, that a task works on at once
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -133,15 +134,8 @@ def packed_texts(docs: DataFrame) -> DataFrame:
 def anchor_rows(texts: DataFrame, length: int) -> DataFrame:
     def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
-        for batch in batches:
-            parts = []
-            for doc, sub, data in _unpacked(batch):
-                if len(data) >= length:
-                    h, ctx, at, lo, hi = anchors(np.frombuffer(data, np.uint8), length, hasher)
-                    n = len(h)
-                    parts.append((h.view(np.int64), ctx.view(np.int64), np.full(n, doc), np.full(n, sub), at, at - lo, hi - lo))
-            if not parts:
-                continue
+
+        def settled(parts: list[tuple]) -> pa.RecordBatch:
             h, ctx, doc, sub, at, lo, hi = (np.concatenate(x) for x in zip(*parts))
             order = np.lexsort((at, sub, doc, ctx, h))
             h, ctx, doc, sub, at, lo, hi = (x[order] for x in (h, ctx, doc, sub, at, lo, hi))
@@ -153,7 +147,22 @@ def anchor_rows(texts: DataFrame, length: int) -> DataFrame:
             # A settled row needs no group any more; it goes anywhere.
             spread = _mix((at + doc).astype(np.uint64)).view(np.int64)
             made = (np.where(covered, spread, h), ctx, doc, sub, at, lo, hi, covered)
-            yield _batch([x[keep] for x in made], ANCHORS)
+            return _batch([x[keep] for x in made], ANCHORS)
+
+        parts, size = [], 0
+        for batch in batches:
+            for doc, sub, data in _unpacked(batch):
+                if len(data) < length:
+                    continue
+                h, ctx, at, lo, hi = anchors(np.frombuffer(data, np.uint8), length, hasher)
+                n = len(h)
+                parts.append((h.view(np.int64), ctx.view(np.int64), np.full(n, doc), np.full(n, sub), at, at - lo, hi - lo))
+                size += len(data)
+                if size >= BATCH_BYTES:
+                    yield settled(parts)
+                    parts, size = [], 0
+        if parts:
+            yield settled(parts)
 
     return texts.select("doc", "sub", "data").mapInArrow(tasks, ANCHORS)
 
@@ -305,8 +314,8 @@ def _sorted_windows(rows, data, group, doc, sub, at, lo, n_left, n_right, length
     windows = np.lib.stride_tricks.sliding_window_view(symbols.astype(np.int16), span)
     equal = np.empty(len(order), bool)
     equal[0] = False
-    for a in range(1, len(order), 200_000):
-        b = min(len(order), a + 200_000)
+    for a in range(1, len(order), 50_000):
+        b = min(len(order), a + 50_000)
         equal[a:b] = (windows[order[a:b]] == windows[order[a - 1 : b - 1]]).all(axis=1)
     equal[1:] &= string[order[1:]] == string[order[:-1]]
     block = np.cumsum(~equal) - 1
@@ -337,7 +346,7 @@ def suffix_covers(contexts: DataFrame, length: int) -> DataFrame:
         for batch in batches:
             held.append(batch)
             size += batch.nbytes
-            if size < 16 << 20:
+            if size < BATCH_BYTES:
                 continue
             table = pa.Table.from_batches(held).combine_chunks()
             h = table.column("h").to_numpy()
