@@ -15,7 +15,7 @@ from dailybars.plans.etl import run_etl
 from dailybars.plans.forecasts import run_forecast
 from dailybars.plans.full import run_all, store_for
 from dailybars.plans.models import run_models
-from dailybars.session import REQUIRED_CONF
+from dailybars.session import REQUIRED_CONF, scale_conf
 from dailybars.settings import METHODS, SNAPSHOT_STRATEGIES, Settings
 
 
@@ -33,6 +33,11 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--strict-replace", action="store_true")
     parser.add_argument("--snapshot-strategy", choices=SNAPSHOT_STRATEGIES, default="timestamp")
     parser.add_argument("--incremental", action="store_true")
+    parser.add_argument("--lenient", action="store_true", help="leave out and count rows that do not fit")
+    parser.add_argument("--legacy-final", action="store_true", help="older column names of the final views")
+    parser.add_argument("--landed-since", type=date.fromisoformat, help="open only what landed from that day on")
+    parser.add_argument("--shuffled-bytes", type=int, help="size of the largest shuffle; sets partition counts")
+    parser.add_argument("--cores", type=int, default=8, help="cores of the cluster, with --shuffled-bytes")
     args = parser.parse_args(argv)
     if args.part in ("etl", "all") and not args.landing:
         parser.error(f"{args.part} needs --landing")
@@ -48,6 +53,8 @@ def settings_of(args: argparse.Namespace) -> Settings:
         business_days=args.business_days,
         strict_replace=args.strict_replace,
         snapshot_strategy=args.snapshot_strategy,
+        lenient=args.lenient,
+        legacy_final=args.legacy_final,
         **more,
     )
 
@@ -56,19 +63,20 @@ def main(argv: list[str] | None = None) -> None:
     args = parse(argv)
     settings = settings_of(args)
     spark = SparkSession.builder.appName(f"dailybars {args.part}").getOrCreate()
-    for key, value in REQUIRED_CONF.items():
+    conf = scale_conf(args.shuffled_bytes, args.cores) if args.shuffled_bytes else REQUIRED_CONF
+    for key, value in conf.items():
         spark.conf.set(key, value)
     store = store_for(spark, args.root, settings)
     since = settings.ingest_start if args.incremental and store.exists("stock_summary") else None
     if args.part == "etl":
-        result = run_etl(store, settings, args.landing, args.format)
+        result = run_etl(store, settings, args.landing, args.format, args.landed_since)
         print(f"loaded {result.n_rows} rows")
     elif args.part == "forecast":
         run_forecast(store, settings).groupBy("stage", "status").count().show()
     elif args.part == "models":
         print(*run_models(store, settings, since), sep="\n")
     else:
-        result = run_all(store, settings, args.landing, args.format, args.incremental)
+        result = run_all(store, settings, args.landing, args.format, args.incremental, args.landed_since)
         print(f"loaded {result.loaded} rows")
         print(*result.checks, sep="\n")
         result.outcomes.groupBy("stage", "status").count().show()

@@ -12,17 +12,22 @@ def _strict(source: Column, converted: Column, name: str, target: str) -> Column
 
 
 def to_double(name: str, lenient: bool = False) -> Column:
+    """A floating-point price; NaN is a missing one."""
     source = F.col(name)
     converted = source.try_cast("double")
-    return (converted if lenient else _strict(source, converted, name, "double")).alias(name)
+    checked = converted if lenient else _strict(source, converted, name, "double")
+    return F.when(~F.isnan(checked), checked).alias(name)
 
 
 def to_bigint(name: str, source_type: str, lenient: bool = False) -> Column:
-    """Whole number; text goes through a decimal so that ``12.0`` is accepted and ``NaN`` is not."""
+    """Whole number, decimals cut off; a missing or NaN value does not fit. Text goes through a wide decimal."""
     source = F.col(name)
-    number = source.try_cast("decimal(38,6)") if source_type == "string" else source
+    number = source.try_cast("decimal(38,18)") if source_type == "string" else source
     converted = number.try_cast("bigint")
-    return (converted if lenient else _strict(source, converted, name, "bigint")).alias(name)
+    if lenient:
+        return converted.alias(name)
+    message = F.concat(F.lit(f"cannot cast {name} to bigint: "), F.coalesce(source.cast("string"), F.lit("no value")))
+    return F.when(converted.isNull(), F.raise_error(message)).otherwise(converted).alias(name)
 
 
 def to_day(name: str, lenient: bool = False) -> Column:

@@ -17,8 +17,9 @@ LONG_ROWS = 30
 
 
 def stage_bars(bars: DataFrame, symbols: Iterable[str] | None = None) -> DataFrame:
-    """The seven bar columns of rows that have a day and a close, for any set of symbols."""
-    staged = bars.select(*schemas.BAR_COLUMNS).where(F.col("dt").isNotNull() & F.col("close").isNotNull())
+    """The seven bar columns of rows that have a day and a close (NaN is none), for any set of symbols."""
+    there = F.col("dt").isNotNull() & F.col("close").isNotNull() & ~F.isnan("close")
+    staged = bars.select(*schemas.BAR_COLUMNS).where(there)
     return staged if symbols is None else staged.where(F.col("symbol").isin(list(symbols)))
 
 

@@ -31,7 +31,7 @@ def train_rows(bars: DataFrame, as_of: date, lookback_days: int) -> DataFrame:
     """(symbol, ts, close) of the lookback window, without missing closes."""
     return (
         lookback(bars, as_of, lookback_days)
-        .where(F.col("close").isNotNull())
+        .where(F.col("close").isNotNull() & ~F.isnan("close"))
         .select("symbol", F.col("dt").cast("timestamp_ntz").alias("ts"), "close")
     )
 
@@ -77,7 +77,9 @@ def fit(train: DataFrame, with_steps: bool = True) -> DataFrame:
         F.regr_syy("close", "x").alias("syy"),
         F.stddev_samp("step").alias("step_sd"),
     )
-    enough = (F.col("train_rows") >= MIN_TRAIN_ROWS) & (F.col("sxx") > 0)
+    # An infinite close makes the sums NaN or infinite; neither can be forecast from.
+    finite = F.abs("sxy") + F.abs("syy") + F.abs("mean_y") < F.lit(float("inf"))
+    enough = (F.col("train_rows") >= MIN_TRAIN_ROWS) & (F.col("sxx") > 0) & finite
     slope = F.try_divide(F.col("sxy"), F.col("sxx"))
     mean_x = F.col("abs_mean_x") - F.col("first_x")
     step = F.try_divide(F.col("last_close") - F.col("first_close"), F.col("train_rows") - 1)
@@ -168,7 +170,7 @@ def outcomes(
 
     ``requested`` (symbol) adds the symbols that have no bar at all in the training window.
     """
-    models = models.select("symbol", "status", "train_rows")
+    models = models.select("symbol", "status", "train_rows", "first_dt", "last_dt")
     if requested is not None:
         models = requested.select("symbol").distinct().join(models, "symbol", "left")
         models = models.fillna({"status": "skipped", "train_rows": 0})
@@ -181,6 +183,7 @@ def outcomes(
         n.alias("n_rows"),
         F.when(ok, F.concat(F.lit("ok (train_rows="), n.cast("string"), F.lit(")")))
         .when(n < MIN_TRAIN_ROWS, F.concat(F.lit("skipped: too few rows ("), n.cast("string"), F.lit(")")))
+        .when(F.col("first_dt") < F.col("last_dt"), F.lit("skipped: a close is not finite"))
         .otherwise(F.lit("skipped: all rows on one day"))
         .alias("message"),
     )

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from dailybars import schemas
 from dailybars.functions.prices import key_text
 from dailybars.functions.times import moment
+from dailybars.operators.merge import merge_rows
 
 STRATEGIES = ("timestamp", "check")
 _DATA = schemas.STOCK_SUMMARY.fieldNames()
@@ -79,7 +80,10 @@ def find_changes(
 def apply_changes(
     history: DataFrame, current: DataFrame, found: DataFrame, run_ts: datetime, strategy: str = "timestamp"
 ) -> DataFrame:
-    """The rows to write: old versions closed and new versions opened, found by key."""
+    """The rows to write: old versions closed and new versions opened, found by key.
+
+    A version that began at this very run time and is changed again never held: the new one takes its id and place.
+    """
     now = moment(run_ts)
     by_day = F.lit(strategy == "timestamp")
     closing = found.where(F.col("verdict").isin("changed", "vanished"))
@@ -101,20 +105,16 @@ def apply_changes(
         .withColumn("valid_from", F.when(from_run, now).otherwise(F.col("valid_from")))
         .select(*_COLUMNS)
     )
-    return closed.unionByName(opened)
+    replaced = opened.select("scd_id", *schemas.KEY)
+    return closed.join(replaced, ["scd_id", *schemas.KEY], "left_anti").select(*_COLUMNS).unionByName(opened)
 
 
 def next_version(
     history: DataFrame, current: DataFrame, found: DataFrame, run_ts: datetime, strategy: str = "timestamp"
 ) -> DataFrame:
     """The whole history after a further run: what stays, what is closed, what is opened."""
-    closing = found.where(F.col("verdict").isin("changed", "vanished")).select(*schemas.KEY)
-    staying = history.where(_IS_OPEN).join(closing, schemas.KEY, "left_anti")
-    return (
-        history.where(f"NOT ({_IS_OPEN})")
-        .unionByName(staying.select(*_COLUMNS))
-        .unionByName(apply_changes(history, current, found, run_ts, strategy))
-    )
+    rows = apply_changes(history, current, found, run_ts, strategy)
+    return merge_rows(history.select(*_COLUMNS), rows, (*schemas.KEY, "scd_id"))
 
 
 def valid_at(history: DataFrame, when: datetime) -> DataFrame:

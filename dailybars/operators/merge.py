@@ -18,7 +18,7 @@ def merge_rows(target: DataFrame, source: DataFrame, keys: Sequence[str] = tuple
     keys only; Spark broadcasts them when their size allows, and then the target is not shuffled.
     """
     kept = target.join(source.select(*keys), list(keys), "left_anti")
-    return kept.unionByName(source.select(*target.columns))
+    return kept.select(*target.columns).unionByName(source.select(*target.columns))
 
 
 def latest_per_key(
@@ -50,7 +50,8 @@ def replace_forecasts(
 ) -> DataFrame:
     """Delete the predictions from ``as_of`` on of the symbols forecast again, then add the new ones.
 
-    A symbol without new predictions keeps what it had. With ``last_trained`` (symbol, last_dt) the
+    An earlier prediction for a day that is predicted anew goes as well, so running twice gives what running
+    once does. A symbol without new predictions keeps what it had. With ``last_trained`` (symbol, last_dt) the
     predictions later than the last training day go too, so a re-run over a weekend leaves no copy.
     """
     again = fresh.select("symbol").distinct().withColumn("is_fresh", F.lit(True))
@@ -60,4 +61,6 @@ def replace_forecasts(
         rows = rows.join(last_trained.select("symbol", "last_dt"), "symbol", "left")
         stale = stale | (F.col("prediction_for") > F.col("last_dt"))
     kept = without(rows, F.col("is_fresh") & stale).select(*existing.columns)
+    kept = kept.join(fresh.select("symbol", "prediction_for"), ["symbol", "prediction_for"], "left_anti")
+    kept = kept.select(*existing.columns)
     return kept.unionByName(fresh.select(*existing.columns))

@@ -62,7 +62,7 @@ def run_forecast(store: TableStore, settings: Settings) -> DataFrame:
     final = fc.final_table(
         _bars(store, settings), forecasts, settings.as_of, settings.train_lookback_days, settings.run_ts
     )
-    store.overwrite("final", fc.keep_other_symbols(store.read("final"), final, settings.symbols))
+    store.replace_symbols("final", settings.symbols, final)
     requested = requested_symbols(store.spark, settings)
     store.overwrite("forecast_outcomes", fc.outcomes(models, forecasts, settings.as_of, requested))
     return store.read("forecast_outcomes")

@@ -3,17 +3,17 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.sql import DataFrame, Row, SparkSession
-from pyspark.sql import functions as F
 
 from dailybars.functions.symbols import safe_name
-from dailybars.operators.forecast import train_rows
+from dailybars.operators.forecast import LEGACY_NAMES
 from dailybars.plans.etl import run_etl
 from dailybars.plans.forecasts import run_forecast
 from dailybars.plans.models import run_models
 from dailybars.settings import Settings
-from dailybars.sources.tables import TableStore
+from dailybars.sources.tables import TABLES, TableStore
 
 
 @dataclass(frozen=True)
@@ -29,11 +29,12 @@ def run_all(
     landing: str,
     fmt: str = "records",
     incremental: bool = False,
+    landed_since: date | None = None,
 ) -> RunResult:
-    """``incremental`` builds only the months the load can have touched, for a daily run that has
-    the same symbols as the one before."""
+    """``incremental`` builds only the months the load can have touched; ``landed_since`` opens only what has
+    landed from that day on."""
     since = settings.ingest_start if incremental and store.exists("stock_summary") else None
-    loaded = run_etl(store, settings, landing, fmt)
+    loaded = run_etl(store, settings, landing, fmt, landed_since)
     forecast_outcomes = run_forecast(store, settings)
     checks = run_models(store, settings, since)
     return RunResult(loaded.n_rows, loaded.outcomes.unionByName(forecast_outcomes), checks)
@@ -51,6 +52,7 @@ def store_for(spark: SparkSession, root: str, settings: Settings) -> TableStore:
             "forecasts": analytics,
             "final": analytics,
             "stock_summary": analytics,
+            "summary_tail": analytics,
             "snapshot": "SNAPSHOT",
             "etl_outcomes": settings.raw_schema,
             "forecast_outcomes": analytics,
@@ -58,25 +60,72 @@ def store_for(spark: SparkSession, root: str, settings: Settings) -> TableStore:
     )
 
 
+def follow_tables(store: TableStore) -> None:
+    """Name the tables in Spark's catalog, by schema, and keep the names at the newest versions.
+
+    Every table is an external one whose partitions are the month folders of its newest version. Spark has no
+    table format that follows our versions by itself, so the store registers a table again after each change
+    it publishes; another session calls this at its start.
+    """
+    store.followers[:] = [lambda name: _register(store, name)]
+    for name in TABLES:
+        _register(store, name)
+
+
+def _register(store: TableStore, name: str) -> None:
+    spark, table = store.spark, TABLES[name]
+    schema = store.schema_of.get(name, "default")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {schema}")
+    full = f"{schema}.{name}"
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in table.schema)
+    spark.sql(f"DROP TABLE IF EXISTS {full}")
+    folders = store.folders(name)
+    if table.month_of is None:
+        where = folders.get("") or store.empty_folder(name)
+        spark.sql(f"CREATE TABLE {full} ({columns}) USING parquet LOCATION '{where}'")
+        return
+    spark.sql(
+        f"CREATE TABLE {full} ({columns}, month STRING) USING parquet PARTITIONED BY (month) "
+        f"LOCATION '{store.empty_folder(name)}'"
+    )
+    parts = " ".join(f"PARTITION (month = '{month}') LOCATION '{folder}'" for month, folder in folders.items())
+    if parts:
+        spark.sql(f"ALTER TABLE {full} ADD {parts}")
+
+
 def register_symbol_views(store: TableStore, settings: Settings) -> list[str]:
-    """Temporary views for SQL: the shared tables, and for each symbol of the run its own names.
+    """Names for SQL: the shared tables, and for each symbol of the run its own views in the analytics schema.
 
-    A symbol S gets S (its bars), V_TRAIN_S, S_FORECAST and S_FINAL, with characters that an
-    unquoted name cannot hold replaced by ``_``.
+    A symbol S gets S (its bars), V_TRAIN_S, S_FORECAST and S_FINAL, with characters that an unquoted
+    name cannot hold replaced by ``_``; two symbols with one such name are refused. The views select from the
+    tables' names, so they show what the last load or run has published. The same names without a schema are
+    temporary views. ``settings.legacy_final`` gives S_FINAL its older column names.
     """
-    store.register_views()
-    bars, forecasts, final = (store.read(name) for name in ("raw_bars", "forecasts", "final"))
-    train = train_rows(bars, settings.as_of, settings.train_lookback_days)
+    safe_names = {symbol: safe_name(symbol) for symbol in settings.symbols or ()}
+    for safe in set(safe_names.values()):
+        sharing = [symbol for symbol, name in safe_names.items() if name.upper() == safe.upper()]
+        if len(sharing) > 1:
+            raise ValueError(f"symbols {sharing} would share the name {safe}")
+    follow_tables(store)
+    spark, start = store.spark, settings.train_start.isoformat()
+    where = {name: f"{store.schema_of.get(name, 'default')}.{name}" for name in TABLES}
+    columns = {name: ", ".join(table.schema.fieldNames()) for name, table in TABLES.items()}
+    for name in TABLES:
+        spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW {name} AS SELECT {columns[name]} FROM {where[name]}")
+    final = [f"{c} AS {LEGACY_NAMES[c]}" if settings.legacy_final and c in LEGACY_NAMES else c for c in TABLES["final"].schema.fieldNames()]
     names = []
-    for symbol in settings.symbols or ():
-        own, safe = F.col("symbol") == F.lit(symbol), safe_name(symbol)
+    for symbol, safe in safe_names.items():
+        own = "symbol = '" + symbol.replace("\\", "\\\\").replace("'", "\\'") + "'"
         views = {
-            safe: bars.where(own),
-            f"V_TRAIN_{safe}": train.where(own).select("ts", "close"),
-            f"{safe}_FORECAST": forecasts.where(own),
-            f"{safe}_FINAL": final.where(own),
+            safe: f"SELECT {columns['raw_bars']} FROM {where['raw_bars']} WHERE {own}",
+            f"V_TRAIN_{safe}": f"SELECT CAST(dt AS timestamp_ntz) AS ts, close FROM {where['raw_bars']} "
+            f"WHERE {own} AND dt >= DATE '{start}' AND close IS NOT NULL AND NOT isnan(close)",
+            f"{safe}_FORECAST": f"SELECT {columns['forecasts']} FROM {where['forecasts']} WHERE {own}",
+            f"{safe}_FINAL": f"SELECT {', '.join(final)} FROM {where['final']} WHERE {own}",
         }
-        for name, rows in views.items():
-            rows.createOrReplaceTempView(name)
+        for name, sql in views.items():
+            full = f"{settings.analytics_schema}.`{name}`"
+            spark.sql(f"CREATE OR REPLACE VIEW {full} AS {sql}")
+            spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW `{name}` AS SELECT * FROM {full}")
         names += views
     return names

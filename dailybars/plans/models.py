@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
 
+from dailybars import schemas
 from dailybars.operators import history
 from dailybars.operators.bars import LONG_ROWS, stage_bars, summary
 from dailybars.operators.checks import check_summary, require_passing
@@ -15,35 +16,40 @@ from dailybars.sources.materialize import materialize
 from dailybars.sources.tables import TableStore
 
 
-# Days before the rebuilt months in which most symbols have the rows that the longest frame needs.
-_NEAR_DAYS = 92
-
-
 def build_summary(store: TableStore, settings: Settings) -> DataFrame:
-    """Build the whole table."""
+    """Build the whole table, and keep what the next incremental run starts from."""
+    first = settings.ingest_start.replace(day=1)
+    earlier = stage_bars(store.read("raw_bars", until=first - timedelta(days=1)), settings.symbols)
+    store.overwrite("summary_tail", _tail(earlier, first))
     return materialize(summary(store.read("raw_bars"), settings.symbols), "stock_summary", "table", store)
 
 
+def _tail(earlier: DataFrame, first: date) -> DataFrame:
+    """The last rows of each symbol before ``first`` that a frame beginning there can reach back to."""
+    newest = Window.partitionBy("symbol").orderBy(F.desc("dt"))
+    rows = earlier.withColumn("back", F.row_number().over(newest)).where(F.col("back") < LONG_ROWS)
+    return rows.select(*schemas.BAR_COLUMNS, F.lit(first).alias("before"))
+
+
 def refresh_summary(store: TableStore, settings: Settings, since: date) -> DataFrame:
     """Build again from the month of ``since`` on; gives those rows.
 
     Equal to a whole build if no earlier bar and no symbol of the run has changed since the last
-    one. The frames of the first rows reach back: three months of earlier bars hold the rows most
-    symbols need, and symbols with too few rows there are read from all earlier months.
+    one. The frames of the first rows reach back to rows that the last build kept, at most 29 of each
+    symbol, and to the months that have passed since; no older month is opened, however new or thin
+    a symbol is. Only a run that starts earlier than the last one has to read the older months.
     """
     first = since.replace(day=1)
-    near_from = first - timedelta(days=_NEAR_DAYS)
-    near = stage_bars(store.read("raw_bars", since=near_from), settings.symbols)
-    per_symbol = near.groupBy("symbol").agg(
-        F.count_if(F.col("dt") < F.lit(first)).alias("before"),
-        F.count_if(F.col("dt") >= F.lit(first)).alias("after"),
-    )
-    short = per_symbol.where((F.col("before") < LONG_ROWS - 1) & (F.col("after") > 0)).select("symbol")
-    short = store.keep("stock_summary/short", short)
-    bars = near
-    if not short.isEmpty():
-        far = stage_bars(store.read("raw_bars", until=near_from - timedelta(days=1)), settings.symbols)
-        bars = near.unionByName(far.join(short, "symbol", "left_semi"))
+    kept = store.read("summary_tail")
+    known = kept.agg(F.max("before")).first()[0]
+    if known is not None and known <= first:
+        passed = stage_bars(store.read("raw_bars", since=known, until=first - timedelta(days=1)), settings.symbols)
+        earlier = kept.select(*schemas.BAR_COLUMNS).unionByName(passed)
+    else:
+        earlier = stage_bars(store.read("raw_bars", until=first - timedelta(days=1)), settings.symbols)
+    store.overwrite("summary_tail", _tail(earlier, first))
+    tail = store.read("summary_tail").select(*schemas.BAR_COLUMNS)
+    bars = tail.unionByName(stage_bars(store.read("raw_bars", since=first), settings.symbols))
     rows = summary(bars).where(F.col("dt") >= F.lit(first))
     store.rewrite_from("stock_summary", first, lambda _: rows)
     return store.read("stock_summary", since=first)

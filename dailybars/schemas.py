@@ -32,6 +32,8 @@ _SUMMARY = dict(
 
 RAW_BARS = schema(**_BAR)
 STOCK_SUMMARY = schema(**_SUMMARY)
+# The last rows of each symbol before a month, from which the moving averages of that month start.
+SUMMARY_TAIL = schema(**_BAR, before="date")
 TRAIN = schema(symbol="string", ts="timestamp_ntz", close="double")
 MODELS = schema(
     symbol="string",

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -53,14 +52,6 @@ def scale_conf(shuffled_bytes: int, cores: int, partition_bytes: int = 192 * 102
 
 
 def work_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder below ``spark.checkpoint.dir``, which every executor can reach.
-
-    A machine-local folder is used only where that setting is unset and Spark itself is local.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        master = spark.conf.get("spark.master", "")
-        if not master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="dailybars-")
+    """A fresh folder below ``spark.checkpoint.dir``, or else below the warehouse; executors reach both."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/dailybars/{purpose}-{uuid.uuid4().hex}"

@@ -36,7 +36,11 @@ SNAPSHOT_STRATEGIES = ("timestamp", "check")
 
 @dataclass(frozen=True)
 class Settings:
-    """One run. ``symbols=None`` means every symbol found in the data."""
+    """One run. ``symbols=None`` means every symbol found in the data; given ones are trimmed and upper-cased.
+
+    ``lenient`` leaves out rows that do not fit and counts them; ``legacy_final`` shows the final table by symbol
+    under its older column names.
+    """
 
     as_of: date
     symbols: tuple[str, ...] | None = DEFAULT_SYMBOLS
@@ -49,6 +53,8 @@ class Settings:
     method: str = "trend"
     business_days: bool = False
     strict_replace: bool = False
+    lenient: bool = False
+    legacy_final: bool = False
     snapshot_strategy: str = "timestamp"
     run_ts: datetime | None = None
 
@@ -61,6 +67,8 @@ class Settings:
             raise ValueError(f"method must be one of {METHODS}: {self.method!r}")
         if self.snapshot_strategy not in SNAPSHOT_STRATEGIES:
             raise ValueError(f"snapshot_strategy must be one of {SNAPSHOT_STRATEGIES}")
+        if self.symbols is not None:
+            object.__setattr__(self, "symbols", parse_symbol_list(tuple(self.symbols)))
         if self.run_ts is None:
             object.__setattr__(self, "run_ts", datetime.combine(self.as_of, datetime.min.time()))
 

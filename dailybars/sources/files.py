@@ -1,0 +1,76 @@
+"""Small files next to the tables, through Hadoop's file API: no Spark job, any file system Spark can open."""
+
+from __future__ import annotations
+
+import uuid
+
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import SparkSession
+
+
+class TakenName(RuntimeError):
+    """Another writer has published under this name; already exists."""
+
+
+class Files:
+    def __init__(self, spark: SparkSession):
+        self._gateway = spark.sparkContext._gateway
+        self._jvm = spark._jvm
+        self._conf = spark._jsc.hadoopConfiguration()
+
+    def _path(self, path: str):
+        return self._jvm.org.apache.hadoop.fs.Path(path)
+
+    def _fs(self, path: str):
+        return self._path(path).getFileSystem(self._conf)
+
+    def exists(self, path: str) -> bool:
+        return self._fs(path).exists(self._path(path))
+
+    def names(self, folder: str) -> list[str]:
+        """Names in a folder; none if it does not exist."""
+        try:
+            return sorted(status.getPath().getName() for status in self._fs(folder).listStatus(self._path(folder)))
+        except Py4JJavaError as error:
+            if "FileNotFoundException" in str(error.java_exception.getClass()):
+                return []
+            raise
+
+    def read(self, path: str) -> str:
+        stream = self._fs(path).open(self._path(path))
+        try:
+            return self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
+    def _write(self, path: str, text: str) -> None:
+        stream = self._fs(path).create(self._path(path), False)
+        try:
+            stream.write(bytearray(text.encode()))
+        finally:
+            stream.close()
+
+    def publish(self, folder: str, name: str, text: str) -> None:
+        """Make folder/name/content appear with this text, whole and once.
+
+        The text is written under a name of its own and moved by a rename that does not overwrite. Where a file
+        system's rename is not that strict, the text is read back: another writer's there means this one lost.
+        """
+        own = f"{folder}/.pending-{uuid.uuid4().hex}"
+        self._write(f"{own}/content", text)
+        context = self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(self._path(folder).toUri(), self._conf)
+        rename = getattr(self._jvm.org.apache.hadoop.fs, "Options$Rename")
+        flags = self._gateway.new_array(rename, 1)
+        flags[0] = rename.valueOf("NONE")
+        try:
+            context.rename(self._path(own), self._path(f"{folder}/{name}"), flags)
+        except Py4JJavaError as error:
+            self.delete(own)
+            if "FileAlreadyExists" in str(error.java_exception.getClass()) or self.exists(f"{folder}/{name}"):
+                raise TakenName(f"{folder}/{name} already exists") from error
+            raise
+        if self.read(f"{folder}/{name}/content") != text:
+            raise TakenName(f"{folder}/{name} already exists")
+
+    def delete(self, path: str) -> None:
+        self._fs(path).delete(self._path(path), True)

@@ -7,7 +7,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,21 +21,22 @@ WANTED = schemas.LANDED.fieldNames()
 def in_window(
     bars: DataFrame, symbols: Iterable[str] | None, start: date | None, end: date | None
 ) -> DataFrame:
-    """Bars of the wanted symbols with a day in [start, end)."""
+    """Bars of the wanted symbols with a day in [start, end).
+
+    Texts are compared as the days they stand for. A bar whose day is missing or unreadable stays, so that the cast
+    and the key check see it; no bar is lost here for the way its day is written.
+    """
     if symbols is not None:
         bars = bars.where(F.col("symbol").isin(list(symbols)))
+    typed = isinstance(bars.schema["dt"].dataType, (T.DateType, T.TimestampType, T.TimestampNTZType))
+    day = F.col("dt") if typed else F.col("dt").try_cast("date")
     if start is not None:
-        bars = bars.where(F.col("dt") >= _like_dt(bars, start))
+        bars = bars.where(day.isNull() | (day >= F.lit(start)))
     if end is not None:
-        bars = bars.where(F.col("dt") < _like_dt(bars, end))
+        bars = bars.where(day.isNull() | (day < F.lit(end)))
     return bars
 
 
-def _like_dt(bars: DataFrame, day: date):
-    """ISO day text sorts like the day itself, so the limit needs no cast on the scanned column."""
-    return F.lit(day.isoformat() if isinstance(bars.schema["dt"].dataType, T.StringType) else day)
-
-
 def read_bars(
     spark: SparkSession,
     path: str,
@@ -44,6 +45,7 @@ def read_bars(
     start: date | None = None,
     end: date | None = None,
     schema: T.StructType | None = None,
+    landed_since: date | None = None,
 ) -> DataFrame:
     """Landed bars in canonical columns (parquet, orc, csv with header, or json lines).
 
@@ -56,9 +58,30 @@ def read_bars(
         reader = reader.option("mode", "FAILFAST")
     if schema is None and fmt in ("csv", "json"):
         schema = schemas.LANDED
+    loaded = _since(reader.format(fmt), path, landed_since, schema)
+    return in_window(loaded.select(*WANTED), symbols, start, end)
+
+
+# Name of the folder level that says when files landed: <path>/landed=2024-01-30/...
+LANDED_LEVEL = "landed"
+
+
+def _since(
+    reader: DataFrameReader, path: str, landed_since: date | None, schema: T.StructType | None = None
+) -> DataFrame:
+    """What has landed from a day on, or everything.
+
+    Where files lie in a folder per landing day the others are not listed as input; elsewhere files that were
+    last modified before are left out.
+    """
     if schema is not None:
         reader = reader.schema(schema)
-    return in_window(reader.format(fmt).load(path).select(*WANTED), symbols, start, end)
+    rows = reader.load(path)
+    if landed_since is None:
+        return rows
+    if LANDED_LEVEL in rows.columns:
+        return rows.where(F.col(LANDED_LEVEL) >= F.lit(landed_since))
+    return reader.option("modifiedAfter", f"{landed_since.isoformat()}T00:00:00").load(path)
 
 
 # --- frames whose headers are loose ------------------------------------------------------------
@@ -91,10 +114,15 @@ def normalize_frame(frame: DataFrame, symbol: str | None = None) -> DataFrame:
     if "dt" not in names:
         names[0] = "dt"
     out = frame.select(*(source.alias(name) for name, (_, source) in zip(names, columns)))
-    out = out.withColumn("dt", F.date_format(F.col("dt").cast("timestamp_ntz"), "yyyy-MM-dd"))
+    out = out.withColumn("dt", _day_text(F.col("dt")))
     return out if symbol is None else out.withColumn("symbol", F.lit(symbol))
 
 
+def _day_text(day: Column) -> Column:
+    """``yyyy-MM-dd``; what is no day stays as it is, for the cast to refuse."""
+    return F.coalesce(F.date_format(day.try_cast("timestamp_ntz"), "yyyy-MM-dd"), day.cast("string"))
+
+
 def missing_columns(frame: DataFrame) -> list[str]:
     return [name for name in schemas.VALUE_COLUMNS if name not in frame.columns]
 
@@ -117,17 +145,23 @@ def frames_as_bars(frames: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def no_bars(spark: SparkSession) -> DataFrame:
+    """What ``frames_as_bars`` gives for no frames at all."""
+    columns = ", ".join(f"{name} string" for name in ("dt", *schemas.VALUE_COLUMNS, "symbol"))
+    return spark.createDataFrame([], f"{columns}, absent array<string>")
+
+
 # --- records whose headers are loose -----------------------------------------------------------
 
 
-def read_records(spark: SparkSession, path: str) -> DataFrame:
+def read_records(spark: SparkSession, path: str, landed_since: date | None = None) -> DataFrame:
     """JSON lines with any header spelling: (symbol, record), a record being a map of texts.
 
     All symbols are read in one scan, whatever shape each one's records have.
     """
     record = F.from_json("value", "map<string,string>", {"mode": "FAILFAST"})
     record = F.transform_keys(record, lambda key, _: F.lower(_first_level_column(key)))
-    lines = spark.read.text(path).select(record.alias("record"))
+    lines = _since(spark.read.format("text"), path, landed_since).select(record.alias("record"))
     return lines.select(clean_symbol(F.col("record")["symbol"]).alias("symbol"), "record")
 
 
@@ -146,7 +180,7 @@ def normalize_records(records: DataFrame, with_absent: bool = False) -> DataFram
     day = F.coalesce(record["dt"], record["date"], F.map_values(record)[0])
     absent = F.array_except(_required(), F.map_keys("record"))
     return records.select(
-        F.date_format(day.cast("timestamp_ntz"), "yyyy-MM-dd").alias("dt"),
+        _day_text(day).alias("dt"),
         *(record[name].alias(name) for name in schemas.VALUE_COLUMNS),
         "symbol",
         *([absent.alias("absent")] if with_absent else []),
@@ -195,6 +229,26 @@ def complete_symbols(bars: DataFrame, outcomes: DataFrame) -> DataFrame:
 # --- cast ---------------------------------------------------------------------------------------
 
 
+def fitting(bars: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Leniently cast bars that can be stored, and per symbol an outcome that counts the others.
+
+    A bar without a symbol, a readable day or a volume is rejected; other values that do not fit become missing.
+    """
+    cast = cast_bars(bars, lenient=True)
+    whole = F.col("symbol").isNotNull() & F.col("dt").isNotNull() & F.col("volume").isNotNull()
+    rejected = cast.where(~whole).groupBy(F.coalesce("symbol", F.lit("")).alias("symbol")).agg(
+        F.count(F.lit(1)).alias("n_rows")
+    )
+    rejected = rejected.select(
+        "symbol",
+        F.lit("cast").alias("stage"),
+        F.lit("rejected").alias("status"),
+        "n_rows",
+        F.concat(F.lit("rows without a readable day or volume: "), F.col("n_rows").cast("string")).alias("message"),
+    )
+    return cast.where(whole), rejected
+
+
 def cast_bars(bars: DataFrame, lenient: bool = False, keep: Sequence[str] = ()) -> DataFrame:
     """Typed columns in table order, then those of ``keep`` as they are.
 

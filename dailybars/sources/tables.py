@@ -2,40 +2,36 @@
 
 Parquet tables in Spark have no MERGE or DELETE and cannot be overwritten while they are read. So a
 change computes the new rows as a DataFrame, writes them into a new folder with Spark's own writer,
-and then writes one small version file that names the folders which make up the table. A reader
-takes the newest version file and sees all of a change or none of it; a job that fails before that
-last write changes nothing, and running it again is safe.
-
-Bars, summary, forecasts and history are split by month, not by symbol: a daily run restates a few recent
-months of every symbol, so it rewrites those months and leaves the rest of the history alone, and
-the number of folders follows the calendar however many symbols there are. Within a month the rows
-are range-partitioned and sorted by symbol, which lets parquet statistics skip files and row groups
-in a one-symbol read, and gives a symbol with very many rows more than one file.
+and then publishes one small version file that names the folders which make up the table. A reader
+takes the newest version and sees all of a change or none of it. An attempt takes a version number
+only in its last step, by a rename that does not overwrite: a job that fails before changes nothing
+and leaves no number taken, and of two writers one is refused.
+
+Bars, summary, forecasts, history and the final table are split by month, not by symbol: a daily run restates
+a few recent months of every symbol, so it rewrites those months and leaves the rest of the history
+alone, and the number of folders follows the calendar however many symbols there are. Rows are
+computed once and dealt by month and symbol bucket; adaptive execution joins the small pieces and
+splits the large ones, so a month has few files, each sorted by symbol.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from datetime import date
 
-import pyarrow as pa
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dailybars import schemas
 from dailybars.operators.merge import duplicate_keys, latest_per_key, merge_rows, without
+from dailybars.sources.files import Files
 
-_VERSION = T.StructType(
-    [
-        T.StructField("version", T.LongType()),
-        T.StructField("months", T.ArrayType(T.StringType())),
-        T.StructField("folders", T.ArrayType(T.StringType())),
-    ]
-)
+# Pieces a month can be dealt into before adaptive execution joins or splits them.
+_BUCKETS = 16
 
 
 class DuplicateKeys(ValueError):
@@ -66,8 +62,9 @@ TABLES = {
         Table("raw_bars", schemas.RAW_BARS, ("symbol", "dt"), "dt"),
         Table("models", schemas.MODELS, ("symbol",), None),
         Table("forecasts", schemas.FORECASTS, ("symbol", "prediction_for"), "prediction_for"),
-        Table("final", schemas.FINAL, ("symbol", "dt", "source"), None),
+        Table("final", schemas.FINAL, ("symbol", "dt", "source"), "dt"),
         Table("stock_summary", schemas.STOCK_SUMMARY, ("symbol", "dt"), "dt"),
+        Table("summary_tail", schemas.SUMMARY_TAIL, ("symbol", "dt"), None),
         Table("snapshot", schemas.SNAPSHOT, ("symbol", "dt", "scd_id"), "dt"),
         Table("etl_outcomes", schemas.OUTCOMES, ("symbol", "stage"), None),
         Table("forecast_outcomes", schemas.OUTCOMES, ("symbol", "stage"), None),
@@ -81,6 +78,7 @@ class Version:
 
     number: int
     months: dict[str, str]
+    published: bool = True
 
     def only(self, months: set[str]) -> dict[str, str]:
         return {month: folder for month, folder in self.months.items() if month in months}
@@ -97,17 +95,27 @@ class TableStore:
         self.spark = spark
         self.root = root.rstrip("/")
         self.schema_of = schema_of or {}
+        self.files = Files(spark)
+        self.followers: list[Callable[[str], None]] = []  # called with the name of each table that changed
 
     # --- reading --------------------------------------------------------------------------------
 
+    def folders(self, name: str) -> dict[str, str]:
+        """Full paths of the folders of the newest version, by month."""
+        return {month: f"{self._folder(name)}/{folder}" for month, folder in self._newest(name).months.items()}
+
+    def empty_folder(self, name: str) -> str:
+        """A place without data files, for a table that has none."""
+        return f"{self._folder(name)}/nothing"
+
     def ensure(self, names: Iterable[str] = tuple(TABLES)) -> None:
         """Create the tables that do not exist yet, empty."""
         for name in names:
-            if self._latest(name) is None:
-                self._publish(name, Version(0, {}))
+            if not self._newest(name).published:
+                self._publish(name, Version(1, {}))
 
     def exists(self, name: str) -> bool:
-        return self._latest(name) is not None
+        return self._newest(name).published
 
     def read(self, name: str, since: date | None = None, until: date | None = None) -> DataFrame:
         """The newest version; with limits, rows filed in [since, until], other months unopened."""
@@ -136,23 +144,24 @@ class TableStore:
 
         The incoming rows are written to a staging folder first, so that they are computed once and
         every later step reads files. More than one row per key is refused unless ``order_by``
-        names the column whose greatest value wins.
+        names the column whose greatest value wins; rows of a key that tie there are refused too.
         """
         table = TABLES[name]
         columns = [*table.schema.fieldNames()]
         if order_by is not None and order_by not in columns:
             columns.append(order_by)
         staged = self.keep(f"{name}/stage", incoming.select(*columns))
-        tally = self._tally(table, staged)
+        tally = self._tally(table, staged, order_by)
         if not tally.n_rows:
             return 0
         if tally.without_key:
             raise MissingKeys(f"{tally.without_key} keys of {name} have no value in {table.keys}")
+        if tally.repeated:
+            keys = table.keys if order_by is None else (*table.keys, order_by)
+            sample = [tuple(row)[:-1] for row in duplicate_keys(staged, keys).limit(3).collect()]
+            raise DuplicateKeys(f"{tally.repeated} keys of {name} occur more than once, e.g. {sample}")
         if order_by is not None:
             staged = latest_per_key(staged, order_by, table.keys)
-        elif tally.repeated:
-            sample = [tuple(row)[:-1] for row in duplicate_keys(staged, table.keys).limit(3).collect()]
-            raise DuplicateKeys(f"{tally.repeated} keys of {name} occur more than once, e.g. {sample}")
         rows = staged.select(*table.schema.fieldNames())
         old = self._newest(name)
         if table.month_of is None:
@@ -160,7 +169,7 @@ class TableStore:
         else:
             touched = set(tally.months)
             merged = merge_rows(self._open(table, old.only(touched)), rows, table.keys)
-            self._write(table, old, merged, touched, all_present=True)
+            self._write(table, old, merged, touched)
         return tally.n_rows
 
     def overwrite(self, name: str, rows: DataFrame) -> None:
@@ -190,50 +199,80 @@ class TableStore:
         if touched:
             self._write(table, old, without(self._open(table, old.only(touched)), predicate), touched)
 
+    def replace_symbols(self, name: str, symbols: Iterable[str] | None, rows: DataFrame) -> None:
+        """All rows of these symbols (``None``: of all) give way to the new ones.
+
+        Only months that have or had a row of theirs are rewritten; other symbols' rows there are carried over.
+        """
+        if symbols is None:
+            self.overwrite(name, rows)
+            return
+        table, old = TABLES[name], self._newest(name)
+        own = F.col("symbol").isin(list(symbols))
+        rows = self.keep(f"{name}/stage", rows.select(*table.schema.fieldNames()))
+        month = _month(table.month_of).alias("month")
+        before = self._open(table, old.months).where(own).select(month)
+        touched = {row.month for row in before.unionByName(rows.select(month)).distinct().collect()}
+        if touched:
+            kept = self._open(table, old.only(touched)).where(~own)
+            self._write(table, old, kept.unionByName(rows), touched)
+
     def keep(self, name: str, rows: DataFrame) -> DataFrame:
         """Write an intermediate result and read it back, so that later steps do not compute it again.
 
-        The next run overwrites it.
+        Each call has a folder of its own, which no other writer can disturb; ``vacuum`` removes them.
         """
-        path = self._folder(name)
-        rows.write.mode("overwrite").parquet(path)
+        path = f"{self._folder(name)}/{uuid.uuid4().hex}"
+        rows.write.parquet(path)
         return self.spark.read.schema(rows.schema).parquet(path)
 
+    def vacuum(self, name: str, versions: int = 1) -> int:
+        """Remove all but the newest versions of a table, the folders none of them uses, and intermediate results.
+
+        Returns the number of things removed. Not to be called while the table is read or written.
+        """
+        root = self._folder(name)
+        kept = self._numbers(name)[-versions:]
+        used = {f.split("/")[1] for number in kept for f in self._version(name, number).months.values()}
+        stale = [f"versions/{x}" for x in self.files.names(f"{root}/versions") if x not in {f"{n:09d}" for n in kept}]
+        stale += [f"data/{x}" for x in self.files.names(f"{root}/data") if x not in used]
+        stale += [x for x in self.files.names(root) if x not in ("versions", "data")]
+        for path in stale:
+            self.files.delete(f"{root}/{path}")
+        return len(stale)
+
     # --- folders and versions -------------------------------------------------------------------
 
     def _folder(self, name: str) -> str:
         schema = self.schema_of.get(name.split("/")[0])
         return f"{self.root}/{schema}/{name}" if schema else f"{self.root}/{name}"
 
-    def _latest(self, name: str) -> Version | None:
-        """The newest version: older files are listed, not opened. Its size follows the calendar."""
-        reader = self.spark.read.schema(_VERSION)
-        versions = f"{self._folder(name)}/versions"
-        try:
-            files = reader.option("recursiveFileLookup", True).json(versions).inputFiles()
-        except AnalysisException as error:
-            if error.getCondition() == "PATH_NOT_FOUND":
-                return None
-            raise
-        if not files:
+    def _numbers(self, name: str) -> list[int]:
+        """All version numbers that are taken, whether their file is there or not."""
+        return [int(x) for x in self.files.names(f"{self._folder(name)}/versions") if x.isdigit()]
+
+    def _version(self, name: str, number: int) -> Version | None:
+        path = f"{self._folder(name)}/versions/{number:09d}/content"
+        if not self.files.exists(path):
             return None
-        newest = max(file.split("/")[-2] for file in files)
-        row = reader.json(f"{versions}/{newest}").first()
-        return Version(row.version, dict(zip(row.months, row.folders)))
+        return Version(number, json.loads(self.files.read(path))["months"])
 
     def _newest(self, name: str) -> Version:
-        return self._latest(name) or Version(0, {})
+        """The newest version that is whole. One listing and one small file, no Spark job."""
+        numbers = self._numbers(name)
+        for number in reversed(numbers):
+            found = self._version(name, number)
+            if found is not None:
+                # The next number follows every taken one, so an unfinished attempt blocks nobody.
+                return Version(numbers[-1], found.months)
+        return Version(numbers[-1] if numbers else 0, {}, published=False)
 
     def _publish(self, name: str, version: Version) -> None:
-        """One file, written by one task; refused if another writer took the version number."""
-        months = sorted(version.months)
-        row = {
-            "version": [version.number],
-            "months": pa.array([months], pa.list_(pa.string())),
-            "folders": pa.array([[version.months[month] for month in months]], pa.list_(pa.string())),
-        }
-        path = f"{self._folder(name)}/versions/{version.number:09d}"
-        self.spark.createDataFrame(pa.table(row)).coalesce(1).write.mode("errorifexists").json(path)
+        """Refused with ``TakenName`` if another writer took the version number."""
+        text = json.dumps({"token": uuid.uuid4().hex, "months": version.months})
+        self.files.publish(f"{self._folder(name)}/versions", f"{version.number:09d}", text)
+        for follow in self.followers:
+            follow(name)
 
     def _open(self, table: Table, months: dict[str, str]) -> DataFrame:
         if not months:
@@ -243,31 +282,34 @@ class TableStore:
         paths = [f"{self._folder(table.name)}/{months[month]}" for month in sorted(months)]
         return self.spark.read.schema(table.schema).parquet(*paths).select(*table.schema.fieldNames())
 
-    def _tally(self, table: Table, staged: DataFrame) -> Row:
-        """Row count, bad keys and months of the staged rows in one job over the key columns."""
+    def _tally(self, table: Table, staged: DataFrame, order_by: str | None = None) -> Row:
+        """Row count, bad keys and months of the staged rows in one job over the key columns.
+
+        With an order only rows that share the greatest value of a key count as repeated.
+        """
         month = F.lit(None).cast("string") if table.month_of is None else _month(table.month_of)
         without_key = F.lit(False)
         for key in table.keys:
             without_key = without_key | F.col(key).isNull()
-        per_key = staged.groupBy(*table.keys).agg(F.count(F.lit(1)).alias("n"))
+        if order_by is None:
+            per_key = staged.groupBy(*table.keys).agg(F.count(F.lit(1)).alias("n"))
+            per_key = per_key.withColumn("at_top", F.col("n"))
+        else:
+            ties = staged.groupBy(*table.keys, order_by).agg(F.count(F.lit(1)).alias("n"))
+            per_key = ties.groupBy(*table.keys).agg(
+                F.max_by("n", order_by).alias("at_top"), F.sum("n").alias("n")
+            )
         return per_key.agg(
             F.sum("n").alias("n_rows"),
             F.count_if(without_key).alias("without_key"),
-            F.count_if(F.col("n") > 1).alias("repeated"),
+            F.count_if(F.col("at_top") > 1).alias("repeated"),
             F.collect_set(month).alias("months"),
         ).first()
 
-    def _write(
-        self,
-        table: Table,
-        old: Version,
-        rows: DataFrame,
-        touched: set[str] = frozenset(),
-        all_present: bool = False,
-    ) -> None:
+    def _write(self, table: Table, old: Version, rows: DataFrame, touched: set[str] = frozenset()) -> None:
         """Write the rows as a new version that keeps the folders of the months not touched.
 
-        ``all_present`` says that every touched month has rows, which saves looking.
+        The rows are evaluated once: what was written is seen from the folders, not from another read.
         """
         number = old.number + 1
         folder = f"data/{number:09d}-{uuid.uuid4().hex[:8]}"  # no other attempt writes there
@@ -277,17 +319,16 @@ class TableStore:
             rows.write.parquet(path)
             self._publish(table.name, Version(number, {"": folder}))
             return
+        bucket = F.pmod(F.xxhash64("symbol"), F.lit(_BUCKETS))
         (
-            rows.withColumn("month", _month(table.month_of))
-            .repartitionByRange("month", "symbol")
+            rows.withColumns({"month": _month(table.month_of), "bucket": bucket})
+            .hint("rebalance", "month", "bucket")
+            .drop("bucket")
             .sortWithinPartitions("month", "symbol", table.month_of)
             .write.partitionBy("month")
             .parquet(path)
         )
-        present = touched
-        if not all_present:
-            written = self.spark.read.schema(table.stored_schema).parquet(path)
-            present = {row.month for row in written.select("month").distinct().collect()}
+        present = {name.split("=", 1)[1] for name in self.files.names(path) if name.startswith("month=")}
         kept = {month: f for month, f in old.months.items() if month not in touched}
         outside = present & set(kept)
         if outside:

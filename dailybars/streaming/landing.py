@@ -48,7 +48,8 @@ def load_new_files(
 ) -> StreamingQuery:
     """Upsert everything that has landed since the last call, then stop.
 
-    Of several rows for one key in a batch the one that landed last wins.
+    Of several rows for one key in a batch the one that landed last wins; rows of a key that landed together are
+    refused, as a batch load does.
     """
     wanted = None if symbols is None else list(symbols)
 

@@ -106,7 +106,8 @@ def test_late_run_over_a_month_end_keeps_earlier_predictions(store, tmp_path):
     late = Settings(date(2024, 2, 2), symbols=None)
     run_forecast(store, late)
     rows = store.read("forecasts")
-    assert rows.where("prediction_for < DATE '2024-02-02'").count() == 2 * 3
+    assert rows.where("prediction_for < DATE '2024-02-02'").count() == 3
+    assert rows.count() == rows.select("symbol", "prediction_for").distinct().count()
     assert rows.where("prediction_for >= DATE '2024-02-02'").count() == 11
     run_forecast(store, Settings(date(2024, 2, 2), symbols=None, strict_replace=True))
     assert store.read("forecasts").count() == 14
