@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,10 +65,39 @@ def incoming_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     return restated.unionByName(market_bars(spark, sf_dir, start=RESTATED_FROM))
 
 
-def as_landed(bars: DataFrame) -> DataFrame:
+def day_after(bars: DataFrame) -> date:
+    """The run date of a load that takes all bars there are."""
+    last = bars.agg(F.max("dt")).first()[0]
+    return last + timedelta(days=1) if last else EVENTS_AS_OF
+
+
+def with_gaps(bars: DataFrame) -> DataFrame:
+    """Some days without a day, a close or a volume, and some opens of zero, by the day of the month."""
+    day = F.dayofmonth("dt")
+    return bars.select(
+        "symbol",
+        F.when(day % 13 != 7, F.col("dt")).alias("dt"),
+        F.when(day % 5 == 1, F.lit(0.0)).otherwise(F.col("open")).alias("open"),
+        "high",
+        "low",
+        F.when(day % 7 != 3, F.col("close")).alias("close"),
+        F.when(day % 11 != 5, F.col("volume")).alias("volume"),
+    )
+
+
+def listed_later(bars: DataFrame) -> DataFrame:
+    """The bars, a symbol that is listed in the last ten days only, and one with a bar a month."""
+    young = bars.where((F.col("symbol") == "1-URGENT") & (F.col("dt") >= F.lit(ORDERS_AS_OF - timedelta(days=10))))
+    thin = bars.where((F.col("symbol") == "2-HIGH") & (F.dayofmonth("dt") == 15))
+    return bars.unionByName(young.withColumn("symbol", F.lit("YOUNG"))).unionByName(
+        thin.withColumn("symbol", F.lit("THIN"))
+    )
+
+
+def as_landed(bars: DataFrame, day_format: str = "yyyy-MM-dd") -> DataFrame:
     """Bars in the columns of a landed file."""
     return bars.select(
-        F.date_format("dt", "yyyy-MM-dd").alias("dt"),
+        F.date_format("dt", day_format).alias("dt"),
         *schemas.PRICE_COLUMNS,
         F.col("volume").cast("double").alias("volume"),
         "symbol",

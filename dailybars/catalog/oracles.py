@@ -24,6 +24,18 @@ USR = _events("user_id")
 ORD = _bars("o_orderpriority", "o_orderdate", "o_totalprice", "o_orderkey", "orders")
 MARKET = _events("'market'")
 
+# The day after the last event, as a run that takes all of them derives it.
+AFTER_EVENTS = "(SELECT max(CAST(ts AS DATE)) + 1 FROM events)"
+
+
+def _gaps(bars: str) -> str:
+    """Some days without a day, a close or a volume, and some opens of zero."""
+    return f"""SELECT symbol, CASE WHEN day(dt) % 13 <> 7 THEN dt END AS dt,
+  CASE WHEN day(dt) % 5 = 1 THEN 0 ELSE open END AS open, high, low,
+  CASE WHEN day(dt) % 7 <> 3 THEN close END AS close, CASE WHEN day(dt) % 11 <> 5 THEN volume END AS volume
+FROM ({bars})"""
+
+
 BARS = "symbol, CAST(dt AS VARCHAR) AS dt, open, high, low, close, volume"
 
 EARLIER = f"SELECT * FROM ({EV}) WHERE dt < DATE '2024-01-28'"
@@ -76,7 +88,7 @@ def _fit(bars: str, start: str) -> str:
     """Ordinary least squares from plain sums about the means, and the steps between rows."""
     return f"""
 train AS (SELECT symbol, dt, close, close - lag(close) OVER (PARTITION BY symbol ORDER BY dt) AS step
-  FROM ({bars}) WHERE dt >= DATE '{start}' AND close IS NOT NULL),
+  FROM ({bars}) WHERE dt >= {start} AND close IS NOT NULL),
 firsts AS (SELECT symbol, min(dt) AS first_dt, max(dt) AS last_dt, count(*) AS n, arg_min(close, dt) AS y1,
   arg_max(close, dt) AS yn, stddev_samp(step) AS step_sd, avg(close) AS my FROM train GROUP BY symbol),
 points AS (SELECT t.symbol, t.close AS y, CAST(t.dt - f.first_dt AS DOUBLE) AS x
@@ -118,7 +130,7 @@ def _predictions(digits: int = 6, pred: str = "round(p, {})") -> str:
   CAST(day AS VARCHAR) AS prediction_for, '2024-01-31 06:00:00' AS created_at FROM pred"""
 
 
-EV_START, ORD_START = "2023-08-04", "2001-02-03"
+EV_START, ORD_START = "DATE '2023-08-04'", "DATE '2001-02-03'"
 EV_BEFORE = f"SELECT * FROM ({EV}) WHERE dt < DATE '2024-01-28'"
 EV_FORECAST = f"WITH {_forecast(EV, EV_START)} {_predictions()}"
 EV_EARLIER_FORECAST = f"WITH {_forecast(EV_BEFORE, EV_START)} {_predictions()}"
@@ -126,19 +138,25 @@ REPLACED = f"""SELECT * FROM ({EV_EARLIER_FORECAST}) WHERE prediction_for < '202
 UNION ALL SELECT * FROM ({EV_FORECAST})"""
 
 
-def _final(upper: str = "upper_bound_forecast", lower: str = "lower_bound_forecast", bars: str = EV) -> str:
-    return f"""WITH bars AS ({bars}), {_forecast("SELECT * FROM bars", EV_START)}
+def _final(
+    upper: str = "upper_bound_forecast",
+    lower: str = "lower_bound_forecast",
+    bars: str = EV,
+    as_of: str = "DATE '2024-01-31'",
+) -> str:
+    start = f"{as_of} - 180"
+    return f"""WITH bars AS ({bars}), {_forecast("SELECT * FROM bars", start)}
 SELECT symbol, CAST(dt AS VARCHAR) AS dt, open, high, low, close, CAST(volume AS DOUBLE) AS volume, 'RAW' AS source,
   NULL::DOUBLE AS close_forecast, NULL::DOUBLE AS {upper}, NULL::DOUBLE AS {lower},
   '2024-01-31 06:00:00' AS created_at
-FROM bars WHERE dt >= DATE '{EV_START}'
+FROM bars WHERE dt >= {start}
 UNION ALL
 SELECT symbol, CAST(day AS VARCHAR), NULL, NULL, NULL, NULL, NULL, 'FORECAST', round(p, 6),
   round(p + {Z} * se, 6), round(p - {Z} * se, 6), '2024-01-31 06:00:00'
-FROM pred WHERE day >= DATE '2024-01-31'"""
+FROM pred WHERE day >= {as_of}"""
 
 
-OUTCOMES = f"""WITH {_forecast(USR, "2024-01-28")},
+OUTCOMES = f"""WITH {_forecast(USR, "DATE '2024-01-28'")},
 made AS (SELECT symbol, count(*) AS k FROM pred WHERE day >= DATE '2024-01-31' GROUP BY symbol)
 SELECT symbol, 'train' AS stage, status, n AS n_rows,
   CASE WHEN status = 'ok' THEN 'ok (train_rows=' || n || ')'
@@ -154,26 +172,34 @@ FROM fit LEFT JOIN made USING (symbol)"""
 # --- history ------------------------------------------------------------------------------------
 
 FIRST = _summary(EARLIER)
-SECOND = _summary(
-    f"""SELECT symbol, dt, open, high, low,
-  CASE WHEN symbol = 'view' AND dt = DATE '2024-01-25' THEN close + 1 ELSE close END AS close, volume
+
+
+def _second(by: int) -> str:
+    return _summary(
+        f"""SELECT symbol, dt, open, high, low,
+  CASE WHEN symbol = 'view' AND dt = DATE '2024-01-25' THEN close + {by} ELSE close END AS close, volume
 FROM ({EV}) WHERE symbol <> 'click'"""
-)
+    )
+
+
 RUN = "'2024-01-31 06:00:00'"
 
 
-def _history(check: bool) -> str:
-    """Versions after the second run: kept or closed ones of the first, then the opened ones."""
+def _history(check: bool, by: int = 1) -> str:
+    """Versions after the second run: kept or closed ones of the first, then the opened ones.
+
+    The restated row is the last correction's (``by``); rows that appeared are as the first one opened them.
+    """
     restated = "s.symbol IS NOT NULL AND s.close <> f.close" if check else "FALSE"
     reopened = (
         f"""
 UNION ALL
-SELECT s.*, md5(s.symbol || s.dt || '|' || {RUN}), CAST(s.dt AS VARCHAR), {RUN}, NULL::VARCHAR
-FROM s JOIN f ON s.symbol = f.symbol AND s.dt = f.dt WHERE s.close <> f.close"""
+SELECT c.*, md5(c.symbol || c.dt || '|' || {RUN}), CAST(c.dt AS VARCHAR), {RUN}, NULL::VARCHAR
+FROM c JOIN f ON c.symbol = f.symbol AND c.dt = f.dt WHERE c.close <> f.close"""
         if check
         else ""
     )
-    return f"""WITH f AS ({FIRST}), s AS ({SECOND}), versions AS (
+    return f"""WITH f AS ({FIRST}), s AS ({_second(1)}), c AS ({_second(by)}), versions AS (
 SELECT f.*, md5(f.symbol || f.dt || '|' || f.dt) AS scd_id, CAST(f.dt AS VARCHAR) AS updated_at,
   CAST(CAST(f.dt AS TIMESTAMP) AS VARCHAR) AS valid_from,
   CASE WHEN s.symbol IS NULL OR ({restated}) THEN {RUN} END AS valid_to
@@ -222,14 +248,15 @@ UNION ALL SELECT 'forecasts', 0 UNION ALL SELECT 'final', 0""",
     "upsert_bars": UPSERTED,
     "upsert_idempotent": UPSERTED,
     "upsert_orders": f"""SELECT symbol, CAST(dt AS VARCHAR) AS dt, open, high, low, close,
-  CASE WHEN dt >= DATE '{ORD_START}' THEN volume + 1 ELSE volume END AS volume FROM ({ORD})""",
+  CASE WHEN dt >= {ORD_START} THEN volume + 1 ELSE volume END AS volume FROM ({ORD})""",
     "load_counts": f"""SELECT (SELECT count(*) FROM ({EARLIER})) + (SELECT count(*) FROM ({INCOMING})) AS loaded_rows,
   (SELECT count(*) FROM (SELECT symbol, dt FROM ({EARLIER}) UNION SELECT symbol, dt FROM ({INCOMING})))
   AS stored_rows""",
     "materialize_table": _summary_shown(USR),
     "delete_bars": f"SELECT {BARS} FROM ({EARLIER})",
-    "stg_bars": f"SELECT {BARS} FROM ({ORD}) WHERE dt IS NOT NULL AND close IS NOT NULL",
-    "lookback_bars": f"SELECT {BARS} FROM ({ORD}) WHERE dt >= DATE '{ORD_START}'",
+    "stg_bars": f"""SELECT symbol, CAST(dt AS VARCHAR) AS dt, open, high, low, close, CAST(volume AS DOUBLE) AS volume
+FROM ({_gaps(ORD)}) WHERE dt IS NOT NULL AND close IS NOT NULL""",
+    "lookback_bars": f"SELECT {BARS} FROM ({ORD}) WHERE dt >= {ORD_START}",
     "daily_range": _indicator("daily_range"),
     "daily_return_pct": _indicator("daily_return_pct"),
     "ma_7_day": _indicator("round(ma_7_day, 6) AS ma_7_day"),
@@ -250,8 +277,8 @@ FROM ({_summary(USR)}) GROUP BY symbol""",
   (PARTITION BY symbol ORDER BY dt ROWS BETWEEN 29 PRECEDING AND CURRENT ROW), 6) AS volatility_30_day
 FROM ({_summary(ORD)})""",
     "train_view": f"""SELECT symbol, CAST(CAST(dt AS TIMESTAMP) AS VARCHAR) AS ts, close
-FROM ({ORD}) WHERE dt >= DATE '{ORD_START}' AND close IS NOT NULL""",
-    "train_counts": f"SELECT symbol, count(*) AS train_rows FROM ({USR}) WHERE dt >= DATE '{EV_START}' GROUP BY symbol",
+FROM ({ORD}) WHERE dt >= {ORD_START} AND close IS NOT NULL""",
+    "train_counts": f"SELECT symbol, count(*) AS train_rows FROM ({USR}) WHERE dt >= {EV_START} GROUP BY symbol",
     "model_params": f"""WITH {_fit(EV, EV_START).strip()}
 SELECT symbol, n AS train_rows, CAST(first_dt AS VARCHAR) AS first_dt, CAST(last_dt AS VARCHAR) AS last_dt,
   y1 AS first_close, yn AS last_close, status, round(b, 4) AS slope, round(a, 4) AS intercept,
@@ -268,20 +295,21 @@ SELECT symbol, n AS train_rows, CAST(first_dt AS VARCHAR) AS first_dt, CAST(last
 WHERE prediction_for >= '2024-01-31' GROUP BY symbol""",
     "forecast_outcomes": OUTCOMES,
     "forecast_replace": REPLACED,
-    "final_union": _final(),
+    "final_union": _final(bars=_gaps(EV)),
     "final_union_legacy": _final("open_bound_forecast", "lowerbound_forecast"),
     "actual_vs_predicted": f"SELECT * FROM ({_final()}) ORDER BY dt DESC",
     "check_not_null": f"""SELECT 'not_null' AS check_name, column_name, failures FROM (
   SELECT unnest(['symbol', 'dt', 'close', 'volume', 'daily_return_pct']) AS column_name,
     unnest([count(*) FILTER (symbol IS NULL), count(*) FILTER (dt IS NULL), count(*) FILTER (close IS NULL),
       count(*) FILTER (volume IS NULL), count(*) FILTER (daily_return_pct IS NULL)]) AS failures
-  FROM ({_summary(USR)}))""",
+  FROM ({_summary(_gaps(USR))}))""",
     "check_accepted_values": f"""SELECT symbol AS value, count(*) AS n_records FROM ({_summary(EV)})
 WHERE symbol NOT IN ('click', 'view') GROUP BY symbol""",
     "check_unique_key": """SELECT l_orderkey, l_linenumber, count(*) AS n_rows FROM lineitem
 GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
-    "check_summary": f"""WITH rows_twice AS (SELECT * FROM ({EV}) UNION ALL
-  SELECT * FROM ({EV}) WHERE dt >= DATE '2024-01-28')
+    "check_summary": f"""WITH twice AS (SELECT * FROM ({EV}) UNION ALL
+  SELECT * FROM ({EV}) WHERE dt >= DATE '2024-01-28'),
+rows_twice AS (SELECT * FROM ({_gaps("SELECT * FROM twice")}) WHERE dt IS NOT NULL AND close IS NOT NULL)
 SELECT 'not_null' AS check_name, 'symbol' AS column_name, count(*) FILTER (symbol IS NULL) AS failures FROM rows_twice
 UNION ALL SELECT 'not_null', 'dt', count(*) FILTER (dt IS NULL) FROM rows_twice
 UNION ALL SELECT 'not_null', 'close', count(*) FILTER (close IS NULL) FROM rows_twice
@@ -293,17 +321,22 @@ UNION ALL SELECT 'unique', 'symbol, dt', count(*) FROM (
     "snapshot_initial": _first_history(ORD),
     "snapshot_second_run": _history(check=False),
     "snapshot_second_run_check": _history(check=True),
+    "snapshot_two_corrections": _history(check=True, by=2),
     "snapshot_hard_delete": f"SELECT * FROM ({_history(check=False)}) WHERE valid_to IS NOT NULL",
     "snapshot_as_of": f"""SELECT * FROM ({_history(check=True)})
 WHERE valid_from <= '2024-01-29 12:00:00' AND (valid_to IS NULL OR valid_to > '2024-01-29 12:00:00')""",
     "etl_run": f"SELECT {BARS} FROM ({_UPPER}) WHERE symbol <> 'ERROR'",
     "forecast_run": REPLACED,
+    "forecast_rerun_gap": EV_EARLIER_FORECAST,
     "final_run": _final(),
     "models_run": _first_history(EV),
     "summary_refreshed": _summary_shown(
         f"""SELECT symbol, dt, open, high, low,
-  CASE WHEN dt >= DATE '{ORD_START}' THEN close + 1 ELSE close END AS close, volume FROM ({ORD})"""
+  CASE WHEN dt >= {ORD_START} THEN close + 1 ELSE close END AS close, volume
+FROM (WITH o AS ({ORD}) SELECT * FROM o
+  UNION ALL SELECT 'YOUNG', * EXCLUDE (symbol) FROM o WHERE symbol = '1-URGENT' AND dt >= DATE '2001-07-23'
+  UNION ALL SELECT 'THIN', * EXCLUDE (symbol) FROM o WHERE symbol = '2-HIGH' AND day(dt) = 15)"""
     ),
-    "full_run": _final(bars=_UPPER),
+    "full_run": _final(bars=_UPPER, as_of=AFTER_EVENTS),
     "stream_upsert": UPSERTED,
 }

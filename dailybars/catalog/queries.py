@@ -74,13 +74,15 @@ def bars_users_daily(spark, sf_dir):
 
 
 def _ingest(spark, sf_dir, fmt):
+    """Csv days are written without leading zeros, which must not lose a row."""
     path = work_dir(spark, "landing")
-    writer = data.as_landed(data.order_bars(spark, sf_dir)).write
+    orders = data.order_bars(spark, sf_dir)
+    writer = data.as_landed(orders, "yyyy-M-d" if fmt == "csv" else "yyyy-MM-dd").write
     if fmt == "csv":
         writer = writer.option("header", True)
     writer.format(fmt).save(path)
     settings = data.run_settings(
-        data.ORDERS_AS_OF, symbols=(*data.ORDER_SYMBOLS, "ABSENT"), ingest_lookback_days=3650
+        data.day_after(orders), symbols=(*data.ORDER_SYMBOLS, "ABSENT"), ingest_lookback_days=36500
     )
     bars = landed.read_bars(
         spark, path, fmt, settings.symbols, settings.ingest_start, settings.as_of
@@ -135,8 +137,12 @@ def outcomes_missing_cols(spark, sf_dir):
 
 @query
 def cast_bars(spark, sf_dir):
+    """Texts that are unusual but valid: days without leading zeros, blanks around numbers, decimals in volumes."""
     text = data.order_bars(spark, sf_dir).select(
-        *(F.col(name).cast("string").alias(name) for name in schemas.BAR_COLUMNS)
+        "symbol",
+        F.date_format("dt", "yyyy-M-d").alias("dt"),
+        *(F.concat(F.lit(" "), F.col(name).cast("string"), F.lit(" ")).alias(name) for name in schemas.PRICE_COLUMNS),
+        F.concat(F.col("volume").cast("string"), F.lit(".9999999")).alias("volume"),
     )
     return shown(landed.cast_bars(text))
 
@@ -244,7 +250,8 @@ def delete_bars(spark, sf_dir):
 
 @query
 def stg_bars(spark, sf_dir):
-    return shown(ops.stage_bars(data.order_bars(spark, sf_dir)))
+    staged = ops.stage_bars(data.with_gaps(data.order_bars(spark, sf_dir)))
+    return shown(staged.withColumn("volume", F.col("volume").cast("double")))
 
 
 @query
@@ -422,10 +429,13 @@ def forecast_replace(spark, sf_dir):
     return shown(replace_forecasts(existing, fresh, data.EVENTS_AS_OF), PREDICTIONS)
 
 
-def _final(spark, sf_dir):
+def _final(spark, sf_dir, gaps=False):
+    bars = data.event_bars(spark, sf_dir)
+    bars = data.with_gaps(bars) if gaps else bars
+    fitted = fc.fit(_train(bars, data.EVENTS_AS_OF), with_steps=False)
     return fc.final_table(
-        data.event_bars(spark, sf_dir),
-        _event_forecast(spark, sf_dir),
+        bars,
+        fc.forecast(fitted, HORIZON, INTERVAL, data.RUN_TS),
         data.EVENTS_AS_OF,
         LOOKBACK,
         data.RUN_TS,
@@ -439,7 +449,8 @@ def _shown_final(rows, rounded=FINAL_PREDICTIONS):
 
 @query
 def final_union(spark, sf_dir):
-    return _shown_final(_final(spark, sf_dir))
+    """Bars without a close are kept, and not trained on."""
+    return _shown_final(_final(spark, sf_dir, gaps=True))
 
 
 @query
@@ -458,7 +469,7 @@ def actual_vs_predicted(spark, sf_dir):
 
 @query
 def check_not_null(spark, sf_dir):
-    rows = ops.summary(data.user_bars(spark, sf_dir))
+    rows = ops.summary(data.with_gaps(data.user_bars(spark, sf_dir)))
     return checks.not_null(rows, (*checks.SUMMARY_NOT_NULL, "daily_return_pct"))
 
 
@@ -477,16 +488,16 @@ def check_unique_key(spark, sf_dir):
 def check_summary(spark, sf_dir):
     bars = data.event_bars(spark, sf_dir)
     twice = bars.unionByName(data.event_bars(spark, sf_dir, start=data.FIRST_AS_OF))
-    return checks.check_summary(ops.summary(twice), ("click", "view"))
+    return checks.check_summary(ops.summary(data.with_gaps(twice)), ("click", "view"))
 
 
-def _second_summary(spark, sf_dir):
+def _second_summary(spark, sf_dir, by=1):
     """A symbol less, a close restated on one day, and the days after the first run."""
     restated = (F.col("symbol") == "view") & (F.col("dt") == F.lit(data.RESTATED_FROM))
     bars = (
         data.event_bars(spark, sf_dir)
         .where(F.col("symbol") != "click")
-        .withColumn("close", F.when(restated, F.col("close") + 1).otherwise(F.col("close")))
+        .withColumn("close", F.when(restated, F.col("close") + by).otherwise(F.col("close")))
     )
     return ops.summary(bars)
 
@@ -523,6 +534,18 @@ def snapshot_hard_delete(spark, sf_dir):
     return shown(closed, AVERAGES)
 
 
+@query
+def snapshot_two_corrections(spark, sf_dir):
+    """Two restatements of one close at one run time: the second takes the place of the first."""
+    store = data.new_store(spark)
+    settings = data.run_settings(data.EVENTS_AS_OF, snapshot_strategy="check")
+    store.overwrite("snapshot", history.first_version(ops.summary(data.earlier_bars(spark, sf_dir))))
+    for by in (1, 2):
+        store.overwrite("stock_summary", _second_summary(spark, sf_dir, by))
+        models.take_snapshot(store, settings)
+    return shown(store.read("snapshot"), AVERAGES)
+
+
 @query
 def snapshot_as_of(spark, sf_dir):
     second = _second_history(spark, sf_dir, "check")
@@ -536,7 +559,7 @@ def snapshot_as_of(spark, sf_dir):
 def etl_run(spark, sf_dir):
     """Two loads from landed records; one symbol has no volume and stays out."""
     store = data.new_store(spark)
-    for end, as_of in ((data.FIRST_AS_OF, data.FIRST_AS_OF), (None, data.EVENTS_AS_OF)):
+    for end, as_of in ((data.FIRST_AS_OF, data.FIRST_AS_OF), (None, data.day_after(data.event_bars(spark, sf_dir)))):
         path = data.land_records(spark, data.event_bars(spark, sf_dir, end=end), without_volume="error")
         etl.run_etl(store, data.run_settings(as_of), path)
     return shown(store.read("raw_bars"))
@@ -552,6 +575,16 @@ def forecast_run(spark, sf_dir):
     return shown(store.read("forecasts"), PREDICTIONS)
 
 
+@query
+def forecast_rerun_gap(spark, sf_dir):
+    """The last bar lies some days before the run date, and the run is done twice: one row for each key."""
+    store = data.new_store(spark)
+    store.upsert("raw_bars", data.earlier_bars(spark, sf_dir))
+    for _ in range(2):
+        forecasts.run_forecast(store, data.run_settings(data.EVENTS_AS_OF))
+    return shown(store.read("forecasts"), PREDICTIONS)
+
+
 @query
 def final_run(spark, sf_dir):
     store = _stored_events(spark, sf_dir)
@@ -571,11 +604,12 @@ def models_run(spark, sf_dir):
 
 @query
 def summary_refreshed(spark, sf_dir):
-    """The last 180 days restated, and only their months of the summary built again."""
+    """The last 180 days restated, with a new and a thin symbol, and only their months built again."""
     store, settings = data.new_store(spark), data.run_settings(data.ORDERS_AS_OF)
-    store.upsert("raw_bars", data.order_bars(spark, sf_dir))
+    bars = data.listed_later(data.order_bars(spark, sf_dir))
+    store.upsert("raw_bars", bars.where(F.col("symbol") != "YOUNG"))
     models.build_summary(store, settings)
-    revised = data.order_bars(spark, sf_dir, start=settings.ingest_start)
+    revised = bars.where(F.col("dt") >= F.lit(settings.ingest_start))
     store.upsert("raw_bars", revised.withColumn("close", F.col("close") + 1))
     models.refresh_summary(store, settings, settings.ingest_start)
     return shown(store.read("stock_summary"), AVERAGES)
@@ -584,9 +618,10 @@ def summary_refreshed(spark, sf_dir):
 @query
 def full_run(spark, sf_dir):
     """Landed records to forecasts, tested summary and history; the final table."""
-    settings = data.run_settings(data.EVENTS_AS_OF, symbols=tuple(s.upper() for s in data.EVENT_SYMBOLS))
+    bars = data.event_bars(spark, sf_dir)
+    settings = data.run_settings(data.day_after(bars), symbols=data.EVENT_SYMBOLS)
     store = full.store_for(spark, work_dir(spark, "tables"), settings)
-    full.run_all(store, settings, data.land_records(spark, data.event_bars(spark, sf_dir)))
+    full.run_all(store, settings, data.land_records(spark, bars))
     return _shown_final(store.read("final"))
 
 
