@@ -6,10 +6,13 @@ similarity 0.8 miss all tables with a probability under 1 in 10,000, and every c
 
 * Equal sets are one node, so copies never meet in a table.
 * A pair (A_i, B_j) can only be shared if A_i and B_j are; keys shared by no other node make no table rows.
-* In a bucket every node is first compared with one representative. Nodes with verified links to the same node are
-  settled with each other, and only nodes of a bucket that are not are compared further: with another representative
-  while there are many such pairs, and then all of them. No pair that shares a table is left unchecked or implied,
-  and the pairs of a settled group are not listed.
+* Of the nodes that could meet, the shingles that only one of them has are counted. They can be in no intersection, so
+  a node with more than a fifth of them has no link, and two nodes whose other shingles cannot make up 0.8 of their
+  union are no candidates. Documents that merely share a passage end here.
+* In a bucket every node is first compared with one representative. Verified links are contracted, and only nodes of
+  different components in a bucket are compared further: with another representative while there are many such
+  pairs, and then all of them. No pair that shares a table is left unchecked or implied, and the pairs of a settled
+  group are not listed.
 
 Nulls: a null or blank text has an empty set and is linked with nothing; a null doc_id takes part, and is never the
 smallest id (a group of null ids only has a null component_id). Repeated rows are copies of each other and each gets
@@ -113,39 +116,67 @@ def sets_of(texts: DataFrame, size: int) -> DataFrame:
     return texts.mapInArrow(tasks, SETS)
 
 
-def table_rows(nodes: DataFrame) -> DataFrame:
-    """(key, node, n): rows of the tables whose key at least two nodes share."""
-    band = nodes.select("node", "n", F.posexplode("bands").alias("band", "value"))
-    shared = band.groupBy("value").agg(F.count("*").alias("c")).where("c > 1").select("value")
-    met = band.join(shared, "value")
-    sides = met.groupBy("node", "n").agg(
+def shared_bands(rows: DataFrame) -> DataFrame:
+    """Rows (node, band, value) whose value at least two nodes have."""
+    values = rows.groupBy("value").agg(F.count("*").alias("c")).where("c > 1").select("value")
+    return rows.join(values, "value").select("node", "band", "value")
+
+
+def can_meet(bands: DataFrame) -> DataFrame:
+    """Nodes with a band of either collection."""
+    sides = bands.groupBy("node").agg(F.min("band").alias("x"), F.max("band").alias("y"))
+    return sides.where((F.col("x") < BANDS) & (F.col("y") >= BANDS)).select("node")
+
+
+def table_rows(bands: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(key, node, n, own): rows of the tables whose key at least two nodes share. nodes: (node, n, own)."""
+    sides = shared_bands(bands.join(nodes.select("node"), "node")).groupBy("node").agg(
         F.collect_list(F.when(F.col("band") < BANDS, F.col("value"))).alias("a"),
         F.collect_list(F.when(F.col("band") >= BANDS, F.col("value"))).alias("b"),
     )
-    rows = sides.select("node", "n", F.explode("a").alias("x"), "b")
-    rows = rows.select("node", "n", "x", F.explode("b").alias("y"))
-    rows = stored(rows.select(F.xxhash64("x", "y").alias("key"), "node", "n"), "tables")
+    rows = sides.join(nodes, "node").select("node", "n", "own", F.explode("a").alias("x"), "b")
+    rows = rows.select("node", "n", "own", "x", F.explode("b").alias("y"))
+    rows = stored(rows.select(F.xxhash64("x", "y").alias("key"), "node", "n", "own"), "tables")
     keys = rows.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
     return stored(rows.join(keys, "key"), "buckets")
 
 
+def own_shingles(sets: DataFrame) -> DataFrame:
+    """(node, own): how many of its shingles no other of these nodes has; nodes without any are left out."""
+
+    def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            packed = batch.column("shingles").to_pylist()
+            nodes = np.repeat(batch.column("node").to_numpy(), [len(x) // 8 for x in packed])
+            hashes = np.frombuffer(b"".join(packed), np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(hashes), pa.array(nodes, pa.int64())], ["shingle", "node"])
+
+    rows = sets.select("node", "shingles").mapInArrow(tasks, "shingle long, node long")
+    single = rows.groupBy("shingle").agg(F.count("*").alias("c"), F.min("node").alias("node")).where("c = 1")
+    return single.groupBy("node").agg(F.count("*").alias("own"))
+
+
 def _fits(a: str, b: str, percent: int):
-    """The smaller set can be `percent` of the larger."""
-    return F.expr(f"100 * least({a}, {b}) >= {percent} * greatest({a}, {b})")
+    """What is not only one's own can make up `percent` of the union. a, b: prefixes of the columns n and own."""
+    both = f"least({a}n - {a}own, {b}n - {b}own)"
+    return F.expr(f"(100 + {percent}) * {both} >= {percent} * ({a}n + {b}n)")
 
 
 def star_pairs(buckets: DataFrame, turn: int, percent: int) -> DataFrame:
     """(a, b): every node of a bucket with one representative of another component; which one differs by turn."""
-    order = F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "n", "comp")
+    # A node with few shingles of its own has the most links.
+    first = F.col("own") if turn == 0 else F.xxhash64("node", F.lit(turn))
+    order = F.struct(first.alias("first"), "node", "n", "own", "comp")
     chosen = buckets.groupBy("key").agg(F.min(order).alias("r"))
-    pairs = buckets.join(chosen, "key").where("node <> r.node AND comp <> r.comp").where(_fits("n", "r.n", percent))
+    pairs = buckets.join(chosen, "key").where("node <> r.node AND comp <> r.comp").where(_fits("", "r.", percent))
     return pairs.select(F.least("node", "r.node").alias("a"), F.greatest("node", "r.node").alias("b")).distinct()
 
 
 def cross_pairs(buckets: DataFrame, percent: int) -> DataFrame:
     """(a, b): all pairs of a bucket that lie in different components."""
-    other = buckets.select("key", *[F.col(c).alias(f"{c}_") for c in ("node", "n", "comp")])
-    pairs = buckets.join(other, "key").where("node < node_ AND comp <> comp_").where(_fits("n", "n_", percent))
+    other = buckets.select("key", *[F.col(c).alias(f"{c}_") for c in ("node", "n", "own", "comp")])
+    other = other.withColumn("o", F.struct(F.col("n_").alias("n"), F.col("own_").alias("own")))
+    pairs = buckets.join(other, "key").where("node < node_ AND comp <> comp_").where(_fits("", "o.", percent))
     return pairs.select(F.col("node").alias("a"), F.col("node_").alias("b")).distinct()
 
 
@@ -167,23 +198,15 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.select("a", "b", "x", "y").mapInArrow(tasks, "a long, b long")
 
 
-def hubs(links: DataFrame) -> DataFrame:
-    """(node, comp): for each linked node the least node within two links, a valid name of part of its component."""
-    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.min("b").alias("b")).select("a", F.least("a", "b").alias("b"))
-    onward = least.select(F.col("a").alias("b"), F.col("b").alias("comp"))
-    return least.join(onward, "b").select(F.col("a").alias("node"), "comp")
-
-
 def unsettled(buckets: DataFrame, names: DataFrame) -> DataFrame:
-    """Buckets whose nodes have more than one name, each node with its name."""
-    named = buckets.drop("comp").join(names, "node", "left")
+    """Buckets whose nodes are of more than one component, each node with its component."""
+    named = buckets.drop("comp").join(names.withColumnRenamed("root", "comp"), "node", "left")
     named = named.withColumn("comp", F.coalesce("comp", "node"))
     open_keys = named.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y")
     return stored(named.join(open_keys.select("key"), "key"), "unsettled")
 
 
-def links_of(buckets: DataFrame, sets: DataFrame, percent: int, turns: int = 2, few: int = 16) -> DataFrame:
+def links_of(buckets: DataFrame, sets: DataFrame, percent: int, turns: int = 2, few: int = 4) -> DataFrame:
     """Enough verified links (a, b) that every linked pair which shares a table is in one component.
 
     All unsettled pairs are listed once there are at most `few` for each row of the buckets, or after `turns` stars.
@@ -205,7 +228,7 @@ def links_of(buckets: DataFrame, sets: DataFrame, percent: int, turns: int = 2,
         asked = pairs if asked is None else asked.unionByName(pairs)
         if final:
             break
-        rest = unsettled(rest, hubs(links))
+        rest = unsettled(rest, components(links))
     return links
 
 
@@ -218,16 +241,17 @@ def grouped(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFr
     )
     # The number is fixed by writing it.
     nodes = stored(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
-    buckets = table_rows(nodes)
-    wanted = buckets.select("node").distinct().join(nodes.select("set_key", "node", "least_id"), "node")
-    wanted = stored(wanted, "wanted")
+    bands = stored(shared_bands(nodes.select("node", F.posexplode("bands").alias("band", "value"))), "bands")
+    wanted = stored(can_meet(bands).join(nodes.select("set_key", "node", "least_id", "n"), "node"), "wanted")
     chosen = texts.join(
         wanted.select(F.col("least_id").alias("wanted_id")).distinct(), F.expr("doc_id <=> wanted_id"), "left_semi"
     )
     sets = sets_of(chosen.where(r"text RLIKE '[^\\x20\\x09-\\x0D]'"), size)
     sets = sets.join(wanted.select("set_key", "node"), "set_key").dropDuplicates(["set_key"])
     sets = stored(sets.select("node", "shingles"), "sets")
-    links = links_of(buckets, sets, percent)
+    linkable = wanted.select("node", "n").join(own_shingles(sets), "node", "left").fillna({"own": 0})
+    linkable = stored(linkable.where(100 * (F.col("n") - F.col("own")) >= percent * F.col("n")), "linkable")
+    links = links_of(table_rows(bands, linkable), sets, percent)
     named = nodes.select("set_key", "node", "least_id")
     if links is not None:
         named = named.join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
