@@ -112,3 +112,18 @@ def test_unknown_strategy(make_bars):
     rows = summary(make_bars([("A", D1, 1.0)]))
     with pytest.raises(ValueError):
         h.find_changes(h.first_version(rows), rows, "guess")
+
+
+def test_second_correction_at_one_run_time_takes_the_first_ones_place(spark, store, make_bars):
+    from dailybars.operators.bars import summary
+    from dailybars.plans.models import take_snapshot
+    from dailybars.settings import Settings
+
+    settings = Settings(date(2024, 1, 31), symbols=None, snapshot_strategy="check")
+    for close in (1.0, 2.0, 3.0, None, 4.0):
+        rows = [] if close is None else [("A", date(2024, 1, 5), close)]
+        store.overwrite("stock_summary", summary(make_bars(rows)))
+        take_snapshot(store, settings)
+    rows = store.read("snapshot").collect()
+    assert len({r.scd_id for r in rows}) == len(rows) == 2
+    assert [r.close for r in rows if r.valid_to is None] == [4.0]

@@ -8,6 +8,7 @@ from dailybars import schemas
 from dailybars.plans.etl import run_etl
 from dailybars.settings import Settings
 from dailybars.sources import landed
+from dailybars.sources.tables import MissingKeys
 
 AS_OF = date(2024, 1, 31)
 
@@ -165,3 +166,78 @@ def test_empty_frame_stays_empty(spark):
 def test_text_window_compares_like_days(spark):
     frame = spark.createDataFrame([("2024-01-05",), ("2024-01-06",)], "dt string").withColumn("symbol", F.lit("A"))
     assert landed.in_window(frame, None, date(2024, 1, 6), None).count() == 1
+
+
+ODD_DAYS = ["2024-1-16", "soon", "", None]
+
+
+@pytest.mark.parametrize("fmt", ["csv", "json", "parquet", "records", "frames"])
+@pytest.mark.parametrize("bad", ["soon", "volume"])
+def test_what_does_not_fit_fails_the_batch_in_every_format(spark, store, tmp_path, fmt, bad):
+    day = "soon" if bad == "soon" else "2024-01-16"
+    volume = None if bad == "volume" else 10.0
+    rows = [("2024-01-15", 1.0, 2.0, 0.5, 1.5, 10.0, "A"), (day, 1.0, 2.0, 0.5, 1.5, volume, "A")]
+    frame = spark.createDataFrame(rows, schemas.LANDED)
+    landing, path = str(tmp_path / fmt), fmt
+    if fmt == "frames":
+        landing, path = {"A": frame.drop("symbol")}, "records"
+    elif fmt == "records":
+        frame.write.option("ignoreNullFields", False).json(landing)
+    else:
+        frame.write.format(fmt).option("header", True).save(landing)
+    with pytest.raises(Exception, match="cannot cast"):
+        run_etl(store, Settings(AS_OF, symbols=None), landing, path)
+    assert not store.read("raw_bars").count()
+
+
+def test_a_missing_day_is_refused(spark, store, tmp_path):
+    rows = [("2024-01-15", 1.0, 2.0, 0.5, 1.5, 10.0, "A"), (None, 1.0, 2.0, 0.5, 1.5, 10.0, "A")]
+    spark.createDataFrame(rows, schemas.LANDED).write.parquet(str(tmp_path / "p"))
+    with pytest.raises(MissingKeys):
+        run_etl(store, Settings(AS_OF, symbols=None), str(tmp_path / "p"), "parquet")
+    land_path = land(tmp_path, [record("abc"), {**record("abc"), "Date": None}])
+    with pytest.raises(MissingKeys):
+        run_etl(store, Settings(AS_OF, symbols=None), land_path)
+
+
+def test_odd_but_valid_days_are_loaded(spark, store, tmp_path):
+    rows = [(d, 1.0, 2.0, 0.5, 1.5, 10.0, "A") for d in ("2024-1-5", "2024-01-16", "2024-1-31", "2023-2-1")]
+    spark.createDataFrame(rows, schemas.LANDED).write.option("header", True).csv(str(tmp_path / "c"))
+    assert run_etl(store, Settings(AS_OF, symbols=None), str(tmp_path / "c"), "csv").n_rows == 2
+
+
+def test_lenient_load_counts_what_it_leaves_out(spark, store, tmp_path):
+    rows = [(d, 1.0, 2.0, 0.5, float("nan"), 10.0, "A") for d in ("2024-1-16", "soon", None, "2024-01-17")]
+    rows += [("2024-01-18", 1.0, 2.0, 0.5, 1.5, None, "A"), ("2024-01-18", 1.0, 2.0, 0.5, 1.5, 1.0, "B")]
+    spark.createDataFrame(rows, schemas.LANDED).write.parquet(str(tmp_path / "p"))
+    result = run_etl(store, Settings(AS_OF, symbols=None, lenient=True), str(tmp_path / "p"), "parquet")
+    assert result.n_rows == 3
+    outcomes = {(r.symbol, r.stage): (r.status, r.n_rows) for r in result.outcomes.collect()}
+    assert outcomes[("A", "cast")] == ("rejected", 3) and ("B", "cast") not in outcomes
+    assert {(r.symbol, r.close) for r in store.read("raw_bars").collect()} == {("A", None), ("B", 1.5)}
+
+
+def test_text_and_number_volumes_are_cut_alike(spark):
+    good = ("2024-01-05", 1.0, 1.0, 1.0, 1.0)
+    text = spark.createDataFrame([(*good, "12.9999999", "A")], "dt string, open double, high double, low double, close double, volume string, symbol string")
+    number = spark.createDataFrame([(*good, 12.9999999, "A")], schemas.LANDED)
+    assert landed.cast_bars(text).first().volume == landed.cast_bars(number).first().volume == 12
+
+
+def test_frames_without_a_wanted_symbol_are_empty_outcomes(spark, store):
+    result = run_etl(store, Settings(AS_OF, symbols=("ABC",)), {"other": spark.createDataFrame([], "Date string")})
+    assert (result.n_rows, [(r.symbol, r.status) for r in result.outcomes.collect()]) == (0, [("ABC", "empty")])
+
+
+def test_only_new_landing_days_are_opened(spark, store, tmp_path):
+    rows = [(f"2024-01-{d:02d}", 1.0, 2.0, 0.5, 1.5, 10.0, "A", f"2024-01-{d:02d}") for d in (5, 6)]
+    schema = schemas.T.StructType([*schemas.LANDED.fields, schemas.T.StructField("landed", schemas.T.StringType())])
+    path = str(tmp_path / "p")
+    spark.createDataFrame(rows, schema).write.partitionBy("landed").parquet(path)
+    bars = landed.read_bars(spark, path, landed_since=date(2024, 1, 6))
+    text = bars._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(landed" in text
+    assert run_etl(store, Settings(AS_OF, symbols=None), path, "parquet", date(2024, 1, 6)).n_rows == 1
+    plain = land(tmp_path, [record("abc")])
+    assert landed.read_records(spark, plain, date(2100, 1, 1)).count() == 0
+    assert landed.read_records(spark, plain, date(2000, 1, 1)).count() == 1

@@ -8,7 +8,7 @@ from dailybars.operators.checks import CheckFailed
 from dailybars.plans.etl import run_etl
 from dailybars.plans.forecasts import run_forecast
 from dailybars.plans.full import register_symbol_views, run_all, store_for
-from dailybars.plans.models import build_summary, run_models
+from dailybars.plans.models import build_summary, refresh_summary, run_models
 from dailybars.settings import Settings
 from dailybars.sources.tables import TableStore
 
@@ -175,3 +175,86 @@ def test_incremental_run_equals_a_whole_one(spark, tmp_path):
         )
     assert tables[0] == tables[1]
     assert any("YOUNG" in row for row in tables[0][0])
+
+
+def test_names_follow_the_tables(spark, tmp_path):
+    settings = Settings(date(2024, 1, 11), symbols=("AAPL", "O'B"), horizon_days=3, legacy_final=True)
+    store = store_for(spark, str(tmp_path / "tables"), settings)
+    run_all(store, settings, land(tmp_path, ["AAPL", "O'B"], "2024-01-01", 10))
+    register_symbol_views(store, settings)
+
+    def rows(sql):
+        return spark.sql(sql).count()
+
+    assert rows("SELECT * FROM ANALYTICS.STOCK_SUMMARY WHERE symbol = 'AAPL'") == 10
+    assert rows("SELECT * FROM ANALYTICS.AAPL_FINAL") == 13
+    assert rows("SELECT * FROM RAW.RAW_BARS") == rows("SELECT * FROM raw_bars") == 20
+    later = Settings(date(2024, 2, 5), symbols=settings.symbols, horizon_days=3)
+    run_all(store, later, land(tmp_path, ["AAPL", "O'B"], "2024-01-11", 25))
+    assert rows("SELECT * FROM ANALYTICS.STOCK_SUMMARY WHERE symbol = 'AAPL' ORDER BY dt DESC LIMIT 30") == 30
+    assert rows("SELECT * FROM ANALYTICS.AAPL_FORECAST WHERE prediction_for >= DATE '2024-02-05'") == 3
+    assert rows("SELECT * FROM ANALYTICS.O_B") == rows("SELECT * FROM O_B") == 35
+    columns = spark.sql("SELECT * FROM ANALYTICS.AAPL_FINAL ORDER BY dt DESC").columns
+    assert "open_bound_forecast" in columns and "upper_bound_forecast" not in columns
+    assert "month" not in spark.sql("SELECT * FROM raw_bars").columns
+
+
+def test_symbols_that_would_share_a_name_are_refused(store):
+    with pytest.raises(ValueError, match="share the name"):
+        register_symbol_views(store, Settings(date(2024, 1, 31), symbols=("BRK.B", "BRK_B")))
+
+
+def test_given_symbols_are_cleaned(store, tmp_path):
+    settings = Settings(date(2024, 1, 31), symbols=(" a", "b "))
+    assert settings.symbols == ("A", "B")
+    assert run_etl(store, settings, land(tmp_path, ["A", "B", "C"], "2024-01-01", 2)).n_rows == 4
+
+
+def test_odd_closes_give_no_odd_predictions(store, spark, make_bars, daily):
+    bars = daily("NAN", "2024-01-01", [1, 2, float("nan"), 4, 5]) + daily("INF", "2024-01-01", [1, float("inf"), 3, 4])
+    store.upsert("raw_bars", make_bars(bars))
+    outcomes = run_forecast(store, Settings(date(2024, 1, 10), symbols=None))
+    assert {(r.symbol, r.stage): r.status for r in outcomes.collect()} == {
+        ("NAN", "train"): "ok",
+        ("NAN", "forecast"): "ok",
+        ("INF", "train"): "skipped",
+        ("INF", "forecast"): "skipped",
+    }
+    predictions = store.read("forecasts").collect()
+    assert predictions and all(abs(r.close_pred) < 1e6 for r in predictions)
+
+
+def test_new_and_thin_symbols_open_no_older_month(store, make_bars, daily):
+    old = daily("A", "2023-01-01", range(1, 390)) + [("THIN", date(2023, 1, 1) + timedelta(days=40 * i), 5.0 + i) for i in range(9)]
+    store.upsert("raw_bars", make_bars(old))
+    first = Settings(date(2024, 1, 25), symbols=None, ingest_lookback_days=30)
+    build_summary(store, first)
+    store.upsert("raw_bars", make_bars(daily("A", "2024-01-20", range(50, 70)) + daily("NEW", "2024-02-01", [1, 2, 3]) + [("THIN", date(2024, 2, 3), 9.0)]))
+    second = Settings(date(2024, 2, 10), symbols=None, ingest_lookback_days=30)
+
+    opened = []
+    read = store.read
+
+    def watched(name, since=None, until=None):
+        if name == "raw_bars":
+            opened.append((since, until))
+        return read(name, since, until)
+
+    store.read = watched
+    refresh_summary(store, second, second.ingest_start)
+    store.read = read
+    assert opened and all(since is not None and since >= date(2023, 12, 1) for since, _ in opened)
+    got = sorted(map(str, store.read("stock_summary").collect()))
+    build_summary(store, second)
+    assert got == sorted(map(str, store.read("stock_summary").collect()))
+
+
+def test_a_daily_run_needs_few_spark_jobs(store, spark, tmp_path):
+    settings = Settings(date(2024, 1, 31), symbols=None)
+    landing = land(tmp_path, ["A", "B"], "2024-01-01", 30)
+    run_all(store, settings, landing)
+    spark.sparkContext.setJobGroup("counted", "one run")
+    run_all(store, settings, landing)
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("counted")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(jobs) <= 60

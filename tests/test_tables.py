@@ -1,3 +1,4 @@
+import threading
 from datetime import date
 
 import pytest
@@ -6,6 +7,7 @@ from pyspark.sql import functions as F
 from conftest import as_set
 from dailybars import schemas
 from dailybars.operators.merge import latest_per_key, merge_rows, without
+from dailybars.sources.files import TakenName
 from dailybars.sources.materialize import materialize
 from dailybars.sources.tables import TABLES, DuplicateKeys, MissingKeys, Version
 
@@ -173,3 +175,96 @@ def test_kinds_of_materialization(store, make_bars, spark):
 def test_merge_is_update_or_insert(make_bars):
     merged = merge_rows(make_bars([("A", JAN, 1.0), ("B", JAN, 2.0)]), make_bars([("B", JAN, 9.0), ("C", JAN, 3.0)]))
     assert closes(merged) == {("A", JAN, 1.0), ("B", JAN, 9.0), ("C", JAN, 3.0)}
+
+
+def test_unfinished_version_blocks_nobody(store, make_bars, tmp_path):
+    store.upsert("raw_bars", make_bars([("A", JAN, 1.0)]))
+    versions = tmp_path / "tables" / "raw_bars" / "versions"
+    (versions / "000000002" / "_temporary").mkdir(parents=True)  # an attempt that died while publishing
+    (versions / ".pending-dead").mkdir()
+    assert closes(store.read("raw_bars")) == {("A", JAN, 1.0)}
+    store.upsert("raw_bars", make_bars([("A", JAN, 2.0)]))
+    assert closes(store.read("raw_bars")) == {("A", JAN, 2.0)}
+
+
+def test_of_two_writers_at_once_one_wins(store, make_bars):
+    store.upsert("raw_bars", make_bars([("A", JAN, 0.0)]))
+    old, results = store._newest("raw_bars"), []
+    inputs = [make_bars([("A", JAN, float(i))]) for i in range(1, 5)]
+
+    def write(rows):
+        try:
+            store._write(TABLES["raw_bars"], old, rows, {"2024-01"})
+            results.append("won")
+        except TakenName:
+            results.append("refused")
+
+    threads = [threading.Thread(target=write, args=(rows,)) for rows in inputs]
+    for thread in threads:
+        thread.start()
+    for thread in threads:
+        thread.join()
+    assert sorted(results) == ["refused"] * 3 + ["won"]
+    assert store.read("raw_bars").count() == 1
+
+
+def test_staged_rows_are_each_writers_own(store, make_bars):
+    one, two = store.keep("raw_bars/stage", make_bars([("A", JAN, 1.0)])), store.keep("raw_bars/stage", make_bars([]))
+    assert (one.count(), two.count()) == (1, 0)
+
+
+def test_rows_are_evaluated_once(spark, store):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rows = spark.range(200).selectExpr(
+        "concat('S', id % 5) AS symbol", "date_add(DATE '2024-01-01', CAST(id AS INT)) AS dt",
+        "1.0D AS open", "1.0D AS high", "1.0D AS low", "1.0D AS close", "id AS volume",
+    )
+    store.overwrite("raw_bars", rows.mapInArrow(counted, schemas.RAW_BARS))
+    assert seen.value == 200
+    assert store.read("raw_bars").count() == 200
+    assert all(len(paths) == 1 for paths in files_by_month(store).values())
+
+
+def files_by_month(store):
+    out = {}
+    for path in store.read("raw_bars").inputFiles():
+        out.setdefault(path.split("month=")[1].split("/")[0], []).append(path)
+    return out
+
+
+def test_vacuum_leaves_the_newest(store, make_bars):
+    for close in (1.0, 2.0, 3.0):
+        store.upsert("raw_bars", make_bars([("A", JAN, close), ("A", FEB, close)]))
+    assert store.vacuum("raw_bars") >= 2 + 2 + 1
+    assert store.vacuum("raw_bars") == 0
+    assert closes(store.read("raw_bars")) == {("A", JAN, 3.0), ("A", FEB, 3.0)}
+    store.upsert("raw_bars", make_bars([("A", JAN, 4.0)]))
+    assert closes(store.read("raw_bars")) == {("A", JAN, 4.0), ("A", FEB, 3.0)}
+
+
+def test_ties_in_the_order_are_refused(store, make_bars):
+    rows = make_bars([("B", JAN, 1.0), ("B", JAN, 2.0)]).withColumn("seen", F.lit(1))
+    with pytest.raises(DuplicateKeys, match="'B'"):
+        store.upsert("raw_bars", rows, order_by="seen")
+    older = make_bars([("B", JAN, 1.0), ("B", JAN, 2.0), ("B", JAN, 3.0)])
+    older = older.withColumn("seen", F.when(F.col("close") < 3, 1).otherwise(2))
+    assert store.upsert("raw_bars", older, order_by="seen") == 3
+    assert closes(store.read("raw_bars")) == {("B", JAN, 3.0)}
+
+
+def test_replacing_symbols_leaves_other_months_alone(store, spark):
+    def final(symbol, day):
+        return spark.createDataFrame([(symbol, day, *[1.0] * 4, 1, "RAW", None, None, None, None)], schemas.FINAL)
+
+    store.overwrite("final", final("A", JAN).unionByName(final("B", JAN)).unionByName(final("C", FEB)))
+    before = store._newest("final").months
+    store.replace_symbols("final", ("A", "B"), final("A", date(2024, 3, 5)))
+    after = store._newest("final").months
+    assert after["2024-02"] == before["2024-02"]
+    assert {(r.symbol, r.dt) for r in store.read("final").collect()} == {("A", date(2024, 3, 5)), ("C", FEB)}
