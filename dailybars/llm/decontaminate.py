@@ -2,8 +2,8 @@
 
 The index holds the test items; every passage of every document is a query: `PASSAGE` words, beginning every half of
 that, so that any stretch of up to half a passage lies whole in one. Weights are BM25 divided by what the item would
-score on itself, so that one threshold serves all items. WAND skips items whose term bounds, and blocks whose block
-bounds, cannot reach it; passages whose bounds cannot reach it at all are left before that. All items above the threshold
+score on itself, so that one threshold serves all items. Blocks whose bounds cannot reach it are skipped, and items
+without an essential term; bounds are taken for all passages of a text at once. All items above the threshold
 are retrieved, and each is verified on words: the share of its 5-word shingles that stand in the passage (widened by the
 length of the item), of the whole item and of its question and answer, the last line or sentence of an item being
 the answer.
@@ -19,7 +19,6 @@ from __future__ import annotations
 
 import math
 import re
-from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
@@ -32,9 +31,10 @@ from dailybars.llm.common import texts_of
 
 PASSAGE = 128
 SHINGLE = 5
-THRESHOLD = 0.4
+#: Text with 0.8 of an item's shingles has 0.8 of its words or more; their weights can be somewhat less.
+THRESHOLD = 0.6
 OVERLAP = 0.8
-POSTING_BLOCK = 64
+POSTING_BLOCK = 8
 BLOCK_BYTES = 8 << 20
 K1, B = 1.2, 0.75
 WORD = re.compile(r"\w+")
@@ -80,89 +80,105 @@ class Item:
 
 
 class Index:
-    """Postings in the order of items, cut into blocks with their largest weight."""
+    """Postings by term and block of consecutive items, with the largest weight of each term in each block.
 
-    def __init__(self, items: list[Item]):
+    A block is the unit that WAND skips: the sum of the bounds of a query's terms in it must reach the threshold. In an
+    open block only items with an essential term are scored, that is, not those whose terms all belong to the smallest
+    bounds that cannot reach the threshold together.
+    """
+
+    def __init__(self, items: list[Item], block: int = POSTING_BLOCK):
         self.items = [item for item in items if item.words]
         counts = [Counter(item.words) for item in self.items]
         n = len(counts)
         mean = sum(len(item.words) for item in self.items) / n if n else 1.0
         df = Counter(word for count in counts for word in count)
         self.terms = {word: i for i, word in enumerate(sorted(df))}
-        self.docs: list[list[int]] = [[] for _ in df]
-        self.weights: list[list[float]] = [[] for _ in df]
+        self.n_blocks = -(-n // block)
+        rows = []
         for number, (item, count) in enumerate(zip(self.items, counts)):
             norm = K1 * (1 - B + B * len(item.words) / mean)
             scores = {
                 w: math.log(1 + (n - df[w] + 0.5) / (df[w] + 0.5)) * tf * (K1 + 1) / (tf + norm)
                 for w, tf in count.items()
             }
-            total = sum(scores.values())
-            for word, score in scores.items():
-                self.docs[self.terms[word]].append(number)
-                self.weights[self.terms[word]].append(score / total)
-        self.most = [max(w) for w in self.weights]
-        step = POSTING_BLOCK
-        self.block_last = [[d[min(i + step, len(d)) - 1] for i in range(0, len(d), step)] for d in self.docs]
-        self.block_most = [[max(w[i : i + step]) for i in range(0, len(w), step)] for w in self.weights]
-        self.longest = max((len(item.words) for item in self.items), default=0)
-
-    def search(self, terms: list[int], threshold: float) -> list[tuple[int, float]]:
-        """(item number, score) of all items that score the threshold or more: block-max WAND."""
-        found = []
-        at = dict.fromkeys(terms, 0)
-        heads = sorted((self.docs[t][0], t) for t in terms)
-        while heads:
-            bound, pivot = 0.0, None
-            for k, (_, t) in enumerate(heads):
-                bound += self.most[t]
-                if bound >= threshold - 1e-9:
-                    pivot = k
-                    break
-            if pivot is None:
-                break
-            doc = heads[pivot][0]
-            while pivot + 1 < len(heads) and heads[pivot + 1][0] == doc:
-                pivot += 1
-            bound, skip = 0.0, heads[pivot + 1][0] if pivot + 1 < len(heads) else len(self.items)
-            for _, t in heads[: pivot + 1]:
-                block = bisect_left(self.block_last[t], doc)
-                if block < len(self.block_last[t]):
-                    bound += self.block_most[t][block]
-                    skip = min(skip, self.block_last[t][block] + 1)
-            if bound >= threshold - 1e-9:
-                score = 0.0
-                for _, t in heads[: pivot + 1]:
-                    i = bisect_left(self.docs[t], doc, at[t])
-                    if i < len(self.docs[t]) and self.docs[t][i] == doc:
-                        score += self.weights[t][i]
-                if score >= threshold:
-                    found.append((doc, score))
-                skip = doc + 1
-            moved = []
-            for _, t in heads[: pivot + 1]:
-                i = at[t] = bisect_left(self.docs[t], max(skip, doc + 1), at[t])
-                if i < len(self.docs[t]):
-                    moved.append((self.docs[t][i], t))
-            heads = sorted(heads[pivot + 1 :] + moved)
-        return found
+            # Of an item longer than half a passage only so much need lie in one.
+            total = sum(scores.values()) * min(1.0, PASSAGE / 2 / len(item.words))
+            rows += [(self.terms[word], number // block, number, score / total) for word, score in scores.items()]
+        rows.sort()
+        term, self.posting_block, self.posting_item, self.posting_weight = (
+            np.array(column, dtype=kind) for column, kind in zip(zip(*rows) if rows else [[]] * 4, (int, int, int, float))
+        )
+        self.posting_start = np.searchsorted(term, np.arange(len(df) + 1))
+        # Segments: the postings of one term in one block.
+        new = np.ones(len(term), bool)
+        new[1:] = (term[1:] != term[:-1]) | (self.posting_block[1:] != self.posting_block[:-1])
+        first = np.flatnonzero(new)
+        self.segment_block = self.posting_block[first]
+        self.segment_most = np.maximum.reduceat(self.posting_weight, first) if len(first) else np.empty(0)
+        self.segment_start = np.searchsorted(term[first], np.arange(len(df) + 1))
+        # The bound of a term over all blocks; one more entry for words of no item.
+        self.most = np.zeros(len(df) + 1)
+        np.maximum.at(self.most, term, self.posting_weight)
+
+    @staticmethod
+    def _spread(starts: np.ndarray, terms: np.ndarray) -> np.ndarray:
+        """Indices of all entries of these terms."""
+        first, size = starts[terms], starts[terms + 1] - starts[terms]
+        ends = np.cumsum(size)
+        return np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - ends + size, size)
+
+    def search(self, terms: np.ndarray, threshold: float) -> list[tuple[int, float]]:
+        """(item number, score) of all items that score the threshold or more; terms are distinct."""
+        low = threshold - 1e-9
+        at = self._spread(self.segment_start, terms)
+        bounds = np.bincount(self.segment_block[at], self.segment_most[at], minlength=self.n_blocks)
+        opened = bounds >= low
+        if not opened.any():
+            return []
+        essential = terms[np.argsort(self.most[terms], kind="stable")]
+        essential = essential[np.cumsum(self.most[essential]) >= low]
+        here = self._spread(self.posting_start, essential)
+        candidates = np.unique(self.posting_item[here[opened[self.posting_block[here]]]])
+        if not len(candidates):
+            return []
+        at = self._spread(self.posting_start, terms)
+        at = at[opened[self.posting_block[at]]]
+        scores = np.bincount(self.posting_item[at], self.posting_weight[at], minlength=len(self.items))[candidates]
+        hit = scores >= threshold
+        return list(zip(candidates[hit].tolist(), scores[hit].tolist()))
+
+    def _promising(self, ids: np.ndarray, threshold: float) -> list[int]:
+        """Starts of the passages in which the bound of some block reaches the threshold, for a whole text at once.
+
+        The bounds of a passage are those of its halves together; a word in both only loosens them.
+        """
+        half, none = PASSAGE // 2, len(self.terms)
+        known = np.flatnonzero(ids < none)
+        if not len(known):
+            return []
+        pairs = np.unique(known // half * none + ids[known])
+        owner, terms = pairs // none, pairs % none
+        at = self._spread(self.segment_start, terms)
+        owner = np.repeat(owner, self.segment_start[terms + 1] - self.segment_start[terms])
+        n_halves = -(-len(ids) // half)
+        cells = owner * self.n_blocks + self.segment_block[at]
+        bounds = np.bincount(cells, self.segment_most[at], minlength=n_halves * self.n_blocks)
+        bounds = bounds.reshape(n_halves, self.n_blocks)
+        if n_halves > 1:
+            bounds = bounds[:-1] + bounds[1:]
+        return (np.flatnonzero((bounds >= threshold - 1e-6).any(axis=1)) * half).tolist()
 
     def hits(self, text: str, threshold: float, overlap: float) -> list[tuple]:
         """(item_id, score, overlaps) of the items that stand in a text, each with its best passage."""
         words = words_of(text)
-        get = self.terms.get
-        ids = [get(word, -1) for word in words]
-        numbers = np.array(ids, dtype=np.int64)
-        # Upper bounds of all passages at once; repeated words only loosen them.
-        bounds = np.concatenate([[0.0], np.cumsum(np.where(numbers >= 0, self.bounds[numbers], 0.0))])
-        starts = np.arange(0, max(1, len(words) - PASSAGE // 2), PASSAGE // 2)
-        ends = np.minimum(starts + PASSAGE, len(words))
+        get, none = self.terms.get, len(self.terms)
+        ids = np.fromiter((get(word, none) for word in words), np.int64, len(words))
         best: dict[int, tuple] = {}
-        for k in np.flatnonzero(bounds[ends] - bounds[starts] >= threshold - 1e-6):
-            first, last = int(starts[k]), int(ends[k])
-            terms = list({t for t in ids[first:last] if t >= 0})
-            if sum(map(self.most.__getitem__, terms)) < threshold - 1e-6:
-                continue
+        for first in self._promising(ids, threshold):
+            last = min(first + PASSAGE, len(words))
+            terms = np.unique(ids[first:last])
+            terms = terms[: np.searchsorted(terms, none)]
             for number, score in self.search(terms, threshold):
                 item = self.items[number]
                 wide = words[max(0, first - len(item.words)) : last + len(item.words)]
@@ -173,12 +189,6 @@ class Index:
                         best[number] = (score, shares)
         return [(self.items[number].item_id, score, *shares) for number, (score, shares) in sorted(best.items())]
 
-    @property
-    def bounds(self) -> np.ndarray:
-        if not hasattr(self, "_bounds"):
-            self._bounds = np.array([*self.most, 0.0])
-        return self._bounds
-
 
 def index_blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> Iterator[list[tuple]]:
     """The items in blocks of bounded size: (item_id, text)."""
