@@ -55,7 +55,3 @@ def daily():
         return [(symbol, start + timedelta(days=i), float(c)) for i, c in enumerate(closes)]
 
     return rows
-
-
-def as_set(frame):
-    return {tuple(row) for row in frame.collect()}

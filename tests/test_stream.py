@@ -1,7 +1,7 @@
 from datetime import date
 
 
-from conftest import as_set
+from helpers import as_set
 from dailybars import schemas
 from dailybars.sources.landed import cast_bars
 from dailybars.streaming.landing import landed_stream, load_new_files

@@ -4,7 +4,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import as_set
+from helpers import as_set
 from dailybars import schemas
 from dailybars.operators.merge import latest_per_key, merge_rows, without
 from dailybars.sources.files import TakenName
