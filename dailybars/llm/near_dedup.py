@@ -128,17 +128,21 @@ def can_meet(bands: DataFrame) -> DataFrame:
     return sides.where((F.col("x") < BANDS) & (F.col("y") >= BANDS)).select("node")
 
 
-def table_rows(bands: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(key, node, n, own): rows of the tables whose key at least two nodes share. nodes: (node, n, own)."""
+def table_rows(bands: DataFrame, nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows (key, node, n, own) of the tables whose key at least two nodes share, and each node's bands.
+
+    nodes: (node, n, own).
+    """
     sides = shared_bands(bands.join(nodes.select("node"), "node")).groupBy("node").agg(
         F.collect_list(F.when(F.col("band") < BANDS, F.col("value"))).alias("a"),
         F.collect_list(F.when(F.col("band") >= BANDS, F.col("value"))).alias("b"),
     )
-    rows = sides.join(nodes, "node").select("node", "n", "own", F.explode("a").alias("x"), "b")
+    sides = stored(sides.join(nodes, "node"), "sides")
+    rows = sides.select("node", "n", "own", F.explode("a").alias("x"), "b")
     rows = rows.select("node", "n", "own", "x", F.explode("b").alias("y"))
     rows = stored(rows.select(F.xxhash64("x", "y").alias("key"), "node", "n", "own"), "tables")
     keys = rows.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
-    return stored(rows.join(keys, "key"), "buckets")
+    return stored(rows.join(keys, "key"), "buckets"), sides
 
 
 def own_shingles(sets: DataFrame) -> DataFrame:
@@ -172,12 +176,18 @@ def star_pairs(buckets: DataFrame, turn: int, percent: int) -> DataFrame:
     return pairs.select(F.least("node", "r.node").alias("a"), F.greatest("node", "r.node").alias("b")).distinct()
 
 
-def cross_pairs(buckets: DataFrame, percent: int) -> DataFrame:
-    """(a, b): all pairs of a bucket that lie in different components."""
-    other = buckets.select("key", *[F.col(c).alias(f"{c}_") for c in ("node", "n", "own", "comp")])
-    other = other.withColumn("o", F.struct(F.col("n_").alias("n"), F.col("own_").alias("own")))
-    pairs = buckets.join(other, "key").where("node < node_ AND comp <> comp_").where(_fits("", "o.", percent))
-    return pairs.select(F.col("node").alias("a"), F.col("node_").alias("b")).distinct()
+def cross_pairs(buckets: DataFrame, sides: DataFrame, percent: int) -> DataFrame:
+    """(a, b): all pairs that share a table and lie in different components.
+
+    Two nodes share a table if they share a band of either collection. They meet in each shared band of the first,
+    and make a pair in the least of those only.
+    """
+    open_nodes = buckets.select("node", "comp").distinct()
+    rows = sides.join(open_nodes, "node").select("*", F.explode("a").alias("x"))
+    other = rows.select("x", *[F.col(c).alias(f"{c}_") for c in ("node", "comp", "a", "b")], F.struct("n", "own").alias("o"))
+    pairs = rows.join(other, "x").where("node < node_ AND comp <> comp_").where(_fits("", "o.", percent))
+    pairs = pairs.where("arrays_overlap(b, b_) AND x = array_min(array_intersect(a, a_))")
+    return pairs.select(F.col("node").alias("a"), F.col("node_").alias("b"))
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -206,7 +216,9 @@ def unsettled(buckets: DataFrame, names: DataFrame) -> DataFrame:
     return stored(named.join(open_keys.select("key"), "key"), "unsettled")
 
 
-def links_of(buckets: DataFrame, sets: DataFrame, percent: int, turns: int = 2, few: int = 4) -> DataFrame:
+def links_of(
+    buckets: DataFrame, sides: DataFrame, sets: DataFrame, percent: int, turns: int = 2, few: int = 4
+) -> DataFrame:
     """Enough verified links (a, b) that every linked pair which shares a table is in one component.
 
     All unsettled pairs are listed once there are at most `few` for each row of the buckets, or after `turns` stars.
@@ -220,7 +232,7 @@ def links_of(buckets: DataFrame, sets: DataFrame, percent: int, turns: int = 2,
         if not size[0]:
             break
         final = turn == turns or (turn and size[1] <= few * size[0])
-        pairs = cross_pairs(rest, percent) if final else star_pairs(rest, turn, percent)
+        pairs = cross_pairs(rest, sides, percent) if final else star_pairs(rest, turn, percent)
         pairs = pairs if asked is None else pairs.join(asked, ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")
         found = stored(verified(pairs, sets, percent), "found")
@@ -251,7 +263,7 @@ def grouped(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFr
     sets = stored(sets.select("node", "shingles"), "sets")
     linkable = wanted.select("node", "n").join(own_shingles(sets), "node", "left").fillna({"own": 0})
     linkable = stored(linkable.where(100 * (F.col("n") - F.col("own")) >= percent * F.col("n")), "linkable")
-    links = links_of(table_rows(bands, linkable), sets, percent)
+    links = links_of(*table_rows(bands, linkable), sets, percent)
     named = nodes.select("set_key", "node", "least_id")
     if links is not None:
         named = named.join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
