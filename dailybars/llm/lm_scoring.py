@@ -52,7 +52,8 @@ def with_target(docs: DataFrame, labels: DataFrame) -> DataFrame:
     chosen = labels.where("quality = 1 AND coalesce(toxic, 0) = 0").select(labels["doc_id"].cast("long").alias("id"))
     chosen = chosen.distinct().withColumn("target", F.lit(True))
     texts = texts_of(docs)
-    joined = texts.join(chosen, F.col("doc_id") == F.col("id"), "left")
+    # The ids grow with the corpus: the same shuffled join at every size.
+    joined = texts.join(chosen.hint("merge"), F.col("doc_id") == F.col("id"), "left")
     return stored(joined.select("doc_id", "text", F.coalesce("target", F.lit(False)).alias("target")), "lm-texts")
 
 
