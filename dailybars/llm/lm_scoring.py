@@ -4,14 +4,15 @@ Two n-gram models of the same kind, over one vocabulary and with the same smooth
 documents chosen as good (label quality 1, not toxic), the background model counts all documents. A document's score is
 the mean over its tokens of target loss minus background loss, in nats; lower is closer to the target.
 
-* Vocabulary: the `vocabulary` most frequent words of all documents (ties by the word); every other word is one
-  unknown word. It is the models' definition and bounds what is sent to the tasks.
-* Both models interpolate a bigram with a smoothed unigram. Bigrams of the vocabulary are counted over the whole corpus;
-  the models hold exact counts of the `bigrams` most frequent ones (all with a background count from a cut upward,
-  so ties fall together) and take rarer ones as unseen. At 12 bytes each that bounds the broadcast at 24 MB whatever
-  the corpus.
+* Vocabulary: every word of all documents, and one unknown word besides. A caller may ask for the `vocabulary` most
+  frequent words only (ties by the word); every other word is then the unknown one.
+* Both models interpolate a bigram with a smoothed unigram, and hold exact counts of every bigram. The first word of a
+  document has no predecessor; it is a bigram of START, which no model has seen, and so scored by the unigram alone.
 
-Counts are made of every document: each task sends its counted words and bigrams once, and they are summed by key.
+Nothing of the models lies in one place: documents are listed once as (row, first, second, n), bigrams and words are
+aggregates of that list, each bigram gets its two losses by joins with the words, and the list is joined to those. In
+every join the `head` most frequent keys, a bounded number, are broadcast; any other key has at most one part in
+`head` of all tokens, so that no group of a shuffled join is large. The head decides how a count travels, never a count.
 
 Nulls: a null or blank text has no tokens and scores 0; a null doc_id or label is never target. Repeated rows are
 counted and scored each. Without target documents, its model is the smoothing alone. An empty table gives no rows.
@@ -23,7 +24,6 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -31,180 +31,158 @@ from pyspark.sql import functions as F
 from dailybars.llm.common import stored, texts_of
 
 WORD = re.compile(r"\w+|[^\w\s]")
-VOCABULARY = 65_535
-BIGRAMS = 1 << 21
+VOCABULARY = None  # all words
+HEAD = 1 << 17
 WEIGHT = 0.7  # of the bigram
 SMOOTHING = 0.1
 HELD_WORDS = 500_000
-SCORES = "doc_id long, n_tokens long, target_loss double, background_loss double, score double"
+HELD_ROWS = 200_000
+START, UNKNOWN = "", " "  # no word is either
+PAIRS = "row long, target boolean, first string, second string, n long"
 
 
 def tokens(text: str) -> list[str]:
     return WORD.findall(text.lower())
 
 
-def bigrams_of(ids: np.ndarray) -> np.ndarray:
-    return (ids[:-1] << 16) | ids[1:]
-
-
 def with_target(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(doc_id, text, target), stored."""
+    """(row, doc_id, text, target), stored; row numbers the rows."""
     chosen = labels.where("quality = 1 AND coalesce(toxic, 0) = 0").select(labels["doc_id"].cast("long").alias("id"))
     chosen = chosen.distinct().withColumn("target", F.lit(True))
     texts = texts_of(docs)
     # The ids grow with the corpus: the same shuffled join at every size.
     joined = texts.join(chosen.hint("merge"), F.col("doc_id") == F.col("id"), "left")
-    return stored(joined.select("doc_id", "text", F.coalesce("target", F.lit(False)).alias("target")), "lm-texts")
+    flagged = joined.select("doc_id", "text", F.coalesce("target", F.lit(False)).alias("target"))
+    return stored(flagged.withColumn("row", F.monotonically_increasing_id()), "lm-texts")
 
 
-def word_counts(texts: DataFrame) -> DataFrame:
-    """(word, n, n_target) over the whole corpus."""
+def most_frequent_words(texts: DataFrame, size: int) -> list[str]:
+    """At most `size`, as asked for."""
 
     def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        whole: Counter = Counter()
-        target: Counter = Counter()
+        held: Counter = Counter()
 
         def counted() -> pa.RecordBatch:
-            words = list(whole)
-            columns = [pa.array(words, pa.string()), pa.array(whole.values(), pa.int64())]
-            columns.append(pa.array([target[w] for w in words], pa.int64()))
-            return pa.RecordBatch.from_arrays(columns, ["word", "n", "n_target"])
+            columns = [pa.array(list(held), pa.string()), pa.array(list(held.values()), pa.int64())]
+            return pa.RecordBatch.from_arrays(columns, ["word", "n"])
 
         for batch in batches:
-            for text, good in zip(batch.column("text").to_pylist(), batch.column("target").to_pylist()):
-                found = tokens(text)
-                whole.update(found)
-                if good:
-                    target.update(found)
-                if len(whole) >= HELD_WORDS:
+            for text in batch.column("text").to_pylist():
+                held.update(tokens(text))
+                if len(held) >= HELD_WORDS:
                     yield counted()
-                    whole.clear()
-                    target.clear()
-        if whole:
+                    held.clear()
+        if held:
             yield counted()
 
-    made = texts.select("text", "target").mapInArrow(tasks, "word string, n long, n_target long")
-    return made.groupBy("word").agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target"))
-
-
-class Vocabulary:
-    """Ids by frequency, from 1; 0 is every other word. Counts of both models by id."""
+    counts = texts.select("text").mapInArrow(tasks, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return [row["word"] for row in counts.orderBy(F.desc("n"), "word").limit(size).collect()]
 
-    def __init__(self, words: list[str], counts: np.ndarray):
-        self.ids = {word: i + 1 for i, word in enumerate(words)}
-        self.counts = counts  # (2, words + 1): target and background
 
-    def encode(self, text: str) -> np.ndarray:
-        get = self.ids.get
-        found = tokens(text)
-        return np.fromiter((get(word, 0) for word in found), np.int64, len(found))
-
-
-def vocabulary_of(counts: DataFrame, size: int) -> Vocabulary:
-    """Collects the kept words: at most `size`."""
-    totals = counts.agg(F.sum("n"), F.sum("n_target")).first()
-    rows = counts.orderBy(F.desc("n"), "word").limit(size).collect()
-    kept = np.zeros((2, len(rows) + 1))
-    for i, row in enumerate(rows):
-        kept[:, i + 1] = row["n_target"], row["n"]
-    kept[:, 0] = (totals[1] or 0) - kept[0].sum(), (totals[0] or 0) - kept[1].sum()
-    return Vocabulary([row["word"] for row in rows], kept)
+def pairs_of_documents(texts: DataFrame, vocabulary: int | None) -> DataFrame:
+    """(row, target, first, second, n): the distinct bigrams of every document."""
+    kept = None
+    if vocabulary is not None:
+        kept = texts.sparkSession.sparkContext.broadcast(most_frequent_words(texts, vocabulary))
 
+    def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = None if kept is None else frozenset(kept.value)
+        columns: list[list] = [[], [], [], [], []]
 
-def bigram_counts(texts: DataFrame, shared) -> DataFrame:
-    """(pair, t, b): how often target and background have each bigram."""
+        def listed() -> pa.RecordBatch:
+            types = (pa.int64(), pa.bool_(), pa.string(), pa.string(), pa.int64())
+            arrays = [pa.array(c, t) for c, t in zip(columns, types)]
+            for c in columns:
+                c.clear()
+            return pa.RecordBatch.from_arrays(arrays, [part.split()[0] for part in PAIRS.split(", ")])
 
-    def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = shared.value
         for batch in batches:
-            found: list[list[np.ndarray]] = [[], []]
-            for text, good in zip(batch.column("text").to_pylist(), batch.column("target").to_pylist()):
-                found[bool(good)].append(bigrams_of(vocabulary.encode(text)))
-            if not any(map(len, found[0] + found[1])):
-                continue
-            rest, good = (np.concatenate([np.empty(0, np.int64), *part]) for part in found)
-            pairs, at = np.unique(np.concatenate([good, rest]), return_inverse=True)
-            target = np.bincount(at[: len(good)], minlength=len(pairs))
-            columns = [pairs, target, np.bincount(at, minlength=len(pairs))]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["pair", "t", "b"])
-
-    made = texts.select("text", "target").mapInArrow(tasks, "pair long, t long, b long")
-    return made.groupBy("pair").agg(F.sum("t").alias("t"), F.sum("b").alias("b"))
+            for row, text, target in zip(*(batch.column(c).to_pylist() for c in ("row", "text", "target"))):
+                words = tokens(text)
+                if known is not None:
+                    words = [w if w in known else UNKNOWN for w in words]
+                counts = Counter(zip([START, *words], words))
+                if not counts:
+                    continue
+                first, second = zip(*counts)
+                parts = ([row] * len(counts), [target] * len(counts), first, second, counts.values())
+                for column, part in zip(columns, parts):
+                    column.extend(part)
+                if len(columns[0]) >= HELD_ROWS:
+                    yield listed()
+        if columns[0]:
+            yield listed()
+
+    return texts.select("row", "text", "target").mapInArrow(tasks, PAIRS)
 
 
 def frequent(counts: DataFrame, most: int) -> DataFrame:
-    """The bigrams whose background count reaches the least cut that at most `most` of them reach."""
+    """The rows of counts whose background count reaches the least cut that at most `most` of them reach."""
     by_count = counts.groupBy("b").agg(F.count("*").alias("n"))
     reached = by_count.withColumn("n", F.sum("n").over(Window.orderBy(F.desc("b")))).where(F.col("n") <= most)
     cut = reached.agg(F.min("b")).first()[0]
     return counts.where(F.col("b") >= cut) if cut is not None else counts.limit(0)
 
 
-def collected(kept: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Bigrams in ascending order and their counts (target, background), as a few packed rows."""
-
-    def packed(key: tuple, table: pa.Table) -> pa.Table:
-        table = table.sort_by("pair")
-        pairs = table.column("pair").to_numpy().astype(np.uint32).tobytes()
-        counts = np.stack([table.column(c).to_numpy() for c in ("t", "b")]).astype(np.float32)
-        row = {"part": [key[0].as_py()], "pairs": [pairs], "counts": [counts.tobytes()]}
-        return pa.table(row, pa.schema([("part", pa.int64()), ("pairs", pa.binary()), ("counts", pa.binary())]))
-
-    parts = kept.withColumn("part", F.shiftright("pair", 24))
-    rows = parts.groupBy("part").applyInArrow(packed, "part long, pairs binary, counts binary").collect()
-    rows.sort(key=lambda row: row["part"])
-    pairs = np.concatenate([np.empty(0, np.uint32), *(np.frombuffer(r["pairs"], np.uint32) for r in rows)])
-    each = [np.frombuffer(r["counts"], np.float32).reshape(2, -1) for r in rows]
-    return pairs, np.concatenate([np.empty((2, 0), np.float32), *each], axis=1)
-
-
-class Models:
-    """Target and background, alike but for their counts."""
-
-    def __init__(self, vocabulary: Vocabulary, pairs: np.ndarray, pair_counts: np.ndarray):
-        self.vocabulary, self.pairs, self.pair_counts = vocabulary, pairs, pair_counts
-        counts = vocabulary.counts
-        n, size = counts.sum(axis=1, keepdims=True), counts.shape[1]
-        self.unigram = (counts + SMOOTHING) / (n + SMOOTHING * size)
-
-    def losses(self, ids: np.ndarray) -> np.ndarray:
-        """(2, tokens): minus log probability of each token under either model."""
-        one = self.unigram[:, ids]
-        if len(ids) < 2:
-            return -np.log(one)  # the first token has no predecessor to condition on
-        both = np.zeros((2, len(ids)))
-        if len(self.pairs):
-            wanted = bigrams_of(ids).astype(np.uint32)  # as the pairs are, or they would be converted each time
-            at = np.minimum(np.searchsorted(self.pairs, wanted), len(self.pairs) - 1)
-            both[:, 1:] = np.where(self.pairs[at] == wanted, self.pair_counts[:, at], 0)
-        seen = np.zeros((2, len(ids)))
-        seen[:, 1:] = self.vocabulary.counts[:, ids[:-1]]
-        mixed = WEIGHT * both / np.maximum(seen, 1) + (1 - WEIGHT) * one
-        return -np.log(np.where(seen > 0, mixed, one))
+def looked_up(rows: DataFrame, table: DataFrame, head: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows with the columns of a table that has each of their keys once: keys of the bounded head by broadcast."""
+    near = rows.join(F.broadcast(head), keys)
+    others = rows.join(F.broadcast(head.select(*keys)), keys, "left_anti")
+    return near.unionByName(others.join(table.hint("merge"), keys))
+
+
+def bigram_losses(found: DataFrame, head: int) -> DataFrame:
+    """(first, second, b, target_loss, background_loss) of every bigram."""
+    spark = found.sparkSession
+    target = F.sum(F.when(F.col("target"), F.col("n")).otherwise(0))
+    pairs = stored(found.groupBy("first", "second").agg(target.alias("t"), F.sum("n").alias("b")), "lm-pairs")
+    # Every word is the second of a bigram as often as it stands in the documents.
+    words = pairs.groupBy(F.col("second").alias("word")).agg(F.sum("t").alias("t"), F.sum("b").alias("b"))
+    words = stored(words, "lm-words")
+    size, *totals = words.agg(
+        F.count(F.when(F.col("word") != UNKNOWN, 1)) + 1, F.coalesce(F.sum("t"), F.lit(0)), F.coalesce(F.sum("b"), F.lit(0))
+    ).first()
+    unseen = spark.range(1).select(F.lit(START).alias("word"), F.lit(0).alias("t"), F.lit(0).alias("b"))
+    common = stored(frequent(words, head).unionByName(unseen), "lm-common-words")
+
+    def of(frame: DataFrame, key: str) -> DataFrame:
+        return frame.select(F.col("word").alias(key), F.col("t").alias(f"{key}_t"), F.col("b").alias(f"{key}_b"))
+
+    # Stored between the two, or the first join would be made for either part of the second.
+    with_first = stored(looked_up(pairs, of(words, "first"), of(common, "first"), ["first"]), "lm-first")
+    both = looked_up(with_first, of(words, "second"), of(common, "second"), ["second"])
+
+    def loss(model: str, total: int):
+        one = (F.col(f"second_{model}") + F.lit(SMOOTHING)) / F.lit(total + SMOOTHING * size)
+        seen = F.col(f"first_{model}")
+        return -F.log(F.when(seen > 0, F.lit(WEIGHT) * F.col(model) / seen + F.lit(1 - WEIGHT) * one).otherwise(one))
+
+    losses = (loss("t", totals[0]).alias("target_loss"), loss("b", totals[1]).alias("background_loss"))
+    return stored(both.select("first", "second", "b", *losses), "lm-losses")
 
 
 def cross_entropy_difference(
-    docs: DataFrame, labels: DataFrame, vocabulary: int = VOCABULARY, bigrams: int = BIGRAMS
+    docs: DataFrame, labels: DataFrame, vocabulary: int | None = VOCABULARY, head: int = HEAD
 ) -> DataFrame:
     """doc_id, n_tokens, target_loss, background_loss, score."""
-    spark = docs.sparkSession
     texts = with_target(docs, labels)
-    words = vocabulary_of(stored(word_counts(texts), "words"), min(vocabulary, VOCABULARY))
-    shared = spark.sparkContext.broadcast(words)
-    counts = stored(bigram_counts(texts, shared), "bigrams")
-    models = spark.sparkContext.broadcast(Models(words, *collected(frequent(counts, bigrams))))
-
-    def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = models.value
-        for batch in batches:
-            rows = []
-            for text in batch.column("text").to_pylist():
-                ids = model.vocabulary.encode(text)
-                target, background = model.losses(ids).mean(axis=1) if len(ids) else (0.0, 0.0)
-                rows.append((len(ids), float(target), float(background), float(target - background)))
-            types = (pa.int64(), pa.float64(), pa.float64(), pa.float64())
-            made = [pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * 4, types)]
-            names = [part.split()[0] for part in SCORES.split(", ")]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *made], names)
-
-    return texts.select("doc_id", "text").mapInArrow(tasks, SCORES)
+    found = stored(pairs_of_documents(texts, vocabulary), "lm-found")
+    losses = bigram_losses(found, head)
+    common = stored(frequent(losses, head).drop("b"), "lm-common")
+    scored = looked_up(found.select("row", "first", "second", "n"), losses.drop("b"), common, ["first", "second"])
+    sums = [(F.col("n") * F.col(c)).alias(c) for c in ("target_loss", "background_loss")]
+    # A row for each document, for those without a token.
+    nothing = [F.lit(0.0).alias(c) for c in ("target_loss", "background_loss")]
+    every = texts.select("row", "doc_id", F.lit(0).cast("long").alias("n"), *nothing)
+    parts = scored.select("row", F.lit(None).cast("long").alias("doc_id"), "n", *sums).unionByName(every)
+    summed = parts.groupBy("row").agg(
+        F.max("doc_id").alias("doc_id"), *(F.sum(c).alias(c) for c in ("n", "target_loss", "background_loss"))
+    )
+    target, background = (F.col(c) / F.greatest("n", F.lit(1)) for c in ("target_loss", "background_loss"))
+    return summed.select(
+        "doc_id",
+        F.col("n").alias("n_tokens"),
+        target.alias("target_loss"),
+        background.alias("background_loss"),
+        (target - background).alias("score"),
+    )

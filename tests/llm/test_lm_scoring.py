@@ -83,3 +83,19 @@ def test_odd_rows(spark, odd_docs, no_docs):
     compare(cross_entropy_difference(odd_docs, labels).collect(), brute(rows, {7}, VOCABULARY))
     assert cross_entropy_difference(no_docs, labels).collect() == []
     assert cross_entropy_difference(odd_docs, labels.limit(0)).count() == len(rows)
+
+
+def test_models_grow_with_the_corpus(spark, make_docs):
+    """More words than 65,535, each of which counts as itself."""
+    texts = [" ".join(f"w{i * 1000 + j}" for j in range(1000)) for i in range(70)] + ["w69999 w3 w3 w69999"]
+    labels = spark.createDataFrame([(i, 1, 0) for i in (5, 69, 70)], "doc_id long, quality int, toxic int")
+    got = cross_entropy_difference(make_docs(texts), labels).collect()
+    compare(got, brute(list(enumerate(texts)), {5, 69, 70}, None))
+
+
+@pytest.mark.parametrize("head", [0, 3, 40])
+def test_rare_and_frequent_bigrams_alike(spark, make_docs, head):
+    texts = [f"the {w} of a {w} is the {w}{i % 7} and more." for i, w in enumerate("sun moon star sea sand".split() * 8)]
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(0, 30, 3)], "doc_id long, quality int, toxic int")
+    got = cross_entropy_difference(make_docs([*texts, "", "sun"]), labels, head=head).collect()
+    compare(got, brute(list(enumerate([*texts, "", "sun"])), set(range(0, 30, 3)), None))
