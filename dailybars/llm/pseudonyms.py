@@ -5,6 +5,9 @@ their format, permuted there under a key, and written back in the same format: s
 and country codes stay. The permutation is one to one, so equal values stay equal across documents and
 different ones different, and the holder of the key can reverse it. Digits that fail validation are left alone.
 
+At each start the longest fit is tried first, then every shorter one that ends there as a value may end (an IBAN: first the
+length of its country), so that what follows a value does not hide it: a card before its expiry, an IBAN before a currency.
+
 Kinds: card, iban, ssn, phone, ip, date, email, secret (32 and more hexadecimal digits).
 
 Nulls: a null text stays null, with nothing found; other columns pass through. Repeated rows are treated alike. An
@@ -211,10 +214,46 @@ KINDS: dict[str, tuple[str, Callable]] = {
         _phone,
     ),
 }
+#: What must not follow: the value would go on. A time may follow a date.
+TAILS = dict.fromkeys(KINDS, r"[\w@]|[.-]\d") | {"email": r"[\w@]", "date": r"(?![Tt]\d\d)[\w@]|[.-]\d"}
 PATTERNS = {
-    kind: re.compile(rf"(?<![\w.@+])(?:{pattern})(?![\w@]|[.-]\w)" if kind != "email" else rf"(?<![\w.%+-])(?:{pattern})(?![\w@])")
+    kind: re.compile(rf"{r'(?<![\w.%+-])' if kind == 'email' else r'(?<![\w.@+])'}(?:{pattern})(?!{TAILS[kind]})")
     for kind, (pattern, _) in KINDS.items()
 }
+WHOLE = {kind: re.compile(pattern) for kind, (pattern, _) in KINDS.items()}
+GOES_ON = {kind: re.compile(tail) for kind, tail in TAILS.items()}
+
+IBAN_LENGTHS = {
+    country: length
+    for length, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+        22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+        25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+        29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+    for country in countries.split()
+}
+
+
+def _ends(kind: str, text: str, match: re.Match) -> Iterator[int]:
+    """Where a value from the start of the match may end, in the order to be tried."""
+    first, longest = match.span()
+    if kind == "iban" and (length := IBAN_LENGTHS.get(match.group()[:2])):
+        last = first
+        for last in range(first + 1, longest + 1):
+            length -= text[last - 1] != " "
+            if not length:
+                break
+        if not length and last < longest and not GOES_ON[kind].match(text, last):
+            yield last
+        yield longest
+        return
+    yield longest
+    for last in range(longest - 1, first, -1):
+        if not GOES_ON[kind].match(text, last) and WHOLE[kind].fullmatch(text, first, last):
+            yield last
+
+
 DIGIT = re.compile(r"\d")
 
 
@@ -247,12 +286,13 @@ class Pseudonyms:
         write = KINDS[kind][1]
         at = 0
         while match := PATTERNS[kind].search(text, at):
-            new = write(match.group(), self.permute)
-            if new is None:
-                at = match.start() + 1
-            else:
-                yield match.start(), match.end(), kind, new
-                at = match.end()
+            first, at = match.start(), match.start() + 1
+            for last in _ends(kind, text, match):
+                new = write(text[first:last], self.permute)
+                if new is not None:
+                    yield first, last, kind, new
+                    at = last
+                    break
 
 
 _made: dict[bytes, Pseudonyms] = {}

@@ -94,3 +94,33 @@ def test_nothing_of_the_known_kinds_is_left_as_it_was(small_docs):
             seen += 1
             assert value not in new[r["doc_id"]]
     assert seen
+
+
+@pytest.mark.parametrize(
+    "value, kind, after",
+    [
+        ("4111 1111 1111 1111", "card", " 12/27"),
+        ("4111111111111111", "card", " 123"),
+        ("4111-1111-1111-1111", "card", ".Next"),
+        ("4111 1111 1111 1111", "card", "-x"),
+        ("DE89370400440532013000", "iban", " EUR 50"),
+        ("GB82 WEST 1234 5698 7654 32", "iban", " BIC X"),
+        ("GB82 WEST 1234 5698 7654 32", "iban", ".Next"),
+        ("2024-01-05", "date", "T12:00:00Z"),
+        ("2024-01-05", "date", ".Next"),
+        ("97.51.17.173", "ip", ".Next"),
+        ("123-45-6789", "ssn", "-x"),
+        ("+1 (017) 555-7713", "phone", ".Next"),
+        ("+1 (017) 555-7713", "phone", " 2024 12"),
+    ],
+)
+def test_what_follows_does_not_hide_a_value(value, kind, after):
+    text, spans = Pseudonyms(KEY).rewrite(f"see {value}{after} here")
+    assert spans[0] == (kind, 4, 4 + len(value))
+    assert value not in text and text == f"see {Pseudonyms(KEY).rewrite(value)[0]}{after} here"
+
+
+def test_a_continuing_number_is_no_value():
+    rewrite = Pseudonyms(KEY).rewrite
+    for text in ("1.2.3.4.5", "2024-01-05-07", "2024-01-05Tx", "123-45-6789-1", "97.51.17.173x", "GB83 WEST 1234 5698 7654 32 BIC X"):
+        assert rewrite(text) == (text, [])
