@@ -6,7 +6,8 @@ score on itself, so that one threshold serves all items. Blocks whose bounds can
 without an essential term; bounds are taken for all passages of a text at once. All items above the threshold
 are retrieved, and each is verified on words: the share of its 5-word shingles that stand in the passage (widened by the
 length of the item), of the whole item and of its question and answer, the last line or sentence of an item being
-the answer.
+the answer. It is reported if the share of the whole reaches `OVERLAP`, or the shares of question and answer both do and
+the question has the words of a shingle at least.
 
 An index is built from a block of items of at most `BLOCK_BYTES` of text (what is broadcast is bounded by that); more
 items make more blocks, each with its own pass. Statistics of terms are those of the block.
@@ -64,7 +65,9 @@ class Item:
     def __init__(self, item_id, text: str):
         self.item_id = item_id
         self.words = words_of(text)
-        self.parts = [shingles(words_of(part)) for part in (text, *question_and_answer(text))]
+        texts = [words_of(part) for part in (text, *question_and_answer(text))]
+        self.parts = [shingles(words) for words in texts]
+        self.question_counts = len(texts[1]) >= SHINGLE
 
     def overlaps(self, words: list[str]) -> list[float]:
         """Share of the shingles of item, question and answer that stand in the words. A part without words counts
@@ -183,7 +186,8 @@ class Index:
                 item = self.items[number]
                 wide = words[max(0, first - len(item.words)) : last + len(item.words)]
                 shares = item.overlaps(wide)
-                if shares[0] >= overlap and min(shares[1:]) >= overlap / 2:
+                apart = item.question_counts and min(shares[1:]) >= overlap
+                if shares[0] >= overlap or apart:
                     old = best.get(number)
                     if old is None or (shares[0], score) > (old[1][0], old[0]):
                         best[number] = (score, shares)

@@ -113,3 +113,21 @@ def test_items_in_blocks(spark):
     bench = spark.createDataFrame([(i, f"text number {i} " * 5) for i in range(50)], "item_id long, text string")
     blocks = list(index_blocks(bench, block_bytes=1000))
     assert len(blocks) > 3 and sorted(i for b in blocks for i, _ in b) == list(range(50))
+
+
+def test_an_item_without_its_short_answer(spark, make_docs):
+    words = [f"q{i}" for i in range(60)]
+    item = " ".join(words) + "?\nThat one."
+    assert question_and_answer(item)[1] == "That one."
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    docs = make_docs(["Before. " + " ".join(words) + " after it", " ".join(words[:30]) + " That one.", item])
+    got = {r["doc_id"]: (r["question_overlap"], r["answer_overlap"]) for r in contamination(docs, bench).collect()}
+    assert got == {0: (1.0, 0.0), 2: (1.0, 1.0)}
+    assert [r["doc_id"] for r in without_contaminated(docs, bench).collect()] == [1]
+
+
+def test_question_and_answer_apart(spark, make_docs):
+    item = "a1 a2 a3 a4 a5 a6 a7 a8?\nb1 b2 b3."
+    bench = spark.createDataFrame([(1, item), (2, "Who?\nMe.")], "item_id long, text string")
+    docs = make_docs(["a1 a2 a3 a4 a5 a6 a7 a8? The answer: b1 b2 b3.", "me and who else", "a1 a2 a3 a4 a5 a6 a7 a8?"])
+    assert [(r["doc_id"], r["item_id"]) for r in contamination(docs, bench).collect()] == [(0, 1)]
