@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dailybars.llm import oracles, quality_rules
+from dailybars.llm import oracles, periodic_runs, quality_rules
 from dailybars.llm.common import documents
 from dailybars.llm.decontaminate import contamination
 from dailybars.llm.lm_scoring import cross_entropy_difference
@@ -63,6 +63,11 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cross_entropy_difference(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = periodic_runs.with_planted_period(documents(spark, sf_dir))
+    return periodic_runs.run_digests(periodic_runs.periodic_runs(docs, min_length=12))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_pseudonyms": op2_pseudonyms,
@@ -74,10 +79,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_lm_scoring": op10_lm_scoring,
+    "op11_periodic_runs": op11_periodic_runs,
 }
 
 ORACLES: dict[str, str] = {
     "op1_substring_dedup": oracles.SUBSTRING_DEDUP,
     "op3_near_dedup": oracles.near_dedup(),
     "op4_quality_rules": quality_rules.ORACLE,
+    "op11_periodic_runs": periodic_runs.ORACLE,
 }
