@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dailybars.llm import oracles, periodic_runs, quality_rules
-from dailybars.llm.common import documents
+from dailybars.llm import mixing, oracles, periodic_runs, quality_rules
+from dailybars.llm.common import documents, stored
 from dailybars.llm.decontaminate import contamination
 from dailybars.llm.lm_scoring import cross_entropy_difference
 from dailybars.llm.near_dedup import near_duplicates
@@ -68,6 +68,11 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.run_digests(periodic_runs.periodic_runs(docs, min_length=12))
 
 
+def op13_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    draws = mixing.drawn(documents(spark, sf_dir), percent=150, most=2)
+    return mixing.mix_report(draws, stored(mixing.mixed(draws), "mix"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_pseudonyms": op2_pseudonyms,
@@ -80,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_classifier": op9_quality_classifier,
     "op10_lm_scoring": op10_lm_scoring,
     "op11_periodic_runs": op11_periodic_runs,
+    "op13_source_mixing": op13_source_mixing,
 }
 
 ORACLES: dict[str, str] = {
@@ -87,4 +93,5 @@ ORACLES: dict[str, str] = {
     "op3_near_dedup": oracles.near_dedup(),
     "op4_quality_rules": quality_rules.ORACLE,
     "op11_periodic_runs": periodic_runs.ORACLE,
+    "op13_source_mixing": mixing.ORACLE,
 }
