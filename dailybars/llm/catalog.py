@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dailybars.llm import mixing, oracles, periodic_runs, quality_rules
+from dailybars.llm import hard_negatives, mixing, oracles, periodic_runs, quality_rules
 from dailybars.llm.common import documents, stored
 from dailybars.llm.decontaminate import contamination
 from dailybars.llm.lm_scoring import cross_entropy_difference
@@ -68,6 +68,10 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.run_digests(periodic_runs.periodic_runs(docs, min_length=12))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.hard_negatives(hard_negatives.relabelled(spark.read.parquet(f"{sf_dir}/embeddings.parquet")))
+
+
 def op13_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     draws = mixing.drawn(documents(spark, sf_dir), percent=150, most=2)
     return mixing.mix_report(draws, stored(mixing.mixed(draws), "mix"))
@@ -85,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_classifier": op9_quality_classifier,
     "op10_lm_scoring": op10_lm_scoring,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_hard_negatives": op12_hard_negatives,
     "op13_source_mixing": op13_source_mixing,
 }
 
@@ -93,5 +98,6 @@ ORACLES: dict[str, str] = {
     "op3_near_dedup": oracles.near_dedup(),
     "op4_quality_rules": quality_rules.ORACLE,
     "op11_periodic_runs": periodic_runs.ORACLE,
+    "op12_hard_negatives": hard_negatives.ORACLE,
     "op13_source_mixing": mixing.ORACLE,
 }
