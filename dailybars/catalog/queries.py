@@ -506,9 +506,9 @@ def _second_history(spark, sf_dir, strategy="timestamp"):
     """History after two runs. Both states and their difference are written, so computed once."""
     store = data.new_store(spark)
     first = history.first_version(ops.summary(data.earlier_bars(spark, sf_dir)))
-    known = store.keep("history/known", first)
-    current = store.keep("history/current", _second_summary(spark, sf_dir))
-    found = store.keep("history/changes", history.find_changes(known, current, strategy))
+    known = store.keep(first)
+    current = store.keep(_second_summary(spark, sf_dir))
+    found = store.keep(history.find_changes(known, current, strategy))
     return history.next_version(known, current, found, data.RUN_TS, strategy)
 
 
@@ -620,7 +620,8 @@ def full_run(spark, sf_dir):
     """Landed records to forecasts, tested summary and history; the final table."""
     bars = data.event_bars(spark, sf_dir)
     settings = data.run_settings(data.day_after(bars), symbols=data.EVENT_SYMBOLS)
-    store = full.store_for(spark, work_dir(spark, "tables"), settings)
+    root = work_dir(spark, "tables")
+    store = full.store_for(spark, root, settings, prefix=f"run_{root[-12:]}_")
     full.run_all(store, settings, data.land_records(spark, bars))
     return _shown_final(store.read("final"))
 

@@ -40,59 +40,29 @@ def run_all(
     return RunResult(loaded.n_rows, loaded.outcomes.unionByName(forecast_outcomes), checks)
 
 
-def store_for(spark: SparkSession, root: str, settings: Settings) -> TableStore:
-    """Tables below ``root``, bars in the raw schema and everything else in the analytics schema."""
-    analytics = settings.analytics_schema
+def store_for(spark: SparkSession, root: str, settings: Settings, prefix: str = "") -> TableStore:
+    """Tables below ``root``, bars in the raw schema and everything else in the analytics schema.
+
+    ``prefix`` goes before the schemas' names, for several sets of tables in one catalog.
+    """
+    raw, analytics, snapshot = (prefix + x for x in (settings.raw_schema, settings.analytics_schema, "SNAPSHOT"))
     return TableStore(
         spark,
         root,
         {
-            "raw_bars": settings.raw_schema,
+            "raw_bars": raw,
             "models": analytics,
             "forecasts": analytics,
             "final": analytics,
             "stock_summary": analytics,
             "summary_tail": analytics,
-            "snapshot": "SNAPSHOT",
-            "etl_outcomes": settings.raw_schema,
+            "snapshot": snapshot,
+            "etl_outcomes": raw,
             "forecast_outcomes": analytics,
         },
     )
 
 
-def follow_tables(store: TableStore) -> None:
-    """Name the tables in Spark's catalog, by schema, and keep the names at the newest versions.
-
-    Every table is an external one whose partitions are the month folders of its newest version. Spark has no
-    table format that follows our versions by itself, so the store registers a table again after each change
-    it publishes; another session calls this at its start.
-    """
-    store.followers[:] = [lambda name: _register(store, name)]
-    for name in TABLES:
-        _register(store, name)
-
-
-def _register(store: TableStore, name: str) -> None:
-    spark, table = store.spark, TABLES[name]
-    schema = store.schema_of.get(name, "default")
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {schema}")
-    full = f"{schema}.{name}"
-    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in table.schema)
-    spark.sql(f"DROP TABLE IF EXISTS {full}")
-    folders = store.folders(name)
-    if table.month_of is None:
-        where = folders.get("") or store.empty_folder(name)
-        spark.sql(f"CREATE TABLE {full} ({columns}) USING parquet LOCATION '{where}'")
-        return
-    spark.sql(
-        f"CREATE TABLE {full} ({columns}, month STRING) USING parquet PARTITIONED BY (month) "
-        f"LOCATION '{store.empty_folder(name)}'"
-    )
-    parts = " ".join(f"PARTITION (month = '{month}') LOCATION '{folder}'" for month, folder in folders.items())
-    if parts:
-        spark.sql(f"ALTER TABLE {full} ADD {parts}")
-
-
 def register_symbol_views(store: TableStore, settings: Settings) -> list[str]:
     """Names for SQL: the shared tables, and for each symbol of the run its own views in the analytics schema.
 
@@ -106,9 +76,9 @@ def register_symbol_views(store: TableStore, settings: Settings) -> list[str]:
         sharing = [symbol for symbol, name in safe_names.items() if name.upper() == safe.upper()]
         if len(sharing) > 1:
             raise ValueError(f"symbols {sharing} would share the name {safe}")
-    follow_tables(store)
+    store.ensure()
     spark, start = store.spark, settings.train_start.isoformat()
-    where = {name: f"{store.schema_of.get(name, 'default')}.{name}" for name in TABLES}
+    where = {name: store.full_name(name) for name in TABLES}
     columns = {name: ", ".join(table.schema.fieldNames()) for name, table in TABLES.items()}
     for name in TABLES:
         spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW {name} AS SELECT {columns[name]} FROM {where[name]}")
@@ -124,7 +94,7 @@ def register_symbol_views(store: TableStore, settings: Settings) -> list[str]:
             f"{safe}_FINAL": f"SELECT {', '.join(final)} FROM {where['final']} WHERE {own}",
         }
         for name, sql in views.items():
-            full = f"{settings.analytics_schema}.`{name}`"
+            full = f"`{store.schema_name('final')}`.`{name}`"
             spark.sql(f"CREATE OR REPLACE VIEW {full} AS {sql}")
             spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW `{name}` AS SELECT * FROM {full}")
         names += views

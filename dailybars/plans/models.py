@@ -19,40 +19,96 @@ from dailybars.sources.tables import TableStore
 def build_summary(store: TableStore, settings: Settings) -> DataFrame:
     """Build the whole table, and keep what the next incremental run starts from."""
     first = settings.ingest_start.replace(day=1)
+    built = materialize(summary(store.read("raw_bars"), settings.symbols), "stock_summary", "table", store)
     earlier = stage_bars(store.read("raw_bars", until=first - timedelta(days=1)), settings.symbols)
-    store.overwrite("summary_tail", _tail(earlier, first))
-    return materialize(summary(store.read("raw_bars"), settings.symbols), "stock_summary", "table", store)
+    store.overwrite("summary_tail", _tail(store, settings, earlier, first))
+    return built
 
 
-def _tail(earlier: DataFrame, first: date) -> DataFrame:
-    """The last rows of each symbol before ``first`` that a frame beginning there can reach back to."""
+def _tail(store: TableStore, settings: Settings, earlier: DataFrame, first: date) -> DataFrame:
+    """What the summary covers up to ``first``, and the rows that a frame beginning there can reach back to.
+
+    A row without a day says that its symbol is covered; one without a symbol either, that all symbols are. The others
+    are the last rows of each symbol before ``first``.
+    """
     newest = Window.partitionBy("symbol").orderBy(F.desc("dt"))
     rows = earlier.withColumn("back", F.row_number().over(newest)).where(F.col("back") < LONG_ROWS)
-    return rows.select(*schemas.BAR_COLUMNS, F.lit(first).alias("before"))
+    rows = rows.select(*schemas.BAR_COLUMNS, F.lit(first).alias("before"))
+    names = [(None,)] if settings.symbols is None else [(symbol,) for symbol in settings.symbols]
+    covered = store.spark.createDataFrame(names, "symbol string")
+    blank = [F.lit(None).cast(f.dataType).alias(f.name) for f in schemas.RAW_BARS if f.name != "symbol"]
+    return rows.unionByName(covered.select("symbol", *blank, F.lit(first).alias("before")))
 
 
-def refresh_summary(store: TableStore, settings: Settings, since: date) -> DataFrame:
-    """Build again from the month of ``since`` on; gives those rows.
+def refresh_summary(store: TableStore, settings: Settings, since: date) -> tuple[DataFrame, date]:
+    """Build again from the month of ``since`` on; gives the rows from the first day that was built, and that day.
 
-    Equal to a whole build if no earlier bar and no symbol of the run has changed since the last
-    one. The frames of the first rows reach back to rows that the last build kept, at most 29 of each
-    symbol, and to the months that have passed since; no older month is opened, however new or thin
-    a symbol is. Only a run that starts earlier than the last one has to read the older months.
+    The last build kept, for each symbol it covers, up to which day (``before``) and the last 29 rows before that. A
+    symbol that is covered up to ``since`` or earlier starts from these; no older month is opened for it, however new or
+    thin it is. A symbol that joins the run, or whose entry begins later than ``since``, is built from all its bars in
+    the same job, and one that leaves the run is taken out of all months. So the table equals a whole build, as long as
+    no bar before ``since`` of a covered symbol has changed since the last one.
     """
     first = since.replace(day=1)
+    wanted = settings.symbols
     kept = store.read("summary_tail")
-    known = kept.agg(F.max("before")).first()[0]
-    if known is not None and known <= first:
-        passed = stage_bars(store.read("raw_bars", since=known, until=first - timedelta(days=1)), settings.symbols)
-        earlier = kept.select(*schemas.BAR_COLUMNS).unionByName(passed)
+    covered = kept.where("dt IS NULL").select("symbol", "before")
+    trusted = covered.where(F.col("before") <= F.lit(first))
+    oldest, everything, n_covered = trusted.agg(
+        F.min("before"), F.bool_or(F.col("symbol").isNull()), F.count(F.lit(1))
+    ).first()
+    known = None if everything else trusted.select("symbol")
+    if known is not None and wanted is not None:
+        known = known.where(F.col("symbol").isin(list(wanted)))
+    if everything or (wanted is not None and known.count() == len(wanted)):
+        joining = kept.where(F.lit(False))
     else:
-        earlier = stage_bars(store.read("raw_bars", until=first - timedelta(days=1)), settings.symbols)
-    store.overwrite("summary_tail", _tail(earlier, first))
-    tail = store.read("summary_tail").select(*schemas.BAR_COLUMNS)
-    bars = tail.unionByName(stage_bars(store.read("raw_bars", since=first), settings.symbols))
-    rows = summary(bars).where(F.col("dt") >= F.lit(first))
-    store.rewrite_from("stock_summary", first, lambda _: rows)
-    return store.read("stock_summary", since=first)
+        joining = stage_bars(store.read("raw_bars"), wanted).join(known, "symbol", "left_anti")
+
+    # Covered symbols: the rows that were kept, and the bars since the day up to which they reach.
+    tail = kept.where(F.col("dt").isNotNull() & (F.col("before") <= F.lit(first))).select(*schemas.BAR_COLUMNS)
+    tail = tail if wanted is None else tail.where(F.col("symbol").isin(list(wanted)))
+    later = stage_bars(store.read("raw_bars", since=oldest or first), wanted)
+    later = later if known is None else later.join(known, "symbol", "left_semi")
+    bars = tail.unionByName(later) if n_covered else later.where(F.lit(False))
+    bars = bars.select(*schemas.BAR_COLUMNS, F.lit(first).alias("from_dt"))
+    bars = bars.unionByName(joining.select(*schemas.BAR_COLUMNS, F.lit(None).cast("date").alias("from_dt")))
+    starts = bars.select("symbol", "from_dt").distinct()
+    built = summary(bars).join(starts, "symbol")
+    built = built.where(F.col("from_dt").isNull() | (F.col("dt") >= F.col("from_dt")))
+    with store.kept(built.drop("from_dt")) as rows:
+        start = _put(store, rows, first, _leaving(store, wanted, covered), joining)
+    earlier = bars.where(F.col("dt") < F.lit(first)).select(*schemas.BAR_COLUMNS)
+    store.overwrite("summary_tail", _tail(store, settings, earlier, first))
+    return store.read("stock_summary", since=start), start
+
+
+def _leaving(store: TableStore, wanted: tuple[str, ...] | None, covered: DataFrame) -> DataFrame | None:
+    """Symbols of the table that the run does not have; None if there are none."""
+    if wanted is None:
+        return None
+    names = covered.where("symbol IS NOT NULL").select("symbol")
+    if covered.where("symbol IS NULL").count():
+        names = store.read("stock_summary").select("symbol").distinct()
+    leaving = names.where(~F.col("symbol").isin(list(wanted))).distinct()
+    return leaving if leaving.count() else None
+
+
+def _put(store: TableStore, rows: DataFrame, first: date, leaving: DataFrame | None, joining: DataFrame) -> date:
+    """The built rows into the table; gives the first day of the months that were rewritten."""
+    month = F.date_format("dt", "yyyy-MM").alias("month")
+    older = {r.month for r in rows.where(F.col("dt") < F.lit(first)).select(month).distinct().collect()}
+    recent = {m for m in store.months("stock_summary") if m >= first.strftime("%Y-%m")}
+    before = store.read("stock_summary", until=first - timedelta(days=1))
+    if older or leaving is not None:
+        gone = joining.select("symbol").distinct()
+        gone = gone if leaving is None else gone.unionByName(leaving)
+        held = before.join(gone, "symbol", "left_semi").select(month).distinct()
+        older |= {r.month for r in held.collect()}
+        others = before.where(month.isin(sorted(older))) if older else before.where(F.lit(False))
+        rows = others.join(gone, "symbol", "left_anti").select(*rows.columns).unionByName(rows)
+    store.rewrite("stock_summary", recent | older, rows)
+    return date.fromisoformat(f"{min(older)}-01") if older else first
 
 
 def take_snapshot(store: TableStore, settings: Settings, since: date | None = None) -> int:
@@ -63,24 +119,21 @@ def take_snapshot(store: TableStore, settings: Settings, since: date | None = No
     """
     store.ensure(["snapshot"])
     known, current = store.read("snapshot", since=since), store.read("stock_summary", since=since)
-    found = store.keep(
-        "snapshot/changes", history.find_changes(known, current, settings.snapshot_strategy)
-    )
-    rows = history.apply_changes(known, current, found, settings.run_ts, settings.snapshot_strategy)
-    return store.upsert("snapshot", rows)
+    with store.kept(history.find_changes(known, current, settings.snapshot_strategy)) as found:
+        rows = history.apply_changes(known, current, found, settings.run_ts, settings.snapshot_strategy)
+        return store.upsert("snapshot", rows)
 
 
 def run_models(store: TableStore, settings: Settings, since: date | None = None) -> list[Row]:
     """Build, test, snapshot. A failed test raises before the history is touched.
 
     ``since`` limits all three to the months from that day on, which is enough after a load that
-    brought no earlier bars.
+    brought no earlier bars; a symbol that joins or leaves the run adds the months it has.
     """
     if since is None:
         built = build_summary(store, settings)
     else:
-        since = since.replace(day=1)
-        built = refresh_summary(store, settings, since)
+        built, since = refresh_summary(store, settings, since)
     checks = require_passing(check_summary(built, settings.symbols))
     take_snapshot(store, settings, since)
     return checks

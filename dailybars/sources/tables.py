@@ -1,24 +1,27 @@
-"""Stored tables: parquet folders, replaced month by month, published all at once.
-
-Parquet tables in Spark have no MERGE or DELETE and cannot be overwritten while they are read. So a
-change computes the new rows as a DataFrame, writes them into a new folder with Spark's own writer,
-and then publishes one small version file that names the folders which make up the table. A reader
-takes the newest version and sees all of a change or none of it. An attempt takes a version number
-only in its last step, by a rename that does not overwrite: a job that fails before changes nothing
-and leaves no number taken, and of two writers one is refused.
-
-Bars, summary, forecasts, history and the final table are split by month, not by symbol: a daily run restates
-a few recent months of every symbol, so it rewrites those months and leaves the rest of the history
-alone, and the number of folders follows the calendar however many symbols there are. Rows are
-computed once and dealt by month and symbol bucket; adaptive execution joins the small pieces and
-splits the large ones, so a month has few files, each sorted by symbol.
+"""Stored tables: Spark's own Parquet tables in the catalog, partitioned by month.
+
+A change computes the new rows of the months it touches, writes them to the table's staging folder, and inserts what
+was written with ``spark.sql.sources.partitionOverwriteMode=dynamic``: the months that occur in the rows are replaced,
+the others are not opened. Any session with the same catalog, and any engine that reads Parquet folders, sees plain
+tables.
+
+What is and is not atomic: rows that cannot be computed fail before the table is touched. Within an insert, Spark swaps
+the months one after another, so a reader at that time can see some of them old and some new, and a job that dies there
+leaves the table so. The staged rows are still there then. The next change of that table, or ``repair``, inserts them
+again before anything else, which gives what the interrupted insert would have given. One writer per table at a time.
+
+Bars, summary, forecasts, history and the final table are split by month, not by symbol: a daily run restates a few
+recent months of every symbol, so it rewrites those months and leaves the rest of the history alone, and the number of
+folders follows the calendar however many symbols there are. Rows are dealt by month and symbol bucket; adaptive
+execution joins the small pieces and splits the large ones, so a month has few files, each sorted by symbol.
 """
 
 from __future__ import annotations
 
-import json
+import hashlib
 import uuid
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import date
 
@@ -28,10 +31,10 @@ from pyspark.sql import types as T
 
 from dailybars import schemas
 from dailybars.operators.merge import duplicate_keys, latest_per_key, merge_rows, without
-from dailybars.sources.files import Files
 
 # Pieces a month can be dealt into before adaptive execution joins or splits them.
 _BUCKETS = 16
+_OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 
 class DuplicateKeys(ValueError):
@@ -42,18 +45,16 @@ class MissingKeys(ValueError):
     """The incoming rows have a key column without a value."""
 
 
+class OtherLocation(ValueError):
+    """The catalog has a table of this name with its files elsewhere."""
+
+
 @dataclass(frozen=True)
 class Table:
     name: str
     schema: T.StructType
     keys: tuple[str, ...]
-    month_of: str | None  # date column whose month a row is filed under; None = one folder
-
-    @property
-    def stored_schema(self) -> T.StructType:
-        if self.month_of is None:
-            return self.schema
-        return T.StructType([*self.schema.fields, T.StructField("month", T.StringType())])
+    month_of: str | None  # date column whose month a row is filed under; None = not partitioned
 
 
 TABLES = {
@@ -72,68 +73,114 @@ TABLES = {
 }
 
 
-@dataclass(frozen=True)
-class Version:
-    """Which folder holds each month; a table that is not split has one folder, under ``""``."""
-
-    number: int
-    months: dict[str, str]
-    published: bool = True
-
-    def only(self, months: set[str]) -> dict[str, str]:
-        return {month: folder for month, folder in self.months.items() if month in months}
-
-
 def _month(column: str) -> Column:
     return F.date_format(F.col(column), "yyyy-MM")
 
 
 class TableStore:
-    """The tables below one root folder that all executors reach. One writer per table at a time."""
+    """The tables below one root folder that all executors reach.
+
+    ``schema_of`` gives the catalog schema of each table; without it all are in one schema named after the root.
+    """
 
     def __init__(self, spark: SparkSession, root: str, schema_of: dict[str, str] | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
         self.schema_of = schema_of or {}
-        self.files = Files(spark)
-        self.followers: list[Callable[[str], None]] = []  # called with the name of each table that changed
+        self._known: set[str] = set()  # tables found in the catalog, at their place
+        self._own_schema = f"bars_{hashlib.md5(self.root.encode()).hexdigest()[:12]}"
 
-    # --- reading --------------------------------------------------------------------------------
+    # --- names and folders ----------------------------------------------------------------------
+
+    def schema_name(self, name: str) -> str:
+        return self.schema_of.get(name, self._own_schema)
 
-    def folders(self, name: str) -> dict[str, str]:
-        """Full paths of the folders of the newest version, by month."""
-        return {month: f"{self._folder(name)}/{folder}" for month, folder in self._newest(name).months.items()}
+    def full_name(self, name: str) -> str:
+        return f"`{self.schema_name(name)}`.`{name}`"
 
-    def empty_folder(self, name: str) -> str:
-        """A place without data files, for a table that has none."""
-        return f"{self._folder(name)}/nothing"
+    def folder(self, name: str) -> str:
+        schema = self.schema_of.get(name)
+        return f"{self.root}/{schema}/{name}" if schema else f"{self.root}/{name}"
+
+    def _staging(self, name: str) -> str:
+        return f"{self.root}/_staging/{name}"
+
+    def _path(self, path: str):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
+
+    def _there(self, path: str) -> bool:
+        files, path = self._path(path)
+        return files.exists(path)
+
+    def _remove(self, path: str) -> None:
+        files, path = self._path(path)
+        files.delete(path, True)
+
+    # --- reading --------------------------------------------------------------------------------
+
+    def exists(self, name: str) -> bool:
+        """In the catalog, or below the root from a session whose catalog is gone."""
+        if name not in self._known:
+            full = self.full_name(name)
+            if not self.spark.catalog.tableExists(full) and not self._there(self.folder(name)):
+                return False
+            self._create(name)
+        return True
 
     def ensure(self, names: Iterable[str] = tuple(TABLES)) -> None:
         """Create the tables that do not exist yet, empty."""
         for name in names:
-            if not self._newest(name).published:
-                self._publish(name, Version(1, {}))
+            self._create(name)
 
-    def exists(self, name: str) -> bool:
-        return self._newest(name).published
+    def _create(self, name: str) -> None:
+        if name in self._known:
+            return
+        table, full, folder = TABLES[name], self.full_name(name), self.folder(name)
+        if not self.spark.catalog.tableExists(full):
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in table.schema)
+            parts = " PARTITIONED BY (month)" if table.month_of else ""
+            columns += ", month STRING" if table.month_of else ""
+            there = self._there(folder)
+            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.schema_name(name)}`")
+            self.spark.sql(f"CREATE TABLE IF NOT EXISTS {full} ({columns}) USING parquet{parts} LOCATION '{folder}'")
+            if there and table.month_of:
+                self.spark.sql(f"ALTER TABLE {full} RECOVER PARTITIONS")
+            self._path(folder)[0].mkdirs(self._path(folder)[1])
+        found = self.spark.sql(f"DESCRIBE FORMATTED {full}").where("col_name = 'Location'").first().data_type
+        if self._path(found)[1].toUri().getPath() != self._path(folder)[1].toUri().getPath():
+            raise OtherLocation(f"{full} has its files in {found}, not in {folder}")
+        self._known.add(name)
+
+    def months(self, name: str) -> set[str]:
+        """The months that a partitioned table has."""
+        if not self.exists(name):
+            return set()
+        return {row.partition.split("=", 1)[1] for row in self.spark.sql(f"SHOW PARTITIONS {self.full_name(name)}").collect()}
 
     def read(self, name: str, since: date | None = None, until: date | None = None) -> DataFrame:
-        """The newest version; with limits, rows filed in [since, until], other months unopened."""
+        """The table; with limits, rows filed in [since, until], other months unopened."""
         table = TABLES[name]
-        months = self._newest(name).months
-        if table.month_of is None:
-            return self._open(table, months)
-        low = since.strftime("%Y-%m") if since else ""
-        high = until.strftime("%Y-%m") if until else "~"
-        rows = self._open(table, {month: f for month, f in months.items() if low <= month <= high})
-        if since is not None:
-            rows = rows.where(F.col(table.month_of) >= F.lit(since))
-        if until is not None:
-            rows = rows.where(F.col(table.month_of) <= F.lit(until))
-        return rows
+        rows = self._rows(table)
+        if table.month_of is not None:
+            if since is not None:
+                rows = rows.where(F.col("month") >= since.strftime("%Y-%m")).where(F.col(table.month_of) >= F.lit(since))
+            if until is not None:
+                rows = rows.where(F.col("month") <= until.strftime("%Y-%m")).where(F.col(table.month_of) <= F.lit(until))
+        return rows.select(*table.schema.fieldNames())
+
+    def _rows(self, table: Table, months: set[str] | None = None) -> DataFrame:
+        """All columns with ``month``; of these months only."""
+        if not self.exists(table.name):
+            # a constant condition, so that the optimizer knows there are no rows
+            fields = [*table.schema, *([T.StructField("month", T.StringType())] if table.month_of else [])]
+            nothing = (F.lit(None).cast(f.dataType).alias(f.name) for f in fields)
+            return self.spark.range(1).where(F.lit(False)).select(*nothing)
+        rows = self.spark.table(self.full_name(table.name))
+        return rows if months is None else rows.where(F.col("month").isin(sorted(months)))
 
     def register_views(self, names: Iterable[str] = tuple(TABLES)) -> None:
-        """Temporary views of the newest versions, for SQL."""
+        """Temporary views of the tables, for SQL."""
         for name in names:
             self.read(name).createOrReplaceTempView(name)
 
@@ -142,62 +189,63 @@ class TableStore:
     def upsert(self, name: str, incoming: DataFrame, order_by: str | None = None) -> int:
         """Update or insert by key; returns the number of incoming rows.
 
-        The incoming rows are written to a staging folder first, so that they are computed once and
-        every later step reads files. More than one row per key is refused unless ``order_by``
-        names the column whose greatest value wins; rows of a key that tie there are refused too.
+        The incoming rows are written first, so that they are computed once and every later step reads files. More than
+        one row per key is refused unless ``order_by`` names the column whose greatest value wins; rows of a key that
+        tie there are refused too.
         """
         table = TABLES[name]
         columns = [*table.schema.fieldNames()]
         if order_by is not None and order_by not in columns:
             columns.append(order_by)
-        staged = self.keep(f"{name}/stage", incoming.select(*columns))
-        tally = self._tally(table, staged, order_by)
-        if not tally.n_rows:
-            return 0
-        if tally.without_key:
-            raise MissingKeys(f"{tally.without_key} keys of {name} have no value in {table.keys}")
-        if tally.repeated:
-            keys = table.keys if order_by is None else (*table.keys, order_by)
-            sample = [tuple(row)[:-1] for row in duplicate_keys(staged, keys).limit(3).collect()]
-            raise DuplicateKeys(f"{tally.repeated} keys of {name} occur more than once, e.g. {sample}")
-        if order_by is not None:
-            staged = latest_per_key(staged, order_by, table.keys)
-        rows = staged.select(*table.schema.fieldNames())
-        old = self._newest(name)
-        if table.month_of is None:
-            self._write(table, old, merge_rows(self._open(table, old.months), rows, table.keys))
-        else:
-            touched = set(tally.months)
-            merged = merge_rows(self._open(table, old.only(touched)), rows, table.keys)
-            self._write(table, old, merged, touched)
+        self.repair(name)
+        with self.kept(incoming.select(*columns)) as staged:
+            tally = self._tally(table, staged, order_by)
+            if not tally.n_rows:
+                return 0
+            if tally.without_key:
+                raise MissingKeys(f"{tally.without_key} keys of {name} have no value in {table.keys}")
+            if tally.repeated:
+                keys = table.keys if order_by is None else (*table.keys, order_by)
+                sample = [tuple(row)[:-1] for row in duplicate_keys(staged, keys).limit(3).collect()]
+                raise DuplicateKeys(f"{tally.repeated} keys of {name} occur more than once, e.g. {sample}")
+            if order_by is not None:
+                staged = latest_per_key(staged, order_by, table.keys)
+            rows = staged.select(*table.schema.fieldNames())
+            old = self._rows(table, None if table.month_of is None else set(tally.months) & self.months(name))
+            self._replace(table, merge_rows(old.select(*rows.columns), rows, table.keys), set(tally.months))
         return tally.n_rows
 
     def overwrite(self, name: str, rows: DataFrame) -> None:
         """Replace the whole table. The rows may be computed from the table itself."""
-        old = self._newest(name)
-        self._write(TABLES[name], old, rows, set(old.months))
+        self.repair(name)
+        self._replace(TABLES[name], rows, self.months(name) if TABLES[name].month_of else set())
 
-    def rewrite_from(self, name: str, since: date, rewrite: Callable[[DataFrame], DataFrame]) -> None:
-        """Replace the months from ``since`` on by ``rewrite(rows of those months)``.
+    def rewrite(self, name: str, months: Iterable[str], rows: DataFrame) -> None:
+        """Replace these months by the rows, which may be computed from the table itself.
 
-        ``rewrite`` must give rows filed in those months only; earlier months stay as they are, and
-        a row filed in one of them is refused before anything is published.
+        Rows filed in another month that the table has are refused before anything is changed.
         """
-        table, old = TABLES[name], self._newest(name)
-        touched = {month for month in old.months if month >= since.strftime("%Y-%m")}
-        self._write(table, old, rewrite(self._open(table, old.only(touched))), touched)
+        self.repair(name)
+        self._replace(TABLES[name], rows, set(months))
+
+    def rewrite_from(self, name: str, since: date, rewrite: Callable[[DataFrame], DataFrame]) -> None:
+        """Replace the months from ``since`` on by ``rewrite(rows of those months)``."""
+        self.repair(name)
+        table = TABLES[name]
+        touched = {month for month in self.months(name) if month >= since.strftime("%Y-%m")}
+        self._replace(table, rewrite(self._rows(table, touched).select(*table.schema.fieldNames())), touched)
 
     def delete(self, name: str, predicate: Column) -> None:
-        """Delete by predicate; a table split by month rewrites only the months it hits."""
-        table, old = TABLES[name], self._newest(name)
+        """Delete by predicate; a partitioned table rewrites only the months it hits."""
+        self.repair(name)
+        table = TABLES[name]
         if table.month_of is None:
-            self._write(table, old, without(self._open(table, old.months), predicate))
+            self._replace(table, without(self._rows(table), predicate), set())
             return
-        hits = self._open(table, old.months).where(predicate)
-        hit_months = hits.select(_month(table.month_of).alias("month")).distinct().collect()
-        touched = {row.month for row in hit_months}
+        hits = self._rows(table).where(predicate).select("month").distinct().collect()
+        touched = {row.month for row in hits}
         if touched:
-            self._write(table, old, without(self._open(table, old.only(touched)), predicate), touched)
+            self._replace(table, without(self._rows(table, touched), predicate), touched)
 
     def replace_symbols(self, name: str, symbols: Iterable[str] | None, rows: DataFrame) -> None:
         """All rows of these symbols (``None``: of all) give way to the new ones.
@@ -207,80 +255,55 @@ class TableStore:
         if symbols is None:
             self.overwrite(name, rows)
             return
-        table, old = TABLES[name], self._newest(name)
+        self.repair(name)
+        table = TABLES[name]
         own = F.col("symbol").isin(list(symbols))
-        rows = self.keep(f"{name}/stage", rows.select(*table.schema.fieldNames()))
-        month = _month(table.month_of).alias("month")
-        before = self._open(table, old.months).where(own).select(month)
-        touched = {row.month for row in before.unionByName(rows.select(month)).distinct().collect()}
-        if touched:
-            kept = self._open(table, old.only(touched)).where(~own)
-            self._write(table, old, kept.unionByName(rows), touched)
-
-    def keep(self, name: str, rows: DataFrame) -> DataFrame:
+        with self.kept(rows.select(*table.schema.fieldNames())) as fresh:
+            before = self._rows(table).where(own).select("month")
+            after = fresh.select(_month(table.month_of).alias("month"))
+            touched = {row.month for row in before.unionByName(after).distinct().collect()}
+            if touched:
+                others = self._rows(table, touched).where(~own).select(*fresh.columns)
+                self._replace(table, others.unionByName(fresh), touched)
+
+    def keep(self, rows: DataFrame) -> DataFrame:
         """Write an intermediate result and read it back, so that later steps do not compute it again.
 
-        Each call has a folder of its own, which no other writer can disturb; ``vacuum`` removes them.
+        Each call has a folder of its own, which no other writer can disturb; ``clear_kept`` removes them all.
         """
-        path = f"{self._folder(name)}/{uuid.uuid4().hex}"
+        path = f"{self.root}/_kept/{uuid.uuid4().hex}"
         rows.write.parquet(path)
         return self.spark.read.schema(rows.schema).parquet(path)
 
-    def vacuum(self, name: str, versions: int = 1) -> int:
-        """Remove all but the newest versions of a table, the folders none of them uses, and intermediate results.
+    @contextmanager
+    def kept(self, rows: DataFrame) -> Iterator[DataFrame]:
+        """As ``keep``, until the block ends."""
+        path = f"{self.root}/_kept/{uuid.uuid4().hex}"
+        rows.write.parquet(path)
+        try:
+            yield self.spark.read.schema(rows.schema).parquet(path)
+        finally:
+            self._remove(path)
+
+    def clear_kept(self) -> None:
+        """Remove intermediate results. Not while a run goes on or their rows are still read."""
+        self._remove(f"{self.root}/_kept")
+
+    def repair(self, name: str) -> bool:
+        """Insert again what an interrupted change had staged; says whether there was anything."""
+        staging = self._staging(name)
+        if not self._there(f"{staging}/_SUCCESS"):
+            return False
+        table = TABLES[name]
+        self._create(name)
+        # A swap that died between two steps can have lost a folder that the catalog still lists, or the reverse.
+        if table.month_of:
+            self.spark.sql(f"ALTER TABLE {self.full_name(name)} RECOVER PARTITIONS")
+        self.spark.catalog.refreshTable(self.full_name(name))
+        self._insert(table)
+        return True
 
-        Returns the number of things removed. Not to be called while the table is read or written.
-        """
-        root = self._folder(name)
-        kept = self._numbers(name)[-versions:]
-        used = {f.split("/")[1] for number in kept for f in self._version(name, number).months.values()}
-        stale = [f"versions/{x}" for x in self.files.names(f"{root}/versions") if x not in {f"{n:09d}" for n in kept}]
-        stale += [f"data/{x}" for x in self.files.names(f"{root}/data") if x not in used]
-        stale += [x for x in self.files.names(root) if x not in ("versions", "data")]
-        for path in stale:
-            self.files.delete(f"{root}/{path}")
-        return len(stale)
-
-    # --- folders and versions -------------------------------------------------------------------
-
-    def _folder(self, name: str) -> str:
-        schema = self.schema_of.get(name.split("/")[0])
-        return f"{self.root}/{schema}/{name}" if schema else f"{self.root}/{name}"
-
-    def _numbers(self, name: str) -> list[int]:
-        """All version numbers that are taken, whether their file is there or not."""
-        return [int(x) for x in self.files.names(f"{self._folder(name)}/versions") if x.isdigit()]
-
-    def _version(self, name: str, number: int) -> Version | None:
-        path = f"{self._folder(name)}/versions/{number:09d}/content"
-        if not self.files.exists(path):
-            return None
-        return Version(number, json.loads(self.files.read(path))["months"])
-
-    def _newest(self, name: str) -> Version:
-        """The newest version that is whole. One listing and one small file, no Spark job."""
-        numbers = self._numbers(name)
-        for number in reversed(numbers):
-            found = self._version(name, number)
-            if found is not None:
-                # The next number follows every taken one, so an unfinished attempt blocks nobody.
-                return Version(numbers[-1], found.months)
-        return Version(numbers[-1] if numbers else 0, {}, published=False)
-
-    def _publish(self, name: str, version: Version) -> None:
-        """Refused with ``TakenName`` if another writer took the version number."""
-        text = json.dumps({"token": uuid.uuid4().hex, "months": version.months})
-        self.files.publish(f"{self._folder(name)}/versions", f"{version.number:09d}", text)
-        for follow in self.followers:
-            follow(name)
-
-    def _open(self, table: Table, months: dict[str, str]) -> DataFrame:
-        if not months:
-            # a constant condition, so that the optimizer knows there are no rows
-            nothing = (F.lit(None).cast(f.dataType).alias(f.name) for f in table.schema)
-            return self.spark.range(1).where(F.lit(False)).select(*nothing)
-        paths = [f"{self._folder(table.name)}/{months[month]}" for month in sorted(months)]
-        return self.spark.read.schema(table.schema).parquet(*paths).select(*table.schema.fieldNames())
+    # --- one change -----------------------------------------------------------------------------
 
     def _tally(self, table: Table, staged: DataFrame, order_by: str | None = None) -> Row:
         """Row count, bad keys and months of the staged rows in one job over the key columns.
@@ -306,32 +329,57 @@ class TableStore:
             F.collect_set(month).alias("months"),
         ).first()
 
-    def _write(self, table: Table, old: Version, rows: DataFrame, touched: set[str] = frozenset()) -> None:
-        """Write the rows as a new version that keeps the folders of the months not touched.
-
-        The rows are evaluated once: what was written is seen from the folders, not from another read.
-        """
-        number = old.number + 1
-        folder = f"data/{number:09d}-{uuid.uuid4().hex[:8]}"  # no other attempt writes there
-        path = f"{self._folder(table.name)}/{folder}"
+    def _replace(self, table: Table, rows: DataFrame, touched: set[str]) -> None:
+        """Stage the rows, then let them take the place of the touched months (or of the whole table)."""
+        self._create(table.name)
         rows = rows.select(*table.schema.fieldNames())
+        if table.month_of is not None:
+            # Months that end up empty are named by a row without values, so that a repair knows them too.
+            rows = rows.withColumn("month", _month(table.month_of))
+            names = self.spark.createDataFrame([(month,) for month in sorted(touched)], "month string")
+            blank = [F.lit(None).cast(f.dataType).alias(f.name) for f in table.schema]
+            rows = rows.unionByName(names.select(*blank, "month"))
+        rows.write.mode("overwrite").parquet(self._staging(table.name))
+        self._insert(table, touched)
+
+    def _staged(self, table: Table) -> DataFrame:
+        schema = table.schema if table.month_of is None else T.StructType([*table.schema, T.StructField("month", T.StringType())])
+        return self.spark.read.schema(schema).parquet(self._staging(table.name))
+
+    def _insert(self, table: Table, touched: set[str] | None = None) -> None:
+        """The staged rows into the table; then the staging folder goes."""
+        full, staged = self.full_name(table.name), self._staged(table)
         if table.month_of is None:
-            rows.write.parquet(path)
-            self._publish(table.name, Version(number, {"": folder}))
+            staged.write.insertInto(full, overwrite=True)
+            self._remove(self._staging(table.name))
             return
-        bucket = F.pmod(F.xxhash64("symbol"), F.lit(_BUCKETS))
-        (
-            rows.withColumns({"month": _month(table.month_of), "bucket": bucket})
-            .hint("rebalance", "month", "bucket")
-            .drop("bucket")
-            .sortWithinPartitions("month", "symbol", table.month_of)
-            .write.partitionBy("month")
-            .parquet(path)
-        )
-        present = {name.split("=", 1)[1] for name in self.files.names(path) if name.startswith("month=")}
-        kept = {month: f for month, f in old.months.items() if month not in touched}
-        outside = present & set(kept)
+        counts = {r.month: r.n for r in staged.groupBy("month").agg(F.count(table.month_of).alias("n")).collect()}
+        existing = self.months(table.name)
+        outside = set() if touched is None else (set(counts) - touched) & existing
         if outside:
+            self._remove(self._staging(table.name))
             raise ValueError(f"{table.name}: new rows filed in months not read: {sorted(outside)}")
-        fresh = {month: f"{folder}/month={month}" for month in present}
-        self._publish(table.name, Version(number, {**kept, **fresh}))
+        if any(counts.values()):
+            bucket = F.pmod(F.xxhash64("symbol"), F.lit(_BUCKETS))
+            dealt = (
+                staged.where(F.col(table.month_of).isNotNull())
+                .withColumn("bucket", bucket)
+                .hint("rebalance", "month", "bucket")
+                .drop("bucket")
+                .sortWithinPartitions("month", "symbol", table.month_of)
+            )
+            with self._dynamic():
+                dealt.write.insertInto(full, overwrite=True)
+        for month in sorted(month for month, n in counts.items() if not n and month in existing):
+            self.spark.sql(f"ALTER TABLE {full} DROP IF EXISTS PARTITION (month = '{month}')")
+            self._remove(f"{self.folder(table.name)}/month={month}")
+        self._remove(self._staging(table.name))
+
+    @contextmanager
+    def _dynamic(self) -> Iterator[None]:
+        before = self.spark.conf.get(_OVERWRITE_MODE)
+        self.spark.conf.set(_OVERWRITE_MODE, "dynamic")
+        try:
+            yield
+        finally:
+            self.spark.conf.set(_OVERWRITE_MODE, before)

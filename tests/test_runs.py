@@ -13,6 +13,14 @@ from dailybars.settings import Settings
 from dailybars.sources.tables import TableStore
 
 
+@pytest.fixture(autouse=True)
+def no_schemas(spark):
+    """The catalog's schemas of earlier tests, whose tables lie elsewhere."""
+    yield
+    for name in ("RAW", "ANALYTICS", "SNAPSHOT"):
+        spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
+
+
 def land(tmp_path, symbols, first, days, shift=0.0):
     folder = tmp_path / "landing"
     folder.mkdir(exist_ok=True)

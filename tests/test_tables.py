@@ -1,4 +1,3 @@
-import threading
 from datetime import date
 
 import pytest
@@ -7,9 +6,8 @@ from pyspark.sql import functions as F
 from helpers import as_set
 from dailybars import schemas
 from dailybars.operators.merge import latest_per_key, merge_rows, without
-from dailybars.sources.files import TakenName
 from dailybars.sources.materialize import materialize
-from dailybars.sources.tables import TABLES, DuplicateKeys, MissingKeys, Version
+from dailybars.sources.tables import DuplicateKeys, MissingKeys, OtherLocation, TableStore
 
 JAN, FEB = date(2024, 1, 5), date(2024, 2, 5)
 
@@ -34,15 +32,6 @@ def test_matched_row_takes_null_values(store, make_bars):
     assert as_set(store.read("raw_bars")) == {("A", JAN, None, None, None, None, None)}
 
 
-def test_untouched_months_are_not_rewritten(store, make_bars):
-    store.upsert("raw_bars", make_bars([("A", JAN, 1.0), ("A", FEB, 2.0)]))
-    before = store._newest("raw_bars").months
-    store.upsert("raw_bars", make_bars([("B", FEB, 2.0)]))
-    after = store._newest("raw_bars").months
-    assert after["2024-01"] == before["2024-01"]
-    assert after["2024-02"] != before["2024-02"]
-
-
 def test_two_rows_for_a_key_are_refused(store, make_bars):
     store.upsert("raw_bars", make_bars([("A", JAN, 1.0)]))
     with pytest.raises(DuplicateKeys, match="'B'"):
@@ -82,21 +71,6 @@ def test_failing_load_changes_nothing(store, make_bars):
     assert closes(store.read("raw_bars")) == {("A", JAN, 1.0)}
 
 
-def test_version_number_is_taken_once(store, make_bars):
-    store.upsert("raw_bars", make_bars([("A", JAN, 1.0)]))
-    with pytest.raises(Exception, match="already exists|ALREADY_EXISTS"):
-        store._publish("raw_bars", Version(1, {}))
-
-
-def test_second_writer_is_refused_and_harms_nothing(store, make_bars):
-    store.upsert("raw_bars", make_bars([("A", JAN, 1.0)]))
-    seen_by_both = store._newest("raw_bars")
-    store.upsert("raw_bars", make_bars([("A", JAN, 2.0)]))
-    with pytest.raises(Exception, match="already exists|ALREADY_EXISTS"):
-        store._write(TABLES["raw_bars"], seen_by_both, make_bars([("A", JAN, 9.0)]), {"2024-01"})
-    assert closes(store.read("raw_bars")) == {("A", JAN, 2.0)}
-
-
 def test_odd_symbols_stay_as_they_are(store, make_bars):
     store.upsert("raw_bars", make_bars([("BRK.B", JAN, 1.0), ("007", JAN, 2.0), ("a/b=c", JAN, 3.0)]))
     frame = store.read("raw_bars")
@@ -125,7 +99,7 @@ def test_delete_can_empty_a_month(store, make_bars):
     store.upsert("raw_bars", make_bars([("A", JAN, 1.0), ("A", FEB, 2.0)]))
     store.delete("raw_bars", F.col("dt") >= F.lit(FEB))
     assert closes(store.read("raw_bars")) == {("A", JAN, 1.0)}
-    assert set(store._newest("raw_bars").months) == {"2024-01"}
+    assert store.months("raw_bars") == {"2024-01"}
     store.delete("raw_bars", F.col("dt") >= F.lit(FEB))
     assert closes(store.read("raw_bars")) == {("A", JAN, 1.0)}
 
@@ -148,14 +122,6 @@ def test_overwrite_from_the_table_itself(store, make_bars):
     assert closes(store.read("raw_bars")) == {("A", FEB, 2.0)}
 
 
-def test_reader_keeps_its_version(store, make_bars):
-    store.upsert("raw_bars", make_bars([("A", JAN, 1.0)]))
-    reader = store.read("raw_bars")
-    store.upsert("raw_bars", make_bars([("A", JAN, 2.0)]))
-    assert closes(reader) == {("A", JAN, 1.0)}
-    assert closes(store.read("raw_bars")) == {("A", JAN, 2.0)}
-
-
 def test_views_answer_sql(store, make_bars, spark):
     store.upsert("raw_bars", make_bars([("A", JAN, 1.0)]))
     store.register_views(["raw_bars"])
@@ -177,42 +143,6 @@ def test_merge_is_update_or_insert(make_bars):
     assert closes(merged) == {("A", JAN, 1.0), ("B", JAN, 9.0), ("C", JAN, 3.0)}
 
 
-def test_unfinished_version_blocks_nobody(store, make_bars, tmp_path):
-    store.upsert("raw_bars", make_bars([("A", JAN, 1.0)]))
-    versions = tmp_path / "tables" / "raw_bars" / "versions"
-    (versions / "000000002" / "_temporary").mkdir(parents=True)  # an attempt that died while publishing
-    (versions / ".pending-dead").mkdir()
-    assert closes(store.read("raw_bars")) == {("A", JAN, 1.0)}
-    store.upsert("raw_bars", make_bars([("A", JAN, 2.0)]))
-    assert closes(store.read("raw_bars")) == {("A", JAN, 2.0)}
-
-
-def test_of_two_writers_at_once_one_wins(store, make_bars):
-    store.upsert("raw_bars", make_bars([("A", JAN, 0.0)]))
-    old, results = store._newest("raw_bars"), []
-    inputs = [make_bars([("A", JAN, float(i))]) for i in range(1, 5)]
-
-    def write(rows):
-        try:
-            store._write(TABLES["raw_bars"], old, rows, {"2024-01"})
-            results.append("won")
-        except TakenName:
-            results.append("refused")
-
-    threads = [threading.Thread(target=write, args=(rows,)) for rows in inputs]
-    for thread in threads:
-        thread.start()
-    for thread in threads:
-        thread.join()
-    assert sorted(results) == ["refused"] * 3 + ["won"]
-    assert store.read("raw_bars").count() == 1
-
-
-def test_staged_rows_are_each_writers_own(store, make_bars):
-    one, two = store.keep("raw_bars/stage", make_bars([("A", JAN, 1.0)])), store.keep("raw_bars/stage", make_bars([]))
-    assert (one.count(), two.count()) == (1, 0)
-
-
 def test_rows_are_evaluated_once(spark, store):
     seen = spark.sparkContext.accumulator(0)
 
@@ -238,16 +168,6 @@ def files_by_month(store):
     return out
 
 
-def test_vacuum_leaves_the_newest(store, make_bars):
-    for close in (1.0, 2.0, 3.0):
-        store.upsert("raw_bars", make_bars([("A", JAN, close), ("A", FEB, close)]))
-    assert store.vacuum("raw_bars") >= 2 + 2 + 1
-    assert store.vacuum("raw_bars") == 0
-    assert closes(store.read("raw_bars")) == {("A", JAN, 3.0), ("A", FEB, 3.0)}
-    store.upsert("raw_bars", make_bars([("A", JAN, 4.0)]))
-    assert closes(store.read("raw_bars")) == {("A", JAN, 4.0), ("A", FEB, 3.0)}
-
-
 def test_ties_in_the_order_are_refused(store, make_bars):
     rows = make_bars([("B", JAN, 1.0), ("B", JAN, 2.0)]).withColumn("seen", F.lit(1))
     with pytest.raises(DuplicateKeys, match="'B'"):
@@ -258,13 +178,115 @@ def test_ties_in_the_order_are_refused(store, make_bars):
     assert closes(store.read("raw_bars")) == {("B", JAN, 3.0)}
 
 
+def test_untouched_months_are_not_rewritten(store, make_bars):
+    store.upsert("raw_bars", make_bars([("A", JAN, 1.0), ("A", FEB, 2.0)]))
+    before = files_by_month(store)
+    store.upsert("raw_bars", make_bars([("B", FEB, 2.0)]))
+    after = files_by_month(store)
+    assert after["2024-01"] == before["2024-01"]
+    assert after["2024-02"] != before["2024-02"]
+
+
 def test_replacing_symbols_leaves_other_months_alone(store, spark):
     def final(symbol, day):
         return spark.createDataFrame([(symbol, day, *[1.0] * 4, 1, "RAW", None, None, None, None)], schemas.FINAL)
 
     store.overwrite("final", final("A", JAN).unionByName(final("B", JAN)).unionByName(final("C", FEB)))
-    before = store._newest("final").months
+    before = store.read("final", since=FEB).inputFiles()
     store.replace_symbols("final", ("A", "B"), final("A", date(2024, 3, 5)))
-    after = store._newest("final").months
-    assert after["2024-02"] == before["2024-02"]
+    assert store.months("final") == {"2024-02", "2024-03"}
+    assert set(before) < set(store.read("final").inputFiles())
     assert {(r.symbol, r.dt) for r in store.read("final").collect()} == {("A", date(2024, 3, 5)), ("C", FEB)}
+
+
+def test_any_reader_of_the_catalog_or_the_folders_sees_the_rows(store, make_bars, spark):
+    store.upsert("raw_bars", make_bars([("A", JAN, 1.0), ("A", FEB, 2.0)]))
+    store.upsert("raw_bars", make_bars([("A", FEB, 3.0)]))
+    want = {("A", JAN, 1.0), ("A", FEB, 3.0)}
+    assert closes(spark.sql(f"SELECT * FROM {store.full_name('raw_bars')}")) == want
+    assert closes(spark.read.parquet(store.folder("raw_bars"))) == want
+    assert closes(spark.newSession().table(store.full_name("raw_bars"))) == want
+    store.delete("raw_bars", F.col("dt") == F.lit(FEB))
+    assert closes(spark.read.parquet(store.folder("raw_bars"))) == {("A", JAN, 1.0)}
+
+
+def test_tables_are_found_again_without_their_catalog(store, make_bars, spark):
+    store.upsert("raw_bars", make_bars([("A", JAN, 1.0), ("A", FEB, 2.0)]))
+    store.overwrite("models", spark.createDataFrame([("A", *[None] * 14)], schemas.MODELS))
+    spark.sql(f"DROP DATABASE {store.schema_name('raw_bars')} CASCADE")
+    again = TableStore(spark, store.root)
+    assert closes(again.read("raw_bars")) == {("A", JAN, 1.0), ("A", FEB, 2.0)}
+    assert again.read("models").count() == 1
+    assert not again.exists("final")
+
+
+def test_a_name_with_files_elsewhere_is_refused(store, spark, tmp_path, make_bars):
+    store.upsert("raw_bars", make_bars([("A", JAN, 1.0)]))
+    other = TableStore(spark, str(tmp_path / "other"), {"raw_bars": store.schema_name("raw_bars")})
+    with pytest.raises(OtherLocation):
+        other.read("raw_bars")
+
+
+def interrupted(store, monkeypatch, change):
+    """A change whose insert dies after the rows are staged."""
+
+    def dies(*_):
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(TableStore, "_insert", dies)
+        with pytest.raises(RuntimeError):
+            change()
+
+
+def test_an_interrupted_change_is_finished_first(store, make_bars, monkeypatch):
+    store.upsert("raw_bars", make_bars([("A", JAN, 1.0), ("A", FEB, 2.0), ("B", FEB, 2.0)]))
+    interrupted(store, monkeypatch, lambda: store.upsert("raw_bars", make_bars([("A", JAN, 5.0), ("A", FEB, 5.0)])))
+    # The swap had got as far as losing a month.
+    store._remove(f"{store.folder('raw_bars')}/month=2024-02")
+    assert store.upsert("raw_bars", make_bars([("C", JAN, 7.0)])) == 1
+    want = {("A", JAN, 5.0), ("A", FEB, 5.0), ("B", FEB, 2.0), ("C", JAN, 7.0)}
+    assert closes(store.read("raw_bars")) == want
+    assert not store.repair("raw_bars")
+
+
+def test_an_interrupted_delete_is_repaired(store, make_bars, monkeypatch):
+    store.upsert("raw_bars", make_bars([("A", JAN, 1.0), ("A", FEB, 2.0)]))
+    interrupted(store, monkeypatch, lambda: store.delete("raw_bars", F.col("dt") == F.lit(FEB)))
+    assert closes(store.read("raw_bars")) == {("A", JAN, 1.0), ("A", FEB, 2.0)}
+    assert store.repair("raw_bars")
+    assert closes(store.read("raw_bars")) == {("A", JAN, 1.0)} and store.months("raw_bars") == {"2024-01"}
+
+
+def test_unfinished_staging_is_no_change(store, make_bars):
+    store.upsert("raw_bars", make_bars([("A", JAN, 1.0)]))
+    make_bars([("A", JAN, 9.0)]).write.parquet(store._staging("raw_bars"))
+    store._remove(f"{store._staging('raw_bars')}/_SUCCESS")
+    assert not store.repair("raw_bars")
+    store.upsert("raw_bars", make_bars([("B", JAN, 2.0)]))
+    assert closes(store.read("raw_bars")) == {("A", JAN, 1.0), ("B", JAN, 2.0)}
+
+
+def test_rerun_after_a_crash_gives_the_same(store, make_bars, monkeypatch):
+    first = make_bars([("A", JAN, 1.0), ("A", FEB, 2.0)])
+    second = make_bars([("A", FEB, 3.0), ("B", JAN, 4.0)])
+    store.upsert("raw_bars", first)
+    interrupted(store, monkeypatch, lambda: store.upsert("raw_bars", second))
+    store.upsert("raw_bars", second)
+    assert closes(store.read("raw_bars")) == {("A", JAN, 1.0), ("A", FEB, 3.0), ("B", JAN, 4.0)}
+
+
+def test_session_setting_is_as_before(store, make_bars, spark):
+    store.upsert("raw_bars", make_bars([("A", JAN, 1.0)]))
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
+
+
+def test_kept_results_can_be_removed(store, make_bars):
+    one, two = store.keep(make_bars([("A", JAN, 1.0)])), store.keep(make_bars([]))
+    assert (one.count(), two.count()) == (1, 0)
+    with store.kept(make_bars([("A", JAN, 1.0)])) as rows:
+        folder = rows.inputFiles()[0].rsplit("/", 1)[0]
+        assert rows.count() == 1
+    assert not store._there(folder)
+    store.clear_kept()
+    assert not store._there(f"{store.root}/_kept")
