@@ -19,8 +19,13 @@ ORDERS_AS_OF = date(2001, 8, 2)
 # An earlier run over the same events, and the overlap in which the later run restates bars.
 FIRST_AS_OF = date(2024, 1, 28)
 RESTATED_FROM = date(2024, 1, 25)
+# Earlier runs whose predictions are compared with what came, and a range of days that cuts two months.
+EARLIER_RUNS = (date(2024, 1, 18), date(2024, 1, 22), date(2024, 1, 26))
+RANGE = (date(1998, 3, 15), date(2001, 5, 10))
 RUN_TS = datetime(2024, 1, 31, 6, 0, 0)
 
+LANDED_REVISION = {f.name: f.dataType.simpleString() for f in schemas.LANDED} | {"revision": "bigint"}
+
 EVENT_SYMBOLS = ("click", "error", "purchase", "signup", "view")
 ORDER_SYMBOLS = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
 

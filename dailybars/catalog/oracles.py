@@ -169,6 +169,98 @@ SELECT symbol, 'forecast', status, coalesce(k, 0),
 FROM fit LEFT JOIN made USING (symbol)"""
 
 
+# --- Holt, by recursion from row to row ---------------------------------------------------------
+
+_WEIGHTS = ", ".join(
+    f"({i}, {a}::DOUBLE, {b}::DOUBLE)"
+    for i, (a, b) in enumerate((a, b) for a in (0.1, 0.3, 0.5, 0.7, 0.9) for b in (0.05, 0.2, 0.5))
+)
+_SERIES = f"""SELECT symbol, dt, close, row_number() OVER (PARTITION BY symbol ORDER BY dt) AS i
+  FROM ({{bars}}) WHERE dt >= {EV_START} AND close IS NOT NULL"""
+
+
+def _holt(train: str) -> str:
+    """Common table expressions: f (state after each row, for each weight), best (the weights kept, with the state)."""
+    error = "(t.close - f.level - f.trend)"
+    return f"""RECURSIVE train AS ({train}),
+n AS (SELECT symbol, count(*) AS n, max(dt) AS last_dt FROM train GROUP BY symbol),
+grid(gi, a, b) AS (VALUES {_WEIGHTS}),
+f(symbol, gi, a, b, i, level, trend, sse) AS (
+  SELECT t.symbol, gi, a, b, t.i, t.close, t.close - z.close, 0::DOUBLE
+  FROM train t JOIN train z ON z.symbol = t.symbol AND z.i = 1 AND t.i = 2 CROSS JOIN grid
+  UNION ALL
+  SELECT f.symbol, gi, a, b, t.i, level + trend + a * {error}, trend + a * b * {error}, sse + {error} * {error}
+  FROM f JOIN train t ON t.symbol = f.symbol AND t.i = f.i + 1),
+best AS (
+  SELECT * FROM f JOIN n USING (symbol) WHERE f.i = n.n AND n.n >= 3
+  QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY sse, gi) = 1)"""
+
+
+_HOLT_SE = """sqrt(sse / (n - 2)) * sqrt(
+  1 + a * a * (({h} - 1) + b * ({h} - 1) * {h} + b * b * ({h} - 1) * {h} * (2 * {h} - 1) / 6.0))"""
+
+
+def _conformal(horizon: int) -> str:
+    """After _holt: bounds (symbol, h, p, w, m, se); w is the width, NULL with too few errors."""
+    return f"""e AS (
+  SELECT k.symbol, h, abs(t.close - f.level - h * f.trend) AS e
+  FROM best k JOIN f ON f.symbol = k.symbol AND f.gi = k.gi, range(1, {horizon + 1}) hs(h)
+  JOIN train t ON t.symbol = k.symbol AND t.i = f.i + h),
+l AS (SELECT symbol, h, list_sort(list(e)) AS es FROM e GROUP BY symbol, h),
+bounds AS (
+  SELECT k.symbol, hs.h, level + hs.h * trend AS p, coalesce(len(es), 0) AS m, k.n,
+    CASE WHEN ceil((len(es) + 1) * 0.8 - 1e-9) <= len(es) THEN es[CAST(ceil((len(es) + 1) * 0.8 - 1e-9) AS BIGINT)] END AS w,
+    {_HOLT_SE.format(h="hs.h")} AS se
+  FROM best k CROSS JOIN range(1, {horizon + 1}) hs(h) LEFT JOIN l ON l.symbol = k.symbol AND l.h = hs.h)"""
+
+
+HOLT_FORECAST = f"""WITH {_holt(_SERIES.format(bars=EV))},
+pred AS (SELECT symbol, last_dt + CAST(h AS INTEGER) AS day, level + h * trend AS p, {_HOLT_SE.format(h="h")} AS se
+  FROM best, range(1, 15) hs(h))
+{_predictions()}"""
+HOLT_USERS = f"""WITH {_holt(_SERIES.format(bars=USR))}
+SELECT n.symbol, n.n AS train_rows, CASE WHEN n.n >= 3 THEN 'ok' ELSE 'skipped' END AS status, a AS alpha, b AS beta,
+  round(level, 5) AS level, round(trend, 5) AS trend, round(sse, 5) AS sse
+FROM n LEFT JOIN best USING (symbol)"""
+CONFORMAL = f"""WITH {_holt(_SERIES.format(bars=USR))}, {_conformal(7)}
+SELECT symbol, CAST(h AS INTEGER) AS h, round(p, 5) AS close_pred, round(p - w, 5) AS lower_bound,
+  round(p + w, 5) AS upper_bound, CAST(m AS INTEGER) AS n_errors FROM bounds"""
+_SHORTENED = f"""SELECT * FROM (
+  SELECT *, count(*) OVER (PARTITION BY symbol) AS rows FROM ({_SERIES.format(bars=USR)})) WHERE rows >= 8"""
+Z80 = repr(NormalDist().inv_cdf(0.9))
+COVERAGE = f"""WITH {_holt(f"SELECT symbol, dt, close, i FROM ({_SHORTENED}) WHERE i <= rows - 5")}, {_conformal(5)},
+held AS (SELECT symbol, i - rows + 5 AS h, close FROM ({_SHORTENED}) WHERE i > rows - 5)
+SELECT CAST(h AS INTEGER) AS h, count(*) AS n_held_out, count(w) AS n_bounded,
+  count(*) FILTER (abs(close - p) <= w) AS n_inside, count(*) FILTER (abs(close - p) <= {Z80} * se) AS n_inside_normal
+FROM held JOIN bounds USING (symbol, h) GROUP BY h"""
+
+
+def _made(day: str) -> str:
+    bars = f"SELECT * FROM ({EV}) WHERE dt < DATE '{day}'"
+    return f"SELECT *, TIMESTAMP '{day}' AS made FROM (WITH {_forecast(bars, EV_START)} SELECT symbol, day, p, se FROM pred)"
+
+
+ACCURACY = f"""WITH made AS ({" UNION ALL ".join(_made(day) for day in ("2024-01-18", "2024-01-22", "2024-01-26"))}),
+a AS (SELECT symbol, dt, close, CAST(dt AS TIMESTAMP) AS at FROM ({EV}))
+SELECT a.symbol, CAST(dt AS VARCHAR) AS dt, close, round(p, 6) AS close_pred, CAST(made AS VARCHAR) AS created_at,
+  round(close - p, 6) AS error, round((close - p) / nullif(close, 0) * 100, 6) AS error_pct,
+  close BETWEEN p - {Z} * se AND p + {Z} * se AS inside
+FROM a ASOF LEFT JOIN made ON made.symbol = a.symbol AND made.day = a.dt AND a.at > made.made"""
+
+_UNPRICED = f"""SELECT symbol, dt, CASE WHEN day(dt) % 4 <> 2 THEN open END AS open,
+  CASE WHEN day(dt) % 3 <> 1 THEN close END AS close FROM ({_gaps(ORD)}) WHERE dt IS NOT NULL"""
+GAPPY_KPIS = f"""SELECT symbol, CAST(max(dt) AS VARCHAR) AS dt, arg_max(close, dt) AS close,
+  CAST(min(dt) AS VARCHAR) AS first_dt, CAST(max(dt) AS VARCHAR) AS last_dt, arg_min(close, dt) AS first_close,
+  round((arg_max(close, dt) / nullif(arg_min(close, dt), 0) - 1) * 100, 6) AS total_return_pct,
+  round(stddev_samp((close - open) / nullif(open, 0) * 100), 6) AS volatility
+FROM ({_UNPRICED}) WHERE close IS NOT NULL GROUP BY symbol"""
+RANGE_KPIS = f"""SELECT symbol, CAST(min(dt) AS VARCHAR) AS first_dt, CAST(max(dt) AS VARCHAR) AS last_dt,
+  arg_min(close, dt) AS first_close, arg_max(close, dt) AS last_close,
+  round((arg_max(close, dt) / nullif(arg_min(close, dt), 0) - 1) * 100, 9) AS total_return_pct,
+  round(stddev_samp((close - open) / nullif(open, 0) * 100), 9) AS volatility
+FROM ({ORD}) WHERE dt BETWEEN DATE '1998-03-15' AND DATE '2001-05-10' GROUP BY symbol"""
+
+
 # --- history ------------------------------------------------------------------------------------
 
 FIRST = _summary(EARLIER)
@@ -339,4 +431,18 @@ FROM (WITH o AS ({ORD}) SELECT * FROM o
     ),
     "full_run": _final(bars=_UPPER, as_of=AFTER_EVENTS),
     "stream_upsert": UPSERTED,
+    "stream_out_of_order": UPSERTED,
+    "bars_from_parts": f"SELECT {BARS} FROM ({EV})",
+    "summary_symbols_changed": _summary_shown(
+        f"SELECT * FROM ({ORD}) WHERE symbol IN ('2-HIGH', '3-MEDIUM', '5-LOW')"
+    ),
+    "kpi_with_gaps": GAPPY_KPIS,
+    "kpi_range_from_months": RANGE_KPIS,
+    "forecast_holt": HOLT_FORECAST,
+    "forecast_holt_users": HOLT_USERS,
+    "forecast_conformal": CONFORMAL,
+    "conformal_coverage": COVERAGE,
+    "forecast_function": f"""SELECT symbol, prediction_for, close_pred, lower_bound, upper_bound
+FROM ({EV_FORECAST}) WHERE symbol = 'click'""",
+    "forecast_accuracy": ACCURACY,
 }

@@ -18,7 +18,7 @@ from dailybars.catalog import inputs as data
 from dailybars.functions.symbols import safe_symbol as safe
 from dailybars.functions.symbols import symbols_in_text
 from dailybars.operators import bars as ops
-from dailybars.operators import checks, history, report
+from dailybars.operators import checks, history, holt, ranges, report
 from dailybars.operators import forecast as fc
 from dailybars.operators.merge import duplicate_keys, merge_rows, replace_forecasts
 from dailybars.plans import etl, forecasts, full, models
@@ -28,7 +28,7 @@ from dailybars.settings import DEFAULT_LOOKBACK_DAYS as LOOKBACK
 from dailybars.settings import DEFAULT_PREDICTION_INTERVAL as INTERVAL
 from dailybars.sources import landed
 from dailybars.sources.materialize import materialize
-from dailybars.streaming.landing import landed_stream, load_new_files
+from dailybars.streaming.landing import landed_stream, load_new_files, restate_days
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -331,6 +331,31 @@ def volatility_30_day(spark, sf_dir):
     return shown(ops.rolling_deviation(data.order_bars(spark, sf_dir)), ("volatility_30_day",))
 
 
+@query
+def kpi_with_gaps(spark, sf_dir):
+    """Days without a close or an open, some of them NaN; all three KPIs."""
+    day = F.dayofmonth("dt")
+    bars = data.with_gaps(data.order_bars(spark, sf_dir)).where(F.col("dt").isNotNull())
+    bars = bars.withColumn("close", F.when(day % 3 == 1, float("nan")).otherwise(F.col("close")))
+    bars = bars.withColumn("open", F.when(day % 4 == 2, float("nan")).otherwise(F.col("open")))
+    kpis = report.latest_price(bars).join(report.total_return(bars).drop("last_close"), "symbol")
+    return shown(kpis.join(report.volatility(bars), "symbol"), ("volatility", "total_return_pct"))
+
+
+@query
+def kpi_range_from_months(spark, sf_dir):
+    """A range of years from stored parts by month; only the two months that it cuts are read as bars."""
+    store, bars = data.new_store(spark), data.order_bars(spark, sf_dir)
+    store.upsert("raw_bars", bars)
+    store.upsert("kpi_months", ranges.month_parts(bars))
+    found = ranges.range_kpis(
+        lambda since, until: store.read("raw_bars", since, until),
+        store.read("kpi_months", data.RANGE[0].replace(day=1), data.RANGE[1]),
+        *data.RANGE,
+    )
+    return shown(found, ("total_return_pct", "volatility"), digits=9)
+
+
 # --- forecasts ----------------------------------------------------------------------------------
 
 
@@ -400,6 +425,60 @@ def forecast_business_days(spark, sf_dir):
     return shown(_event_forecast(spark, sf_dir, business_days=True), PREDICTIONS)
 
 
+@query
+def forecast_holt(spark, sf_dir):
+    fitted = holt.fit(_train(data.event_bars(spark, sf_dir), data.EVENTS_AS_OF))
+    return shown(fc.forecast(fitted, HORIZON, INTERVAL, data.RUN_TS, "holt"), PREDICTIONS)
+
+
+@query
+def forecast_holt_users(spark, sf_dir):
+    """Many short series: weights and state of each."""
+    fitted = holt.fit(_train(data.user_bars(spark, sf_dir), data.EVENTS_AS_OF))
+    chosen = fitted.select("symbol", "train_rows", "status", "alpha", "beta", "level", "trend", "sse")
+    return shown(chosen, ("level", "trend", "sse"), digits=5)
+
+
+@query
+def forecast_conformal(spark, sf_dir):
+    """Bounds from past errors by step; thin symbols have none for far steps."""
+    fitted = holt.fit(_train(data.user_bars(spark, sf_dir), data.EVENTS_AS_OF))
+    bounds = holt.conformal(fitted, 7, 0.8).select("symbol", "h", "close_pred", "lower_bound", "upper_bound", "n_errors")
+    return shown(bounds, PREDICTIONS, digits=5)
+
+
+@query
+def conformal_coverage(spark, sf_dir):
+    """How many held-out days lie inside both kinds of bounds, by step."""
+    train = _train(data.user_bars(spark, sf_dir), data.EVENTS_AS_OF)
+    return holt.coverage(train, 5, 0.8, fc.normal_quantile(0.8))
+
+
+@query
+def forecast_function(spark, sf_dir):
+    """Predictions by SQL from the stored models."""
+    store = _stored_events(spark, sf_dir)
+    forecasts.run_training(store, data.run_settings(data.EVENTS_AS_OF))
+    forecasts.register_forecast_function(store)
+    return shown(spark.sql("SELECT * FROM forecast_of('click', 14)"), PREDICTIONS)
+
+
+@query
+def forecast_accuracy(spark, sf_dir):
+    """Actual closes against the newest of several predictions that was made before the day."""
+    made = [
+        fc.forecast(
+            fc.fit(_train(data.event_bars(spark, sf_dir, end=day), data.EVENTS_AS_OF), with_steps=False),
+            HORIZON, INTERVAL, datetime.combine(day, datetime.min.time()),
+        )
+        for day in data.EARLIER_RUNS
+    ]
+    predictions = made[0].unionByName(made[1]).unionByName(made[2])
+    return shown(
+        report.prediction_errors(data.event_bars(spark, sf_dir), predictions), ("close_pred", "error", "error_pct")
+    )
+
+
 @query
 def forecasts_from_as_of(spark, sf_dir):
     made_earlier = _event_forecast(spark, sf_dir, end=data.FIRST_AS_OF)
@@ -635,3 +714,38 @@ def stream_upsert(spark, sf_dir):
         data.as_landed(bars).write.mode("append").parquet(landing)
         load_new_files(store, landed_stream(spark, landing), checkpoint).awaitTermination()
     return shown(store.read("raw_bars"))
+
+
+@query
+def stream_out_of_order(spark, sf_dir):
+    """The newer file is picked up first; the older one, in a later batch, does not take its rows back."""
+    store, landing = data.new_store(spark), work_dir(spark, "landing")
+    checkpoint, schema = work_dir(spark, "stream"), schemas.schema(**data.LANDED_REVISION)
+    for revision, bars in ((2, data.incoming_bars(spark, sf_dir)), (1, data.earlier_bars(spark, sf_dir))):
+        rows = data.as_landed(bars).withColumn("revision", F.lit(revision).cast("bigint"))
+        rows.write.mode("append").parquet(landing)
+        stream = landed_stream(spark, landing, schema=schema)
+        load_new_files(store, stream, checkpoint, revision="revision").awaitTermination()
+    return shown(store.read("raw_bars"))
+
+
+@query
+def bars_from_parts(spark, sf_dir):
+    """Ticks in three deliveries that share days, one of them delivered twice, in no order."""
+    store, ticks = data.new_store(spark), data.table(spark, sf_dir, "events")
+    for part in (2, 0, 1, 0):
+        delivery = ticks.where(F.col("event_id") % 3 == part)
+        restate_days(store, delivery, f"part {part}", "event_type", "ts", "value", "event_id")
+    return shown(store.read("raw_bars"))
+
+
+@query
+def summary_symbols_changed(spark, sf_dir):
+    """An incremental build after a symbol has left the run and another one, with years of bars, has joined."""
+    store = data.new_store(spark)
+    store.upsert("raw_bars", data.order_bars(spark, sf_dir))
+    before = data.run_settings(data.ORDERS_AS_OF - timedelta(days=40), symbols=data.ORDER_SYMBOLS[:3])
+    after = data.run_settings(data.ORDERS_AS_OF, symbols=(*data.ORDER_SYMBOLS[1:3], data.ORDER_SYMBOLS[4]))
+    models.build_summary(store, before)
+    models.refresh_summary(store, after, after.ingest_start)
+    return shown(store.read("stock_summary"), AVERAGES)

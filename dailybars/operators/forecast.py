@@ -1,12 +1,13 @@
 """Forecasts of the close for all symbols at once, and the table of actuals and forecasts.
 
 Training is one aggregation per symbol, forecasting a projection over its result: no per-symbol
-job, no Python in the tasks. Two methods:
+job, no Python in the tasks. Three methods:
 
 trend   straight line through the closes, x = days since the first training day
         pred = a + b x;  se = s sqrt(1 + 1/n + (x - mean_x)^2 / Sxx);  s^2 = (Syy - Sxy^2/Sxx)/(n-2)
 drift   the last close carried on by the mean step
         pred = y_n + h d;  se = s sqrt(h (1 + h/(n-1)));  s = sample deviation of the steps
+holt    level and trend that follow the closes (see holt.py)
 
 Bounds are pred -/+ z se, z being the normal quantile of the prediction interval.
 """
@@ -22,6 +23,7 @@ from pyspark.sql import functions as F
 
 from dailybars import schemas
 from dailybars.functions.times import moment
+from dailybars.operators import holt
 from dailybars.operators.bars import lookback
 
 MIN_TRAIN_ROWS = 3
@@ -46,6 +48,13 @@ def keep_other_symbols(
     return others.unionByName(fresh.select(*existing.columns))
 
 
+def as_models(fitted: DataFrame) -> DataFrame:
+    """In the columns of the stored models; what a method does not have is NULL."""
+    return fitted.select(
+        *(F.col(f.name) if f.name in fitted.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in schemas.MODELS)
+    )
+
+
 def train_counts(train: DataFrame) -> DataFrame:
     return train.groupBy("symbol").agg(F.count(F.lit(1)).alias("train_rows"))
 
@@ -138,6 +147,8 @@ def forecast(
         off_centre = x - F.col("mean_x")
         spread = F.lit(1.0) + F.lit(1.0) / n + off_centre * off_centre / F.col("sxx")
         error = F.sqrt(residual / (n - 2)) * F.sqrt(spread)
+    elif method == "holt":
+        pred, error = holt.prediction(h), holt.standard_error(h)
     elif method == "drift":
         pred = F.col("last_close") + h * F.col("step")
         error = F.col("step_sd") * F.sqrt(h * (F.lit(1.0) + h / (n - 1)))
@@ -238,3 +249,22 @@ LEGACY_NAMES = {
 
 def legacy_names(final: DataFrame) -> DataFrame:
     return final.withColumnsRenamed(LEGACY_NAMES)
+
+
+def forecast_sql(prediction_interval: float = 0.95) -> str:
+    """Trend or Holt predictions of the symbol ``wanted`` for ``horizon`` days, as SQL over ``{models}``."""
+    z = repr(normal_quantile(prediction_interval))
+    return f"""
+  WITH m AS (
+    SELECT *, date_add(last_dt, h) AS day, CAST(date_diff(date_add(last_dt, h), first_dt) AS DOUBLE) AS x
+    FROM {{models}} LATERAL VIEW explode(sequence(1, greatest(horizon, 1))) steps AS h
+    WHERE symbol = wanted AND status = 'ok' AND h <= horizon),
+  p AS (
+    SELECT symbol, day, CASE WHEN level IS NULL THEN intercept + slope * x ELSE level + h * trend END AS pred,
+      CASE WHEN level IS NULL
+        THEN sqrt(greatest(syy - sxy * sxy / sxx, 0D) / (train_rows - 2))
+             * sqrt(1 + 1D / train_rows + (x - mean_x) * (x - mean_x) / sxx)
+        ELSE sqrt(sse / (train_rows - 2)) * sqrt(1 + alpha * alpha
+             * (h - 1 + beta * (h - 1) * h + beta * beta * (h - 1) * h * (2 * h - 1) / 6D)) END AS se
+    FROM m)
+  SELECT symbol, day, pred, pred - {z}D * se, pred + {z}D * se FROM p"""

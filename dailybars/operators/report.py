@@ -8,6 +8,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dailybars.functions.prices import daily_return_pct
+from dailybars.operators.asof import asof_join
+
+
+def _priced(bars: DataFrame) -> DataFrame:
+    """Rows with a close; NaN is none."""
+    return bars.where(F.col("close").isNotNull() & ~F.isnan("close"))
 
 
 def _between(bars: DataFrame, start: date | None, end: date | None) -> DataFrame:
@@ -20,7 +26,7 @@ def _between(bars: DataFrame, start: date | None, end: date | None) -> DataFrame
 
 def latest_price(bars: DataFrame) -> DataFrame:
     return (
-        bars.where(F.col("close").isNotNull())
+        _priced(bars)
         .groupBy("symbol")
         .agg(F.max("dt").alias("dt"), F.max_by("close", "dt").alias("close"))
     )
@@ -29,8 +35,7 @@ def latest_price(bars: DataFrame) -> DataFrame:
 def total_return(bars: DataFrame, start: date | None = None, end: date | None = None) -> DataFrame:
     """Last close against first close in [start, end], in percent."""
     ends = (
-        _between(bars, start, end)
-        .where(F.col("close").isNotNull())
+        _priced(_between(bars, start, end))
         .groupBy("symbol")
         .agg(
             F.min("dt").alias("first_dt"),
@@ -44,11 +49,12 @@ def total_return(bars: DataFrame, start: date | None = None, end: date | None =
 
 
 def volatility(bars: DataFrame, start: date | None = None, end: date | None = None) -> DataFrame:
+    """Sample deviation of the daily return; days without an open (NaN is none) have no return."""
+    there = F.when(~F.isnan("open"), daily_return_pct())
     return (
-        _between(bars, start, end)
-        .where(F.col("close").isNotNull())
+        _priced(_between(bars, start, end))
         .groupBy("symbol")
-        .agg(F.stddev_samp(daily_return_pct()).alias("volatility"))
+        .agg(F.stddev_samp(there).alias("volatility"))
     )
 
 
@@ -61,3 +67,25 @@ def actual_and_predicted(final: DataFrame, symbol: str | None = None) -> DataFra
     """Actuals and forecasts, newest first; a distributed sort."""
     rows = final if symbol is None else final.where(F.col("symbol") == F.lit(symbol))
     return rows.orderBy(F.col("dt").desc())
+
+
+def prediction_errors(bars: DataFrame, predictions: DataFrame) -> DataFrame:
+    """Each actual close with the newest prediction for its day that was made before that day; NULL without one.
+
+    ``predictions`` may hold many for a day, made at different times (``forecast_archive``).
+    """
+    actual = _priced(bars).select("symbol", "dt", "close", F.col("dt").cast("timestamp_ntz").alias("day"))
+    made = predictions.select(
+        "symbol", F.col("prediction_for").alias("dt"), "close_pred", "lower_bound", "upper_bound", "created_at"
+    )
+    error = F.col("close") - F.col("close_pred")
+    return asof_join(actual, made, ["symbol", "dt"], "day", "created_at").select(
+        "symbol",
+        "dt",
+        "close",
+        "close_pred",
+        "created_at",
+        error.alias("error"),
+        (F.try_divide(error, F.col("close")) * F.lit(100)).alias("error_pct"),
+        F.col("close").between(F.col("lower_bound"), F.col("upper_bound")).alias("inside"),
+    )

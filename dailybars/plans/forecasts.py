@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dailybars.operators import forecast as fc
+from dailybars.operators import holt
 from dailybars.operators.merge import replace_forecasts
 from dailybars.plans.etl import requested_symbols
 from dailybars.settings import Settings
@@ -29,8 +30,12 @@ def _models(store: TableStore, settings: Settings) -> DataFrame:
 def run_training(store: TableStore, settings: Settings) -> DataFrame:
     """Fit every symbol and keep the parameters."""
     train = fc.train_rows(_bars(store, settings), settings.as_of, settings.train_lookback_days)
-    fitted = fc.fit(train, with_steps=settings.method == "drift")
-    store.overwrite("models", fc.keep_other_symbols(store.read("models"), fitted, settings.symbols))
+    if settings.method == "holt":
+        fitted = holt.fit(train)
+    else:
+        fitted = fc.fit(train, with_steps=settings.method == "drift")
+    models = fc.keep_other_symbols(store.read("models"), fc.as_models(fitted), settings.symbols)
+    store.overwrite("models", models)
     return _models(store, settings)
 
 
@@ -46,6 +51,8 @@ def run_forecast(store: TableStore, settings: Settings) -> DataFrame:
         settings.method,
         settings.business_days,
     )
+    if settings.keep_predictions:
+        store.upsert("forecast_archive", fresh)
     # Predictions start after the last training day, which may lie some days before the run date.
     earliest = models.where(F.col("status") == "ok").agg(F.min("last_dt")).first()[0]
     if earliest is not None:
@@ -66,3 +73,18 @@ def run_forecast(store: TableStore, settings: Settings) -> DataFrame:
     requested = requested_symbols(store.spark, settings)
     store.overwrite("forecast_outcomes", fc.outcomes(models, forecasts, settings.as_of, requested))
     return store.read("forecast_outcomes")
+
+
+def register_forecast_function(store: TableStore, name: str = "forecast_of") -> None:
+    """An SQL table function over the stored models: ``SELECT * FROM forecast_of('AAPL', 14)``.
+
+    It predicts with the method that each model was trained for, every day, like a run without business days. Bounds
+    are those of the default interval.
+    """
+    predicted = fc.forecast_sql()
+    store.ensure(["models"])
+    store.spark.sql(
+        f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(wanted STRING, horizon INT) "
+        "RETURNS TABLE (symbol STRING, prediction_for DATE, close_pred DOUBLE, lower_bound DOUBLE, upper_bound DOUBLE) "
+        f"RETURN {predicted.format(models=store.full_name('models'))}"
+    )

@@ -51,10 +51,14 @@ def store_for(spark: SparkSession, root: str, settings: Settings, prefix: str =
         root,
         {
             "raw_bars": raw,
+            "partial_bars": raw,
+            "arrivals": raw,
             "models": analytics,
             "forecasts": analytics,
+            "forecast_archive": analytics,
             "final": analytics,
             "stock_summary": analytics,
+            "kpi_months": analytics,
             "summary_tail": analytics,
             "snapshot": snapshot,
             "etl_outcomes": raw,

@@ -34,6 +34,33 @@ RAW_BARS = schema(**_BAR)
 STOCK_SUMMARY = schema(**_SUMMARY)
 # The last rows of each symbol before a month, from which the moving averages of that month start.
 SUMMARY_TAIL = schema(**_BAR, before="date")
+# What a delivery of ticks says about a day; see operators/partials.
+PARTIAL_BARS = schema(
+    symbol="string",
+    dt="date",
+    delivery="string",
+    first_at="bigint",
+    first_price="double",
+    high="double",
+    low="double",
+    last_at="bigint",
+    last_price="double",
+    n="bigint",
+)
+# What a month of a symbol says about a range's KPIs; see operators/ranges.
+KPI_MONTHS = schema(
+    symbol="string",
+    month_dt="date",
+    first_dt="date",
+    first_close="double",
+    last_dt="date",
+    last_close="double",
+    n="bigint",
+    mean="double",
+    m2="double",
+)
+# The revision (time of landing) that each stored bar came from.
+ARRIVALS = schema(symbol="string", dt="date", revision="bigint")
 TRAIN = schema(symbol="string", ts="timestamp_ntz", close="double")
 MODELS = schema(
     symbol="string",
@@ -51,6 +78,11 @@ MODELS = schema(
     syy="double",
     step="double",
     step_sd="double",
+    alpha="double",
+    beta="double",
+    level="double",
+    trend="double",
+    sse="double",
 )
 FORECASTS = schema(
     symbol="string",

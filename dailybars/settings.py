@@ -30,7 +30,7 @@ VARIABLE_NAMES = {
     "analytics_schema": ("sf_analytics_schema",),
 }
 
-METHODS = ("trend", "drift")
+METHODS = ("trend", "drift", "holt")
 SNAPSHOT_STRATEGIES = ("timestamp", "check")
 
 
@@ -39,7 +39,7 @@ class Settings:
     """One run. ``symbols=None`` means every symbol found in the data; given ones are trimmed and upper-cased.
 
     ``lenient`` leaves out rows that do not fit and counts them; ``legacy_final`` shows the final table by symbol
-    under its older column names.
+    under its older column names; ``keep_predictions`` keeps what each run predicted, for comparison with what came.
     """
 
     as_of: date
@@ -55,6 +55,7 @@ class Settings:
     strict_replace: bool = False
     lenient: bool = False
     legacy_final: bool = False
+    keep_predictions: bool = False
     snapshot_strategy: str = "timestamp"
     run_ts: datetime | None = None
 

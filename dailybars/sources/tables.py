@@ -61,11 +61,15 @@ TABLES = {
     table.name: table
     for table in (
         Table("raw_bars", schemas.RAW_BARS, ("symbol", "dt"), "dt"),
+        Table("partial_bars", schemas.PARTIAL_BARS, ("symbol", "dt", "delivery"), "dt"),
+        Table("arrivals", schemas.ARRIVALS, ("symbol", "dt"), "dt"),
         Table("models", schemas.MODELS, ("symbol",), None),
         Table("forecasts", schemas.FORECASTS, ("symbol", "prediction_for"), "prediction_for"),
+        Table("forecast_archive", schemas.FORECASTS, ("symbol", "prediction_for", "created_at"), "prediction_for"),
         Table("final", schemas.FINAL, ("symbol", "dt", "source"), "dt"),
         Table("stock_summary", schemas.STOCK_SUMMARY, ("symbol", "dt"), "dt"),
         Table("summary_tail", schemas.SUMMARY_TAIL, ("symbol", "dt"), None),
+        Table("kpi_months", schemas.KPI_MONTHS, ("symbol", "month_dt"), "month_dt"),
         Table("snapshot", schemas.SNAPSHOT, ("symbol", "dt", "scd_id"), "dt"),
         Table("etl_outcomes", schemas.OUTCOMES, ("symbol", "stage"), None),
         Table("forecast_outcomes", schemas.OUTCOMES, ("symbol", "stage"), None),

