@@ -8,20 +8,23 @@ different ones different, and the holder of the key can reverse it. Digits that
 At each start the longest fit is tried first, then every shorter one that ends there as a value may end (an IBAN: first the
 length of its country), so that what follows a value does not hide it: a card before its expiry, an IBAN before a currency.
 
-Kinds: card, iban, ssn, phone, ip, date, email, secret (32 and more hexadecimal digits).
+Kinds: card, iban, ssn, phone, ip, ipv6, date, email, secret (32 and more hexadecimal digits). Digits are ASCII ones.
 
 Nulls: a null text stays null, with nothing found; other columns pass through. Repeated rows are treated alike. An
-empty table gives no rows.
+empty table gives no rows. Very long texts and values are read whole, in time that follows their length. Of kinds that
+fit at one place the first in the list above KINDS counts; of values that overlap the one that starts first.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from calendar import monthrange
 from collections.abc import Callable, Iterator
 from datetime import date
 from functools import lru_cache
+from ipaddress import AddressValueError, IPv6Address
 from math import isqrt
 
 import pyarrow as pa
@@ -63,7 +66,8 @@ class Feistel:
             return x
         a = isqrt(n - 1) + 1
         b = -(-n // a)
-        marked = f"{tweak}/{n}".encode()
+        # Decimal as long as Python writes numbers so.
+        marked = f"{tweak}/{n}".encode() if n.bit_length() < 4096 else f"{tweak}/x{n:x}".encode()
         while True:
             x = self._pass(x, a, b, marked, back)
             if x < n:
@@ -100,8 +104,27 @@ def _card(value: str, permute: Permute) -> str | None:
 ALPHABETS = ("0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ")
 
 
+#: Longer values are permuted block by block: big numbers cost the square of their length.
+BLOCK = 256
+
+
 def _by_class(value: str, permute: Permute, tweak: str, alphabets=ALPHABETS) -> str:
-    """Every character of an alphabet becomes another of the same alphabet; the rest stays."""
+    """Every character of an alphabet becomes another of the same alphabet; the rest stays.
+
+    A value of more than one block has each block permuted under a digest of all that is before it in the value, so that
+    the whole stays one to one, and blocks that two values share differ once anything before them does.
+    """
+    if len(value) <= BLOCK:
+        return _block(value, permute, tweak, alphabets)
+    before, out = hashlib.blake2b(digest_size=16), []
+    for at in range(0, len(value), BLOCK):
+        part = value[at : at + BLOCK]
+        out.append(_block(part, permute, f"{tweak}/{at}/{before.hexdigest()}", alphabets))
+        before.update(part.encode())
+    return "".join(out)
+
+
+def _block(value: str, permute: Permute, tweak: str, alphabets) -> str:
     number, size, own = 0, 1, []
     for c in value:
         alphabet = next((a for a in alphabets if c in a), None)
@@ -163,9 +186,25 @@ def _ip(value: str, permute: Permute) -> str | None:
     return ".".join(map(str, x.to_bytes(4, "big")))
 
 
+def _ipv6(value: str, permute: Permute) -> str | None:
+    try:
+        IPv6Address(value)
+    except AddressValueError:
+        return None
+    upper, lower = value != value.lower(), value != value.upper()
+    if upper and lower:
+        return None
+    return _by_class(value, permute, "ipv6", HEX[upper])
+
+
 FIRST_DAY, LAST_DAY = date(1900, 1, 1).toordinal(), date(2099, 12, 31).toordinal()
 
 
+@lru_cache(1)
+def month_first_days() -> list[int]:
+    return [day for day in range(FIRST_DAY, LAST_DAY + 1) if date.fromordinal(day).day > 12]
+
+
 def _date(value: str, permute: Permute) -> str | None:
     parts = re.split(r"\D", value)
     order = "ymd" if len(parts[0]) == 4 else "dmy"
@@ -175,12 +214,14 @@ def _date(value: str, permute: Permute) -> str | None:
     y, m, d = found["y"], found["m"], found["d"]
     if not (1900 <= y <= 2099 and 1 <= m <= 12 and 1 <= d <= monthrange(y, m)[1]):
         return None
-    day = permute(date(y, m, d).toordinal() - FIRST_DAY, LAST_DAY - FIRST_DAY + 1, "date")
-    new = date.fromordinal(FIRST_DAY + day)
+    day = date(y, m, d).toordinal()
+    if order == "mdy":
+        # Only a day above 12 shows that the month comes first; the new date has one, too.
+        days = month_first_days()
+        new = date.fromordinal(days[permute(bisect_left(days, day), len(days), "date/mdy")])
+    else:
+        new = date.fromordinal(FIRST_DAY + permute(day - FIRST_DAY, LAST_DAY - FIRST_DAY + 1, "date"))
     written = {"y": f"{new.year:04d}", "m": f"{new.month:02d}", "d": f"{new.day:02d}"}
-    # Read again, the new value must be the same date: a day of 12 or less would swap with the month.
-    if order == "mdy" and new.day <= 12:
-        order = "dmy"
     separators = re.findall(r"\D", value)
     return written[order[0]] + separators[0] + written[order[1]] + separators[1] + written[order[2]]
 
@@ -203,21 +244,26 @@ def _secret(value: str, permute: Permute) -> str | None:
 KINDS: dict[str, tuple[str, Callable]] = {
     "email": (r"[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}", _email),
     "secret": (r"[0-9a-f]{32,}|[0-9A-F]{32,}", _secret),
-    "iban": (r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]){11,30}", _iban),
-    "card": (r"\d(?:[ -]?\d){12,18}", _card),
-    "ip": (r"\d{1,3}(?:\.\d{1,3}){3}", _ip),
-    "date": (r"\d{4}([-/.])\d{1,2}\1\d{1,2}|\d{1,2}([-/.])\d{1,2}\2\d{4}", _date),
-    "ssn": (r"\d{3}-\d{2}-\d{4}", _ssn),
+    "iban": (r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}", _iban),
+    "card": (r"[0-9](?:[ -]?[0-9]){12,18}", _card),
+    "ip": (r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}", _ip),
+    "ipv6": (r"[0-9A-Fa-f]{1,4}(?::{1,2}[0-9A-Fa-f]{1,4}){2,7}", _ipv6),
+    "date": (r"[0-9]{4}([-/.])[0-9]{1,2}\1[0-9]{1,2}|[0-9]{1,2}([-/.])[0-9]{1,2}\2[0-9]{4}", _date),
+    "ssn": (r"[0-9]{3}-[0-9]{2}-[0-9]{4}", _ssn),
     "phone": (
-        r"\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}|\(\d{3}\) ?\d{3}[ .-]\d{4}"
-        r"|\d{3}[.-]\d{3}[.-]\d{4}",
+        r"\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}"
+        r"|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}",
         _phone,
     ),
 }
 #: What must not follow: the value would go on. A time may follow a date.
-TAILS = dict.fromkeys(KINDS, r"[\w@]|[.-]\d") | {"email": r"[\w@]", "date": r"(?![Tt]\d\d)[\w@]|[.-]\d"}
+TAILS = dict.fromkeys(KINDS, r"[\w@]|[.-]\d") | {
+    "email": r"[\w@]", "date": r"(?![Tt]\d\d)[\w@]|[.-]\d", "ipv6": r"[\w@:]|[.-]\d",
+}
+#: What must not precede.
+HEADS = {"email": r"(?<![\w.%+-])", "ipv6": r"(?<![\w.@+:])"}
 PATTERNS = {
-    kind: re.compile(rf"{r'(?<![\w.%+-])' if kind == 'email' else r'(?<![\w.@+])'}(?:{pattern})(?!{TAILS[kind]})")
+    kind: re.compile(rf"{HEADS.get(kind, r'(?<![\w.@+])')}(?:{pattern})(?!{TAILS[kind]})")
     for kind, (pattern, _) in KINDS.items()
 }
 WHOLE = {kind: re.compile(pattern) for kind, (pattern, _) in KINDS.items()}

@@ -1,4 +1,7 @@
+import ipaddress
 import re
+import time
+from datetime import date
 
 import pytest
 from hypothesis import given, settings
@@ -124,3 +127,56 @@ def test_a_continuing_number_is_no_value():
     rewrite = Pseudonyms(KEY).rewrite
     for text in ("1.2.3.4.5", "2024-01-05-07", "2024-01-05Tx", "123-45-6789-1", "97.51.17.173x", "GB83 WEST 1234 5698 7654 32 BIC X"):
         assert rewrite(text) == (text, [])
+
+
+@pytest.mark.parametrize("value", ["3f" * 1800, "ab12" * 250_000, "q" * 3_100 + "@mail.example.com", "a1.b" * 200_000 + "@x.org"])
+def test_values_of_any_length_in_linear_time(value):
+    started = time.time()
+    new, spans = Pseudonyms(b"k").rewrite(f"see {value} end")
+    assert time.time() - started < 30
+    assert len(new) == len(value) + 8 and new != f"see {value} end" and [(a, b) for _, a, b in spans] == [(4, 4 + len(value))]
+    assert Pseudonyms(b"k").rewrite(f"and {value}")[0][4:] == new[4:-4]
+
+
+@pytest.mark.parametrize("text", ["7" * 1_000_000, "x" * 1_000_000, "1 " * 300_000, "1:2:" * 200_000, "a.b" * 300_000])
+def test_long_runs_that_are_no_values(text):
+    started = time.time()
+    Pseudonyms(b"k").rewrite(text)
+    assert time.time() - started < 60
+
+
+def test_blocks_depend_on_what_is_before_them():
+    tail = "0123456789abcdef" * 40
+    one, two = (Pseudonyms(b"k").rewrite(head + tail)[0] for head in ("a" * 256, "a" * 255 + "b"))
+    assert one[300:] != two[300:]
+    assert len({Pseudonyms(b"k").rewrite("a" * 256 + tail[:-1] + c)[0] for c in "0123456789abcdef"}) == 16
+
+
+def test_month_first_dates_stay_month_first():
+    rewrite = Pseudonyms(b"k").rewrite
+    written = {}
+    for ordinal in range(date(2000, 1, 1).toordinal(), date(2003, 1, 1).toordinal()):
+        day = date.fromordinal(ordinal)
+        if day.day > 12:
+            new = rewrite(day.strftime("%m/%d/%Y"))[0]
+            month, of_month, _ = map(int, new.split("/"))
+            assert month <= 12 < of_month
+            written[new] = day
+    assert len(written) == sum(date.fromordinal(d).day > 12 for d in range(date(2000, 1, 1).toordinal(), date(2003, 1, 1).toordinal()))
+
+
+def test_other_digits_are_left_alone():
+    arabic = "٤١١١ ١١١١ ١١١١ ١١١١"
+    assert Pseudonyms(b"k").rewrite(f"no. 5, {arabic}")[0].endswith(arabic)
+
+
+def test_ipv6():
+    rewrite = Pseudonyms(b"k").rewrite
+    for value in ("2001:db8:85a3:0:0:8a2e:370:7334", "fe80::1ff:fe23:4567:890a", "FE80::0202:B3FF:FE1E:8329"):
+        new, spans = rewrite(f"from {value}, again {value}")
+        one = new.split()[1].rstrip(",")
+        assert [kind for kind, *_ in spans] == ["ipv6", "ipv6"] and new.endswith(one) and one != value
+        assert [len(g) for g in one.split(":")] == [len(g) for g in value.split(":")]
+        ipaddress.IPv6Address(one)
+    for text in ("at 12:30:45 sharp", "ratio 1:2:3", "std::vector::size", "1:2:3:4:5:6:7:8:9"):
+        assert rewrite(text) == (text, [])
