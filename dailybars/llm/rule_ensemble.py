@@ -185,7 +185,12 @@ def accepted(docs: DataFrame, model: Ensemble, accept: float = 0.7) -> DataFrame
     texts = whole.select(
         F.col("row_.doc_id").alias("doc_id"), F.coalesce("row_.text", F.lit("")).alias("text"), "row_"
     )
-    kept = statistics(texts, "row_").where(model.score() >= accept)
+    # A filter on the score would be pushed below it, and every statistic written out again in every rule. Spark pushes
+    # nothing through a projection with a running number, as long as the number is used.
+    marked = statistics(texts, "row_").select(
+        "row_", model.score().alias("score_"), F.monotonically_increasing_id().alias("mark_")
+    )
+    kept = marked.where((F.col("score_") >= accept) & (F.col("mark_") >= 0))
     return kept.select(*[F.col("row_")[field.name].alias(field.name) for field in own])
 
 
