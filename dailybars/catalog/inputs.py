@@ -22,6 +22,7 @@ RESTATED_FROM = date(2024, 1, 25)
 # Earlier runs whose predictions are compared with what came, and a range of days that cuts two months.
 EARLIER_RUNS = (date(2024, 1, 18), date(2024, 1, 22), date(2024, 1, 26))
 RANGE = (date(1998, 3, 15), date(2001, 5, 10))
+RESTATED_MONTH = date(2000, 7, 1)
 RUN_TS = datetime(2024, 1, 31, 6, 0, 0)
 
 LANDED_REVISION = {f.name: f.dataType.simpleString() for f in schemas.LANDED} | {"revision": "bigint"}

@@ -310,6 +310,22 @@ def _first_history(bars: str) -> str:
 FROM ({_summary(bars)}) t"""
 
 
+def _restated(by: int) -> str:
+    return _summary(
+        f"""SELECT symbol, dt, open, high, low,
+  CASE WHEN date_trunc('month', dt) = DATE '2000-07-01' THEN close + {by} ELSE close END AS close, volume FROM ({ORD})"""
+    )
+
+
+RESTATED_MONTH = f"""WITH f AS ({_restated(0)}), s AS ({_restated(1)}), versions AS (
+SELECT f.*, md5(f.symbol || f.dt || '|' || f.dt) AS scd_id, CAST(f.dt AS VARCHAR) AS updated_at,
+  CAST(CAST(f.dt AS TIMESTAMP) AS VARCHAR) AS valid_from,
+  CASE WHEN date_trunc('month', f.dt) = DATE '2000-07-01' THEN {RUN} END AS valid_to FROM f
+UNION ALL
+SELECT s.*, md5(s.symbol || s.dt || '|' || {RUN}), CAST(s.dt AS VARCHAR), {RUN}, NULL::VARCHAR
+FROM s WHERE date_trunc('month', s.dt) = DATE '2000-07-01')
+SELECT {SUMMARY_COLUMNS}, scd_id, updated_at, valid_from, valid_to FROM versions"""
+
 _UPPER = f"SELECT upper(symbol) AS symbol, * EXCLUDE (symbol) FROM ({EV})"
 
 ORACLES: dict[str, str] = {
@@ -432,6 +448,10 @@ FROM (WITH o AS ({ORD}) SELECT * FROM o
     "full_run": _final(bars=_UPPER, as_of=AFTER_EVENTS),
     "stream_upsert": UPSERTED,
     "stream_out_of_order": UPSERTED,
+    "snapshot_restated_month": RESTATED_MONTH,
+    "etl_quarantine": f"""SELECT symbol, count(*) AS n_rows, CAST(max(dt) AS VARCHAR) AS dt,
+  (SELECT count(*) FROM ({EV}) WHERE day(dt) = 5) AS n_rejected, (SELECT count(*) FROM ({EV}) WHERE day(dt) = 5) AS n_counted
+FROM ({_UPPER}) WHERE day(dt) <> 5 GROUP BY symbol""",
     "bars_from_parts": f"SELECT {BARS} FROM ({EV})",
     "summary_symbols_changed": _summary_shown(
         f"SELECT * FROM ({ORD}) WHERE symbol IN ('2-HIGH', '3-MEDIUM', '5-LOW')"

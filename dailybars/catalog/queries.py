@@ -644,6 +644,36 @@ def etl_run(spark, sf_dir):
     return shown(store.read("raw_bars"))
 
 
+@query
+def etl_quarantine(spark, sf_dir):
+    """Every line of one day is cut off in the middle: the others load, these are kept as they came, and counted."""
+    bars, path = data.event_bars(spark, sf_dir), work_dir(spark, "landing")
+    line = F.to_json(F.struct(F.col("dt").alias("Date"), *schemas.VALUE_COLUMNS, F.col("symbol").alias("Symbol")))
+    cut = F.when(F.dayofmonth("dt") == 5, F.substring(line, 1, 40)).otherwise(line)
+    bars.select(cut.alias("value")).write.text(path)
+    store = data.new_store(spark)
+    etl.run_etl(store, data.run_settings(data.day_after(bars), quarantine=True), path)
+    rejected = store.read("rejected_lines").agg(F.sum("n_lines").alias("n_rejected"))
+    counted = store.read("etl_outcomes").where("stage = 'read'").select(F.col("n_rows").alias("n_counted"))
+    loaded = store.read("raw_bars").groupBy("symbol").agg(F.count(F.lit(1)).alias("n_rows"), F.max("dt").alias("dt"))
+    both = rejected.withColumn("one", F.lit(1)).join(counted.withColumn("one", F.lit(1)), "one", "left")
+    return shown(loaded.withColumn("one", F.lit(1)).join(both, "one").drop("one"))
+
+
+@query
+def snapshot_restated_month(spark, sf_dir):
+    """Two runs over years of days; a month restated in between is the only one compared."""
+    store = data.new_store(spark)
+    settings = data.run_settings(data.EVENTS_AS_OF, snapshot_strategy="check")
+    bars = data.order_bars(spark, sf_dir)
+    for by in (0, 1):
+        restated = F.trunc("dt", "month") == F.lit(data.RESTATED_MONTH)
+        close = F.when(restated, F.col("close") + by).otherwise(F.col("close"))
+        store.overwrite("stock_summary", ops.summary(bars.withColumn("close", close)))
+        models.take_snapshot(store, settings)
+    return shown(store.read("snapshot"), AVERAGES)
+
+
 @query
 def forecast_run(spark, sf_dir):
     """An earlier and a later run over the stored bars; predictions of both that are still kept."""

@@ -61,6 +61,8 @@ def store_for(spark: SparkSession, root: str, settings: Settings, prefix: str =
             "kpi_months": analytics,
             "summary_tail": analytics,
             "snapshot": snapshot,
+            "snapshot_digests": snapshot,
+            "rejected_lines": raw,
             "etl_outcomes": raw,
             "forecast_outcomes": analytics,
         },

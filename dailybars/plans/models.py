@@ -114,14 +114,29 @@ def _put(store: TableStore, rows: DataFrame, first: date, leaving: DataFrame | N
 def take_snapshot(store: TableStore, settings: Settings, since: date | None = None) -> int:
     """Bring the history up to date; only months with a changed row are rewritten.
 
-    With ``since`` only rows from that day on are compared. Returns the number of versions closed
-    and opened.
+    The last comparison left a digest of each month of the summary, which the open versions equal since then. Only
+    months with another digest now are read and joined; with ``since`` only those from its month on. Returns the number
+    of versions closed and opened. (Whoever changes the history by hand deletes ``snapshot_digests``.)
     """
-    store.ensure(["snapshot"])
-    known, current = store.read("snapshot", since=since), store.read("stock_summary", since=since)
-    with store.kept(history.find_changes(known, current, settings.snapshot_strategy)) as found:
-        rows = history.apply_changes(known, current, found, settings.run_ts, settings.snapshot_strategy)
-        return store.upsert("snapshot", rows)
+    strategy = settings.snapshot_strategy
+    store.ensure(["snapshot", "snapshot_digests"])
+    since = None if since is None else since.replace(day=1)
+    with store.kept(history.month_digests(store.read("stock_summary", since=since), strategy)) as digests:
+        before = store.read("snapshot_digests").where(F.col("strategy") == strategy)
+        earlier = before.where(F.lit(False)) if since is None else before.where(F.col("month_dt") < F.lit(since))
+        before = before if since is None else before.where(F.col("month_dt") >= F.lit(since))
+        months = {f"{r.month_dt:%Y-%m}" for r in history.changed_months(before, digests).collect()}
+        if not earlier.union(before).limit(1).count():
+            # Nothing is known of the history: all of its months are compared.
+            months |= {m for m in store.months("snapshot") if since is None or m >= f"{since:%Y-%m}"}
+        if not months:
+            return 0
+        known, current = store.read_months("snapshot", months), store.read_months("stock_summary", months)
+        with store.kept(history.find_changes(known, current, strategy)) as found:
+            rows = history.apply_changes(known, current, found, settings.run_ts, strategy)
+            n = store.upsert("snapshot", rows)
+        store.overwrite("snapshot_digests", earlier.unionByName(digests))
+    return n
 
 
 def run_models(store: TableStore, settings: Settings, since: date | None = None) -> list[Row]:

@@ -59,6 +59,10 @@ KPI_MONTHS = schema(
     mean="double",
     m2="double",
 )
+# What the history was last compared with; see operators/history.
+SNAPSHOT_DIGESTS = schema(month_dt="date", strategy="string", n_rows="bigint", mixed="bigint", total="string")
+# Lines of landed files that could not be read.
+REJECTED_LINES = schema(rejected_on="date", file="string", line="string", n_lines="bigint")
 # The revision (time of landing) that each stored bar came from.
 ARRIVALS = schema(symbol="string", dt="date", revision="bigint")
 TRAIN = schema(symbol="string", ts="timestamp_ntz", close="double")

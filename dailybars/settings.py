@@ -40,6 +40,7 @@ class Settings:
 
     ``lenient`` leaves out rows that do not fit and counts them; ``legacy_final`` shows the final table by symbol
     under its older column names; ``keep_predictions`` keeps what each run predicted, for comparison with what came.
+    ``quarantine`` puts lines that cannot be read into ``rejected_lines`` instead of failing the load.
     """
 
     as_of: date
@@ -56,6 +57,7 @@ class Settings:
     lenient: bool = False
     legacy_final: bool = False
     keep_predictions: bool = False
+    quarantine: bool = False
     snapshot_strategy: str = "timestamp"
     run_ts: datetime | None = None
 

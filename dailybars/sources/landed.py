@@ -46,22 +46,55 @@ def read_bars(
     end: date | None = None,
     schema: T.StructType | None = None,
     landed_since: date | None = None,
+    keep_unreadable: bool = False,
 ) -> DataFrame:
     """Landed bars in canonical columns (parquet, orc, csv with header, or json lines).
 
-    Parquet and orc files bring their own column types, csv and json are read with the landed ones.
+    Parquet and orc files bring their own column types, csv and json are read with the landed ones. A line that cannot
+    be read fails the read; with ``keep_unreadable`` it is a row of its own, with the columns of ``UNREADABLE`` only.
     """
-    reader = spark.read
+    reader, text = spark.read, fmt in ("csv", "json")
     if fmt == "csv":
-        reader = reader.option("header", True).option("enforceSchema", False).option("mode", "FAILFAST")
-    elif fmt == "json":
-        reader = reader.option("mode", "FAILFAST")
-    if schema is None and fmt in ("csv", "json"):
+        reader = reader.option("header", True).option("enforceSchema", False)
+    if schema is None and text:
         schema = schemas.LANDED
+    if text and keep_unreadable:
+        schema = T.StructType([*schema, T.StructField(UNREADABLE[0], T.StringType())])
+        reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", UNREADABLE[0])
+        loaded = _since(reader.format(fmt), path, landed_since, schema)
+        loaded = loaded.select(*WANTED, UNREADABLE[0], F.col("_metadata.file_path").alias(UNREADABLE[1]))
+        broken = F.col(UNREADABLE[0]).isNotNull()
+        # What the parser made of the start of a broken line is not used.
+        loaded = loaded.select(*(F.when(~broken, F.col(c)).alias(c) for c in WANTED), *UNREADABLE)
+        if symbols is not None:
+            loaded = loaded.where(broken | F.col("symbol").isin(list(symbols)))
+        return in_window(loaded, None, start, end)
+    if text:
+        reader = reader.option("mode", "FAILFAST")
     loaded = _since(reader.format(fmt), path, landed_since, schema)
     return in_window(loaded.select(*WANTED), symbols, start, end)
 
 
+# The text of a line that could not be read, and its file.
+UNREADABLE = ("bad_line", "bad_file")
+
+
+def rejected_lines(rows: DataFrame, on: date) -> DataFrame:
+    """What could not be read, each line of a file once, with its number of copies."""
+    bad = rows.where(F.col(UNREADABLE[0]).isNotNull())
+    counted = bad.groupBy(F.col(UNREADABLE[1]).alias("file"), F.col(UNREADABLE[0]).alias("line"))
+    return counted.agg(F.count(F.lit(1)).alias("n_lines")).withColumn("rejected_on", F.lit(on))
+
+
+def rejected_outcome(rejected: DataFrame) -> DataFrame:
+    """One outcome row, of no symbol, that counts the rejected lines; none if there are none."""
+    counted = rejected.agg(F.sum("n_lines").alias("n_rows")).where("n_rows > 0")
+    message = F.concat(F.lit("lines that could not be read: "), F.col("n_rows").cast("string"))
+    return counted.select(
+        F.lit("").alias("symbol"), F.lit("read").alias("stage"), F.lit("rejected").alias("status"), "n_rows", message.alias("message")
+    )
+
+
 # Name of the folder level that says when files landed: <path>/landed=2024-01-30/...
 LANDED_LEVEL = "landed"
 
@@ -154,15 +187,39 @@ def no_bars(spark: SparkSession) -> DataFrame:
 # --- records whose headers are loose -----------------------------------------------------------
 
 
-def read_records(spark: SparkSession, path: str, landed_since: date | None = None) -> DataFrame:
+def read_records(
+    spark: SparkSession, path: str, landed_since: date | None = None, keep_unreadable: bool = False
+) -> DataFrame:
     """JSON lines with any header spelling: (symbol, record), a record being a map of texts.
 
-    All symbols are read in one scan, whatever shape each one's records have.
+    All symbols are read in one scan, whatever shape each one's records have. A line that is no JSON object fails the
+    read; with ``keep_unreadable`` it is a row without a record, with the columns of ``UNREADABLE``. Two spellings of one
+    header in a record count as unreadable then, too. Blank lines are left out.
     """
-    record = F.from_json("value", "map<string,string>", {"mode": "FAILFAST"})
-    record = F.transform_keys(record, lambda key, _: F.lower(_first_level_column(key)))
-    lines = _since(spark.read.format("text"), path, landed_since).select(record.alias("record"))
-    return lines.select(clean_symbol(F.col("record")["symbol"]).alias("symbol"), "record")
+    mode = "PERMISSIVE" if keep_unreadable else "FAILFAST"
+    parsed = F.from_json("value", "map<string,string>", {"mode": mode})
+
+    def lowered(record: Column) -> Column:
+        return F.transform_keys(record, lambda key, _: F.lower(_first_level_column(key)))
+
+    lines = _since(spark.read.format("text"), path, landed_since)
+    if not keep_unreadable:
+        lines = lines.select(lowered(parsed).alias("record"))
+        return lines.select(clean_symbol(F.col("record")["symbol"]).alias("symbol"), "record")
+    lines = lines.where(F.trim("value") != "").select(
+        "value", F.col("_metadata.file_path").alias("file"), parsed.alias("parsed")
+    )
+    names = F.transform(F.map_keys("parsed"), lambda key: F.lower(_first_level_column(key)))
+    fine = F.col("parsed").isNotNull() & (F.size(F.array_distinct(names)) == F.size(names))
+    record = F.when(fine, lowered(F.when(fine, F.col("parsed"))))
+    lines = lines.withColumn("record", record)
+    bad = F.col("record").isNull()
+    return lines.select(
+        clean_symbol(F.col("record")["symbol"]).alias("symbol"),
+        "record",
+        F.when(bad, F.col("value")).alias(UNREADABLE[0]),
+        F.when(bad, F.col("file")).alias(UNREADABLE[1]),
+    )
 
 
 def _first_level_column(name):
@@ -184,6 +241,7 @@ def normalize_records(records: DataFrame, with_absent: bool = False) -> DataFram
         *(record[name].alias(name) for name in schemas.VALUE_COLUMNS),
         "symbol",
         *([absent.alias("absent")] if with_absent else []),
+        *(name for name in UNREADABLE if name in records.columns),
     )
 
 

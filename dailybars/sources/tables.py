@@ -71,6 +71,8 @@ TABLES = {
         Table("summary_tail", schemas.SUMMARY_TAIL, ("symbol", "dt"), None),
         Table("kpi_months", schemas.KPI_MONTHS, ("symbol", "month_dt"), "month_dt"),
         Table("snapshot", schemas.SNAPSHOT, ("symbol", "dt", "scd_id"), "dt"),
+        Table("snapshot_digests", schemas.SNAPSHOT_DIGESTS, ("month_dt", "strategy"), None),
+        Table("rejected_lines", schemas.REJECTED_LINES, ("rejected_on", "file", "line"), "rejected_on"),
         Table("etl_outcomes", schemas.OUTCOMES, ("symbol", "stage"), None),
         Table("forecast_outcomes", schemas.OUTCOMES, ("symbol", "stage"), None),
     )
@@ -173,6 +175,11 @@ class TableStore:
                 rows = rows.where(F.col("month") <= until.strftime("%Y-%m")).where(F.col(table.month_of) <= F.lit(until))
         return rows.select(*table.schema.fieldNames())
 
+    def read_months(self, name: str, months: set[str]) -> DataFrame:
+        """The rows filed in these months, others unopened."""
+        table = TABLES[name]
+        return self._rows(table, months).select(*table.schema.fieldNames())
+
     def _rows(self, table: Table, months: set[str] | None = None) -> DataFrame:
         """All columns with ``month``; of these months only."""
         if not self.exists(table.name):
@@ -364,13 +371,14 @@ class TableStore:
             self._remove(self._staging(table.name))
             raise ValueError(f"{table.name}: new rows filed in months not read: {sorted(outside)}")
         if any(counts.values()):
-            bucket = F.pmod(F.xxhash64("symbol"), F.lit(_BUCKETS))
+            spread = next(key for key in table.keys if key != table.month_of)
+            bucket = F.pmod(F.xxhash64(spread), F.lit(_BUCKETS))
             dealt = (
                 staged.where(F.col(table.month_of).isNotNull())
                 .withColumn("bucket", bucket)
                 .hint("rebalance", "month", "bucket")
                 .drop("bucket")
-                .sortWithinPartitions("month", "symbol", table.month_of)
+                .sortWithinPartitions("month", spread, table.month_of)
             )
             with self._dynamic():
                 dealt.write.insertInto(full, overwrite=True)

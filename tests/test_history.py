@@ -7,6 +7,9 @@ import pytest
 from dailybars import schemas
 from dailybars.operators import history as h
 from dailybars.operators.bars import summary
+from dailybars.operators.history import month_digests
+from dailybars.plans.models import take_snapshot
+from dailybars.settings import Settings
 
 D1, D2, D3 = date(2024, 1, 1), date(2024, 1, 2), date(2024, 1, 3)
 RUN, LATER = datetime(2024, 1, 10, 6), datetime(2024, 1, 11, 6)
@@ -115,9 +118,6 @@ def test_unknown_strategy(make_bars):
 
 
 def test_second_correction_at_one_run_time_takes_the_first_ones_place(spark, store, make_bars):
-    from dailybars.operators.bars import summary
-    from dailybars.plans.models import take_snapshot
-    from dailybars.settings import Settings
 
     settings = Settings(date(2024, 1, 31), symbols=None, snapshot_strategy="check")
     for close in (1.0, 2.0, 3.0, None, 4.0):
@@ -127,3 +127,39 @@ def test_second_correction_at_one_run_time_takes_the_first_ones_place(spark, sto
     rows = store.read("snapshot").collect()
     assert len({r.scd_id for r in rows}) == len(rows) == 2
     assert [r.close for r in rows if r.valid_to is None] == [4.0]
+
+
+def test_only_months_with_another_digest_are_read(store, make_bars, daily, monkeypatch):
+    settings = Settings(date(2024, 4, 1), symbols=None, snapshot_strategy="check", run_ts=datetime(2024, 4, 1))
+    rows = daily("A", "2024-01-01", range(1, 90))
+    store.overwrite("stock_summary", summary(make_bars(rows)))
+    assert take_snapshot(store, settings) == 89
+    opened = []
+    read = store.read_months
+
+    def watched(name, months):
+        opened.append((name, frozenset(months)))
+        return read(name, months)
+
+    monkeypatch.setattr(store, "read_months", watched)
+    assert take_snapshot(store, settings) == 0 and not opened
+    rows[40] = ("A", rows[40][1], 999.0)
+    store.overwrite("stock_summary", summary(make_bars(rows)))
+    assert take_snapshot(store, settings) == 2
+    assert set(opened) == {("snapshot", frozenset({"2024-02"})), ("stock_summary", frozenset({"2024-02"}))}
+    del rows[40]
+    store.overwrite("stock_summary", summary(make_bars(rows)))
+    assert take_snapshot(store, settings) == 1
+    assert store.read("snapshot").where("valid_to IS NULL").count() == 88
+
+
+def test_digests_tell_values_apart(make_bars, daily):
+    def digest(rows, strategy="check"):
+        return [tuple(r) for r in month_digests(summary(make_bars(rows)), strategy).orderBy("month_dt").collect()]
+
+    rows = daily("A", "2024-01-01", [1, 2, 3]) + daily("B", "2024-01-30", [4, 5, 6])
+    assert digest(rows) == digest(rows[::-1])
+    changed = digest([("A", rows[0][1], 9.0), *rows[1:]])
+    assert changed[0] != digest(rows)[0] and changed[1:] == digest(rows)[1:]
+    # By days alone a restated close is no difference.
+    assert digest(rows, "timestamp") == digest([("A", rows[0][1], 9.0), *rows[1:]], "timestamp")
