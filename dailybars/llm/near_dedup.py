@@ -9,10 +9,10 @@ similarity 0.8 miss all tables with a probability under 1 in 10,000, and every c
 * Of the nodes that could meet, the shingles that only one of them has are counted. They can be in no intersection, so
   a node with more than a fifth of them has no link, and two nodes whose other shingles cannot make up 0.8 of their
   union are no candidates. Documents that merely share a passage end here.
-* In a bucket every node is first compared with one representative. Verified links are contracted, and only nodes of
-  different components in a bucket are compared further: with another representative while there are many such
-  pairs, and then all of them. No pair that shares a table is left unchecked or implied, and the pairs of a settled
-  group are not listed.
+* Every node is first compared with one representative of its buckets. Verified links are contracted, and only nodes of
+  different components in a bucket are compared further: with one representative of each other component while
+  that links more, and then all of them. No pair that shares a table is left unchecked or implied, and the pairs of a
+  settled group are not listed.
 
 Nulls: a null or blank text has an empty set and is linked with nothing; a null doc_id takes part, and is never the
 smallest id (a group of null ids only has a null component_id). Repeated rows are copies of each other and each gets
@@ -167,12 +167,18 @@ def _fits(a: str, b: str, percent: int):
 
 
 def star_pairs(buckets: DataFrame, turn: int, percent: int) -> DataFrame:
-    """(a, b): every node of a bucket with one representative of another component; which one differs by turn."""
+    """(a, b): nodes with one representative of a bucket, which differs by turn.
+
+    A node is asked once in the first turn, and once for each other component in later ones, however many tables it
+    shares with them.
+    """
     # A node with few shingles of its own has the most links.
     first = F.col("own") if turn == 0 else F.xxhash64("node", F.lit(turn))
     order = F.struct(first.alias("first"), "node", "n", "own", "comp")
     chosen = buckets.groupBy("key").agg(F.min(order).alias("r"))
     pairs = buckets.join(chosen, "key").where("node <> r.node AND comp <> r.comp").where(_fits("", "r.", percent))
+    once = ["node"] if turn == 0 else ["node", F.col("r.comp").alias("other")]
+    pairs = pairs.groupBy(*once).agg(F.min("r").alias("r"))
     return pairs.select(F.least("node", "r.node").alias("a"), F.greatest("node", "r.node").alias("b")).distinct()
 
 
@@ -217,30 +223,34 @@ def unsettled(buckets: DataFrame, names: DataFrame) -> DataFrame:
 
 
 def links_of(
-    buckets: DataFrame, sides: DataFrame, sets: DataFrame, percent: int, turns: int = 2, few: int = 4
+    buckets: DataFrame, sides: DataFrame, sets: DataFrame, percent: int, turns: int = 5, few: int = 8
 ) -> DataFrame:
     """Enough verified links (a, b) that every linked pair which shares a table is in one component.
 
-    All unsettled pairs are listed once there are at most `few` for each row of the buckets, or after `turns` stars.
+    Stars go on while they link something. All unsettled pairs are listed once they do not, once there are at most `few`
+    for each open node, or after `turns` stars.
     """
     rest = buckets.withColumn("comp", F.col("node"))
     links = asked = None
+    linked = True
     for turn in range(turns + 1):
         each = rest.groupBy("key", "comp").agg(F.count("*").alias("c")).groupBy("key")
         each = each.agg(F.sum("c").alias("n"), F.sum(F.col("c") * F.col("c")).alias("s"))
-        size = each.agg(F.sum("n"), F.sum((F.col("n") * F.col("n") - F.col("s")) / 2)).first()
-        if not size[0]:
+        unsettled_pairs = each.agg(F.sum((F.col("n") * F.col("n") - F.col("s")) / 2)).first()[0]
+        if not unsettled_pairs:
             break
-        final = turn == turns or (turn and size[1] <= few * size[0])
+        nodes = rest.select("node").distinct().count()
+        final = turn == turns or not linked or (turn and unsettled_pairs <= few * nodes)
         pairs = cross_pairs(rest, sides, percent) if final else star_pairs(rest, turn, percent)
         pairs = pairs if asked is None else pairs.join(asked, ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")
         found = stored(verified(pairs, sets, percent), "found")
+        linked = found.limit(1).count() > 0
         links = found if links is None else links.unionByName(found)
         asked = pairs if asked is None else asked.unionByName(pairs)
         if final:
             break
-        rest = unsettled(rest, components(links))
+        rest = unsettled(rest, components(links)) if linked else rest
     return links
 
 

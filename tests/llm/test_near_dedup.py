@@ -4,6 +4,7 @@ import re
 import numpy as np
 import pytest
 
+from dailybars.llm import near_dedup as nd
 from dailybars.llm.components import components
 from dailybars.llm.near_dedup import band_hashes, minhashes, near_duplicates, shingles, _permutations
 
@@ -118,3 +119,45 @@ def test_shingles_of_short_texts():
     assert len(shingles("a b c", 4)) == 1
     assert len(shingles("", 4)) == 0
     assert shingles("A b\x0bC d", 4).tolist() == shingles("a B c\td", 4).tolist()
+
+
+def test_recall_of_links_at_the_threshold(make_docs):
+    """Pairs of their own, of similarities from 0.74 to 0.9; all pairs are known."""
+    rnd, texts, linked, apart = random.Random(8), [], 0, 0
+    for i in range(700):
+        words = [f"w{i}x{j}" for j in range(rnd.randint(60, 160))]
+        other = list(words)
+        # A replaced word changes four shingles, at the end of the text fewer.
+        for _ in range(rnd.randint(1, 4)):
+            other[rnd.randrange(len(other))] = f"n{i}x{rnd.random()}"
+        texts += [" ".join(words), " ".join(other)]
+        one, two = word_set(texts[-2], 4), word_set(texts[-1], 4)
+        similar = 100 * len(one & two) >= 80 * len(one | two)
+        linked, apart = linked + similar, apart + (not similar)
+    rows = {r.doc_id: r.component_id for r in near_duplicates(make_docs(texts)).collect()}
+    found = [rows[2 * i] == rows[2 * i + 1] for i in range(700)]
+    truth = [
+        100 * len(word_set(a, 4) & word_set(b, 4)) >= 80 * len(word_set(a, 4) | word_set(b, 4))
+        for a, b in zip(texts[::2], texts[1::2])
+    ]
+    assert linked > 200 and apart > 50 and not any(f and not t for f, t in zip(found, truth))
+    assert sum(f and t for f, t in zip(found, truth)) >= 0.99 * linked
+
+
+def test_a_large_group_asks_few_questions(make_docs, monkeypatch):
+    """Near copies of one text: about one question for each node, not one for each table."""
+    asked, verify = [], nd.verified
+
+    def counted(pairs, sets, percent):
+        asked.append(pairs.count())
+        return verify(pairs, sets, percent)
+
+    monkeypatch.setattr(nd, "verified", counted)
+    rnd, words = random.Random(3), [f"w{j}" for j in range(300)]
+    texts = []
+    for i in range(400):
+        own = list(words)
+        own[rnd.randrange(300)] = f"n{i}"
+        texts.append(" ".join(own))
+    rows = near_duplicates(make_docs(texts)).collect()
+    assert {r.component_id for r in rows} == {0} and sum(asked) < 3 * len(texts)
