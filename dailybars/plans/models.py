@@ -34,8 +34,8 @@ def _tail(store: TableStore, settings: Settings, earlier: DataFrame, first: date
     newest = Window.partitionBy("symbol").orderBy(F.desc("dt"))
     rows = earlier.withColumn("back", F.row_number().over(newest)).where(F.col("back") < LONG_ROWS)
     rows = rows.select(*schemas.BAR_COLUMNS, F.lit(first).alias("before"))
-    names = [(None,)] if settings.symbols is None else [(symbol,) for symbol in settings.symbols]
-    covered = store.spark.createDataFrame(names, "symbol string")
+    names = F.array(*map(F.lit, (None,) if settings.symbols is None else settings.symbols)).cast("array<string>")
+    covered = store.spark.range(1).select(F.explode(names).alias("symbol"))
     blank = [F.lit(None).cast(f.dataType).alias(f.name) for f in schemas.RAW_BARS if f.name != "symbol"]
     return rows.unionByName(covered.select("symbol", *blank, F.lit(first).alias("before")))
 

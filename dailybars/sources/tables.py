@@ -222,8 +222,8 @@ class TableStore:
             if order_by is not None:
                 staged = latest_per_key(staged, order_by, table.keys)
             rows = staged.select(*table.schema.fieldNames())
-            old = self._rows(table, None if table.month_of is None else set(tally.months) & self.months(name))
-            self._replace(table, merge_rows(old.select(*rows.columns), rows, table.keys), set(tally.months))
+            old = self._rows(table, None if table.month_of is None else set(tally.months))
+            self._replace(table, merge_rows(old.select(*rows.columns), rows, table.keys), set(tally.months), filled=True)
         return tally.n_rows
 
     def overwrite(self, name: str, rows: DataFrame) -> None:
@@ -340,32 +340,39 @@ class TableStore:
             F.collect_set(month).alias("months"),
         ).first()
 
-    def _replace(self, table: Table, rows: DataFrame, touched: set[str]) -> None:
-        """Stage the rows, then let them take the place of the touched months (or of the whole table)."""
+    def _replace(self, table: Table, rows: DataFrame, touched: set[str], filled: bool = False) -> None:
+        """Stage the rows, then let them take the place of the touched months (or of the whole table).
+
+        ``filled`` says that the rows are of the touched months, and that none of these ends up empty.
+        """
         self._create(table.name)
         rows = rows.select(*table.schema.fieldNames())
         if table.month_of is not None:
-            # Months that end up empty are named by a row without values, so that a repair knows them too.
             rows = rows.withColumn("month", _month(table.month_of))
-            names = self.spark.createDataFrame([(month,) for month in sorted(touched)], "month string")
+        if table.month_of is not None and touched and not filled:
+            # Months that may end up empty are named by a row without values, so that a repair knows them too.
+            names = self.spark.range(1).select(F.explode(F.array(*map(F.lit, sorted(touched)))).alias("month"))
             blank = [F.lit(None).cast(f.dataType).alias(f.name) for f in table.schema]
             rows = rows.unionByName(names.select(*blank, "month"))
         rows.write.mode("overwrite").parquet(self._staging(table.name))
-        self._insert(table, touched)
+        self._insert(table, touched, filled)
 
     def _staged(self, table: Table) -> DataFrame:
         schema = table.schema if table.month_of is None else T.StructType([*table.schema, T.StructField("month", T.StringType())])
         return self.spark.read.schema(schema).parquet(self._staging(table.name))
 
-    def _insert(self, table: Table, touched: set[str] | None = None) -> None:
+    def _insert(self, table: Table, touched: set[str] | None = None, filled: bool = False) -> None:
         """The staged rows into the table; then the staging folder goes."""
         full, staged = self.full_name(table.name), self._staged(table)
         if table.month_of is None:
             staged.write.insertInto(full, overwrite=True)
             self._remove(self._staging(table.name))
             return
-        counts = {r.month: r.n for r in staged.groupBy("month").agg(F.count(table.month_of).alias("n")).collect()}
-        existing = self.months(table.name)
+        if filled:
+            counts, existing = dict.fromkeys(touched, 1), set()
+        else:
+            counts = {r.month: r.n for r in staged.groupBy("month").agg(F.count(table.month_of).alias("n")).collect()}
+            existing = self.months(table.name)
         outside = set() if touched is None else (set(counts) - touched) & existing
         if outside:
             self._remove(self._staging(table.name))
