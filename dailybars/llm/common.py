@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +29,21 @@ def stored(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_held: dict[str, Callable[[], None]] = {}
+
+
+def holds(owner: str, clear: Callable[[], None]) -> None:
+    """Say how to empty what a module keeps in a Python worker between tasks."""
+    _held[owner] = clear
+
+
+def release_others(owner: str) -> None:
+    """Empty what other modules keep in this Python worker, which serves one stage after another."""
+    for name, clear in _held.items():
+        if name != owner:
+            clear()
+
+
 def on_workers(spark: SparkSession) -> None:
     """Let Python workers of a local session import this package from the same place."""
     environment = spark.sparkContext.environment

@@ -13,7 +13,8 @@ An index is built from a block of items of at most `BLOCK_BYTES` of text (what i
 items make more blocks, each with its own pass. Statistics of terms are those of the block.
 
 Nulls: null and blank texts hold nothing and are found nowhere; null ids are kept as they are. Repeated documents each
-get their rows; repeated items count once. Empty tables give no rows.
+get their rows; repeated items count once. Empty tables give no rows. Very long texts are queried passage by passage,
+to the end. A score or overlap at its threshold is a hit.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dailybars.llm.common import texts_of
+from dailybars.llm.common import holds, release_others, texts_of
 
 PASSAGE = 128
 SHINGLE = 5
@@ -210,9 +211,11 @@ def index_blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> Iterat
 
 
 _indexes: dict[tuple, Index] = {}
+holds("decontaminate", _indexes.clear)
 
 
 def _index(items: list[tuple]) -> Index:
+    release_others("decontaminate")
     key = (len(items), hash(tuple(items)))
     if key not in _indexes:
         _indexes.clear()

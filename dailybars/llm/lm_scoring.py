@@ -15,7 +15,8 @@ every join the `head` most frequent keys, a bounded number, are broadcast; any o
 `head` of all tokens, so that no group of a shuffled join is large. The head decides how a count travels, never a count.
 
 Nulls: a null or blank text has no tokens and scores 0; a null doc_id or label is never target. Repeated rows are
-counted and scored each. Without target documents, its model is the smoothing alone. An empty table gives no rows.
+counted and scored each. Without target documents, its model is the smoothing alone. An empty table gives no rows. Very
+long texts are counted whole. Counts have no ties to break.
 """
 
 from __future__ import annotations

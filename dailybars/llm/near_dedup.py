@@ -16,11 +16,14 @@ similarity 0.8 miss all tables with a probability under 1 in 10,000, and every c
 
 Nulls: a null or blank text has an empty set and is linked with nothing; a null doc_id takes part, and is never the
 smallest id (a group of null ids only has a null component_id). Repeated rows are copies of each other and each gets
-a row. An empty table gives no rows.
+a row. An empty table gives no rows. Very long texts are read whole; their sets are rows of their own, 8 bytes a shingle.
+A similarity of exactly `percent` is a link. An id that several texts have names each of their components alike.
+The working columns end in an underscore and a random part, so that none of the table's clashes.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dailybars.llm.common import stored, texts_of
+from dailybars.llm.common import holds, release_others, stored, texts_of
 from dailybars.llm.components import components
 
 BANDS, ROWS = 26, 5
@@ -38,6 +41,7 @@ SEEN_WORDS = 300_000
 SIGNATURES = "doc_id long, n_shingles long, set_key binary, bands array<long>"
 SETS = "set_key binary, shingles binary"
 _words: dict[bytes, int] = {}
+holds("near_dedup", _words.clear)
 
 
 def word_hash(word: bytes) -> int:
@@ -88,6 +92,7 @@ def band_hashes(least: np.ndarray) -> list[int]:
 
 def signatures(texts: DataFrame, size: int) -> DataFrame:
     def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_others("near_dedup")
         keys = _permutations()
         for batch in batches:
             counts, nodes, bands = [], [], []
@@ -300,17 +305,18 @@ def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     Documents with an empty set are in no group and all stay.
     """
     _, named = grouped(docs, size, percent)
+    key, keep_id, keep_key = (f"{name}_{uuid.uuid4().hex[:8]}_" for name in ("set_key", "keep_id", "keep_key"))
     order = F.struct(F.col("least_id").isNull().alias("none"), "least_id", "set_key")
     chosen = named.groupBy("root").agg(F.min(order).alias("c"))
-    chosen = chosen.select(F.col("c.least_id").alias("keep_id_"), F.col("c.set_key").alias("keep_key_"))
-    marked = with_set_key(docs, size)
-    same = F.expr("set_key_ = keep_key_ AND doc_id <=> keep_id_")
-    first = marked.join(chosen, same, "left_semi").dropDuplicates(["set_key_", "doc_id"])
-    return first.unionByName(marked.where("set_key_ IS NULL")).drop("set_key_")
+    chosen = chosen.select(F.col("c.least_id").alias(keep_id), F.col("c.set_key").alias(keep_key))
+    marked = with_set_key(docs, size, key)
+    same = (F.col(key) == F.col(keep_key)) & marked["doc_id"].eqNullSafe(F.col(keep_id))
+    first = marked.join(chosen, same, "left_semi").dropDuplicates([key, "doc_id"])
+    return first.unionByName(marked.where(F.col(key).isNull())).drop(key)
 
 
-def with_set_key(docs: DataFrame, size: int) -> DataFrame:
-    """docs and the hash of each text's set; null for an empty set."""
+def with_set_key(docs: DataFrame, size: int, name: str) -> DataFrame:
+    """docs and, under that name, the hash of each text's set; null for an empty set."""
     at = docs.columns.index("text")
 
     def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -318,7 +324,7 @@ def with_set_key(docs: DataFrame, size: int) -> DataFrame:
             made = [shingles(text or "", size) for text in batch.column(at).to_pylist()]
             nodes = [xxhash.xxh3_128_digest(x.tobytes()) if len(x) else None for x in made]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(nodes, pa.binary())], [*batch.schema.names, "set_key_"]
+                [*batch.columns, pa.array(nodes, pa.binary())], [*batch.schema.names, name]
             )
 
-    return docs.mapInArrow(tasks, T.StructType([*docs.schema.fields, T.StructField("set_key_", T.BinaryType())]))
+    return docs.mapInArrow(tasks, T.StructType([*docs.schema.fields, T.StructField(name, T.BinaryType())]))

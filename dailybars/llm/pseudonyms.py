@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dailybars.llm.common import on_workers
+from dailybars.llm.common import holds, on_workers, release_others
 
 ROUNDS = 10
 
@@ -342,9 +342,11 @@ class Pseudonyms:
 
 
 _made: dict[bytes, Pseudonyms] = {}
+holds("pseudonyms", _made.clear)
 
 
 def _pseudonyms(key: bytes) -> Pseudonyms:
+    release_others("pseudonyms")
     if key not in _made:
         _made[key] = Pseudonyms(key)
     return _made[key]

@@ -10,7 +10,8 @@ Labels, lang, source and doc_id never enter a score.
 
 Nulls: a null text has zero statistics and is scored as such; a null doc_id is scored and not held out; null labels
 are not learned from. Repeated rows are scored each. With no labels of both kinds there is nothing to learn: the
-score is the share of label 1, or 0.5 without any. An empty table gives no rows.
+score is the share of label 1, or 0.5 without any. An empty table gives no rows. Very long texts are measured whole; a score
+of exactly `accept` is accepted.
 """
 
 from __future__ import annotations

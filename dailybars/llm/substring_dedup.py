@@ -16,7 +16,8 @@ each batch. An anchor with more than `group_limit` different contexts is not gat
 by one (128 bits) and compared in an aggregate, which has no limit. The texts are shuffled once.
 
 Nulls: a null text is empty; a null doc_id comes before all others. Rows with the same doc_id count in the order of a
-hash of their texts; rows equal in both are one document, and each gets its row. An empty table gives no rows.
+hash of their texts; rows equal in both are one document, and each gets its row. An empty table gives no rows. Very
+long texts are read whole; of equal strings the first by document, then place, stays.
 """
 
 from __future__ import annotations

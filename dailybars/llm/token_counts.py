@@ -5,7 +5,8 @@ tokens. A text is cut by the tokenizer's own pattern. A piece that is a whole to
 pieces are merged by the library, each distinct one once while it stays in a bounded cache. Texts with special
 strings go to the library whole, and so do words outside plain Latin script.
 
-Nulls: a null text is empty and has no tokens. Repeated rows are counted each.
+Nulls: a null text is empty and has no tokens. Repeated rows are counted each. An empty table gives
+no rows. Very long texts are counted whole; `limit` tokens are not over the limit.
 """
 
 from __future__ import annotations

@@ -7,7 +7,8 @@ order, so Spark writes, commits and reads them on any file system and a lost exe
 Offsets are local to a shard; where a shard begins in the whole corpus is a sum over shard headers.
 
 Nulls: a null text is empty and has the end id only; documents with a null doc_id come first. Repeated rows are
-documents of their own, ordered by text. An empty table makes no shard.
+documents of their own, ordered by text. An empty table makes no shard. A very long text is one document, in a shard as
+large as it needs. Ties cannot occur: rows equal in id and text have equal ids.
 """
 
 from __future__ import annotations

@@ -22,6 +22,8 @@ from array import array
 
 import public_tokenizers
 
+from dailybars.llm.common import holds, release_others
+
 #: A space before a character that no Unicode version calls white space.
 CUT = re.compile("[ ](?=[^\\s᠎])")
 #: White space next to white space: only then does splitting at every space differ from CUT.
@@ -31,15 +33,17 @@ SPECIAL = "<|"
 PLAIN = re.compile("[\\t\\n\\r\\x20-\\x7eÀ-ÖØ-öø-ÿ]*")
 BYTE_LEVEL = re.compile(r"'(?:[stmd]|re|ve|ll)| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
 WORD_END = re.compile(r"'(?:[stmd]|re|ve|ll)|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
-CHUNKS, WORDS = 500_000, 400_000
+CHUNKS = 500_000
 
 _encoders: dict[str, Encoder] = {}
+holds("tokenizing", _encoders.clear)
 
 
-def encoder(name: str) -> Encoder:
-    """One encoder per worker process; its caches outlive a task."""
-    if name not in _encoders:
-        _encoders[name] = Encoder(public_tokenizers.path(name))
+def encoder(name: str, chunks: int = CHUNKS) -> Encoder:
+    """One encoder per worker process; its caches, of `chunks` and four fifths as many words, outlive a task."""
+    release_others("tokenizing")
+    if name not in _encoders or _encoders[name].chunks.limit != chunks:
+        _encoders[name] = Encoder(public_tokenizers.path(name), chunks, chunks * 4 // 5)
     return _encoders[name]
 
 
@@ -76,7 +80,7 @@ class Cache(dict):
 
 
 class Encoder:
-    def __init__(self, path: str, chunks: int = CHUNKS, words: int = WORDS):
+    def __init__(self, path: str, chunks: int = CHUNKS, words: int = CHUNKS * 4 // 5):
         self.library = load(path)
         self.model = self.library.model
         self.alphabet = byte_alphabet()
