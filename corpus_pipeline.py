@@ -43,7 +43,7 @@ def pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces of all documents in sequences."""
-    return best_fit_packing(docs, "word_bpe_49k.json", capacity=SEQUENCE, end_id=0)
+    return best_fit_packing(docs, "word_bpe_49k.json", capacity=SEQUENCE, end_id=0, cached_chunks=150_000)
 
 
 STAGES = [
