@@ -11,7 +11,7 @@ similarity 0.8 miss all tables with a probability under 1 in 10,000, and every c
   union are no candidates. Documents that merely share a passage end here.
 * Every node is first compared with one representative of its buckets. Verified links are contracted, and only nodes of
   different components in a bucket are compared further: with one representative of each other component while
-  that links more, and then all of them. No pair that shares a table is left unchecked or implied, and the pairs of a
+  that links more, twice at most, and then all of them whose sketches leave a link possible (see `parities`). No pair that shares a table is left unchecked or implied, and the pairs of a
   settled group are not listed.
 
 Nulls: a null or blank text has an empty set and is linked with nothing; a null doc_id takes part, and is never the
@@ -39,7 +39,8 @@ from dailybars.llm.components import components
 BANDS, ROWS = 26, 5
 SEEN_WORDS = 300_000
 SIGNATURES = "doc_id long, n_shingles long, set_key binary, bands array<long>"
-SETS = "set_key binary, shingles binary"
+SETS = "set_key binary, shingles binary, sketch array<long>"
+SKETCH_WORDS = 16
 _words: dict[bytes, int] = {}
 holds("near_dedup", _words.clear)
 
@@ -110,13 +111,23 @@ def signatures(texts: DataFrame, size: int) -> DataFrame:
     return texts.mapInArrow(tasks, SIGNATURES)
 
 
+def parities(hashes: np.ndarray) -> np.ndarray:
+    """For each of 1,024 cells, by the hash's first ten bits, whether an odd number of shingles falls there.
+
+    What two sets share cancels out: the bits that differ are no more than the shingles that only one of them has.
+    """
+    odd = np.bincount((hashes >> np.uint64(54)).astype(np.int64), minlength=64 * SKETCH_WORDS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def sets_of(texts: DataFrame, size: int) -> DataFrame:
     def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             made = [shingles(text, size) for text in batch.column("text").to_pylist()]
             packed = [x.tobytes() for x in made]
             keys = pa.array([xxhash.xxh3_128_digest(x) for x in packed], pa.binary())
-            yield pa.RecordBatch.from_arrays([keys, pa.array(packed, pa.binary())], ["set_key", "shingles"])
+            sketches = pa.array([parities(x) for x in made], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([keys, pa.array(packed, pa.binary()), sketches], ["set_key", "shingles", "sketch"])
 
     return texts.mapInArrow(tasks, SETS)
 
@@ -136,7 +147,7 @@ def can_meet(bands: DataFrame) -> DataFrame:
 def table_rows(bands: DataFrame, nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows (key, node, n, own) of the tables whose key at least two nodes share, and each node's bands.
 
-    nodes: (node, n, own).
+    nodes: (node, n, own, sketch).
     """
     sides = shared_bands(bands.join(nodes.select("node"), "node")).groupBy("node").agg(
         F.collect_list(F.when(F.col("band") < BANDS, F.col("value"))).alias("a"),
@@ -171,6 +182,12 @@ def _fits(a: str, b: str, percent: int):
     return F.expr(f"(100 + {percent}) * {both} >= {percent} * ({a}n + {b}n)")
 
 
+def _near(a: str, b: str, percent: int) -> str:
+    """The sketches do not rule out that what only one set has is few enough for the union."""
+    differ = " + ".join(f"bit_count({a}sketch[{i}] ^ {b}sketch[{i}])" for i in range(SKETCH_WORDS))
+    return f"(100 + {percent}) * ({differ}) <= (100 - {percent}) * ({a}n + {b}n)"
+
+
 def star_pairs(buckets: DataFrame, turn: int, percent: int) -> DataFrame:
     """(a, b): nodes with one representative of a bucket, which differs by turn.
 
@@ -195,8 +212,9 @@ def cross_pairs(buckets: DataFrame, sides: DataFrame, percent: int) -> DataFrame
     """
     open_nodes = buckets.select("node", "comp").distinct()
     rows = sides.join(open_nodes, "node").select("*", F.explode("a").alias("x"))
-    other = rows.select("x", *[F.col(c).alias(f"{c}_") for c in ("node", "comp", "a", "b")], F.struct("n", "own").alias("o"))
+    other = rows.select("x", *[F.col(c).alias(f"{c}_") for c in ("node", "comp", "a", "b")], F.struct("n", "own", "sketch").alias("o"))
     pairs = rows.join(other, "x").where("node < node_ AND comp <> comp_").where(_fits("", "o.", percent))
+    pairs = pairs.where(_near("", "o.", percent))
     pairs = pairs.where("arrays_overlap(b, b_) AND x = array_min(array_intersect(a, a_))")
     return pairs.select(F.col("node").alias("a"), F.col("node_").alias("b"))
 
@@ -228,7 +246,7 @@ def unsettled(buckets: DataFrame, names: DataFrame) -> DataFrame:
 
 
 def links_of(
-    buckets: DataFrame, sides: DataFrame, sets: DataFrame, percent: int, turns: int = 5, few: int = 8
+    buckets: DataFrame, sides: DataFrame, sets: DataFrame, percent: int, turns: int = 2, few: int = 8
 ) -> DataFrame:
     """Enough verified links (a, b) that every linked pair which shares a table is in one component.
 
@@ -275,8 +293,9 @@ def grouped(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFr
     )
     sets = sets_of(chosen.where(r"text RLIKE '[^\\x20\\x09-\\x0D]'"), size)
     sets = sets.join(wanted.select("set_key", "node"), "set_key").dropDuplicates(["set_key"])
-    sets = stored(sets.select("node", "shingles"), "sets")
+    sets = stored(sets.select("node", "shingles", "sketch"), "sets")
     linkable = wanted.select("node", "n").join(own_shingles(sets), "node", "left").fillna({"own": 0})
+    linkable = linkable.join(sets.select("node", "sketch"), "node")
     linkable = stored(linkable.where(100 * (F.col("n") - F.col("own")) >= percent * F.col("n")), "linkable")
     links = links_of(*table_rows(bands, linkable), sets, percent)
     named = nodes.select("set_key", "node", "least_id")

@@ -161,3 +161,17 @@ def test_a_large_group_asks_few_questions(make_docs, monkeypatch):
         texts.append(" ".join(own))
     rows = near_duplicates(make_docs(texts)).collect()
     assert {r.component_id for r in rows} == {0} and sum(asked) < 3 * len(texts)
+
+
+def test_sketches_never_rule_out_a_link():
+    rnd = np.random.default_rng(4)
+    for n in (5, 40, 300, 3000):
+        for _ in range(60):
+            one = np.unique(rnd.integers(0, 2**64, n, np.uint64))
+            keep = one[rnd.random(len(one)) > rnd.choice([0.02, 0.1, 0.3])]
+            two = np.unique(np.concatenate([keep, rnd.integers(0, 2**64, rnd.integers(0, n // 4 + 1), np.uint64)]))
+            differ = int(np.bitwise_count(nd.parities(one) ^ nd.parities(two)).sum())
+            assert differ <= len(np.setxor1d(one, two))
+            both = len(np.intersect1d(one, two))
+            if 100 * both >= 80 * (len(one) + len(two) - both):
+                assert 180 * differ <= 20 * (len(one) + len(two))
