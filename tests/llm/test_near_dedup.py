@@ -170,7 +170,7 @@ def test_sketches_never_rule_out_a_link():
             one = np.unique(rnd.integers(0, 2**64, n, np.uint64))
             keep = one[rnd.random(len(one)) > rnd.choice([0.02, 0.1, 0.3])]
             two = np.unique(np.concatenate([keep, rnd.integers(0, 2**64, rnd.integers(0, n // 4 + 1), np.uint64)]))
-            differ = int(np.bitwise_count(nd.parities(one) ^ nd.parities(two)).sum())
+            differ = int(np.bitwise_count((nd.parities(one) ^ nd.parities(two)).view(np.uint64)).sum())
             assert differ <= len(np.setxor1d(one, two))
             both = len(np.intersect1d(one, two))
             if 100 * both >= 80 * (len(one) + len(two) - both):
