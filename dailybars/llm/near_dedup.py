@@ -45,6 +45,13 @@ _words: dict[bytes, int] = {}
 holds("near_dedup", _words.clear)
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """The batches in small parts: what a task holds as Python objects follows a part, not a batch."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def word_hash(word: bytes) -> int:
     value = _words.get(word)
     if value is None:
@@ -95,7 +102,7 @@ def signatures(texts: DataFrame, size: int) -> DataFrame:
     def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release_others("near_dedup")
         keys = _permutations()
-        for batch in batches:
+        for batch in slices(batches):
             counts, nodes, bands = [], [], []
             for text in batch.column("text").to_pylist():
                 hashes = shingles(text, size)
@@ -122,7 +129,7 @@ def parities(hashes: np.ndarray) -> np.ndarray:
 
 def sets_of(texts: DataFrame, size: int) -> DataFrame:
     def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             made = [shingles(text, size) for text in batch.column("text").to_pylist()]
             packed = [x.tobytes() for x in made]
             keys = pa.array([xxhash.xxh3_128_digest(x) for x in packed], pa.binary())
@@ -165,7 +172,7 @@ def own_shingles(sets: DataFrame) -> DataFrame:
     """(node, own): how many of its shingles no other of these nodes has; nodes without any are left out."""
 
     def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             packed = batch.column("shingles").to_pylist()
             nodes = np.repeat(batch.column("node").to_numpy(), [len(x) // 8 for x in packed])
             hashes = np.frombuffer(b"".join(packed), np.int64)
@@ -223,7 +230,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets have a similarity of at least percent / 100."""
 
     def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             left, right = batch.column("x").to_pylist(), batch.column("y").to_pylist()
             keep = []
             for x, y in zip(left, right):
@@ -339,7 +346,7 @@ def with_set_key(docs: DataFrame, size: int, name: str) -> DataFrame:
     at = docs.columns.index("text")
 
     def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             made = [shingles(text or "", size) for text in batch.column(at).to_pylist()]
             nodes = [xxhash.xxh3_128_digest(x.tobytes()) if len(x) else None for x in made]
             yield pa.RecordBatch.from_arrays(
