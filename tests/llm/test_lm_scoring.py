@@ -4,7 +4,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from dailybars.llm.lm_scoring import SMOOTHING, VOCABULARY, WEIGHT, cross_entropy_difference, frequent, tokens
+from dailybars.llm.lm_scoring import SMOOTHING, VOCABULARY, WEIGHT, cross_entropy_difference, squeezed, tokens, unsqueezed
 
 
 def brute(rows, good, size):
@@ -64,9 +64,10 @@ def test_table(spark, small_docs):
     compare(cross_entropy_difference(small_docs, labels).collect(), brute(rows, good_ids(labels), VOCABULARY))
 
 
-def test_cut(spark):
-    counts = spark.createDataFrame([(i, 0, n) for i, n in enumerate([9, 7, 7, 5, 5, 5, 1])], "pair long, t long, b long")
-    assert [frequent(counts, most).count() for most in (0, 1, 2, 3, 5, 6, 7)] == [0, 1, 1, 3, 3, 6, 7]
+def test_squeezed_numbers():
+    rng = np.random.default_rng(1)
+    for values in ([], [0], [2**64 - 1, 0, 255, 256], rng.integers(0, 2**63, 1000).tolist(), [1] * 5000):
+        assert unsqueezed(squeezed(np.array(values, dtype=np.uint64))).tolist() == values
 
 
 def test_target_text_scores_lower(spark, make_docs):
@@ -93,9 +94,11 @@ def test_models_grow_with_the_corpus(spark, make_docs):
     compare(got, brute(list(enumerate(texts)), {5, 69, 70}, None))
 
 
-@pytest.mark.parametrize("head", [0, 3, 40])
-def test_rare_and_frequent_bigrams_alike(spark, make_docs, head):
+@pytest.mark.parametrize("vocabulary, cell, bucket", [(None, 1, 1), (None, 3, 40), (None, 40, 7), (None, 10**6, 3), (9, 5, 5), (9, 10**6, 10**6)])
+def test_any_cells_and_buckets(spark, make_docs, vocabulary, cell, bucket):
+    """Documents that go on over cells, and one word or many in a bucket, give the same losses."""
     texts = [f"the {w} of a {w} is the {w}{i % 7} and more." for i, w in enumerate("sun moon star sea sand".split() * 8)]
-    labels = spark.createDataFrame([(i, 1, 0) for i in range(0, 30, 3)], "doc_id long, quality int, toxic int")
-    got = cross_entropy_difference(make_docs([*texts, "", "sun"]), labels, head=head).collect()
-    compare(got, brute(list(enumerate([*texts, "", "sun"])), set(range(0, 30, 3)), None))
+    texts += ["", "sun", "sun sun sun sun sun sun sun", "a b c d e f g h i j k " * 9]
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(0, 44, 3)], "doc_id long, quality int, toxic int")
+    got = cross_entropy_difference(make_docs(texts), labels, vocabulary, cell, bucket).collect()
+    compare(got, brute(list(enumerate(texts)), set(range(0, 44, 3)), vocabulary))
